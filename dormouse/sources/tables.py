@@ -42,27 +42,27 @@ def conform(name: str, table: DataFrame, schema: T.StructType) -> DataFrame:
     Columns that already have the right type are left alone, so filters on
     them still reach the scan.
     """
-    for source, target in SOURCE_COLUMNS.get(name, {}).items():
-        if target not in _lower_names(table) and source in _lower_names(table):
-            table = table.withColumnRenamed(source, target)
-    present = _lower_names(table)
-    if "lower_group_name" in schema.fieldNames() and "lower_group_name" not in present:
-        if "group_name" in present:
-            table = table.withColumn("lower_group_name", F.lower("group_name"))
-            present = _lower_names(table)
-    missing = [field.name for field in schema if field.name not in present]
+    found = {field.name.lower(): field.dataType for field in table.schema}
+    renamed = {
+        target: source
+        for source, target in SOURCE_COLUMNS.get(name, {}).items()
+        if source in found and target not in found
+    }
+    columns, missing = [], []
+    for field in schema:
+        source = renamed.get(field.name, field.name)
+        if source in found:
+            columns.append(_column(F.col(source), field, found[source]))
+        elif field.name == "lower_group_name" and "group_name" in found:
+            columns.append(F.lower("group_name").alias(field.name))
+        else:
+            missing.append(field.name)
     if missing:
-        raise ValueError(f"table {name!r} lacks columns {missing}; it has {table.columns}")
-    types = {field.name.lower(): field.dataType for field in table.schema}
-    return table.select(*[_column(field, types[field.name]) for field in schema])
+        raise ValueError(f"table {name!r} lacks columns {missing}; it has {sorted(found)}")
+    return table.select(*columns)
 
 
-def _lower_names(table: DataFrame) -> set[str]:
-    return {name.lower() for name in table.columns}
-
-
-def _column(field: T.StructField, found: T.DataType) -> Column:
-    column = F.col(field.name)
+def _column(column: Column, field: T.StructField, found: T.DataType) -> Column:
     if field.name == "active":
         return _flag(column, found).alias("is_active")
     if found != field.dataType:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from dormouse.sources.tables import Tables
 # Fixed values of the sample.
 AS_OF = "2001-08-02 00:00:00"
 INTERNAL_SUFFIX = "@mycompany.example"
+EXTERNAL_SUFFIX = "@customer.example"
 GROUPS = [
     (1, "building-users"),
     (2, "machinery-users"),
@@ -40,38 +42,37 @@ REACTIVATED = '[{"name":"Active","from":"Inactive","to":"Active"}]'
 DEACTIVATED = '[{"name":"Active","from":"Active","to":"Inactive"}]'
 
 
+# Columns used of the sample files; given, so that opening one reads nothing.
+FILES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_mktsegment STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_linenumber INT, l_returnflag STRING, "
+                "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING",
+}
+
+
 def sample_tables(
     spark: SparkSession, sf_dir: str, schemas: Mapping[str, T.StructType]
 ) -> Tables:
     """Tables by name, each derived when first used."""
-    source = _Source(spark, sf_dir)
+    source = Sample(spark, sf_dir)
     return Tables(schemas, lambda name: DERIVATIONS[name](source))
 
 
-class _Source:
+class Sample:
+    """The sample files, each opened once."""
+
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
-        self.sf_dir = sf_dir
-
-    def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-
-    def people(self) -> DataFrame:
-        """Customer key, user name and user key."""
-        k = F.col("c_custkey")
-        number = k.cast("string")
-        return self.read("customer").select(
-            k.alias("k"),
-            F.concat(F.when(k % 11 == 0, F.lit("User")).otherwise(F.lit("user")), number).alias("nm"),
-            F.when(k % 2 == 0, F.concat(F.lit("user"), number))
-            .otherwise(F.concat(F.lit("KEY"), (k + 10000).cast("string")))
-            .alias("ukey"),
-            F.col("c_mktsegment").alias("seg"),
-            F.col("c_nationkey").alias("nk"),
+        self.read = cache(
+            lambda name: spark.read.schema(FILES[name]).parquet(f"{sf_dir}/{name}.parquet")
         )
-
-    def keys(self) -> DataFrame:
-        return self.people().select("k", "ukey")
+        self.people = cache(lambda: _people(self))
+        self.placed = cache(lambda: _placed(self))
 
     def constants(self, rows: list[tuple], *columns: str) -> DataFrame:
         """Fixed rows as an inline table, whose size the planner knows."""
@@ -85,244 +86,199 @@ def _literal(value: int | str | None) -> str:
     return f"'{value}'" if isinstance(value, str) else f"{value}L"
 
 
-def _account_rows(source: _Source) -> DataFrame:
-    """People once per directory they have an account in."""
-    regions = source.read("nation").select(
-        F.col("n_nationkey").alias("nk"), F.col("n_regionkey").alias("rk")
+def _people(sample: Sample) -> DataFrame:
+    """Customers as people: key, user name, user key, segment and nation."""
+    return sample.read("customer").selectExpr(
+        "c_custkey AS k",
+        "concat(if(c_custkey % 11 = 0, 'User', 'user'), c_custkey) AS nm",
+        "if(c_custkey % 2 = 0, concat('user', c_custkey), concat('KEY', 10000 + c_custkey)) AS ukey",
+        "c_mktsegment AS seg",
+        "c_nationkey AS nk",
     )
-    second = F.when((F.col("k") % 3 == 0) & (F.col("rk") != 0), F.col("rk") + 1)
+
+
+def _placed(sample: Sample) -> DataFrame:
+    """People once per directory they have an account in."""
+    nations = sample.read("nation").selectExpr("n_nationkey AS nk", "n_regionkey AS rk")
     return (
-        source.people()
-        .join(regions, "nk")
-        .withColumn("d", F.explode(F.array_compact(F.array(F.lit(1), second))))
-        .withColumn("id", F.col("k") + F.lit(1000000) * F.col("d"))
+        sample.people()
+        .join(nations, "nk")
+        .selectExpr(
+            "*",
+            "explode(if(k % 3 = 0 AND rk <> 0, array(1L, rk + 1L), array(1L))) AS d",
+        )
+        .selectExpr("*", "k + 1000000 * d AS id")
     )
 
 
-def _account(source: _Source) -> DataFrame:
-    k, d = F.col("k"), F.col("d")
-    host = F.when(F.col("nk") % 5 == d % 5, F.lit(INTERNAL_SUFFIX)).otherwise(
-        F.lit("@customer.example")
-    )
-    inactive = ((k % 13 == 0) & (d == 1)) | ((k % 15 == 0) & (d != 1))
-    start = F.lit("1996-01-01").cast("date")
-    created = F.when(k % 29 == 0, F.lit(None)).when(
-        k % 7 == 0, F.lit("2001-06-15").cast("date")
-    ).otherwise(F.date_add(start, (k % 1000).cast("int")))
-    return _account_rows(source).select(
+def _account(sample: Sample) -> DataFrame:
+    return sample.placed().selectExpr(
         "id",
-        d.cast("bigint").alias("directory_id"),
-        F.col("nm").alias("user_name"),
-        F.lower("nm").alias("lower_user_name"),
-        F.when(k % 17 != 0, F.concat("nm", host)).alias("email_address"),
-        F.concat(F.lit("Display "), k.cast("string")).alias("display_name"),
-        F.when(inactive, F.lit(0)).otherwise(F.lit(1)).alias("active"),
-        created.cast("timestamp").alias("created_date"),
+        "d AS directory_id",
+        "nm AS user_name",
+        "lower(nm) AS lower_user_name",
+        f"""CASE WHEN k % 17 <> 0 THEN
+            concat(nm, if(nk % 5 = d % 5, '{INTERNAL_SUFFIX}', '{EXTERNAL_SUFFIX}')) END
+            AS email_address""",
+        "concat('Display ', k) AS display_name",
+        "if((k % 13 = 0 AND d = 1) OR (k % 15 = 0 AND d <> 1), 0, 1) AS active",
+        """CAST(CASE WHEN k % 29 = 0 THEN NULL
+                     WHEN k % 7 = 0 THEN DATE'2001-06-15'
+                     ELSE date_add(DATE'1996-01-01', CAST(k % 1000 AS INT)) END AS TIMESTAMP)
+            AS created_date""",
     )
 
 
-def _directory(source: _Source) -> DataFrame:
-    key = F.col("r_regionkey")
-    return source.read("region").select(
-        (key + 1).cast("bigint").alias("id"),
-        F.col("r_name").alias("directory_name"),
-        F.when(key == 4, F.lit(0)).otherwise(F.lit(1)).alias("active"),
-        (F.lit(4) - key).alias("directory_position"),
+def _directory(sample: Sample) -> DataFrame:
+    return sample.read("region").selectExpr(
+        "r_regionkey + 1L AS id",
+        "r_name AS directory_name",
+        "if(r_regionkey = 4, 0, 1) AS active",
+        "4 - r_regionkey AS directory_position",
     )
 
 
-def _grp(source: _Source) -> DataFrame:
-    return source.constants(GROUPS, "id", "group_name")
+def _grp(sample: Sample) -> DataFrame:
+    return sample.constants(GROUPS, "id", "group_name")
 
 
-def _membership(source: _Source) -> DataFrame:
-    k = F.col("k")
-    accounts = _account_rows(source)
-    groups = _grp(source).select(F.col("id").alias("group_id"), "group_name")
-    held = F.array_compact(
-        F.array(
-            F.concat(F.lower("seg"), F.lit("-users")),
-            F.when(k % 4 == 0, F.lit("all-staff")),
-            F.when(k % 19 == 0, F.lit("never-deactivate")),
-        )
-    )
+def _membership(sample: Sample) -> DataFrame:
+    held = """array_compact(array(
+        concat(lower(seg), '-users'),
+        if(k % 4 = 0, 'all-staff', NULL),
+        if(k % 19 = 0, 'never-deactivate', NULL)))"""
+    groups = _grp(sample).withColumnRenamed("id", "parent_id")
     return (
-        accounts.withColumn("group_name", F.explode(held))
+        sample.placed()
+        .selectExpr("id AS child_id", "lower(nm) AS lower_child_name", "d AS directory_id",
+                    f"explode({held}) AS group_name")
         .join(groups, "group_name")
-        .select(
-            F.col("id").alias("child_id"),
-            F.lower("nm").alias("lower_child_name"),
-            F.col("d").cast("bigint").alias("directory_id"),
-            F.col("group_id").alias("parent_id"),
-            F.col("group_name").alias("lower_parent_name"),
-        )
+        .withColumnRenamed("group_name", "lower_parent_name")
     )
 
 
-def _globalperm(source: _Source) -> DataFrame:
-    return source.constants(PERMISSIONS, "permission", "group_id")
+def _globalperm(sample: Sample) -> DataFrame:
+    return sample.constants(PERMISSIONS, "permission", "group_id")
 
 
-def _license(source: _Source) -> DataFrame:
-    return source.constants(LICENCES, "license_role_name", "group_id")
+def _license(sample: Sample) -> DataFrame:
+    return sample.constants(LICENCES, "license_role_name", "group_id")
 
 
-def _attrs(source: _Source) -> DataFrame:
-    when = F.col("o_orderdate").cast("timestamp")
+def _attrs(sample: Sample) -> DataFrame:
     latest = (
-        source.read("orders")
-        .groupBy(F.col("o_custkey").alias("k"))
-        .agg(
-            F.max(F.when(F.col("o_orderstatus") == "F", when)).alias("last_f"),
-            F.max(F.when(F.col("o_orderstatus") == "P", when)).alias("last_p"),
-        )
-    )
-    k = F.col("k")
-    other = F.lit("passwordLastChanged")
-    login = F.struct(
-        F.when(k % 5 != 0, F.lit("login.lastLoginMillis")).otherwise(other).alias("name"),
-        F.when(k % 37 != 0, (F.unix_millis("last_f") + 123).cast("string")).alias("value"),
-    )
-    auth = F.struct(
-        F.when(k % 5 != 1, F.lit("lastAuthenticated")).otherwise(other).alias("name"),
-        F.unix_millis("last_p").cast("string").alias("value"),
+        sample.read("orders")
+        .filter("o_orderstatus IN ('F', 'P')")
+        .groupBy("o_custkey", "o_orderstatus")
+        .agg(F.expr("unix_millis(CAST(max(o_orderdate) AS TIMESTAMP))").alias("millis"))
     )
-    entries = F.array(
-        F.when(F.col("last_f").isNotNull(), login), F.when(F.col("last_p").isNotNull(), auth)
-    )
-    return (
-        _account_rows(source)
-        .select("id", "d", "k")
-        .join(latest, "k")
-        .withColumn("entry", F.explode(F.array_compact(entries)))
-        .select(
-            F.col("id").alias("user_id"),
-            F.col("d").cast("bigint").alias("directory_id"),
-            F.col("entry.name").alias("attribute_name"),
-            F.col("entry.value").alias("attribute_value"),
-        )
+    return sample.placed().join(latest, F.expr("o_custkey = k")).selectExpr(
+        "id AS user_id",
+        "d AS directory_id",
+        """CASE WHEN o_orderstatus = 'F' AND k % 5 <> 0 THEN 'login.lastLoginMillis'
+                WHEN o_orderstatus = 'P' AND k % 5 <> 1 THEN 'lastAuthenticated'
+                ELSE 'passwordLastChanged' END AS attribute_name""",
+        """CASE WHEN o_orderstatus = 'P' THEN CAST(millis AS STRING)
+                WHEN k % 37 <> 0 THEN CAST(millis + 123 AS STRING) END AS attribute_value""",
     )
 
 
-def _changegroup(source: _Source) -> DataFrame:
-    return source.read("orders").select(
-        F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("created")
-    )
+def _changegroup(sample: Sample) -> DataFrame:
+    return sample.read("orders").selectExpr("o_orderkey AS id", "o_orderdate AS created")
 
 
-def _changeitem(source: _Source) -> DataFrame:
-    customers = source.read("customer").agg(F.count("*")).scalar()
-    tracked = (F.col("l_linenumber") == 1) & (F.col("l_orderkey") % 4 == 0)
-    field = (
-        F.when(~tracked, F.lit("comment"))
-        .when(F.col("l_returnflag") == "R", F.lit("assignee"))
-        .when(F.col("l_returnflag") == "A", F.lit("status"))
-        .otherwise(F.lit("priority"))
-    )
+def _changeitem(sample: Sample) -> DataFrame:
+    customers = sample.read("customer").agg(F.count("*")).scalar()
+    people = sample.people().select("k", F.col("ukey").alias("newvalue"))
     return (
-        source.read("lineitem")
+        sample.read("lineitem")
         .withColumn("k", F.col("l_partkey") % customers)
-        .join(source.keys(), "k")
-        .select(
-            F.col("l_orderkey").alias("groupid"),
-            field.alias("field"),
-            F.col("ukey").alias("newvalue"),
+        .join(people, "k")
+        .selectExpr(
+            "l_orderkey AS groupid",
+            """CASE WHEN l_linenumber <> 1 OR l_orderkey % 4 <> 0 THEN 'comment'
+                    WHEN l_returnflag = 'R' THEN 'assignee'
+                    WHEN l_returnflag = 'A' THEN 'status'
+                    ELSE 'priority' END AS field""",
+            "newvalue",
         )
     )
 
 
-def _names(source: _Source, lower_name: str) -> DataFrame:
-    return source.people().select(F.col("ukey").alias("user_key"), F.lower("nm").alias(lower_name))
+def _app_user(sample: Sample) -> DataFrame:
+    return sample.people().selectExpr("ukey AS user_key", "lower(nm) AS lower_user_name")
 
 
-def _app_user(source: _Source) -> DataFrame:
-    return _names(source, "lower_user_name")
+def _user_mapping(sample: Sample) -> DataFrame:
+    return sample.people().selectExpr("ukey AS user_key", "lower(nm) AS lower_username")
 
 
-def _user_mapping(source: _Source) -> DataFrame:
-    return _names(source, "lower_username")
-
-
-def _userassociation(source: _Source) -> DataFrame:
-    people = source.keys()
+def _userassociation(sample: Sample) -> DataFrame:
     return (
-        source.read("events")
-        .join(people, F.col("user_id") == F.col("k"))
-        .select(
-            F.col("ukey").alias("source_name"),
-            F.when(F.col("event_type") == "view", F.lit("WatchIssue"))
-            .otherwise(F.lit("VoteIssue"))
-            .alias("association_type"),
-            F.col("ts").alias("created"),
+        sample.read("events")
+        .join(sample.people(), F.expr("user_id = k"))
+        .selectExpr(
+            "ukey AS source_name",
+            "if(event_type = 'view', 'WatchIssue', 'VoteIssue') AS association_type",
+            "ts AS created",
         )
     )
 
 
-def _audit(source: _Source) -> DataFrame:
-    key = F.col("o_orderkey")
-    moment = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+def _audit(sample: Sample) -> DataFrame:
     return (
-        source.read("orders")
-        .join(source.keys(), F.col("o_custkey") == F.col("k"))
-        .select(
-            (moment + key % 1000).alias("entity_timestamp"),
-            F.col("ukey").alias("primary_resource_id"),
-            F.when(F.col("o_orderpriority") != "1-URGENT", F.lit("PROJECT"))
-            .when(key % 3 == 0, F.lit("GROUP"))
-            .otherwise(F.lit("USER"))
-            .alias("primary_resource_type"),
-            F.when(key % 2 == 0, F.lit(REACTIVATED))
-            .otherwise(F.lit(DEACTIVATED))
-            .alias("change_values"),
+        sample.read("orders")
+        .join(sample.people(), F.expr("o_custkey = k"))
+        .selectExpr(
+            "unix_millis(CAST(o_orderdate AS TIMESTAMP)) + o_orderkey % 1000 AS entity_timestamp",
+            "ukey AS primary_resource_id",
+            """CASE WHEN o_orderpriority <> '1-URGENT' THEN 'PROJECT'
+                    WHEN o_orderkey % 3 = 0 THEN 'GROUP'
+                    ELSE 'USER' END AS primary_resource_type""",
+            f"if(o_orderkey % 2 = 0, '{REACTIVATED}', '{DEACTIVATED}') AS change_values",
         )
     )
 
 
-def _issue(source: _Source) -> DataFrame:
-    name = F.concat(F.lit("user"), F.col("o_custkey").cast("string"))
-    return source.read("orders").select(
-        F.when(F.col("o_orderkey") % 10 != 0, name).alias("assignee")
+def _issue(sample: Sample) -> DataFrame:
+    return sample.read("orders").selectExpr(
+        "if(o_orderkey % 10 = 0, NULL, concat('user', o_custkey)) AS assignee"
     )
 
 
-def _logininfo(source: _Source) -> DataFrame:
+def _logininfo(sample: Sample) -> DataFrame:
     latest = (
-        source.read("orders")
-        .filter(F.col("o_orderstatus") == "F")
+        sample.read("orders")
+        .filter("o_orderstatus = 'F'")
         .groupBy(F.col("o_custkey").alias("k"))
         .agg(F.max("o_orderdate").alias("latest"))
     )
     return (
-        source.keys()
+        sample.people()
         .join(latest, "k")
-        .select(
-            F.col("ukey").alias("username"),
-            F.when(F.col("k") % 9 != 0, F.col("latest")).alias("successdate"),
-        )
+        .selectExpr("ukey AS username", "if(k % 9 = 0, NULL, latest) AS successdate")
     )
 
 
-def _content(source: _Source) -> DataFrame:
-    orders = source.read("orders").select("o_orderkey", "o_custkey")
-    known = (F.col("l_linestatus") == "O") & (F.col("o_custkey") % 4 != 0)
+def _content(sample: Sample) -> DataFrame:
     return (
-        source.read("lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(source.keys(), F.col("o_custkey") == F.col("k"))
-        .select(
-            F.when(known, F.col("ukey")).alias("lastmodifier"),
-            F.col("l_shipdate").alias("lastmoddate"),
+        sample.read("lineitem")
+        .join(sample.read("orders"), F.expr("l_orderkey = o_orderkey"))
+        .join(sample.people(), F.expr("o_custkey = k"))
+        .selectExpr(
+            "if(l_linestatus = 'O' AND k % 4 <> 0, ukey, NULL) AS lastmodifier",
+            "l_shipdate AS lastmoddate",
         )
     )
 
 
-def _spaceperm(source: _Source) -> DataFrame:
+def _spaceperm(sample: Sample) -> DataFrame:
     rows = [(name, 77 if key == 4 else None) for key, name in GROUPS if key != 900]
     rows.append(("building-users", None))
-    return source.constants(rows, "permgroupname", "spaceid")
+    return sample.constants(rows, "permgroupname", "spaceid")
 
 
-DERIVATIONS: dict[str, Callable[[_Source], DataFrame]] = {
+DERIVATIONS: dict[str, Callable[[Sample], DataFrame]] = {
     "account": _account,
     "directory": _directory,
     "grp": _grp,
