@@ -1,0 +1,106 @@
+"""Relations between results that hold for any data, checked on the sample."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from dormouse.operators import identity
+from dormouse.plans.dormancy import (
+    canonical_eligible,
+    dormant_accounts,
+    dormant_external,
+    licensed_accounts,
+)
+from dormouse.plans.login_rule import dormant_by_login_rule
+from dormouse.plans.wiki import wiki_dormant
+from dormouse.sources.schemas import TRACKER, WIKI
+from dormouse.sources.tables import Tables
+from sample.tables import DERIVATIONS, Sample
+from tests.conftest import SMALL
+
+AS_OF = "2001-08-02"
+
+
+def names(frame):
+    return {row.user_name for row in frame.select("user_name").collect()}
+
+
+@pytest.fixture(scope="module")
+def dormant(tracker_files):
+    return dormant_accounts(tracker_files, AS_OF).cache()
+
+
+def test_later_instants_only_add_names(tracker_files, dormant):
+    later = [names(dormant_accounts(tracker_files, day, ordered=False))
+             for day in ("2002-01-01", "2026-01-01")]
+    assert names(dormant) <= later[0] <= later[1]
+    logins = [names(dormant_by_login_rule(tracker_files, day)) for day in (AS_OF, "2003-01-01")]
+    assert logins[0] <= logins[1]
+
+
+def test_longer_periods_only_remove_names(tracker_files, dormant):
+    assert names(dormant_accounts(tracker_files, AS_OF, months=24)) <= names(dormant)
+
+
+def test_no_exempt_name_is_listed(tracker_files, dormant):
+    exempt = identity.exempt_accounts(
+        tracker_files["account"], tracker_files["membership"], tracker_files["grp"]
+    )
+    assert names(exempt) and not names(exempt) & names(dormant)
+
+
+def test_one_row_per_name(tracker_files, dormant):
+    for frame in (canonical_eligible(tracker_files), dormant):
+        assert frame.count() == frame.select("user_name").distinct().count()
+
+
+def test_external_is_part_of_dormant(dormant):
+    external = dormant_external(dormant, "@mycompany.example")
+    assert external.columns == [
+        "user_name", "email_address", "created", "lastlogin", "lastauth", "lastassign",
+        "lastwatch", "lastreactivate",
+    ]
+    assert external.exceptAll(dormant.select(*external.columns)).count() == 0
+
+
+def test_rows_are_in_order(dormant, wiki_files):
+    for rows in (dormant.collect(), wiki_dormant(wiki_files, AS_OF).collect()):
+        days = [row.lastlogin for row in rows]
+        known = [day for day in days if day is not None]
+        assert known == sorted(known, reverse=True)
+        assert days[: len(known)] == known
+
+
+@pytest.mark.parametrize("partitions", [1, 13])
+def test_order_of_the_input_changes_nothing(spark, tracker_files, wiki_files, dormant, partitions):
+    sample = Sample(spark, SMALL)
+
+    def shuffled(name):
+        return DERIVATIONS[name](sample).repartition(partitions, F.rand(seed=partitions))
+
+    tracker, wiki = Tables(TRACKER, shuffled), Tables(WIKI, shuffled)
+    assert dormant_accounts(tracker, AS_OF).collect() == dormant.collect()
+    assert sorted(licensed_accounts(tracker).collect(), key=repr) == sorted(
+        licensed_accounts(tracker_files).collect(), key=repr
+    )
+    assert wiki_dormant(wiki, AS_OF).collect() == wiki_dormant(wiki_files, AS_OF).collect()
+
+
+def test_doubled_events_and_memberships_change_only_counts(spark, tracker_files, dormant):
+    doubled = Tables(
+        TRACKER,
+        lambda name: _raw(tracker_files[name]).unionAll(_raw(tracker_files[name]))
+        if name in ("membership", "changeitem", "audit", "userassociation", "attrs", "issue")
+        else _raw(tracker_files[name]),
+    )
+    found = dormant_accounts(doubled, AS_OF)
+    kept = [name for name in dormant.columns if name != "assigneecount"]
+    assert found.select(*kept).collect() == dormant.select(*kept).collect()
+    assert [2 * row.assigneecount for row in dormant.collect()] == [
+        row.assigneecount for row in found.collect()
+    ]
+
+
+def _raw(frame):
+    return frame.withColumnRenamed("is_active", "active")

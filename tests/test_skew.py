@@ -1,0 +1,146 @@
+"""A key with a third of all rows: results stay whole, and its rows are split or reduced."""
+
+from __future__ import annotations
+
+from collections import Counter
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from dormouse.operators import activity, identity
+from dormouse.plans.wiki import wiki_dormant
+from dormouse.sources.schemas import WIKI
+from dormouse.sources.tables import Tables
+from tests.build import utc, wiki, wiki_account
+from tests.test_plans import plan_of
+
+ROWS = 300_000
+
+
+@pytest.fixture(autouse=True)
+def small_skew_limits(settings):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+
+
+def hot(column="id"):
+    """Key 0 for a third of the rows, all others different."""
+    return F.when(F.col(column) % 3 == 0, F.lit(0)).otherwise(F.col(column)).cast("bigint")
+
+
+def test_change_group_with_a_third_of_all_items_is_split(spark):
+    items = spark.range(ROWS).select(
+        hot().alias("groupid"),
+        F.lit("assignee").alias("field"),
+        F.concat(F.lit("user"), F.col("id") % 1000).alias("newvalue"),
+    )
+    groups = spark.range(ROWS).select("id", F.timestamp_seconds("id").alias("created"))
+    found = activity.last_assignment(groups, items)
+    latest = {row.user_name: int(row.lastassign.timestamp()) for row in found.collect()}
+    expected = {}
+    for n in range(ROWS):
+        group = 0 if n % 3 == 0 else n
+        name = f"user{n % 1000}"
+        expected[name] = max(expected.get(name, 0), group)
+    assert latest == expected
+    assert "SortMergeJoin(skew=true)" in plan_of(found)
+
+
+def test_member_with_a_third_of_all_rows_is_reduced_before_the_shuffle(spark):
+    members = spark.range(ROWS).select(
+        F.concat(F.lit("u"), hot()).alias("lower_child_name"),
+        F.lit(1).cast("bigint").alias("directory_id"),
+        F.lit("staff").alias("lower_parent_name"),
+    )
+    permissions = spark.createDataFrame([("USE", "staff")], "permission string, group_id string")
+    found = identity.access_members(members, permissions)
+    assert found.count() == 1 + ROWS - ROWS // 3
+    plan = plan_of(found)
+    exchange = plan.index("Exchange hashpartitioning(lower_user_name")
+    assert "HashAggregate" in plan[exchange:].splitlines()[1]
+
+
+def test_name_with_a_third_of_all_accounts_is_cut_before_the_shuffle(spark):
+    accounts = spark.range(ROWS).select(
+        "id",
+        (F.col("id") % 7).alias("directory_id"),
+        F.concat(F.lit("u"), hot()).alias("user_name"),
+        ((F.col("id") * 31) % 1009).alias("directory_position"),
+    )
+    found = identity.canonical_account(accounts)
+    assert found.count() == 1 + ROWS - ROWS // 3
+    best = min(((n * 31) % 1009, n % 7, n) for n in range(0, ROWS, 3))
+    assert found.filter("user_name = 'u0'").select("id").collect() == [(best[2],)]
+    # What reaches the shuffle is one row of the name per task, not a third of all.
+    limited = plan_of(found.limit(10**9))
+    assert limited.count("WindowGroupLimit") == 2
+
+
+def test_issues_watches_and_edits_of_one_user(spark):
+    name = F.concat(F.lit("user"), hot())
+    counts = activity.assignee_count(spark.range(ROWS).select(name.alias("assignee")))
+    top = counts.orderBy(F.desc("assigneecount")).limit(2).collect()
+    assert [tuple(row) for row in top][0] == ("user0", ROWS // 3)
+
+    names = spark.range(ROWS).select(
+        F.concat(F.lit("user"), "id").alias("user_key"),
+        F.concat(F.lit("user"), "id").alias("lower_user_name"),
+    )
+    accounts = names.select(F.col("lower_user_name").alias("user_name"), "lower_user_name")
+    watches = spark.range(ROWS).select(
+        name.alias("source_name"),
+        F.lit("WatchIssue").alias("association_type"),
+        F.timestamp_seconds("id").alias("created"),
+    )
+    found = activity.last_watch(watches, names, accounts)
+    assert found.count() == 1 + ROWS - ROWS // 3
+    newest = found.filter("user_name = 'user0'").select(F.unix_seconds("lastwatch")).collect()
+    assert newest == [(ROWS - 3,)]
+
+
+def test_wiki_user_with_a_third_of_all_logins(spark):
+    days = Counter()
+    base = wiki(
+        spark,
+        account=[wiki_account(n, f"user{n}") for n in range(40)],
+        membership=[dict(child_id=n, parent_id=5) for n in range(40)],
+        user_mapping=[dict(user_key=f"K{n}", lower_username=f"user{n}") for n in range(40)],
+        content=[dict(lastmodifier=f"K{n}", lastmoddate=utc("2020-01-01")) for n in range(40)],
+    )
+    key = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 40)
+    minutes = (F.col("id") * 7919) % (60 * 24 * 30)
+    logins = spark.range(60_000).select(
+        F.concat(F.lit("K"), key).alias("username"),
+        F.timestamp_seconds(minutes * 60).alias("successdate"),
+    )
+    tables = Tables(WIKI, lambda name: logins if name == "logininfo" else _raw(base[name]))
+    found = wiki_dormant(tables, "2024-06-01")
+    for n in range(60_000):
+        user = 0 if n % 3 == 0 else n % 40
+        minute = (n * 7919) % (60 * 24 * 30)
+        day = datetime.fromtimestamp(minute * 60, timezone.utc).strftime("%Y-%m-%d")
+        days[(f"[~user{user}]", day)] = 1
+    assert Counter((row.mention, row.lastlogin) for row in found.collect()) == days
+
+
+def _raw(frame):
+    return frame.withColumnRenamed("is_active", "active")
+
+
+def test_exempt_group_with_a_third_of_all_memberships_is_split(spark):
+    accounts = spark.range(ROWS).select("id", F.concat(F.lit("u"), "id").alias("user_name"))
+    members = spark.range(ROWS).select(F.col("id").alias("child_id"), hot().alias("parent_id"))
+    groups = spark.range(ROWS).select(
+        "id", F.when(F.col("id") == 0, F.lit("never-deactivate")).otherwise("x").alias("group_name")
+    )
+    found = identity.exempt_accounts(accounts, members, groups)
+    assert len(found.collect()) == ROWS // 3
+    assert "SortMergeJoin(skew=true)" in plan_of(found)
+    assert identity.not_exempt(accounts, found).count() == ROWS - ROWS // 3
