@@ -7,6 +7,9 @@ to the account tables.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,37 +76,33 @@ def attribute_rejects(attributes: DataFrame) -> DataFrame:
     )
 
 
-def last_assignment(change_groups: DataFrame, change_items: DataFrame) -> DataFrame:
-    """Last time each user was made the assignee of an issue."""
+def assignments(change_groups: DataFrame, change_items: DataFrame) -> DataFrame:
+    """Every time a user was made the assignee of an issue."""
     assigned = change_items.filter(F.col("field") == ASSIGNEE_FIELD).select(
         "groupid", F.col("newvalue").alias("user_name")
     )
-    moments = change_groups.select(F.col("id").alias("groupid"), "created")
-    return (
-        assigned.join(moments, "groupid")
-        .groupBy("user_name")
-        .agg(F.max("created").alias("lastassign"))
-    )
+    moments = change_groups.select(F.col("id").alias("groupid"), F.col("created").alias("lastassign"))
+    return assigned.join(moments, "groupid").select("user_name", "lastassign")
 
 
-def last_watch(associations: DataFrame, key_map: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Last time an issue was put on each user's watch list, by whomever."""
-    watches = associations.filter(F.col("association_type") == WATCH_ASSOCIATION)
-    latest = _latest_by_lower_name(watches, "source_name", F.max("created"), key_map)
-    return _latest_by_user_name(latest, accounts, "lastwatch")
+def watches(associations: DataFrame, key_map: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Last time an issue was put on a watch list, by whomever, per account of its owner."""
+    watched = associations.filter(F.col("association_type") == WATCH_ASSOCIATION)
+    latest = _latest_by_key(watched, "source_name", F.max("created"), key_map)
+    return _of_accounts(latest, accounts).withColumnRenamed("latest", "lastwatch")
 
 
-def last_reactivation(audit: DataFrame, key_map: DataFrame) -> DataFrame:
-    """Day on which each account was last switched on again.
+def reactivations(audit: DataFrame, key_map: DataFrame) -> DataFrame:
+    """Day on which an account was last switched on again, per user key.
 
     ``user_name`` holds the lower-case name, which is what the result is joined by.
     """
-    reactivations = audit.filter(
+    switched_on = audit.filter(
         (F.col("primary_resource_type") == AUDIT_ACCOUNT_TYPE)
         & F.col("change_values").endswith(REACTIVATION_SUFFIX)
     )
-    latest = _latest_by_lower_name(
-        reactivations, "primary_resource_id", F.max("entity_timestamp"), key_map
+    latest = _latest_by_key(
+        switched_on, "primary_resource_id", F.max("entity_timestamp"), key_map
     )
     return latest.select(
         F.col("lower_user_name").alias("user_name"),
@@ -111,11 +110,27 @@ def last_reactivation(audit: DataFrame, key_map: DataFrame) -> DataFrame:
     )
 
 
+def last_assignment(change_groups: DataFrame, change_items: DataFrame) -> DataFrame:
+    """Last time each user was made the assignee of an issue."""
+    return _latest_by_name(assignments(change_groups, change_items), "lastassign")
+
+
+def last_watch(associations: DataFrame, key_map: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Last time an issue was put on each user's watch list, by whomever."""
+    return _latest_by_name(watches(associations, key_map, accounts), "lastwatch")
+
+
+def last_reactivation(audit: DataFrame, key_map: DataFrame) -> DataFrame:
+    """Day on which each account was last switched on again."""
+    return _latest_by_name(reactivations(audit, key_map), "lastreactivate")
+
+
 def wiki_last_edit(content: DataFrame, key_map: DataFrame, accounts: DataFrame) -> DataFrame:
     """Last page edit of each user among the given accounts."""
     names = key_map.withColumnRenamed("lower_username", "lower_user_name")
-    latest = _latest_by_lower_name(content, "lastmodifier", F.max("lastmoddate"), names)
-    return _latest_by_user_name(latest, accounts, "lastpagemoddate")
+    latest = _latest_by_key(content, "lastmodifier", F.max("lastmoddate"), names)
+    edits = _of_accounts(latest, accounts).withColumnRenamed("latest", "lastpagemoddate")
+    return _latest_by_name(edits, "lastpagemoddate")
 
 
 def assignee_count(issues: DataFrame) -> DataFrame:
@@ -127,22 +142,45 @@ def assignee_count(issues: DataFrame) -> DataFrame:
     )
 
 
-def _latest_by_lower_name(
-    events: DataFrame, key: str, latest: Column, key_map: DataFrame
-) -> DataFrame:
-    """Latest event per lower-case name; the map is joined once per key, not per event."""
-    per_key = events.groupBy(F.col(key).alias("user_key")).agg(latest.alias("latest"))
-    return (
-        per_key.join(key_map, "user_key")
-        .groupBy("lower_user_name")
-        .agg(F.max("latest").alias("latest"))
+def activity_by_name(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Last assignment, reactivation and watch, and the number of issues, per user name.
+
+    The four kinds are put under each other and reduced together, so that they
+    share one shuffle by name and are joined to the people as one table.
+    """
+    issues = tables["issue"].select(
+        F.col("assignee").alias("user_name"), F.lit(1).cast("bigint").alias("assigneecount")
+    )
+    kinds = [
+        assignments(tables["changegroup"], tables["changeitem"]),
+        reactivations(tables["audit"], tables["app_user"]),
+        watches(tables["userassociation"], tables["app_user"], tables["account"]),
+        issues,
+    ]
+    together = reduce(lambda one, two: one.unionByName(two, allowMissingColumns=True), kinds)
+    return together.groupBy("user_name").agg(
+        F.max("lastassign").alias("lastassign"),
+        F.max("lastreactivate").alias("lastreactivate"),
+        F.max("lastwatch").alias("lastwatch"),
+        F.sum("assigneecount").alias("assigneecount"),
     )
 
 
-def _latest_by_user_name(latest: DataFrame, accounts: DataFrame, column: str) -> DataFrame:
+def _latest_by_key(events: DataFrame, key: str, latest: Column, key_map: DataFrame) -> DataFrame:
+    """Latest event and lower-case name per user key; the map is joined per key, not per event."""
+    per_key = events.groupBy(F.col(key).alias("user_key")).agg(latest.alias("latest"))
+    return per_key.join(key_map, "user_key").select("lower_user_name", "latest")
+
+
+def _of_accounts(latest: DataFrame, accounts: DataFrame) -> DataFrame:
+    """The latest event of a lower-case name, for each account that has the name."""
+    per_name = latest.groupBy("lower_user_name").agg(F.max("latest").alias("latest"))
     return (
         accounts.select("user_name", "lower_user_name")
-        .join(latest, "lower_user_name")
-        .groupBy("user_name")
-        .agg(F.max("latest").alias(column))
+        .join(per_name, "lower_user_name")
+        .select("user_name", "latest")
     )
+
+
+def _latest_by_name(events: DataFrame, column: str) -> DataFrame:
+    return events.groupBy("user_name").agg(F.max(column).alias(column))

@@ -45,22 +45,12 @@ def dormant_accounts(
     exempt = identity.exempt_accounts(
         tables["account"], tables["membership"], tables["grp"], exempt_group
     )
-    assigned = activity.last_assignment(tables["changegroup"], tables["changeitem"])
-    reactivated = activity.last_reactivation(tables["audit"], tables["app_user"])
-    watched = activity.last_watch(
-        tables["userassociation"], tables["app_user"], tables["account"]
-    )
-    issues = activity.assignee_count(tables["issue"])
-
     people = canonical_eligible(tables).filter(F.col("created_date") < cut)
     people = (
         identity.not_exempt(people, exempt)
-        .join(assigned, "user_name", "left")
+        .join(activity.activity_by_name(tables), "user_name", "left")
         .filter(stale_or_never(F.col("lastassign"), cut))
-        .join(reactivated, "user_name", "left")
         .filter(stale_or_never(F.col("lastreactivate"), cut))
-        .join(watched, "user_name", "left")
-        .join(issues, "user_name", "left")
     )
     dormant = activity.account_activity(people, tables["attrs"], lenient).filter(
         stale_or_never(F.col("lastlogin"), cut) & stale_or_never(F.col("lastauth"), cut)

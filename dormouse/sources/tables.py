@@ -52,7 +52,7 @@ def conform(name: str, table: DataFrame, schema: T.StructType) -> DataFrame:
     for field in schema:
         source = renamed.get(field.name, field.name)
         if source in found:
-            columns.append(_column(F.col(source), field, found[source]))
+            columns.append(_column(source, field, found[source]))
         elif field.name == "lower_group_name" and "group_name" in found:
             columns.append(F.lower("group_name").alias(field.name))
         else:
@@ -62,12 +62,12 @@ def conform(name: str, table: DataFrame, schema: T.StructType) -> DataFrame:
     return table.select(*columns)
 
 
-def _column(column: Column, field: T.StructField, found: T.DataType) -> Column:
+def _column(source: str, field: T.StructField, found: T.DataType) -> Column | str:
     if field.name == "active":
-        return _flag(column, found).alias("is_active")
+        return _flag(F.col(source), found).alias("is_active")
     if found != field.dataType:
-        column = column.cast(field.dataType)
-    return column.alias(field.name)
+        return F.col(source).cast(field.dataType).alias(field.name)
+    return source if source == field.name else F.col(source).alias(field.name)
 
 
 def _flag(column: Column, found: T.DataType) -> Column:

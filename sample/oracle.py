@@ -60,10 +60,10 @@ _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
         """
         SELECT k + 1000000 * d AS child_id, lower(nm) AS lower_child_name, d AS directory_id,
                grp.id AS parent_id, group_name AS lower_parent_name
-        FROM placed JOIN grp
-          ON group_name = lower(seg) || '-users'
-          OR (grp.id = 6 AND k % 4 = 0)
-          OR (grp.id = 900 AND k % 19 = 0)
+        FROM (SELECT *, lower(seg) || '-users' AS held FROM placed
+              UNION ALL SELECT *, 'all-staff' FROM placed WHERE k % 4 = 0
+              UNION ALL SELECT *, 'never-deactivate' FROM placed WHERE k % 19 = 0)
+        JOIN grp ON group_name = held
         """,
     ),
     "globalperm": (
@@ -109,7 +109,9 @@ _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
                     WHEN l_returnflag = 'R' THEN 'assignee'
                     WHEN l_returnflag = 'A' THEN 'status'
                     ELSE 'priority' END AS field
-        FROM lineitem JOIN people ON k = l_partkey % (SELECT count(*) FROM customer)
+        FROM (SELECT lineitem.*, l_partkey % customers AS owner
+              FROM lineitem, (SELECT count(*) AS customers FROM customer))
+        JOIN people ON k = owner
         """,
     ),
     "key_name": (("people",), "SELECT ukey AS user_key, lower(nm) AS lower_user_name FROM people"),

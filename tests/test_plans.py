@@ -62,11 +62,15 @@ def test_filters_reach_the_scans(dormant_plan):
 
 def test_people_are_shuffled_once_for_all_joins_by_name(dormant_plan):
     # The choice of the account brings the people by name; beyond that there is
-    # one exchange per activity and one for the exempt names, all aggregated.
+    # one exchange for all activity together and one for the exempt names.
     lines = dormant_plan.splitlines()
     by_name = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(user_name#" in line]
     below = [re.sub(r"^[\s:+*()0-9-]*", "", lines[i + 1]).split()[0].split("(")[0] for i in by_name]
-    assert sorted(below) == ["HashAggregate"] * 3 + ["WindowGroupLimit"]
+    assert sorted(below) == ["HashAggregate"] * 2 + ["WindowGroupLimit"]
+
+
+def test_kinds_of_activity_are_joined_as_one_table(dormant_plan):
+    assert dormant_plan.count("LeftOuter") == 2  # activity by name, attributes by id
 
 
 def test_age_filter_stays_above_the_choice(dormant_plan):
