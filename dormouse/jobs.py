@@ -43,13 +43,14 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--email-suffix", help="addresses that are never deactivated")
     parser.add_argument("--as-of", help="ISO date and time; now by default")
     parser.add_argument("--shuffle-bytes", type=int, help="size of the largest shuffle")
+    parser.add_argument("--input-bytes", type=int, help="size of the largest table")
     parser.add_argument("--apply", action="store_true", help="also write the account table")
     options = parser.parse_args(arguments)
     if options.rule == "activity" and not options.email_suffix:
         parser.error("the activity rule needs --email-suffix")
 
     spark = SparkSession.builder.appName("account dormancy").getOrCreate()
-    apply_settings(spark, options.shuffle_bytes)
+    apply_settings(spark, options.shuffle_bytes, options.input_bytes)
     if options.parquet:
         tables = from_parquet(spark, options.parquet, TRACKER)
     else:

@@ -19,18 +19,31 @@ SETTINGS = {
 # Shuffle data one task should get; more spills, less drowns in task overhead.
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
 
+# File data one task reads: the default, raised for tables that would otherwise
+# be cut into more tasks than a driver handles well, within what a task can take.
+SCAN_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_SCAN_PARTITION_BYTES = 1024 * 1024 * 1024
+MAX_SCAN_TASKS = 100_000
 
-def apply_settings(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+
+def apply_settings(
+    spark: SparkSession, shuffle_bytes: int | None = None, input_bytes: int | None = None
+) -> SparkSession:
     """Put the settings on a running session.
 
     ``shuffle_bytes`` is the size of the largest shuffle expected, which is
     about that of the used columns of the largest table after its filter. The
     number of shuffle partitions follows from it, and adaptive execution merges
-    what turns out smaller.
+    what turns out smaller. ``input_bytes`` is the size of the largest table
+    and sets how much of it one task reads.
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     if shuffle_bytes is not None:
         partitions = max(1, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
         spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    if input_bytes is not None:
+        split = max(SCAN_PARTITION_BYTES, -(-input_bytes // MAX_SCAN_TASKS))
+        split = min(split, MAX_SCAN_PARTITION_BYTES)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
     return spark

@@ -1,20 +1,8 @@
-"""Writing results, and staging large tables so that their joins need no shuffle."""
+"""Writing results."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
-from pyspark.sql import DataFrame, SparkSession
-
-# Tables worth bucketing and the columns they are joined or grouped by.
-BUCKET_KEYS = {
-    "changegroup": "id",
-    "changeitem": "groupid",
-    "userassociation": "source_name",
-    "audit": "primary_resource_id",
-    "issue": "assignee",
-    "content": "lastmodifier",
-}
+from pyspark.sql import DataFrame
 
 
 def write_table(table: DataFrame, path: str) -> DataFrame:
@@ -25,26 +13,3 @@ def write_table(table: DataFrame, path: str) -> DataFrame:
     """
     table.write.mode("errorifexists").parquet(path)
     return table.sparkSession.read.parquet(path)
-
-
-def stage_bucketed(
-    spark: SparkSession,
-    tables: Mapping[str, DataFrame],
-    database: str,
-    buckets: int,
-) -> None:
-    """Save the event tables bucketed by key, for databases queried again and again.
-
-    The join of change groups and items and the per-key reductions then read
-    their buckets in place. All tables get the same number of buckets, as a
-    join of unequal ones would shuffle one side.
-    """
-    for name, key in BUCKET_KEYS.items():
-        if name in tables:
-            (
-                tables[name]
-                .repartition(buckets, key)
-                .write.bucketBy(buckets, key)
-                .format("parquet")
-                .saveAsTable(f"{database}.{name}")
-            )

@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from dormouse.functions.time import instant, months_before
+from dormouse.session import apply_settings
 from dormouse.sources.schemas import SOURCE_NAMES, TRACKER, WIKI
 from dormouse.sources.tables import Split, Tables, conform, from_catalog, from_jdbc, from_parquet
-from dormouse.sources.writers import stage_bucketed, write_table
+from dormouse.sources.writers import write_table
 from sample.tables import DERIVATIONS, Sample
 from tests.conftest import SMALL
 
@@ -126,19 +127,15 @@ def test_writing_does_not_replace(spark, tmp_path):
         write_table(spark.range(3), path)
 
 
-def test_bucketed_tables_join_and_group_without_a_shuffle(spark, settings, tracker_files):
-    from dormouse.operators.activity import assignee_count, last_assignment
-    from tests.test_plans import plan_of
-
-    settings(spark__sql__autoBroadcastJoinThreshold="-1")
-    spark.sql("CREATE DATABASE IF NOT EXISTS staged")
-    stage_bucketed(spark, tracker_files, "staged", 4)
-    staged = from_catalog(spark, "staged", TRACKER, {name: name for name in TRACKER})
-    joined = last_assignment(staged["changegroup"], staged["changeitem"])
-    assert plan_of(joined).count("Exchange") == 1  # by user name, after the join
-    assert "Exchange" not in plan_of(assignee_count(staged["issue"]))
-    expected = last_assignment(tracker_files["changegroup"], tracker_files["changeitem"])
-    assert sorted(joined.collect()) == sorted(expected.collect())
+def test_partition_sizes_follow_the_data(spark, settings):
+    settings(spark__sql__shuffle__partitions="8", spark__sql__files__maxPartitionBytes="128MB")
+    gib, tib = 1024**3, 1024**4
+    apply_settings(spark, shuffle_bytes=10 * tib, input_bytes=100 * tib)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == str(40 * 1024)
+    assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) == 1 * gib
+    apply_settings(spark, shuffle_bytes=1, input_bytes=gib)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "1"
+    assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) == gib // 8
 
 
 def test_instants(spark):
