@@ -1,6 +1,7 @@
 """Times every query at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]`` and prints one JSON line.
 
-Each time is the median of warm runs, from building the query to its last row.
+Every query runs once to warm up; each time is then the median of its runs,
+from building the query to its last row.
 """
 
 from __future__ import annotations
@@ -36,15 +37,19 @@ def main() -> None:
         .appName("bench")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", CPUS)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    times = {}
-    for name in ONLY or QUERIES:
+    names = ONLY or list(QUERIES)
+    for name in names:
         seconds(spark, name)
-        times[name] = round(statistics.median(seconds(spark, name) for _ in range(RUNS)), 4)
+    times = {
+        name: round(statistics.median(seconds(spark, name) for _ in range(RUNS)), 4)
+        for name in names
+    }
     scale = re.search(r"sf([0-9.]+)", SF_DIR)
     print(
         json.dumps(

@@ -54,16 +54,15 @@ def account_activity(accounts: DataFrame, attributes: DataFrame, lenient: bool =
     ``attribute_rejects`` counts such values.
     """
     stats = login_stats(attributes).withColumnRenamed("user_id", "id")
-    joined = accounts.join(stats, ["id", "directory_id"], "left")
-    for column in _LOGIN_COLUMNS:
-        if not lenient:
-            error = F.raise_error(
-                F.format_string(f"{column} of account %d is not a number", F.col("id"))
-            )
-            rejected = F.col(f"{column}_rejects") > 0
-            joined = joined.withColumn(column, F.when(rejected, error).otherwise(F.col(column)))
-        joined = joined.drop(f"{column}_rejects")
-    return joined
+    columns = [
+        F.col(column) if lenient else _checked(column).alias(column) for column in _LOGIN_COLUMNS
+    ]
+    return accounts.join(stats, ["id", "directory_id"], "left").select(*accounts.columns, *columns)
+
+
+def _checked(column: str) -> Column:
+    message = F.format_string(f"{column} of account %d is not a number", F.col("id"))
+    return F.when(F.col(f"{column}_rejects") > 0, F.raise_error(message)).otherwise(F.col(column))
 
 
 def attribute_rejects(attributes: DataFrame) -> DataFrame:

@@ -32,16 +32,18 @@ def deactivation_plan(
     condition on the resolved account under which it applies; all errors of an
     account are listed.
     """
-    resolved = identity.canonical_account(
-        identity.in_active_directory(accounts, directories)
-    ).withColumnRenamed("id", "account_id")
+    resolved = identity.canonical_account(identity.in_active_directory(accounts, directories))
     errors = {"directory is read-only": ~F.col("directory_id").isin(*writable_directories)}
     errors.update(checks or {})
     failures = F.concat_ws(",", *[F.when(failed, F.lit(text)) for text, failed in errors.items()])
     row = row_text([name for name in names.columns if name != "user_name"])
 
     resolved = resolved.select(
-        "user_name", "account_id", "directory_id", "is_active", failures.alias("failures")
+        "user_name",
+        F.col("id").alias("account_id"),
+        "directory_id",
+        "is_active",
+        failures.alias("failures"),
     )
     asked = names.select("user_name", row.alias("row"))
     status = (

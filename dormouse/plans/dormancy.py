@@ -49,8 +49,9 @@ def dormant_accounts(
     people = (
         identity.not_exempt(people, exempt)
         .join(activity.activity_by_name(tables), "user_name", "left")
-        .filter(stale_or_never(F.col("lastassign"), cut))
-        .filter(stale_or_never(F.col("lastreactivate"), cut))
+        .filter(
+            stale_or_never(F.col("lastassign"), cut) & stale_or_never(F.col("lastreactivate"), cut)
+        )
     )
     dormant = activity.account_activity(people, tables["attrs"], lenient).filter(
         stale_or_never(F.col("lastlogin"), cut) & stale_or_never(F.col("lastauth"), cut)
