@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from dormouse.operators import activity, identity
+from dormouse.plans.login_rule import login_rule_verdicts
 from dormouse.plans.wiki import wiki_dormant
-from dormouse.sources.schemas import WIKI
+from dormouse.sources.schemas import TRACKER, WIKI
 from dormouse.sources.tables import Tables
 from tests.build import utc, wiki, wiki_account
 from tests.test_plans import plan_of
@@ -144,3 +145,43 @@ def test_exempt_group_with_a_third_of_all_memberships_is_split(spark):
     assert len(found.collect()) == ROWS // 3
     assert "SortMergeJoin(skew=true)" in plan_of(found)
     assert identity.not_exempt(accounts, found).count() == ROWS - ROWS // 3
+
+
+def test_directory_with_a_third_of_all_accounts_is_split(spark):
+    accounts = spark.range(ROWS).select("id", hot().alias("directory_id"))
+    directories = spark.range(ROWS).select(
+        "id",
+        (F.col("id") >= 0).alias("is_active"),
+        F.col("id").cast("int").alias("directory_position"),
+    )
+    found = identity.in_active_directory(accounts, directories)
+    assert len(found.collect()) == ROWS
+    assert "SortMergeJoin(skew=true)" in plan_of(found)
+
+
+def test_names_that_resolve_to_no_account_are_split(spark):
+    # All accounts are in an inactive directory, so every login key is NULL.
+    accounts = spark.range(ROWS).select(
+        "id",
+        F.lit(1).cast("bigint").alias("directory_id"),
+        F.concat(F.lit("u"), "id").alias("user_name"),
+        F.lower(F.lit("u")).alias("lower_user_name"),
+        F.lit(None).cast("string").alias("email_address"),
+        F.lit(None).cast("string").alias("display_name"),
+        F.lit(1).alias("active"),
+        F.timestamp_seconds("id").alias("created_date"),
+    )
+    directories = spark.range(1, 3).select(
+        "id", (F.col("id") - 1).cast("int").alias("active"), F.lit(0).alias("directory_position")
+    )
+    attributes = spark.range(ROWS).select(
+        F.col("id").alias("user_id"),
+        F.lit(1).cast("bigint").alias("directory_id"),
+        F.lit("login.lastLoginMillis").alias("attribute_name"),
+        F.lit("5").alias("attribute_value"),
+    )
+    given = {"account": accounts, "directory": directories, "attrs": attributes}
+    found = login_rule_verdicts(Tables(TRACKER, given.__getitem__), "2024-06-01")
+    found = found.select("reason", "is_dormant")
+    assert Counter(map(tuple, found.collect())) == {("never_logged_in", True): ROWS}
+    assert "SortMergeJoin(skew=true) [user_id" in plan_of(found)
