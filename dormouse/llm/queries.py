@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dormouse.llm import quality, sharding
+from dormouse.llm import decontamination, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,9 +59,25 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    benchmark = _table(spark, sf_dir, "benchmark")
+    rows = decontamination.marked(documents, "text", benchmark, "item_id", "text", "found")
+    hits = decontamination.hit_count("found")
+    return rows.select(
+        "doc_id",
+        "found.n_words",
+        hits.alias("n_hit"),
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"),
+        (hits > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op5_sharding": op5_sharding,
+    "op8_decontamination": op8_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -22,6 +22,23 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def named(df: DataFrame) -> str:
+    """The columns as a schema string, for operators that pass them through Python."""
+    return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or the name with as many underscores as make it new to the table."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
