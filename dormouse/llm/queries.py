@@ -5,14 +5,16 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dormouse.llm import decontamination, quality, sharding
+from dormouse.llm import bytebpe, decontamination, quality, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 40
+RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,10 +76,16 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return bytebpe.digests(documents, "doc_id", "text", public_tokenizers.path(RANK_FILE))
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op5_sharding": op5_sharding,
     "op8_decontamination": op8_decontamination,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
