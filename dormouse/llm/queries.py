@@ -6,10 +6,10 @@ import os
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dormouse.llm import bytebpe, decontamination, quality, sharding
+from dormouse.llm import bytebpe, decontamination, quality, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,8 +81,33 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(documents, "doc_id", "text", public_tokenizers.path(RANK_FILE))
 
 
+def held_out(key: str, parts: int) -> Column:
+    """Rows that nothing is learnt from; a null key counts as an empty text."""
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.crc32(text.cast("binary")) % parts == 2
+
+
+def toxicity_model(documents: DataFrame, labels: DataFrame) -> toxicity.Model:
+    learnt = labels.where(~held_out("doc_id", 4))
+    return toxicity.train(documents, "doc_id", "text", learnt, "doc_id", "toxic")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_model(documents, _table(spark, sf_dir, "labels"))
+    rows = toxicity.scored(documents, "text", model, "found")
+    return rows.select(
+        "doc_id",
+        held_out("doc_id", 4).alias("held_out"),
+        F.col("found.score").alias("score"),
+        (F.col("found.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.size("found.spans").cast("long").alias("n_toxic_sentences"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
+    "op4_toxicity": op4_toxicity,
     "op5_sharding": op5_sharding,
     "op8_decontamination": op8_decontamination,
     "op9_byte_bpe": op9_byte_bpe,

@@ -3,23 +3,26 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """The same rows, computed once and written to the cluster's shared folder.
+    """The same rows, computed once and written as Parquet below the cluster's shared folder.
 
-    The folder is ``spark.checkpoint.dir``. Only a session that names none, as in tests on one
-    machine, gets one of its own.
+    The folder is ``spark.checkpoint.dir``, whose owner clears it as for checkpoints. Only a session
+    that names none, as in tests on one machine, gets one of its own.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint()
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = tempfile.mkdtemp(prefix="checkpoints-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    path = f"{shared.rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def quoted(name: str) -> str:
