@@ -20,16 +20,16 @@ from dormouse.llm.bytetext import LETTERS, Texts, byte_set, slices
 from dormouse.llm.spread import named, quoted
 
 SENTENCE = ~byte_set((0x0A, 0x0A), (0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
-FEATURES = 1 << 18
 # A word counts as itself and by its first bytes, if it has more.
 BEGINNINGS = (4, 6)
 THRESHOLD = 0.3
 
 # The model is fitted to at most so many labelled documents of each kind.
 MAX_TOXIC, MAX_CLEAN = 2000, 4000
-EPOCHS, RATE, DECAY = 60, 0.5, 2e-5
+EPOCHS, RATE, PENALTY, FIRST_BIAS = 100, 0.5, 3e-4, -8.0
 # A feature needs so many documents of the sample.
-MIN_DOCUMENTS = 4
+MIN_DOCUMENTS = 3
+_COUNTED = 1 << 22
 
 
 @dataclass
@@ -53,8 +53,13 @@ def bag(texts: Texts) -> Bag:
         found = texts.hashes(starts[longer], starts[longer] + size, lower=True)
         hashes.append(found ^ np.uint64(kind))
         sentences.append(sentence[longer])
-    feature = (np.concatenate(hashes) >> np.uint64(20)) % np.uint64(FEATURES)
-    return Bag(begins, ends, texts.of_positions(begins), feature.astype(np.int64), np.concatenate(sentences))
+    # A feature counts once in a sentence, however often it stands there.
+    feature, sentence = np.concatenate(hashes), np.concatenate(sentences)
+    order = np.lexsort((feature, sentence))
+    feature, sentence = feature[order], sentence[order]
+    new = np.ones(len(feature), bool)
+    new[1:] = (feature[1:] != feature[:-1]) | (sentence[1:] != sentence[:-1])
+    return Bag(begins, ends, texts.of_positions(begins), feature[new], sentence[new])
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -63,46 +68,89 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
+    """Weights of the features that have one; ``features`` are their hashes in order."""
+
+    features: np.ndarray
     weights: np.ndarray
     bias: float
 
     def sentence_logits(self, own: Bag) -> np.ndarray:
-        return self.bias + np.bincount(own.sentence, self.weights[own.feature], len(own.begins))
+        if not len(self.features):
+            return np.full(len(own.begins), self.bias)
+        at = np.minimum(np.searchsorted(self.features, own.feature), len(self.features) - 1)
+        known = np.flatnonzero(self.features[at] == own.feature)
+        added = np.bincount(own.sentence[known], self.weights[at[known]], len(own.begins))
+        return self.bias + added
 
     def score(self, own: Bag, count: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of each text the noisy-or, and of each sentence its own probability. No sentence: 0."""
+        """Of each text the noisy-or, and of each sentence its own probability. No sentence: 0.
+
+        What a sentence without any known feature would get is taken off, or else thousands of
+        harmless sentences would add up.
+        """
         z = self.sentence_logits(own)
-        none = np.bincount(own.owner, np.logaddexp(0, z), count)
-        return -np.expm1(-none), _sigmoid(z)
-
-
-def fit(texts: Texts, toxic: np.ndarray) -> Model:
-    """Full-batch gradient steps, each scaled by the gradients so far, on the noisy-or likelihood."""
-    own = bag(texts)
-    document = own.owner[own.sentence]
-    pairs = np.unique(document * FEATURES + own.feature) % FEATURES
-    used = np.bincount(pairs, minlength=FEATURES) >= MIN_DOCUMENTS
-    keep = used[own.feature]
-    feature, sentence = own.feature[keep], own.sentence[keep]
-    count = max(1, len(texts))
-    weights, bias = np.zeros(FEATURES), -6.0
-    seen, seen_bias = np.full(FEATURES, 1e-8), 1e-8
+        none = np.maximum(0, np.logaddexp(0, z) - np.logaddexp(0, self.bias))
+        return -np.expm1(-np.bincount(own.owner, none, count)), -np.expm1(-none)
+
+
+def _features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts of sentences; then of each occurrence of a feature its sentence and number; the features.
+
+    Only features of enough texts stay. A table of counts by hash leaves most others out early.
+    """
+    bags = []
+    seen = np.zeros(_COUNTED, np.int32)
+    sentences = 0
+    for part in slices(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["t"]), "t"):
+        own = bag(Texts.of(part.column(0)))
+        document = own.owner[own.sentence].astype(np.uint64)
+        pairs = np.unique(document << np.uint64(40) | own.feature % np.uint64(_COUNTED))
+        seen += np.bincount((pairs & np.uint64(_COUNTED - 1)).astype(np.int64), minlength=_COUNTED)
+        first = bags[-1][3] if bags else 0
+        bags.append((own.owner + first, own.sentence + sentences, own.feature, first + part.num_rows))
+        sentences += len(own.begins)
+    if not bags:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    owner = np.concatenate([b[0] for b in bags])
+    often = [seen[(b[2] % np.uint64(_COUNTED)).astype(np.int64)] >= MIN_DOCUMENTS for b in bags]
+    sentence = np.concatenate([b[1][o] for b, o in zip(bags, often)])
+    features, number = np.unique(np.concatenate([b[2][o] for b, o in zip(bags, often)]), return_inverse=True)
+    pairs = np.unique(owner[sentence] * len(features) + number) % max(1, len(features))
+    used = np.bincount(pairs, minlength=len(features)) >= MIN_DOCUMENTS
+    keep = used[number]
+    return owner, sentence[keep], features[used], (np.cumsum(used) - 1)[number[keep]]
+
+
+def fit(texts: list[str], toxic: np.ndarray, clean_weight: float = 1.0) -> Model:
+    """Full-batch steps on the noisy-or likelihood, each scaled by the gradients so far.
+
+    ``clean_weight`` makes up for clean documents left out of the sample. A penalty on the sizes of
+    the weights takes those of features that say little to 0.
+    """
+    owner, sentence, features, number = _features(texts)
+    count = len(toxic)
+    weight = np.where(toxic > 0, 1.0, clean_weight)
+    total = max(1.0, weight.sum())
+    weights, bias = np.zeros(len(features)), FIRST_BIAS
+    seen, seen_bias = np.full(len(features), 1e-8), 1e-8
     for _ in range(EPOCHS):
-        z = bias + np.bincount(sentence, weights[feature], len(own.begins))
+        z = bias + np.bincount(sentence, weights[number], len(owner))
         p = _sigmoid(z)
-        none = np.bincount(own.owner, np.logaddexp(0, z), len(texts))
+        none = np.bincount(owner, np.logaddexp(0, z), count)
         some = np.maximum(-np.expm1(-none), 1e-9)
         # d(-log likelihood)/dz: p for clean documents, -p (1 - some) / some for toxic ones
-        share = np.where(toxic > 0, -np.exp(-none) / some, 1.0)[own.owner]
-        by_sentence = p * share
-        gradient = np.bincount(feature, by_sentence[sentence], FEATURES) / count + DECAY * weights
-        slope = float(by_sentence.sum()) / count
+        share = np.where(toxic > 0, -np.exp(-none) / some, 1.0) * weight
+        by_sentence = p * share[owner]
+        gradient = np.bincount(number, by_sentence[sentence], len(features)) / total
+        slope = float(by_sentence.sum()) / total
         seen += gradient**2
         seen_bias += slope**2
-        weights -= RATE * gradient / np.sqrt(seen)
+        step = RATE / np.sqrt(seen)
+        weights -= step * gradient
+        weights = np.sign(weights) * np.maximum(0, np.abs(weights) - step * PENALTY)
         bias -= RATE * slope / seen_bias**0.5
-    weights[~used] = 0
-    return Model(weights.astype(np.float32), bias)
+    some = weights != 0
+    return Model(features[some], weights[some], bias)
 
 
 def train(
@@ -131,7 +179,11 @@ def train(
     # One text for each of the chosen keys, so the driver gets no more rows than the bounds say.
     sample = texts.join(F.broadcast(ids), "k").groupBy("k", "y").agg(F.min("t").alias("t"))
     rows = sample.orderBy("k").select("y", "t").collect()
-    return fit(Texts.of(pa.array([r.t for r in rows], pa.string())), np.array([r.y for r in rows]))
+    toxic = np.array([r.y for r in rows], np.int64)
+    found = {r.y: r.n for r in own.groupBy("y").agg(F.count("k").alias("n")).collect()}
+    taken = np.maximum(1, np.bincount(toxic, minlength=2))
+    weight = (found.get(0, 0) / taken[0]) / max(1.0, found.get(1, 0) / taken[1])
+    return fit([r.t for r in rows], toxic, weight or 1.0)
 
 
 def scored(documents: DataFrame, text: str, model: Model, result: str, threshold: float = THRESHOLD) -> DataFrame:
