@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dormouse.llm import bytebpe, decontamination, quality, sharding, toxicity
+from dormouse.llm import bytebpe, decontamination, licenses, quality, secrets, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +81,41 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytebpe.digests(documents, "doc_id", "text", public_tokenizers.path(RANK_FILE))
 
 
+def _spans(spans: Column) -> Column:
+    text = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"]))
+    return F.array_join(text, ",")
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = secrets.scanned(documents, "text", "found")
+    base = F.filter("found", lambda s: s["kind"] != "guess")
+    return rows.select(
+        "doc_id",
+        *(
+            F.expr(f"size(filter(found, s -> s.kind = '{kind}'))").cast("long").alias(f"n_{kind}")
+            for kind in secrets.KINDS
+        ),
+        F.sha2(_spans(base), 256).alias("base_sha256"),
+        _spans(F.col("found")).alias("spans"),
+    )
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = licenses.scanned(documents, "text", "found")
+    names = F.array_sort(F.array_distinct(F.transform("found", lambda s: s["license"])))
+    spans = F.transform(
+        "found", lambda s: F.concat_ws(":", s["license"], s["begin"], s["end"], s["matched"], s["words"])
+    )
+    return rows.select(
+        "doc_id",
+        F.size("found").cast("long").alias("n_matches"),
+        F.array_join(names, ",").alias("licenses"),
+        F.array_join(spans, ",").alias("spans"),
+    )
+
+
 def held_out(key: str, parts: int) -> Column:
     """Rows that nothing is learnt from; a null key counts as an empty text."""
     text = F.coalesce(F.col(key).cast("string"), F.lit(""))
@@ -107,8 +142,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_secrets": op3_secrets,
     "op4_toxicity": op4_toxicity,
     "op5_sharding": op5_sharding,
+    "op6_licenses": op6_licenses,
     "op8_decontamination": op8_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
 }
