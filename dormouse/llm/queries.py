@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dormouse.llm import bytebpe, decontamination, licenses, quality, secrets, sharding, toxicity
+from dormouse.llm import bytebpe, decontamination, licenses, linededup, quality, secrets, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,6 +116,19 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = linededup.deduplicated(documents, "text", "doc_id", "runs")
+    size = F.aggregate("runs", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["begin"])
+    spans = F.transform("runs", lambda s: F.concat_ws(":", s["begin"], s["end"]))
+    return rows.select(
+        "doc_id",
+        size.alias("n_removed_lines"),
+        F.array_join(spans, ",").alias("removed_runs"),
+        "text",
+    )
+
+
 def held_out(key: str, parts: int) -> Column:
     """Rows that nothing is learnt from; a null key counts as an empty text."""
     text = F.coalesce(F.col(key).cast("string"), F.lit(""))
@@ -146,6 +159,7 @@ QUERIES: dict[str, Query] = {
     "op4_toxicity": op4_toxicity,
     "op5_sharding": op5_sharding,
     "op6_licenses": op6_licenses,
+    "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
 }
