@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dormouse.llm import bytebpe, decontamination, licenses, linededup, quality, secrets, sharding, toxicity
+from dormouse.llm import bytebpe, decontamination, jaccard, licenses, linededup, quality, secrets, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -153,6 +153,17 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    rows = jaccard.similar(documents, "text", "doc_id")
+    return rows.select(
+        F.col("key").alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        F.col("component").alias("component_id"),
+        F.col("c").alias("class_id"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_secrets": op3_secrets,
@@ -162,6 +173,7 @@ QUERIES: dict[str, Query] = {
     "op7_line_dedup": op7_line_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE_SQL: dict[str, str] = {}
