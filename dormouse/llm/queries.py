@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dormouse.llm import bytebpe, decontamination, jaccard, licenses, linededup, quality, secrets, sharding, toxicity
+from dormouse.llm import bytebpe, decontamination, jaccard, licenses, linededup, lm, quality, secrets, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(key: str, parts: int) -> Column:
+    """Rows that nothing is learnt from; a null key counts as an empty text."""
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.crc32(text.cast("binary")) % parts == 2
+
+
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    learnt = documents.where(~held_out("doc_id", 7))
+    counts = lm.word_counts(learnt, "text")
+    vocabulary = lm.Vocabulary.of(counts)
+    model = lm.fit(learnt, "text", "doc_id", vocabulary)
+    rows = lm.scored(documents, "text", "doc_id", counts, vocabulary, model)
+    return rows.select(
+        F.col("key").alias("doc_id"),
+        held_out("key", 7).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(vocabulary.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     rows = quality.document_measures(documents, "text", ["doc_id", "source"])
@@ -129,12 +153,6 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def held_out(key: str, parts: int) -> Column:
-    """Rows that nothing is learnt from; a null key counts as an empty text."""
-    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    return F.crc32(text.cast("binary")) % parts == 2
-
-
 def toxicity_model(documents: DataFrame, labels: DataFrame) -> toxicity.Model:
     learnt = labels.where(~held_out("doc_id", 4))
     return toxicity.train(documents, "doc_id", "text", learnt, "doc_id", "toxic")
@@ -165,6 +183,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_quality_rules": op2_quality_rules,
     "op3_secrets": op3_secrets,
     "op4_toxicity": op4_toxicity,
