@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from dormouse.llm.bytetext import NOT_BLANK, Texts, mixed, slices, windows
 from dormouse.llm.components import components
-from dormouse.llm.spread import kept, partitions
+from dormouse.llm.spread import free_name, kept, partitions
 
 SHINGLE_WORDS = 5
 PERCENT = 75
@@ -435,8 +435,9 @@ def _compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def similar(documents: DataFrame, text: str, key: str, percent: int = PERCENT) -> DataFrame:
-    """For every row ``key``, ``n`` (distinct n-grams), class ``c`` and ``component``.
+    """For every row ``key``, ``row``, ``n`` (distinct n-grams), class ``c``, ``group`` and ``component``.
 
+    Rows of linked documents have one ``group``. ``row`` is from ``monotonically_increasing_id``.
     ``component`` is the smallest key reachable over links between documents with a Jaccard
     similarity of ``percent`` / 100 or more, its own included. A document without words, or with a
     null text, has no n-grams and is linked with nothing, other such documents included. Null keys
@@ -472,5 +473,25 @@ def similar(documents: DataFrame, text: str, key: str, percent: int = PERCENT) -
     grouped = grouped.select("key", "row", "n", "c", F.coalesce("component", "c").alias("group"))
     least = grouped.where("n > 0").groupBy("group").agg(F.min("key").alias("least"))
     return grouped.join(least, "group", "left").select(
-        "key", "row", "n", "c", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("key")).alias("component")
+        "key",
+        "row",
+        "n",
+        "c",
+        "group",
+        F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("key")).alias("component"),
     )
+
+
+def one_of_each(documents: DataFrame, text: str, key: str, percent: int = PERCENT) -> DataFrame:
+    """The documents without those that are linked, directly or not, with one of a smaller key.
+
+    Of each group the row with the smallest key stays, of repeated keys the one read first, and all
+    documents without words. Columns and texts stay as they are.
+    """
+    found = kept(similar(documents, text, key, percent))
+    heads = found.where((F.col("n") > 0) & F.col("key").eqNullSafe(F.col("component")))
+    first = heads.groupBy("group").agg(F.min("row").alias("row")).select("row")
+    stay = first.unionByName(found.where("n = 0").select("row"))
+    row = free_name(documents, "_row")
+    numbered = documents.withColumn(row, F.monotonically_increasing_id())
+    return numbered.join(stay.withColumnRenamed("row", row), row, "left_semi").select(*documents.columns)

@@ -26,6 +26,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents")
+
+
 def held_out(key: str, parts: int) -> Column:
     """Rows that nothing is learnt from; a null key counts as an empty text."""
     text = F.coalesce(F.col(key).cast("string"), F.lit(""))
