@@ -93,35 +93,38 @@ class Model:
         return -np.expm1(-np.bincount(own.owner, none, count)), -np.expm1(-none)
 
 
-def _features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _features(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Texts of sentences; then of each occurrence of a feature its sentence and number; the features.
 
     Only features of enough texts stay. A table of counts by hash leaves most others out early.
     """
-    bags = []
+    rows = pa.Table.from_arrays([texts], names=["t"])
+    parts = [part for batch in rows.to_batches() for part in slices(batch, "t")]
     seen = np.zeros(_COUNTED, np.int32)
-    sentences = 0
-    for part in slices(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["t"]), "t"):
+    for part in parts:
         own = bag(Texts.of(part.column(0)))
         document = own.owner[own.sentence].astype(np.uint64)
         pairs = np.unique(document << np.uint64(40) | own.feature % np.uint64(_COUNTED))
-        seen += np.bincount((pairs & np.uint64(_COUNTED - 1)).astype(np.int64), minlength=_COUNTED)
-        first = bags[-1][3] if bags else 0
-        bags.append((own.owner + first, own.sentence + sentences, own.feature, first + part.num_rows))
-        sentences += len(own.begins)
-    if not bags:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    owner = np.concatenate([b[0] for b in bags])
-    often = [seen[(b[2] % np.uint64(_COUNTED)).astype(np.int64)] >= MIN_DOCUMENTS for b in bags]
-    sentence = np.concatenate([b[1][o] for b, o in zip(bags, often)])
-    features, number = np.unique(np.concatenate([b[2][o] for b, o in zip(bags, often)]), return_inverse=True)
+        np.add.at(seen, (pairs & np.uint64(_COUNTED - 1)).astype(np.int64), 1)
+    owners, sentences, features = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    first_text, first_sentence = 0, 0
+    for part in parts:
+        own = bag(Texts.of(part.column(0)))
+        often = seen[(own.feature % np.uint64(_COUNTED)).astype(np.int64)] >= MIN_DOCUMENTS
+        owners.append(own.owner + first_text)
+        sentences.append(own.sentence[often] + first_sentence)
+        features.append(own.feature[often])
+        first_text += part.num_rows
+        first_sentence += len(own.begins)
+    owner, sentence = np.concatenate(owners), np.concatenate(sentences)
+    features, number = np.unique(np.concatenate(features), return_inverse=True)
     pairs = np.unique(owner[sentence] * len(features) + number) % max(1, len(features))
     used = np.bincount(pairs, minlength=len(features)) >= MIN_DOCUMENTS
     keep = used[number]
     return owner, sentence[keep], features[used], (np.cumsum(used) - 1)[number[keep]]
 
 
-def fit(texts: list[str], toxic: np.ndarray, clean_weight: float = 1.0) -> Model:
+def fit(texts: pa.ChunkedArray, toxic: np.ndarray, clean_weight: float = 1.0) -> Model:
     """Full-batch steps on the noisy-or likelihood, each scaled by the gradients so far.
 
     ``clean_weight`` makes up for clean documents left out of the sample. A penalty on the sizes of
@@ -176,14 +179,32 @@ def train(
     ]
     ids = chosen[0].unionByName(chosen[1])
     texts = documents.select(F.col(key).alias("k"), F.coalesce(text, F.lit("")).alias("t"))
-    # One text for each of the chosen keys, so the driver gets no more rows than the bounds say.
+    # One text for each of the chosen keys, so the task that fits gets no more rows than the bounds say.
     sample = texts.join(F.broadcast(ids), "k").groupBy("k", "y").agg(F.min("t").alias("t"))
-    rows = sample.orderBy("k").select("y", "t").collect()
-    toxic = np.array([r.y for r in rows], np.int64)
-    found = {r.y: r.n for r in own.groupBy("y").agg(F.count("k").alias("n")).collect()}
-    taken = np.maximum(1, np.bincount(toxic, minlength=2))
-    weight = (found.get(0, 0) / taken[0]) / max(1.0, found.get(1, 0) / taken[1])
-    return fit([r.t for r in rows], toxic, weight or 1.0)
+    there = {r.y: r.n for r in own.groupBy("y").agg(F.count("k").alias("n")).collect()}
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(batches, pa.schema([("y", pa.int32()), ("t", pa.string())]))
+        toxic = rows["y"].to_numpy().astype(np.int64)
+        taken = np.maximum(1, np.bincount(toxic, minlength=2))
+        weight = (there.get(0, 0) / taken[0]) / max(1.0, there.get(1, 0) / taken[1])
+        model = fit(rows["t"], toxic, weight or 1.0)
+        features = np.append(model.features, np.uint64(0))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(features.view(np.int64)),
+                pa.array(np.append(model.weights, model.bias)),
+                pa.array(np.arange(len(features)) == len(features) - 1),
+            ],
+            names=["feature", "weight", "bias"],
+        )
+
+    ordered = sample.repartition(1).sortWithinPartitions("k").select("y", "t")
+    # The features of a bounded sample that have a weight, and the bias.
+    rows = ordered.mapInArrow(learn, "feature bigint, weight double, bias boolean").collect()
+    features = np.array([r.feature for r in rows if not r.bias], np.int64).view(np.uint64)
+    bias = next((r.weight for r in rows if r.bias), FIRST_BIAS)
+    return Model(features, np.array([r.weight for r in rows if not r.bias]), bias)
 
 
 def scored(documents: DataFrame, text: str, model: Model, result: str, threshold: float = THRESHOLD) -> DataFrame:
