@@ -1,7 +1,7 @@
 """Instants, calendar cutoffs and epoch conversions.
 
 Calendar arithmetic and date rendering follow the session time zone, which
-``dormouse.session`` fixes to UTC.
+``dormouse.session`` fixes to UTC; plans refuse a session in another zone.
 """
 
 from __future__ import annotations
@@ -12,6 +12,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Epoch milliseconds of the years 1 to 9999; what lies beyond is no time.
+FIRST_MILLIS, LAST_MILLIS = -62135596800000, 253402300799999
+
+
 def instant(as_of: datetime | str | Column | None = None) -> Column:
     """The moment a rule is evaluated at; the query's own start by default.
 
@@ -38,9 +42,15 @@ def years_after(moment: Column, years: int) -> Column:
 
 
 def millis_text_to_timestamp(text: Column) -> Column:
-    """Epoch milliseconds kept as text, with their fraction; NULL if not a number."""
+    """Epoch milliseconds kept as text, with their fraction; NULL if no time of the years 1 to 9999."""
     millis = text.try_cast("decimal(38,6)")
-    return F.timestamp_micros(F.round(millis * 1000).cast("bigint"))
+    known = F.when(millis.between(FIRST_MILLIS, LAST_MILLIS), millis).cast("decimal(21,6)")
+    return F.timestamp_micros(F.round(known * 1000).cast("bigint"))
+
+
+def millis_to_timestamp(millis: Column) -> Column:
+    """Integer epoch milliseconds to a timestamp; NULL beyond the years 1 to 9999."""
+    return F.timestamp_millis(F.when(millis.between(FIRST_MILLIS, LAST_MILLIS), millis))
 
 
 def millis_to_date(millis: Column) -> Column:

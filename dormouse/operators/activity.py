@@ -1,8 +1,9 @@
 """When people were last active, one row per person and kind of activity.
 
-Event tables are the large inputs. Each is filtered, cut to two columns and
-reduced to its latest row per key before it is shuffled, and only then joined
-to the account tables.
+Event tables are the large inputs. Each is filtered and cut to the columns
+used. Watches, audit rows, page edits and issues are reduced to one row per key
+before they are shuffled, and only then joined to the account tables; a change
+is an event only together with its change group, so those two are joined first.
 """
 
 from __future__ import annotations
@@ -29,11 +30,11 @@ _LOGIN_COLUMNS = {"lastlogin": LAST_LOGIN_ATTRIBUTE, "lastauth": LAST_AUTH_ATTRI
 def login_stats(attributes: DataFrame) -> DataFrame:
     """Last login and authentication per account, from one pass over the attributes.
 
-    The ``*_rejects`` columns count values that are present but not numbers.
+    The ``*_rejects`` columns count values that are present but no times.
     """
     value = F.col("attribute_value")
     moment = millis_text_to_timestamp(value)
-    rejected = value.isNotNull() & value.try_cast("decimal(38,6)").isNull()
+    rejected = value.isNotNull() & moment.isNull()
     measures = []
     for column, attribute in _LOGIN_COLUMNS.items():
         named = F.col("attribute_name") == attribute
@@ -49,9 +50,9 @@ def login_stats(attributes: DataFrame) -> DataFrame:
 def account_activity(accounts: DataFrame, attributes: DataFrame, lenient: bool = False) -> DataFrame:
     """Accounts with ``lastlogin`` and ``lastauth``; NULL where nothing is recorded.
 
-    A value that is not a number ends the query, as the owner would otherwise
-    look as if they had never logged in. ``lenient`` reads it as absent;
-    ``attribute_rejects`` counts such values.
+    A value that is not a number, or beyond the years 1 to 9999, ends the query, as
+    the owner would otherwise look as if they had never logged in. ``lenient``
+    reads it as absent; ``attribute_rejects`` counts such values.
     """
     stats = login_stats(attributes).withColumnRenamed("user_id", "id")
     columns = [
@@ -61,7 +62,7 @@ def account_activity(accounts: DataFrame, attributes: DataFrame, lenient: bool =
 
 
 def _checked(column: str) -> Column:
-    message = F.format_string(f"{column} of account %d is not a number", F.col("id"))
+    message = F.format_string(f"{column} of account %d is not a time", F.col("id"))
     return F.when(F.col(f"{column}_rejects") > 0, F.raise_error(message)).otherwise(F.col(column))
 
 

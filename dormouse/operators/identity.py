@@ -56,15 +56,18 @@ def eligible_accounts(
     )
 
 
-def canonical_account(accounts: DataFrame) -> DataFrame:
-    """One account per user name: the one in the first directory by position.
+def canonical_account(accounts: DataFrame, name: str = "user_name") -> DataFrame:
+    """One account per name: the one in the first directory by position.
+
+    ``name`` is ``lower_user_name`` where people are looked up by name, which
+    directories do without regard to case.
 
     Each task keeps only its best row per name before the shuffle, so a name
     with very many rows does not load the task that picks the winner. Filters
     on the account must be applied before this step if an account that fails
     them may be replaced by the next one, and after it if not.
     """
-    first = Window.partitionBy("user_name").orderBy("directory_position", "directory_id", "id")
+    first = Window.partitionBy(name).orderBy("directory_position", "directory_id", "id")
     return (
         accounts.withColumn("place", F.row_number().over(first))
         .filter(F.col("place") == 1)

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dormouse.defaults import WRITABLE_DIRECTORY
 from dormouse.functions.text import row_text
@@ -27,25 +28,30 @@ def deactivation_plan(
     """What happens to each name: the account it resolves to, a status and a log text.
 
     ``names`` has a ``user_name`` and may have more columns, which the text of
-    a deactivated account shows. A name resolves to its account in the first
-    active directory, active or not. ``checks`` maps an error text to a
+    a deactivated account shows. A name, in any case, resolves to its account in
+    the first active directory, active or not. Only accounts of the names asked
+    for are looked through. ``checks`` maps an error text to a
     condition on the resolved account under which it applies; all errors of an
     account are listed.
     """
-    resolved = identity.canonical_account(identity.in_active_directory(accounts, directories))
+    looked_up = F.lower("user_name").alias("lower_user_name")
+    asked = accounts.join(names.select(looked_up).distinct(), "lower_user_name", "left_semi")
+    resolved = identity.canonical_account(
+        identity.in_active_directory(asked, directories), "lower_user_name"
+    )
     errors = {"directory is read-only": ~F.col("directory_id").isin(*writable_directories)}
     errors.update(checks or {})
     failures = F.concat_ws(",", *[F.when(failed, F.lit(text)) for text, failed in errors.items()])
     row = row_text([name for name in names.columns if name != "user_name"])
 
     resolved = resolved.select(
-        "user_name",
+        "lower_user_name",
         F.col("id").alias("account_id"),
         "directory_id",
         "is_active",
         failures.alias("failures"),
     )
-    asked = names.select("user_name", row.alias("row"))
+    rows = names.select("user_name", looked_up, row.alias("row"))
     status = (
         F.when(F.col("account_id").isNull(), F.lit(NOT_FOUND))
         .when(~F.coalesce("is_active", F.lit(False)), F.lit(ALREADY_INACTIVE))
@@ -53,7 +59,7 @@ def deactivation_plan(
         .otherwise(F.lit(DEACTIVATED))
     )
     return (
-        asked.join(resolved, "user_name", "left")
+        rows.join(resolved, "lower_user_name", "left")
         .withColumn("status", status)
         .select("user_name", "account_id", "directory_id", "status", _detail().alias("detail"))
     )
@@ -84,16 +90,40 @@ def deactivation_summary(plan: DataFrame) -> DataFrame:
 
 
 def accounts_after(accounts: DataFrame, plan: DataFrame) -> DataFrame:
-    """The account table with the deactivated accounts switched off, all else unchanged."""
+    """The account table with the deactivated accounts switched off, all else unchanged.
+
+    ``accounts`` is the table as its source has it: every column stays, in its
+    order and type, and ``active`` keeps its coding (a number, ``T`` and ``F``, or
+    a boolean). ``is_active`` of an opened table will do as well.
+    """
+    named = {field.name.lower(): field for field in accounts.schema}
+    flag = named.get("active") or named.get("is_active")
+    if flag is None or "id" not in named:
+        raise ValueError(f"an account table has an id and a flag active; this has {sorted(named)}")
+    if isinstance(flag.dataType, T.BooleanType):
+        off = F.lit(False)
+    elif isinstance(flag.dataType, T.StringType):
+        off = F.lit("F")
+    else:
+        off = F.lit(0).cast(flag.dataType)
+    key = "_switched_off"
+    while key in named:
+        key += "_"
     switched_off = (
         plan.filter(F.col("status") == DEACTIVATED)
-        .select(F.col("account_id").alias("id"))
+        .select(F.col("account_id").cast("bigint").alias(key))
         .distinct()
-        .withColumn("switched_off", F.lit(True))
     )
-    state = F.when(F.col("switched_off"), F.lit(False)).otherwise(F.col("is_active"))
-    return (
-        accounts.join(switched_off, "id", "left")
-        .withColumn("is_active", state)
-        .select(*accounts.columns)
+    own_id = _named(accounts, named["id"].name).cast("bigint")
+    joined = accounts.join(switched_off, own_id == F.col(key), "left")
+    state = F.when(F.col(key).isNotNull(), off).otherwise(_named(accounts, flag.name))
+    return joined.select(
+        *[
+            state.alias(name) if name == flag.name else _named(accounts, name)
+            for name in accounts.columns
+        ]
     )
+
+
+def _named(table: DataFrame, name: str) -> Column:
+    return table["`" + name.replace("`", "``") + "`"]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from dormouse.defaults import EXEMPT_GROUP, LICENCE_ROLE, TRACKER_MONTHS, WRITABLE_DIRECTORY
 from dormouse.functions.time import day_text, months_before, stale_or_never
 from dormouse.operators import activity, identity
+from dormouse.session import require_utc
 
 _DAYS = ("lastlogin", "lastauth", "lastassign", "lastwatch", "lastreactivate")
 
@@ -41,6 +42,7 @@ def dormant_accounts(
     Each side has one row per name, so the rows are distinct as they stand.
     ``ordered=False`` leaves out the global sort, for callers that go on.
     """
+    require_utc(tables["account"])
     cut = months_before(as_of, months)
     exempt = identity.exempt_accounts(
         tables["account"], tables["membership"], tables["grp"], exempt_group

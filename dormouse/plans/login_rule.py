@@ -5,14 +5,16 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dormouse.defaults import LAST_LOGIN_ATTRIBUTE, LOGIN_RULE_YEARS, WRITABLE_DIRECTORY
-from dormouse.functions.time import instant, years_after
+from dormouse.functions.time import instant, millis_to_timestamp, years_after
 from dormouse.operators import identity
+from dormouse.session import require_utc
 
 LOGIN, NEVER_LOGGED_IN, UNPARSEABLE = "login", "never_logged_in", "unparseable"
+UNRESOLVED = "unresolved"
 
 
 def login_rule_verdicts(
@@ -24,32 +26,39 @@ def login_rule_verdicts(
     """Every active account of one directory, with when it expires and why.
 
     The creation date is that of the checked account; the login value is that
-    of the account its name resolves to. A value that is neither a number nor
-    empty gives the reason ``unparseable`` and no verdict. An account without
-    a creation date counts as used now.
+    of the account its name, in any case, resolves to. A name that resolves to
+    none gives the reason ``unresolved``, and a value that is neither a time nor
+    empty ``unparseable``; neither is dormant. An account without a creation
+    date counts as used now.
     """
+    require_utc(tables["account"])
     now = instant(as_of)
     checked = identity.active_accounts(tables["account"]).filter(
         F.col("directory_id") == directory_id
     )
     resolved = identity.canonical_account(
-        identity.in_active_directory(tables["account"], tables["directory"])
-    ).select("user_name", F.col("id").alias("user_id"), F.col("directory_id").alias("home_id"))
-    logins = _login_values(tables["attrs"]).withColumnRenamed("directory_id", "home_id")
+        identity.in_active_directory(tables["account"], tables["directory"]), "lower_user_name"
+    ).select(
+        "lower_user_name", F.col("id").alias("user_id"), F.col("directory_id").alias("home_id")
+    )
+    numbers, texts = _login_values(tables["attrs"])
 
-    millis = F.col("last_login_number")
     reason = (
-        F.when(millis.isNotNull(), F.lit(LOGIN))
-        .when(F.coalesce("last_login_millis", F.lit("")) == "", F.lit(NEVER_LOGGED_IN))
+        F.when(F.col("user_id").isNull(), F.lit(UNRESOLVED))
+        .when(F.col("last_login_number").isNotNull(), F.lit(LOGIN))
+        .when(F.coalesce("last_login_text", F.lit("")) == "", F.lit(NEVER_LOGGED_IN))
         .otherwise(F.lit(UNPARSEABLE))
     )
-    last_used = F.when(F.col("reason") == LOGIN, F.timestamp_millis(millis)).when(
-        F.col("reason") == NEVER_LOGGED_IN, F.coalesce("created_date", now)
-    )
+    last_used = F.when(
+        F.col("reason") == LOGIN, millis_to_timestamp(F.col("last_login_number"))
+    ).when(F.col("reason") == NEVER_LOGGED_IN, F.coalesce("created_date", now))
+    shown = F.coalesce(F.col("last_login_number").cast("string"), "last_login_text")
     return (
-        checked.select("user_name", "created_date")
-        .join(resolved, "user_name", "left")
-        .join(logins, ["user_id", "home_id"], "left")
+        checked.select("user_name", "lower_user_name", "created_date")
+        .join(resolved, "lower_user_name", "left")
+        .join(numbers, ["user_id", "home_id"], "left")
+        .join(texts, ["user_id", "home_id"], "left")
+        .withColumn("last_login_millis", shown)
         .withColumn("reason", reason)
         .withColumn("last_used", last_used)
         .withColumn("expires_at", years_after(F.col("last_used"), years))
@@ -77,18 +86,27 @@ def login_rule_counts(verdicts: DataFrame) -> DataFrame:
     )
 
 
-def _login_values(attributes: DataFrame) -> DataFrame:
-    """One last-login value per account: the largest number, else any text, else NULL."""
+def _login_values(attributes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Per account the largest login that is a time, and the last text, by order, that is none.
+
+    Times are kept as numbers, so that they are reduced by hash. Texts are few;
+    each task keeps the last of an account before the shuffle.
+    """
     value = F.col("attribute_value")
-    best = F.max(F.struct(value.try_cast("bigint").alias("number"), value.alias("text")))
-    return (
-        attributes.filter(F.col("attribute_name") == LAST_LOGIN_ATTRIBUTE)
-        .groupBy("user_id", "directory_id")
-        .agg(best.alias("best"))
-        .select(
-            "user_id",
-            "directory_id",
-            F.col("best.number").alias("last_login_number"),
-            F.col("best.text").alias("last_login_millis"),
-        )
+    number = value.try_cast("bigint")
+    rows = attributes.filter(F.col("attribute_name") == LAST_LOGIN_ATTRIBUTE).select(
+        "user_id",
+        F.col("directory_id").alias("home_id"),
+        F.when(millis_to_timestamp(number).isNotNull(), number).alias("number"),
+        value.alias("last_login_text"),
+    )
+    account = ["user_id", "home_id"]
+    numbers = rows.groupBy(*account).agg(F.max("number").alias("last_login_number"))
+    last = Window.partitionBy(*account).orderBy(F.desc("last_login_text"))
+    texts = (
+        rows.filter(F.col("number").isNull() & F.col("last_login_text").isNotNull())
+        .withColumn("place", F.row_number().over(last))
+        .filter(F.col("place") == 1)
+        .select(*account, "last_login_text")
     )
+    return numbers.filter(F.col("last_login_number").isNotNull()), texts

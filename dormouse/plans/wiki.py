@@ -12,6 +12,7 @@ from dormouse.defaults import EXEMPT_GROUP, WIKI_MONTHS
 from dormouse.functions.text import mention
 from dormouse.functions.time import day_text, months_before, stale_or_never
 from dormouse.operators import activity, identity
+from dormouse.session import require_utc
 
 
 def wiki_global_groups(space_permissions: DataFrame) -> DataFrame:
@@ -39,8 +40,10 @@ def wiki_dormant(
 
     By default a missing page edit counts as dormant only where the last login
     is missing too, and a missing last login makes any edit irrelevant.
-    ``strict`` judges the page edit by itself.
+    ``strict`` judges the page edit by itself. Users are cut down by all that does
+    not need their logins before they are multiplied by the days of these.
     """
+    require_utc(tables["account"])
     cut = months_before(as_of, months)
     users = wiki_users(tables["account"], tables["directory"])
     exempt = identity.exempt_accounts(
@@ -51,17 +54,17 @@ def wiki_dormant(
     edited = F.col("lastpagemoddate")
     quiet = stale_or_never(edited, cut) if strict else (edited < cut) | F.col("lastlogin").isNull()
 
-    people = (
-        users.filter(F.col("created_date") < cut)
-        .join(_members_of_global_groups(tables), "id", "left_semi")
-        .join(_stale_logins(tables, cut), "lower_user_name")
-        .join(edits, "user_name", "left")
-        .filter(quiet)
+    people = users.filter(F.col("created_date") < cut).join(
+        _members_of_global_groups(tables), "id", "left_semi"
     )
-    # Distinct before the mention is built: rows are partitioned by user_name here.
+    people = identity.not_exempt(people, exempt).join(edits, "user_name", "left")
+    if strict:
+        people = people.filter(quiet)
+    people = people.join(_stale_logins(tables, cut), "lower_user_name")
+    if not strict:
+        people = people.filter(quiet)
     result = (
-        identity.not_exempt(people, exempt)
-        .select(
+        people.select(
             "user_name",
             "email_address",
             day_text(F.col("created_date")).alias("user_created"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -29,6 +29,16 @@ class Tables(Mapping[str, DataFrame]):
             self._opened[name] = conform(name, self._open_table(name), schema)
         return self._opened[name]
 
+    def raw(self, name: str) -> DataFrame:
+        """The table as its source has it, with all columns under their own names."""
+        if name not in self._schemas:
+            raise KeyError(name)
+        return self._open_table(name)
+
+    def opened(self) -> Mapping[str, DataFrame]:
+        """The tables used so far."""
+        return dict(self._opened)
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._schemas)
 
@@ -115,10 +125,17 @@ def from_jdbc(
     splits: Mapping[str, Split],
     properties: Mapping[str, str] | None = None,
     names: Mapping[str, str] = SOURCE_NAMES,
+    small: Collection[str] = (),
 ) -> Tables:
-    """Tables of a live database. Tables without a split are read by one task."""
+    """Tables of a live database, each read in the ranges of its split.
+
+    A table without one is read by a single task, so it has to be named in
+    ``small``; any other is refused when it is first used.
+    """
 
     def open_table(name: str) -> DataFrame:
+        if name not in splits and name not in small:
+            raise ValueError(f"table {name!r} needs a split, or to be marked as small")
         reader = spark.read.format("jdbc").option("url", url)
         reader = reader.option("dbtable", f'"{names[name]}"').options(**(properties or {}))
         if name in splits:

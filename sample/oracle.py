@@ -38,7 +38,8 @@ _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
                lower(nm) AS lower_user_name,
                CASE WHEN k % 17 <> 0 THEN nm || CASE WHEN nk % 5 = d % 5
                     THEN '@mycompany.example' ELSE '@customer.example' END END AS email_address,
-               'Display ' || k AS display_name,
+               'Display ' || k AS display_name, 'ext-' || k AS external_id,
+               CASE WHEN k % 23 <> 0 THEN k % 97 END AS credential,
                NOT ((k % 13 = 0 AND d = 1) OR (k % 15 = 0 AND d <> 1)) AS is_active,
                CASE WHEN k % 29 = 0 THEN NULL
                     WHEN k % 7 = 0 THEN TIMESTAMP '2001-06-15 00:00:00'
@@ -88,16 +89,31 @@ _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
         """
         SELECT k + 1000000 * d AS user_id, d AS directory_id,
                CASE o_orderstatus
-                   WHEN 'F' THEN CASE WHEN k % 5 <> 0 THEN 'login.lastLoginMillis'
+                   WHEN 'F' THEN CASE WHEN k % 5 <> 0 OR (k % 15 = 0 AND d <> 1)
+                                      THEN 'login.lastLoginMillis'
                                       ELSE 'passwordLastChanged' END
                    ELSE CASE WHEN k % 5 <> 1 THEN 'lastAuthenticated'
                              ELSE 'passwordLastChanged' END END AS attribute_name,
-               CASE WHEN o_orderstatus = 'P' THEN CAST(epoch_ms(max(o_orderdate)) AS VARCHAR)
-                    WHEN k % 37 <> 0 THEN CAST(epoch_ms(max(o_orderdate)) + 123 AS VARCHAR)
+               CASE WHEN o_orderstatus = 'P' THEN CAST(epoch_ms(o_orderdate) AS VARCHAR)
+                    WHEN k % 15 = 0 AND d <> 1 THEN
+                        CASE k % 60 WHEN 0 THEN 'unknown' WHEN 15 THEN ''
+                                    WHEN 30 THEN '99999999999999999999'
+                                    ELSE '9223372036854775807' END
+                    WHEN k % 37 <> 0 THEN CAST(epoch_ms(o_orderdate) + 123 AS VARCHAR)
                END AS attribute_value
         FROM placed JOIN orders ON o_custkey = k
         WHERE o_orderstatus IN ('F', 'P')
-        GROUP BY k, d, o_orderstatus
+        """,
+    ),
+    "number": (
+        ("attrs",),
+        """
+        SELECT user_id, directory_id, attribute_name,
+               CASE WHEN TRY_CAST(attribute_value AS BIGINT)
+                         BETWEEN -62135596800000 AND 253402300799999
+                    THEN TRY_CAST(attribute_value AS BIGINT) END AS number,
+               CASE WHEN number IS NULL THEN attribute_value END AS rest
+        FROM attrs
         """,
     ),
     "changegroup": ((), "SELECT o_orderkey AS id, o_orderdate AS created FROM orders"),
@@ -149,9 +165,8 @@ _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
     "logininfo": (
         ("people",),
         """
-        SELECT ukey AS username, CASE WHEN k % 9 <> 0 THEN max(o_orderdate) END AS successdate
-        FROM people JOIN orders ON o_custkey = k
-        WHERE o_orderstatus = 'F' GROUP BY k, ukey
+        SELECT ukey AS username, CASE WHEN k % 9 <> 0 THEN o_orderdate END AS successdate
+        FROM people JOIN orders ON o_custkey = k WHERE o_orderstatus = 'F'
         """,
     ),
     "content": (
@@ -163,11 +178,13 @@ _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
         """,
     ),
     "spaceperm": (
-        ("grp",),
+        ("people",),
         """
-        SELECT lower(group_name) AS permgroupname, CASE WHEN id = 4 THEN 77 END AS spaceid
-        FROM grp WHERE id <> 900
-        UNION ALL SELECT 'building-users', NULL
+        SELECT lower(seg) || '-users' AS permgroupname,
+               CASE WHEN seg = 'FURNITURE' OR k % 5 <> 0 THEN k % 50 END AS spaceid
+        FROM people
+        UNION ALL
+        SELECT 'all-staff', CASE WHEN k % 20 <> 0 THEN k % 50 END FROM people WHERE k % 4 = 0
         """,
     ),
     # Operators that other queries build on.
@@ -204,7 +221,7 @@ _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
         """
         SELECT * FROM open_account
         QUALIFY row_number() OVER (
-            PARTITION BY user_name ORDER BY directory_position, directory_id, id) = 1
+            PARTITION BY lower_user_name ORDER BY directory_position, directory_id, id) = 1
         """,
     ),
     "exempt": (
@@ -215,14 +232,14 @@ _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
         """,
     ),
     "activity": (
-        ("attrs",),
+        ("number",),
         """
         SELECT user_id, directory_id,
-               max(make_timestamp(CAST(CAST(attribute_value AS DECIMAL(30, 6)) * 1000 AS BIGINT)))
+               max(make_timestamp(number * 1000))
                    FILTER (attribute_name = 'login.lastLoginMillis') AS lastlogin,
-               max(make_timestamp(CAST(CAST(attribute_value AS DECIMAL(30, 6)) * 1000 AS BIGINT)))
+               max(make_timestamp(number * 1000))
                    FILTER (attribute_name = 'lastAuthenticated') AS lastauth
-        FROM attrs GROUP BY ALL
+        FROM number GROUP BY ALL
         """,
     ),
     "assignment": (
@@ -294,18 +311,20 @@ _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
         """,
     ),
     "by_login": (
-        ("account", "resolved", "attrs"),
+        ("account", "resolved", "number"),
         """
-        SELECT a.user_name, a.created_date, v.attribute_value AS last_login_millis,
-               CASE WHEN ifnull(v.attribute_value, '') = '' THEN a.created_date
-                    ELSE epoch_ms(CAST(v.attribute_value AS BIGINT)) END AS last_used,
-               CASE WHEN ifnull(v.attribute_value, '') = '' THEN 'never_logged_in'
-                    ELSE 'login' END AS reason
+        SELECT a.user_name, a.created_date,
+               ifnull(CAST(v.number AS VARCHAR), v.rest) AS last_login_millis,
+               CASE WHEN v.number IS NULL THEN a.created_date ELSE epoch_ms(v.number) END
+                   AS last_used,
+               CASE WHEN v.number IS NULL THEN 'never_logged_in' ELSE 'login' END AS reason
         FROM account a
-        LEFT JOIN resolved r ON r.user_name = a.user_name
-        LEFT JOIN attrs v ON v.user_id = r.id AND v.directory_id = r.directory_id
-             AND v.attribute_name = 'login.lastLoginMillis'
+        JOIN resolved r ON r.lower_user_name = a.lower_user_name
+        LEFT JOIN (SELECT user_id, directory_id, max(number) AS number, max(rest) AS rest
+                   FROM number WHERE attribute_name = 'login.lastLoginMillis' GROUP BY ALL) v
+             ON v.user_id = r.id AND v.directory_id = r.directory_id
         WHERE a.is_active AND a.directory_id = 1
+          AND (v.number IS NOT NULL OR ifnull(v.rest, '') = '')
           AND last_used + INTERVAL 1 YEAR < TIMESTAMP '2001-08-02 00:00:00'
         """,
     ),
@@ -331,7 +350,7 @@ _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
                        WHEN 'already_inactive' THEN 'Already inactive'
                        ELSE 'directory is read-only' END
                END AS detail
-        FROM external x LEFT JOIN resolved r ON r.user_name = x.user_name
+        FROM external x LEFT JOIN resolved r ON r.lower_user_name = lower(x.user_name)
         """,
     ),
     "login_plan": (
@@ -353,7 +372,7 @@ _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
                        WHEN 'already_inactive' THEN 'Already inactive'
                        ELSE 'directory is read-only' END
                END AS detail
-        FROM by_login x LEFT JOIN resolved r ON r.user_name = x.user_name
+        FROM by_login x LEFT JOIN resolved r ON r.lower_user_name = lower(x.user_name)
         """,
     ),
     "global_groups": (
@@ -462,8 +481,9 @@ ORACLE_SQL: dict[str, str] = {
         ("plan", "account"),
         f"""
         SELECT id, directory_id, user_name, lower_user_name, email_address, display_name,
-               is_active AND id NOT IN
-                   (SELECT account_id FROM plan WHERE status = 'deactivated') AS is_active,
+               external_id, credential,
+               CAST(is_active AND id NOT IN
+                   (SELECT account_id FROM plan WHERE status = 'deactivated') AS INTEGER) AS active,
                {_texts("created_date")}
         FROM account
         """,
@@ -492,6 +512,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT id, account.directory_id, user_name, {_texts("lastlogin", "lastauth")}
         FROM account LEFT JOIN activity
           ON user_id = id AND activity.directory_id = account.directory_id
+        WHERE is_active
         """,
     ),
     "last_assignment": _sql(

@@ -7,6 +7,7 @@ an engine represents them.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,20 +17,27 @@ from dormouse.operators import activity, identity
 from dormouse.plans import deactivation, dormancy, login_rule, wiki
 from dormouse.session import apply_settings
 from dormouse.sources.schemas import TRACKER, WIKI
+from dormouse.sources.tables import Tables
 from sample.tables import AS_OF, INTERNAL_SUFFIX, sample_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
-TableQuery = Callable[[Mapping[str, DataFrame]], DataFrame]
+TableQuery = Callable[[Tables], DataFrame]
 
 
 def _over(schemas: Mapping[str, T.StructType], query: TableQuery) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        apply_settings(spark)
+        _prepare(spark)
         return _times_as_text(query(sample_tables(spark, sf_dir, schemas)))
 
     return run
 
 
+@cache
+def _prepare(spark: SparkSession) -> None:
+    """Puts the library's settings on a session when its first query is built."""
+    apply_settings(spark)
+
+
 def _times_as_text(result: DataFrame) -> DataFrame:
     columns = []
     for field in result.schema:
@@ -74,7 +82,7 @@ TRACKER_QUERIES: dict[str, TableQuery] = {
     "dormant_by_login_rule": lambda t: login_rule.dormant_by_login_rule(t, AS_OF),
     "deactivation_plan": _plan,
     "deactivation_summary": lambda t: deactivation.deactivation_summary(_plan(t)),
-    "accounts_after": lambda t: deactivation.accounts_after(t["account"], _plan(t)),
+    "accounts_after": lambda t: deactivation.accounts_after(t.raw("account"), _plan(t)),
     "login_rule_plan": _login_rule_plan,
     "login_rule_summary": lambda t: deactivation.deactivation_summary(_login_rule_plan(t)),
     "canonical_account": lambda t: dormancy.canonical_eligible(t).select(
@@ -85,7 +93,8 @@ TRACKER_QUERIES: dict[str, TableQuery] = {
     "not_exempt": _not_exempt,
     "active_account_count": lambda t: identity.active_account_count(t["account"]),
     "account_activity": lambda t: activity.account_activity(
-        t["account"].select("id", "directory_id", "user_name"), t["attrs"]
+        identity.active_accounts(t["account"]).select("id", "directory_id", "user_name"),
+        t["attrs"],
     ),
     "last_assignment": lambda t: activity.last_assignment(t["changegroup"], t["changeitem"]),
     "last_watch": lambda t: activity.last_watch(t["userassociation"], t["app_user"], t["account"]),

@@ -121,6 +121,8 @@ def _account(sample: Sample) -> DataFrame:
             concat(nm, if(nk % 5 = d % 5, '{INTERNAL_SUFFIX}', '{EXTERNAL_SUFFIX}')) END
             AS email_address""",
         "concat('Display ', k) AS display_name",
+        "concat('ext-', k) AS external_id",
+        "if(k % 23 = 0, NULL, k % 97) AS credential",
         "if((k % 13 = 0 AND d = 1) OR (k % 15 = 0 AND d <> 1), 0, 1) AS active",
         """CAST(CASE WHEN k % 29 = 0 THEN NULL
                      WHEN k % 7 = 0 THEN DATE'2001-06-15'
@@ -166,19 +168,21 @@ def _license(sample: Sample) -> DataFrame:
 
 
 def _attrs(sample: Sample) -> DataFrame:
-    latest = (
-        sample.read("orders")
-        .filter("o_orderstatus IN ('F', 'P')")
-        .groupBy("o_custkey", "o_orderstatus")
-        .agg(F.expr("unix_millis(CAST(max(o_orderdate) AS TIMESTAMP))").alias("millis"))
-    )
-    return sample.placed().join(latest, F.expr("o_custkey = k")).selectExpr(
+    """A row per order and account. Inactive accounts outside the first directory have odd logins."""
+    orders = sample.read("orders").filter("o_orderstatus IN ('F', 'P')")
+    millis = F.expr("unix_millis(CAST(o_orderdate AS TIMESTAMP))").alias("millis")
+    orders = orders.select("o_custkey", "o_orderstatus", millis)
+    return sample.placed().join(orders, F.expr("o_custkey = k")).selectExpr(
         "id AS user_id",
         "d AS directory_id",
-        """CASE WHEN o_orderstatus = 'F' AND k % 5 <> 0 THEN 'login.lastLoginMillis'
+        """CASE WHEN o_orderstatus = 'F' AND (k % 5 <> 0 OR (k % 15 = 0 AND d <> 1))
+                THEN 'login.lastLoginMillis'
                 WHEN o_orderstatus = 'P' AND k % 5 <> 1 THEN 'lastAuthenticated'
                 ELSE 'passwordLastChanged' END AS attribute_name""",
         """CASE WHEN o_orderstatus = 'P' THEN CAST(millis AS STRING)
+                WHEN k % 15 = 0 AND d <> 1 THEN CASE k % 60
+                    WHEN 0 THEN 'unknown' WHEN 15 THEN ''
+                    WHEN 30 THEN '99999999999999999999' ELSE '9223372036854775807' END
                 WHEN k % 37 <> 0 THEN CAST(millis + 123 AS STRING) END AS attribute_value""",
     )
 
@@ -247,16 +251,11 @@ def _issue(sample: Sample) -> DataFrame:
 
 
 def _logininfo(sample: Sample) -> DataFrame:
-    latest = (
+    return (
         sample.read("orders")
         .filter("o_orderstatus = 'F'")
-        .groupBy(F.col("o_custkey").alias("k"))
-        .agg(F.max("o_orderdate").alias("latest"))
-    )
-    return (
-        sample.people()
-        .join(latest, "k")
-        .selectExpr("ukey AS username", "if(k % 9 = 0, NULL, latest) AS successdate")
+        .join(sample.people(), F.expr("o_custkey = k"))
+        .selectExpr("ukey AS username", "if(k % 9 = 0, NULL, o_orderdate) AS successdate")
     )
 
 
@@ -273,9 +272,14 @@ def _content(sample: Sample) -> DataFrame:
 
 
 def _spaceperm(sample: Sample) -> DataFrame:
-    rows = [(name, 77 if key == 4 else None) for key, name in GROUPS if key != 900]
-    rows.append(("building-users", None))
-    return sample.constants(rows, "permgroupname", "spaceid")
+    """Permissions of people's groups, some in a space and some in none; furniture always in one."""
+    return sample.people().selectExpr(
+        """inline(array_compact(array(
+            struct(concat(lower(seg), '-users') AS permgroupname,
+                   CASE WHEN seg = 'FURNITURE' OR k % 5 <> 0 THEN k % 50 END AS spaceid),
+            CASE WHEN k % 4 = 0 THEN struct('all-staff' AS permgroupname,
+                   CASE WHEN k % 20 <> 0 THEN k % 50 END AS spaceid) END)))"""
+    )
 
 
 DERIVATIONS: dict[str, Callable[[Sample], DataFrame]] = {

@@ -38,7 +38,7 @@ def test_spaces_around_a_number(spark):
 
 @pytest.mark.parametrize("value", ["abc", ""])
 def test_text_that_is_no_number(spark, value):
-    with pytest.raises(PySparkException, match="of account 1 is not a number"):
+    with pytest.raises(PySparkException, match="of account 1 is not a time"):
         login_text(spark, value)
     assert login_text(spark, value, lenient=True) is None
 

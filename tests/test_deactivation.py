@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from dormouse.plans.deactivation import accounts_after, deactivation_plan, deactivation_summary
@@ -88,6 +89,34 @@ def test_only_the_resolved_accounts_change(spark):
     assert not any(after[key].is_active for key in changed)
 
 
+def test_names_are_looked_up_in_any_case(spark):
+    tables = tracker(spark, account=[account(1, "Ann"), account(2, "ann", directory=2)])
+    names = spark.createDataFrame([("Ann",)], "user_name string")
+    row, = deactivation_plan(names, tables["account"], tables["directory"]).collect()
+    assert (row.user_name, row.account_id, row.status) == ("Ann", 2, "validation_failed")
+
+
+@pytest.mark.parametrize(
+    ("kind", "on", "off"),
+    [("int", 1, 0), ("bigint", 1, 0), ("decimal(9,0)", 1, 0), ("string", "T", "F"), ("boolean", True, False)],
+)
+def test_whole_account_table_is_kept_in_its_own_coding(spark, kind, on, off):
+    rows = [(9, on, 1, "x", "Ann"), (8, off, 2, None, "Bob"), (7, on, 3, "z", "Cat")]
+    accounts = spark.sql(
+        "SELECT * FROM VALUES " + ", ".join(
+            f"({c}, CAST({'NULL' if a is None else repr(a)} AS {kind}), CAST({i} AS decimal(18,0)), "
+            f"{'NULL' if e is None else repr(e)}, '{n}')" for c, a, i, e, n in rows
+        ) + " AS t(credential, Active, ID, `external.id`, _switched_off)"
+    )
+    plan = spark.createDataFrame([(1, "deactivated"), (3, "validation_failed")], "account_id long, status string")
+    after = accounts_after(accounts, plan)
+    assert after.schema.simpleString() == accounts.schema.simpleString()
+    found = {int(r.ID): r for r in after.collect()}
+    before = {int(r.ID): r for r in accounts.collect()}
+    assert found[1].Active == off and found[2] == before[2] and found[3] == before[3]
+    assert found[1].credential == 9 and found[1]["external.id"] == "x"
+
+
 def test_name_listed_twice_changes_one_row(spark):
     tables, plan = fixture(spark)
     assert accounts_after(tables["account"], plan.unionAll(plan)).count() == 7

@@ -2,9 +2,12 @@ from __future__ import annotations
 
 import pytest
 
-from dormouse.jobs import main
+from dormouse.jobs import main, parser
+from dormouse.plans.dormancy import dormant_accounts, dormant_external, licensed_accounts
 from dormouse.plans.views import publish_views
-from dormouse.sources.schemas import SOURCE_NAMES, TRACKER
+from dormouse.session import apply_settings, planned_bytes
+from dormouse.sources.schemas import SOURCE_NAMES, TRACKER, WIKI
+from dormouse.sources.tables import from_catalog, from_parquet
 from sample.tables import DERIVATIONS, Sample
 from tests.build import account, last_login, member, millis, tracker
 from tests.conftest import SMALL
@@ -28,7 +31,7 @@ def test_dry_run_writes_only_the_plan(spark, database, tmp_path, capsys):
     main(["--parquet", database, "--out", str(out), "--as-of", "2001-08-02",
           "--email-suffix", "@mycompany.example"])
     assert status_counts(spark, f"{out}/plan") == {"deactivated": 36, "already_inactive": 1}
-    assert not (out / "accounts").exists()
+    assert not (out / "cwd_user").exists()
     assert "36 inactive users automatically deactivated." in capsys.readouterr().out
 
 
@@ -38,9 +41,74 @@ def test_applied_run_switches_off_what_the_plan_says(spark, database, tmp_path):
           "--apply"])
     done = status_counts(spark, f"{out}/plan")["deactivated"]
     before = spark.read.parquet(f"{database}/cwd_user").filter("active = 1").count()
-    after = spark.read.parquet(f"{out}/accounts")
+    after = spark.read.parquet(f"{out}/cwd_user")
+    assert after.schema == spark.read.parquet(f"{database}/cwd_user").schema
+    assert {"external_id", "credential"} <= set(after.columns)
     assert after.count() == 187
-    assert after.filter("is_active").count() == before - done and done > 0
+    assert after.filter("active = 1").count() == before - done and done > 0
+    again = from_parquet(spark, str(out), TRACKER)["account"]
+    assert again.filter("is_active").count() == before - done
+
+
+def test_reports(spark, database, tmp_path):
+    main(["--parquet", database, "--out", f"{tmp_path}/paid", "--rule", "licences"])
+    assert spark.read.parquet(f"{tmp_path}/paid/report").count() > 0
+    root = str(tmp_path / "wiki")
+    sample = Sample(spark, SMALL)
+    for name in WIKI:
+        DERIVATIONS[name](sample).write.parquet(f"{root}/{SOURCE_NAMES[name]}")
+    main(["--parquet", root, "--out", f"{tmp_path}/idle", "--rule", "wiki", "--as-of", "2001-08-02"])
+    assert spark.read.parquet(f"{tmp_path}/idle/report").columns[0] == "mention"
+
+
+def test_live_database_options():
+    found = parser().parse_args([
+        "--jdbc", "jdbc:x", "--out", "o", "--rule", "login", "--small", "directory",
+        "--split", "account=id,0,1000,4",
+        "--split", "changegroup=created,2020-01-01T00:00:00,2024-01-01T00:00:00,8",
+        "--property", "user=me",
+    ])
+    splits = dict(found.split)
+    assert (splits["account"].upper, splits["account"].partitions) == (1000, 4)
+    assert splits["changegroup"].lower.year == 2020 and splits["changegroup"].upper.year == 2024
+    assert found.small == ["directory"] and found.property == [("user", "me")]
+
+
+def test_stored_views_equal_the_plans(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS stored_db")
+    sample = Sample(spark, SMALL)
+    for name in TRACKER:
+        DERIVATIONS[name](sample).write.mode("overwrite").saveAsTable(f"stored_db.`{SOURCE_NAMES[name]}`")
+    main(["--database", "stored_db", "--store-views", "--email-suffix", "@mycompany.example"])
+    tables = from_catalog(spark, "stored_db", TRACKER)
+    dormant = dormant_accounts(tables, ordered=False)
+    for view, wanted in {
+        "active_users": licensed_accounts(tables),
+        "inactive_users_all": dormant,
+        "inactive_users": dormant_external(dormant, "@mycompany.example"),
+    }.items():
+        found = spark.table(f"stored_db.{view}")
+        assert found.columns == wanted.columns
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect())), view
+        assert found.count() > 0
+
+
+def test_shuffle_partitions_follow_planned_sizes(spark, database, settings):
+    settings(spark__sql__shuffle__partitions="8")
+    size = planned_bytes(from_parquet(spark, database, TRACKER)[name] for name in ("audit", "issue"))
+    assert 0 < size < 1 << 30
+    apply_settings(spark, 9 * 256 * 1024 * 1024)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "9"
+    apply_settings(spark, size)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "9"
+
+
+def test_another_time_zone_is_refused(spark, settings):
+    ann = account(1, "ann")
+    tables = tracker(spark, account=[ann], membership=[member(ann)])
+    settings(spark__sql__session__timeZone="America/New_York")
+    with pytest.raises(ValueError, match="New_York"):
+        publish_views(tables, "@mycompany.example")
 
 
 def test_second_run_to_the_same_place_fails(database, tmp_path):

@@ -32,6 +32,12 @@ def verdict(spark, value="missing", created="2000-01-01", as_of=AS_OF):
         (" 12 ", "2024-01-01", ("login", True)),
         ("abc", "2000-01-01", ("unparseable", False)),
         ("1.5", "2000-01-01", ("unparseable", False)),
+        ("1e30", "2000-01-01", ("unparseable", False)),
+        ("9" * 20, "2000-01-01", ("unparseable", False)),
+        ("9223372036854775807", "2000-01-01", ("unparseable", False)),
+        ("-9223372036854775808", "2000-01-01", ("unparseable", False)),
+        ("NaN", "2000-01-01", ("unparseable", False)),
+        ("Infinity", "2000-01-01", ("unparseable", False)),
     ],
 )
 def test_verdicts(spark, value, created, expected):
@@ -53,6 +59,22 @@ def test_login_is_that_of_the_resolved_account_and_creation_that_of_the_checked_
     assert (row.user_name, row.reason, row.created_date.year) == ("ann", "never_logged_in", 2000)
 
 
+def test_name_without_an_account_in_an_active_directory_is_never_dormant(spark):
+    ann = account(1, "ann")
+    shut = [dict(id=1, active=0, directory_position=0)]
+    tables = tracker(spark, account=[ann], directory=shut, attrs=[last_login(ann, millis("2000-01-02"))])
+    row, = login_rule_verdicts(tables, AS_OF).collect()
+    assert (row.reason, row.is_dormant, row.last_used) == ("unresolved", False, None)
+
+
+def test_names_are_looked_up_in_any_case(spark):
+    first, checked = account(1, "ann", directory=2), account(2, "Ann")
+    recent = [last_login(first, millis("2024-05-01")), last_login(checked, "5")]
+    tables = tracker(spark, account=[first, checked], attrs=recent)
+    row, = login_rule_verdicts(tables, AS_OF).collect()
+    assert (row.user_name, row.reason, row.is_dormant) == ("Ann", "login", False)
+
+
 def test_other_directories_and_inactive_accounts_are_not_checked(spark):
     tables = tracker(spark, account=[account(1, "ann", directory=2), account(2, "bob", active=0)])
     assert login_rule_verdicts(tables, AS_OF).count() == 0

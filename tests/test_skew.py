@@ -183,5 +183,5 @@ def test_names_that_resolve_to_no_account_are_split(spark):
     given = {"account": accounts, "directory": directories, "attrs": attributes}
     found = login_rule_verdicts(Tables(TRACKER, given.__getitem__), "2024-06-01")
     found = found.select("reason", "is_dormant")
-    assert Counter(map(tuple, found.collect())) == {("never_logged_in", True): ROWS}
+    assert Counter(map(tuple, found.collect())) == {("unresolved", False): ROWS}
     assert "SortMergeJoin(skew=true) [user_id" in plan_of(found)

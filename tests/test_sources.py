@@ -120,6 +120,12 @@ def test_jdbc_options():
     }
 
 
+def test_database_table_needs_a_split_or_a_mark():
+    tables = from_jdbc(None, "jdbc:x", TRACKER, {})
+    with pytest.raises(ValueError, match="'issue' needs a split"):
+        tables["issue"]
+
+
 def test_writing_does_not_replace(spark, tmp_path):
     path = f"{tmp_path}/out"
     assert write_table(spark.range(3), path).count() == 3
@@ -133,8 +139,9 @@ def test_partition_sizes_follow_the_data(spark, settings):
     apply_settings(spark, shuffle_bytes=10 * tib, input_bytes=100 * tib)
     assert spark.conf.get("spark.sql.shuffle.partitions") == str(40 * 1024)
     assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) == 1 * gib
+    settings(spark__sql__shuffle__partitions="8")
     apply_settings(spark, shuffle_bytes=1, input_bytes=gib)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "1"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
     assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) == gib // 8
 
 
