@@ -171,14 +171,15 @@ def find(texts: Texts, index: Index, min_coverage: float = MIN_COVERAGE) -> dict
         own = words[bounds[text] : bounds[text + 1]]
         body = index.words[template]
         spans: dict[tuple[int, int], int] = {}
-        last = None
+        last, done = None, 0
         for shift in sorted(shifts):
-            if last is not None and shift - last <= BAND:
-                continue  # within the band of the alignment before
+            if last is not None and shift - last <= BAND and shift < done:
+                continue  # part of the alignment before
             last = shift
-            low_at = max(0, shift - BAND)
+            low_at = max(0, done, shift - BAND)
             part = own[low_at : shift + len(body) + BAND]
             matched, first, end = align(body, part, shift - low_at)
+            done = max(done, low_at + end)
             if matched >= min_coverage * len(body):
                 key = (low_at + first, low_at + end)
                 spans[key] = max(spans.get(key, 0), matched)

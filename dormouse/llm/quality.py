@@ -17,6 +17,8 @@ LINE = ~byte_set((0x0A, 0x0A))
 WINDOW_WORDS = 5
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
+# Documents that the prior of a host's rate counts for at least, however much hosts differ.
+LEAST_STRENGTH = 4.0
 
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -96,10 +98,10 @@ def host_rates(rows: DataFrame, host: str, failed: str) -> DataFrame:
     """For each host: documents, failures, and the failure rate shrunk by a beta prior.
 
     The prior is fitted by moments to the rates of all hosts, each weighted by its documents: with
-    mean m and variance v between hosts beyond what chance gives, its strength is m (1 - m) / v - 1.
-    Hosts that differ by no more than chance get a prior as strong as all documents, so that every
-    host gets the mean. ``rate_low`` is the rate less two deviations of its posterior. A null host
-    is a host of its own.
+    mean m and variance v between hosts beyond what chance gives, its strength is m (1 - m) / v - 1,
+    but ``LEAST_STRENGTH`` at least. Hosts that differ by no more than chance get a prior as strong
+    as all documents, so that every host gets the mean. ``rate_low`` is the rate less two deviations
+    of its posterior. A null host is a host of its own.
     """
     hosts = rows.groupBy(host).agg(
         F.count(F.lit(1)).alias("host_documents"),
@@ -116,7 +118,7 @@ def host_rates(rows: DataFrame, host: str, failed: str) -> DataFrame:
     spread = F.col("squares") - F.col("k") * mean - (F.col("hosts") - 1) * chance
     scale = F.col("n") - F.col("sizes") / F.col("n") - (F.col("hosts") - 1)
     variance = F.when((F.col("hosts") > 1) & (scale > 0), F.greatest(spread / scale, F.lit(0.0)))
-    strength = F.when(variance > 0, F.greatest(chance / variance - 1, F.lit(1e-3)))
+    strength = F.when(variance > 0, F.greatest(chance / variance - 1, F.lit(LEAST_STRENGTH)))
     a = k + F.col("prior_mean") * F.col("prior_strength")
     b = n + F.col("prior_strength") - a
     return (

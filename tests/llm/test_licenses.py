@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+
+from dormouse.llm import licenses
+from dormouse.llm.bytetext import Texts
+from tests.llm.plain import odd_rows, table
+
+
+def found(texts, **more):
+    spans = licenses.find(Texts.of(pa.array(texts, pa.string())), licenses.Index.of(licenses.TEMPLATES), **more)
+    return [spans.get(i, []) for i in range(len(texts))]
+
+
+def test_every_template_is_found_whole_within_other_text():
+    for name, body in licenses.TEMPLATES.items():
+        text = f"Ä prose before it. {body} prose after it"
+        span, = found([text])[0]
+        assert (span["license"], span["matched"]) == (name, span["words"]), name
+        assert text[span["begin"] : span["end"]] == body.rstrip("./")
+
+
+def test_changed_words_lower_the_coverage():
+    body = licenses.TEMPLATES["MIT-text"].split()
+    body[5], body[20] = "zzz", "yyy yyy"
+    del body[30]
+    span, = found([" ".join(body)])[0]
+    assert span["license"] == "MIT-text" and span["words"] - 4 <= span["matched"] < span["words"]
+    assert found([" ".join(body[:20])])[0] == []
+    assert found([" ".join(body[:20])], min_coverage=0.2)[0] != []
+
+
+def test_two_matches_of_one_template_and_overlapping_templates():
+    text = "Released under the MIT License. More. Released under the MIT License. Licensed under CC BY-NC 4.0."
+    assert [s["license"] for s in found([text])[0]] == ["MIT", "MIT", "CC-BY-NC-4.0"]
+    header = licenses.TEMPLATES["Apache-2.0-header"]
+    assert [s["license"] for s in found([header])[0]] == ["Apache-2.0-header"]
+
+
+def test_alignment_equals_the_longest_common_subsequence():
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        a, b = rng.integers(0, 4, rng.integers(1, 9)), rng.integers(0, 4, rng.integers(0, 9))
+        table_ = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                table_[i + 1, j + 1] = table_[i, j] + 1 if a[i] == b[j] else max(table_[i, j + 1], table_[i + 1, j])
+        count, first, end = licenses.align(a.astype(np.uint64), b.astype(np.uint64), 0, band=12)
+        assert count == table_[-1, -1]
+        assert not count or (0 <= first < end <= len(b) and b[first] in a and b[end - 1] in a)
+
+
+def test_prose_and_odd_rows_have_none(spark, tmp_path):
+    rows = odd_rows() + [(50, "a license to permit the free use of software under no conditions")]
+    docs = table(spark, tmp_path, rows, extra=True)
+    out = licenses.scanned(docs, "text", "found")
+    assert out.columns == [*docs.columns, "found"]
+    assert out.count() == len(rows) and out.where("size(found) > 0").count() == 0
+    assert licenses.scanned(docs.where("false"), "text", "found").count() == 0
+
+
+def test_a_run_shares_a_fingerprint():
+    words = np.arange(100, dtype=np.uint64)
+    for start in range(20):
+        text = Texts.of(pa.array([" ".join(map(str, words[start : start + 40])), " ".join(map(str, [999, 998, *words[start + 7 : start + 11], 997]))]))
+        *_, owner, prints, at = licenses._grams(text)
+        assert set(prints[owner[at] == 0]) & set(prints[owner[at] == 1])
