@@ -4,7 +4,7 @@ A corpus is one long sequence of lines. Only lines that occur twice or more can
 repeated run, so the suffix array covers stretches of those. It is built by prefix doubling: rank k
 orders suffixes by their first 2^k lines, and rank k + 1 is the order of pairs of ranks 2^k lines
 apart. A run of m lines then is an interval of suffixes whose longest common prefix is m lines or
-more; two ranks that together span its m lines name it. Runs are of interest from a number of words
+more; two ranks that together span its m lines name it. Runs are of interest from a size
 on, which bounds m, and with it the number of doublings, whatever the size of the corpus.
 """
 
@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from dormouse.llm.spread import free_name, kept, prefix_sums
 
-# A repeated run is deleted from so many words on.
-MIN_WORDS = 30
-# A line ends at a line feed, or at a blank after a sentence's end; both stay with the line.
-LINE_END = r"(?<=\n)|(?<=[.!?] )"
+# A repeated run is deleted from this size on. Sizes of lines are in steps of 8 bytes, so these are
+# some 30 words.
+STEP_BYTES, MIN_SIZE = 8, 24
+# A line ends at a line feed, or at the blank after a sentence that has at least 40 characters since
+# the last sentence's end. Both stay with the line. (The first condition spares most of the second.)
+LINE_END = r"(?<=\n)|(?<=[.!?] )(?<=[^.!?\n]{40}[.!?] )"
 
 
 def lines(text: Column) -> Column:
@@ -27,111 +29,140 @@ def lines(text: Column) -> Column:
 
 
 def _numbered(documents: DataFrame, text: str, order: str) -> DataFrame:
-    """Every line: its document's ``row``, its place in the corpus ``pos``, hash and words.
+    """Every document's lines as hashes and sizes, and ``at``, where it begins in the corpus. Kept.
 
-    Documents stand in the order of ``order``, then of where they were read. Lines are compared
-    without the white space at their ends. A line counts its blanks and one as words, so an empty
-    one counts one.
+    Documents stand in the order of ``order``, then of where they were read. A place is left for
+    each byte, more than there can be lines. Lines are compared without the white space at their
+    ends. The smallest size is 1, that of an empty line too.
     """
     split = documents.select(
-        F.col(order).alias("key"), F.monotonically_increasing_id().alias("row"), lines(F.col(text)).alias("lines")
+        F.col(order).alias("key"),
+        F.monotonically_increasing_id().alias("row"),
+        (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("bytes"),
+        lines(F.col(text)).alias("lines"),
     )
-    arrays = split.select(
-        "key",
-        "row",
-        F.size("lines").cast("long").alias("n"),
-        F.expr("transform(lines, x -> xxhash64(rtrim(' \n\r\t', x)))").alias("hashes"),
-        F.expr("transform(lines, x -> cast(1 + length(rtrim(x)) - length(replace(rtrim(x), ' ', '')) as int))").alias(
-            "words"
-        ),
-    )
-    placed = prefix_sums(arrays, ["key", "row"], {"at": F.col("n")})
-    rows = placed.select("row", "at", F.posexplode(F.arrays_zip("hashes", "words")).alias("i", "line"))
-    return rows.select(
-        "row",
-        (F.col("at") + F.col("i")).alias("pos"),
-        F.col("line.hashes").alias("hash"),
-        F.col("line.words").cast("long").alias("words"),
-        F.col("i").alias("line"),
+    rows = kept(
+        split.select(
+            "key",
+            "row",
+            "bytes",
+            F.expr("transform(lines, x -> xxhash64(rtrim(' \n\r\t', x)))").alias("hashes"),
+            F.expr(f"transform(lines, x -> greatest(1, octet_length(x) div {STEP_BYTES}))").alias("sizes"),
+        )
     )
+    begins = prefix_sums(rows.select("key", "row", "bytes"), ["key", "row"], {"at": F.col("bytes")})
+    return kept(rows.select("row", "hashes", "sizes").join(begins.select("row", "at"), "row"))
 
 
-def _stretches(numbered: DataFrame, min_words: int) -> DataFrame:
-    """Stretches of neighbouring lines that all occur elsewhere too, with enough words for a run.
+def _stretches(numbered: DataFrame, min_size: int) -> DataFrame:
+    """Stretches of neighbouring lines that all occur elsewhere too, long enough for a run.
 
     ``rank`` is the first place of an equal line: lines are ordered by when they come up first.
-    ``forward`` is how many lines from this one on have ``min_words`` words, ``backward`` how many
-    up to this one; null where the stretch has too few.
+    ``forward`` is how many lines from this one on have ``min_size``, ``backward`` how many up to
+    this one; null where the stretch has less.
     """
-    again = numbered.groupBy("hash").agg(F.count(F.lit(1)).alias("copies"), F.min("pos").alias("rank"))
-    again = again.where("copies > 1").select("hash", "rank")
-    shared = numbered.join(again, "hash").select("row", "pos", "line", "words", "rank")
-    in_document = Window.partitionBy("row").orderBy("pos")
+    every = numbered.select("row", "at", F.posexplode(F.arrays_zip("hashes", "sizes")).alias("line", "of"))
+    every = every.select(
+        "row",
+        "line",
+        (F.col("at") + F.col("line")).alias("pos"),
+        F.col("of.hashes").alias("hash"),
+        F.col("of.sizes").cast("long").alias("own"),
+    )
+    again = every.groupBy("hash").agg(F.count(F.lit(1)).alias("copies"), F.min("pos").alias("rank"))
+    shared = every.join(again.where("copies > 1").select("hash", "rank"), "hash")
+    shared = _in_stretches(shared.withColumn("cover", F.col("own")), min_size)
     stretch = Window.partitionBy("row", "stretch")
     before = stretch.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    shared = shared.withColumn("stretch", F.col("pos") - F.row_number().over(in_document))
-    shared = shared.withColumn("total", F.sum("words").over(stretch)).where(F.col("total") >= min_words)
-    shared = shared.withColumn("start", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    shared = shared.withColumn("stop", F.col("start") + F.col("words"))
-    # Words are at least 1 a line, so start and stop rise, and tell lines apart.
-    ahead = stretch.orderBy("start").rangeBetween(0, min_words - 1)
-    behind = stretch.orderBy("stop").rangeBetween(-(min_words - 1), 0)
+    shared = shared.withColumn("start", F.coalesce(F.sum("own").over(before), F.lit(0)))
+    shared = shared.withColumn("stop", F.col("start") + F.col("own"))
+    # Sizes are at least 1, so start and stop rise, and tell lines apart.
+    ahead = stretch.orderBy("start").rangeBetween(0, min_size - 1)
+    behind = stretch.orderBy("stop").rangeBetween(-(min_size - 1), 0)
     count = F.count(F.lit(1))
     return shared.select(
         "row",
         "pos",
         "line",
-        "stretch",
         "rank",
-        F.when(F.col("total") - F.col("start") >= min_words, count.over(ahead)).alias("forward"),
-        F.when(F.col("stop") >= min_words, count.over(behind)).alias("backward"),
+        "own",
+        "cover",
+        F.when(F.col("total") - F.col("start") >= min_size, count.over(ahead)).alias("forward"),
+        F.when(F.col("stop") >= min_size, count.over(behind)).alias("backward"),
     )
 
 
-def _doubled(ranked: DataFrame, step: int) -> DataFrame:
-    """Ranks by twice as many lines: ``ranked`` has those by ``step`` lines, null for unique suffixes."""
+def _in_stretches(suffixes: DataFrame, min_size: int) -> DataFrame:
+    """Numbers runs of neighbouring suffixes, and leaves out those whose lines have too small a size.
+
+    ``cover`` is the size of all lines that a suffix's rank is about, ``own`` that of its first.
+    """
+    in_document = Window.partitionBy("row").orderBy("pos")
+    stretch = Window.partitionBy("row", "stretch")
+    numbered = suffixes.withColumn("stretch", F.col("pos") - F.row_number().over(in_document))
+    beyond = F.col("cover") - F.col("own")
+    last = F.max(F.struct("pos", beyond.alias("beyond"))).over(stretch)["beyond"]
+    total = F.sum("own").over(stretch) + last
+    return numbered.withColumn("total", total).where(F.col("total") >= min_size)
+
+
+def _doubled(ranked: DataFrame, step: int, min_size: int) -> DataFrame:
+    """Of suffixes ranked by ``step`` lines, those that share twice as many with another; their ranks."""
     ahead = Window.partitionBy("row", "stretch").orderBy("pos")
-    pairs = ranked.withColumn("next", F.lead("rank", step).over(ahead))
-    both = pairs.where(F.col("rank").isNotNull() & F.col("next").isNotNull())
-    again = both.groupBy("rank", "next").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    ordered = prefix_sums(again.select("rank", "next"), ["rank", "next"], {"doubled": F.lit(1).cast("long")})
-    found = pairs.join(ordered, ["rank", "next"], "left")
-    return found.select(
-        "row", "pos", "line", "stretch", F.col("doubled").alias("rank"), "forward", "backward"
+    pairs = (
+        _in_stretches(ranked, min_size)
+        .withColumn("next", F.lead("rank", step).over(ahead))
+        .withColumn("cover", F.col("cover") + F.lead("cover", step).over(ahead))
+        .where(F.col("next").isNotNull())
     )
+    again = pairs.groupBy("rank", "next").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    order = ["rank", "next"]
+    ordered = prefix_sums(again.select(*order), order, {"doubled": F.lit(1).cast("long")})
+    found = pairs.join(ordered, order)
+    return found.select("row", "pos", F.col("doubled").alias("rank"), "own", "cover")
 
 
-def _later_copies(ranked: DataFrame, step: int) -> DataFrame:
-    """Of runs of ``step`` up to 2 ``step`` - 1 lines, those that an earlier equal run exists of."""
-    forward = ranked.select("row", "pos", "line", F.col("forward").alias("size"))
-    back = F.col("backward") - 1
-    backward = ranked.select(
-        "row", (F.col("pos") - back).alias("pos"), (F.col("line") - back).alias("line"), F.col("backward").alias("size")
-    )
-    runs = forward.unionByName(backward).where((F.col("size") >= step) & (F.col("size") < 2 * step)).distinct()
-    ranks = ranked.where("rank is not null").select("pos", "rank")
-    head = runs.join(ranks.withColumnRenamed("rank", "head"), "pos")
-    tails = ranks.select((F.col("pos") + step).alias("end"), F.col("rank").alias("tail"))
-    named = head.withColumn("end", F.col("pos") + F.col("size")).join(tails, "end")
+def _later_copies(runs: DataFrame, ranks: DataFrame) -> DataFrame:
+    """Of runs of lines, those that an earlier equal run exists of.
+
+    ``ranks`` has the ranks by ``step`` lines of suffixes at ``pos``. A run's step is the largest
+    power of 2 within its size.
+    """
+    head = runs.join(ranks.withColumnRenamed("rank", "head"), ["step", "pos"])
+    tails = ranks.select("step", F.col("pos").alias("end"), F.col("rank").alias("tail"))
+    named = head.withColumn("end", F.col("pos") + F.col("size") - F.col("step")).join(tails, ["step", "end"])
+    named = kept(named.select("row", "line", "pos", "size", "head", "tail"))
     # An interval of the suffix array: equal size, equal ranks at its beginning and before its end.
-    first = named.groupBy("size", "head", "tail").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("copies"))
-    later = named.join(first.where("copies > 1"), ["size", "head", "tail"]).where(F.col("pos") > F.col("first"))
+    interval = ["size", "head", "tail"]
+    first = named.groupBy(*interval).agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("copies"))
+    later = named.join(first.where("copies > 1"), interval).where(F.col("pos") > F.col("first"))
     return later.select("row", "line", "size")
 
 
-def repeated_runs(documents: DataFrame, text: str, order: str, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_runs(documents: DataFrame, text: str, order: str, min_size: int = MIN_SIZE) -> DataFrame:
     """``row`` and ``runs`` of each document with later copies: maximal spans of line numbers.
 
     ``row`` is what ``monotonically_increasing_id`` gives the document's row, so the documents have
     to be a table that reads the same every time: files or a kept table.
+
+    A line is in a later copy if it is in one of the shortest runs of enough size that begin or
+    end at some line, and an equal run stands earlier. Unions of these are the maximal runs.
     """
-    ranked = kept(_stretches(_numbered(documents, text, order), min_words))
-    later = _later_copies(ranked, 1)
-    step = 1
-    while 2 * step <= min_words:
-        ranked = kept(_doubled(ranked, step))
-        step *= 2
-        later = later.unionByName(_later_copies(ranked, step))
+    ranked = kept(_stretches(_numbered(documents, text, order), min_size))
+    forward = ranked.select("row", "pos", "line", F.col("forward").alias("size"))
+    back = F.col("backward") - 1
+    backward = ranked.select(
+        "row", (F.col("pos") - back).alias("pos"), (F.col("line") - back).alias("line"), F.col("backward").alias("size")
+    )
+    runs = forward.unionByName(backward).where(F.col("size").isNotNull()).distinct()
+    step = F.element_at(F.array(*(F.lit(1 << k) for k in range(min_size.bit_length()))), F.length(F.bin("size")))
+    runs = runs.withColumn("step", step)
+    lines_each, ranks = 1, ranked.select(F.lit(1).alias("step"), "pos", "rank")
+    while 2 * lines_each <= min_size:
+        ranked = kept(_doubled(ranked, lines_each, min_size))
+        lines_each *= 2
+        ranks = ranks.unionByName(ranked.select(F.lit(lines_each).alias("step"), "pos", "rank"))
+    later = _later_copies(runs, ranks)
     in_document = Window.partitionBy("row").orderBy("line", "size")
     end = F.col("line") + F.col("size")
     before = F.max(end).over(in_document.rowsBetween(Window.unboundedPreceding, -1))
@@ -143,7 +174,7 @@ def repeated_runs(documents: DataFrame, text: str, order: str, min_words: int =
 
 
 def deduplicated(
-    documents: DataFrame, text: str, order: str, runs: str, min_words: int = MIN_WORDS
+    documents: DataFrame, text: str, order: str, runs: str, min_size: int = MIN_SIZE
 ) -> DataFrame:
     """The documents without later copies of repeated runs of lines in their text.
 
@@ -155,7 +186,7 @@ def deduplicated(
     """
     rows = documents.drop(runs)
     row = free_name(rows, "_row")
-    found = repeated_runs(documents, text, order, min_words).select(
+    found = repeated_runs(documents, text, order, min_size).select(
         F.col("row").alias(row), F.col("runs").alias(runs)
     )
     own = rows.withColumn(row, F.monotonically_increasing_id()).join(found, row, "left")
