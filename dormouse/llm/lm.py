@@ -36,6 +36,8 @@ ROUNDS, LANES, WINDOW, RATE = 3, 48, 20, 0.08
 # Text of documents that advance side by side, and steps between two carryings of their states.
 SCORED_BYTES, SCORED_WINDOW = 6 << 20, 32
 
+_LOWERED = np.arange(256, dtype=np.uint32)
+_LOWERED[0x41:0x5B] += 0x20
 END = np.uint64(0)  # the hash that stands for the end of a text
 
 
@@ -47,7 +49,11 @@ def tokens(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends = texts.runs(NOT_BLANK)
     words = texts.hashes(starts, ends, lower=True)
     words[words == END] = np.uint64(1)
-    begin = texts.hashes(starts, np.minimum(ends, starts + 3), lower=True) % np.uint64(BEGINNINGS)
+    begin = np.zeros(len(words), np.uint32)
+    for place in range(3):
+        there = np.flatnonzero(starts + place < ends)
+        begin[there] = begin[there] * np.uint32(31) + _LOWERED[texts.data[starts[there] + place]]
+    begin = (begin * np.uint32(0x9E3779B1)) >> np.uint32(32 - BEGINNINGS.bit_length() + 1)
     owner = texts.of_positions(starts)
     at = np.arange(len(words)) + owner
     size = len(words) + len(texts)
@@ -197,9 +203,16 @@ def step(model: Parameters, given: np.ndarray, state: np.ndarray) -> tuple[np.nd
     return new + z * (state - new), z, r, q, new
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(axis=-1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(axis=-1, keepdims=True))
+def _softmax(logits: np.ndarray, wanted: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Log probability of each row's wanted column, and if asked all probabilities, in place of the logits."""
+    if logits.size and logits.max() > 60:  # exp of these would be out of range
+        logits -= logits.max(axis=1, keepdims=True)
+    found = logits[np.arange(len(wanted)), wanted]
+    np.exp(logits, out=logits)
+    total = logits @ np.ones(logits.shape[1], logits.dtype)
+    if whole:
+        logits /= total[:, None]
+    return found - np.log(total), logits if whole else None
 
 
 def output(model: Parameters, states: np.ndarray, wanted: np.ndarray, slopes: Parameters | None = None):
@@ -208,15 +221,13 @@ def output(model: Parameters, states: np.ndarray, wanted: np.ndarray, slopes: Pa
     Parameters' gradients are added to ``slopes``.
     """
     kind = class_of(wanted)
-    log_class = _log_softmax(states @ model["class_weights"] + model["class_bias"])
-    found = log_class[np.arange(len(wanted)), kind].astype(np.float64)
-    down = None
+    found, down = np.zeros(len(wanted)), None
+    found[:], spread = _softmax(states @ model["class_weights"] + model["class_bias"], kind, slopes is not None)
     if slopes is not None:
-        delta = np.exp(log_class)
-        delta[np.arange(len(wanted)), kind] -= 1
-        slopes["class_weights"] += states.T @ delta
-        slopes["class_bias"] += delta.sum(axis=0)
-        down = delta @ model["class_weights"].T
+        spread[np.arange(len(wanted)), kind] -= 1
+        slopes["class_weights"] += states.T @ spread
+        slopes["class_bias"] += spread.sum(axis=0)
+        down = spread @ model["class_weights"].T
     order = np.argsort(kind, kind="stable")
     bounds = np.searchsorted(kind[order], np.arange(HEAD_CLASSES + 1))
     for c in range(HEAD_CLASSES):
@@ -224,14 +235,14 @@ def output(model: Parameters, states: np.ndarray, wanted: np.ndarray, slopes: Pa
         if not len(own):
             continue
         place = wanted[own] % CLASS_WORDS
-        log_word = _log_softmax(states[own] @ model["word_weights"][c] + model["word_bias"][c])
-        found[own] += log_word[np.arange(len(own)), place]
+        logits = states[own] @ model["word_weights"][c] + model["word_bias"][c]
+        more, spread = _softmax(logits, place, slopes is not None)
+        found[own] += more
         if slopes is not None:
-            delta = np.exp(log_word)
-            delta[np.arange(len(own)), place] -= 1
-            slopes["word_weights"][c] += states[own].T @ delta
-            slopes["word_bias"][c] += delta.sum(axis=0)
-            down[own] += delta @ model["word_weights"][c].T
+            spread[np.arange(len(own)), place] -= 1
+            slopes["word_weights"][c] += states[own].T @ spread
+            slopes["word_bias"][c] += spread.sum(axis=0)
+            down[own] += spread @ model["word_weights"][c].T
     return found, down
 
 
@@ -397,18 +408,30 @@ def log_probabilities(model: Parameters, numbers: np.ndarray, bounds: np.ndarray
     return out
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.Table]:
-    """Batches put together until they hold so many bytes of text."""
-    held, size = [], 0
+def _tokenised(
+    batches: Iterator[pa.RecordBatch], text: str, vocabulary: Vocabulary, limit: int
+) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of about so many bytes of text, with their tokens' hashes, numbers and counts, and bounds."""
+    held: list[tuple] = []
+    size = 0
+
+    def together() -> tuple:
+        rows, hashes, numbers, counts, lengths = zip(*held)
+        bounds = np.concatenate(([0], np.cumsum(np.concatenate(lengths))))
+        return pa.Table.from_batches(rows), *(np.concatenate(a) for a in (hashes, numbers, counts)), bounds
+
     for batch in batches:
         for part in slices(batch, text):
-            held.append(part)
-            size += part.column(text).nbytes
+            texts = Texts.of(part.column(text))
+            hashes, bounds, shapes = tokens(texts)
+            held.append((part.drop_columns([text]), hashes, *vocabulary.find(hashes, shapes), np.diff(bounds)))
+            size += len(texts.data)
             if size >= limit:
-                yield pa.Table.from_batches(held)
-                held, size = [], 0
+                yield together()
+                held.clear()
+                size = 0
     if held:
-        yield pa.Table.from_batches(held)
+        yield together()
 
 
 def scored(
@@ -426,9 +449,7 @@ def scored(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, parameters = shared.value
-        for table in _gathered(batches, text, SCORED_BYTES):
-            hashes, bounds, shapes = tokens(Texts.of(table.column(text)))
-            numbers, times = own.find(hashes, shapes)
+        for table, hashes, numbers, times, bounds in _tokenised(batches, text, own, SCORED_BYTES):
             of = np.repeat(np.arange(table.num_rows), np.diff(bounds))
             known = np.log10(np.maximum(times, 0) + 1.0)
             base = np.bincount(of, known, table.num_rows) - np.diff(bounds) * base_total
