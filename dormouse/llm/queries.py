@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dormouse.llm import bytebpe, decontamination, jaccard, licenses, linededup, lm, quality, secrets, sharding, toxicity
+from dormouse.llm.oracle import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,7 +69,6 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~F.col("base_failed") & ~F.col("host_rejected")).alias("kept"),
         "host_documents",
         "host_failed",
-        F.round("rate", 9).alias("host_rate"),
         "host_rejected",
     )
 
@@ -182,7 +184,6 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"),
         F.col("n").alias("n_shingles"),
         F.col("component").alias("component_id"),
-        F.col("c").alias("class_id"),
     )
 
 
@@ -198,5 +199,3 @@ QUERIES: dict[str, Query] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_jaccard_join": op10_jaccard_join,
 }
-
-ORACLE_SQL: dict[str, str] = {}
