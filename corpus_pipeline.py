@@ -21,6 +21,7 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below the threshold."""
+    queries.ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = queries.toxicity_model(docs, labels)
     found = free_name(docs, "_found")
@@ -30,6 +31,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated runs of lines; those with no word left go."""
+    queries.ship(spark)
     runs = free_name(docs, "_runs")
     rows = linededup.deduplicated(docs, "text", "doc_id", runs)
     emptied = (F.size(runs) > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
@@ -38,17 +40,20 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    queries.ship(spark)
     return jaccard.one_of_each(docs, "text", "doc_id")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark."""
+    queries.ship(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _measured(decontamination.decontaminated(docs, "text", benchmark, "item_id", "text"))
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as ids, with the text that the ids decode to."""
+    queries.ship(spark)
     ranks = public_tokenizers.path(queries.RANK_FILE)
     rows = bytebpe.encoded(docs, "text", ranks, "ids", "id_bytes").drop("id_bytes", "text")
     rows = bytebpe.decoded(rows, "ids", ranks, "text")

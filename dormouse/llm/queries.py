@@ -20,12 +20,16 @@ SHARDS = 40
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Tasks import this library; on a cluster it is shipped with the job, here it lies beside the caller.
+def ship(spark: SparkSession) -> None:
+    """Lets tasks import this library where it lies beside the caller; on a cluster it comes with the job."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = spark.sparkContext.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
     if root not in paths.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, paths]))
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
