@@ -32,8 +32,12 @@ PERCENT = 75
 SKETCH = 128
 # Members of an index entry that are compared with each other in one go.
 BLOCK = 512
-# What a pair to verify costs, in index rows; and the size up to which an entry's pairs count as such.
-PAIR_COST, PAIRED = 8, 32
+# Widths of size bands, in percent of the next band; the largest set that there is a band for.
+BAND_PERCENT, LARGEST = 70, 1 << 30
+# What a row of an entry that several classes have costs, in index rows.
+SHARED_COST = 3
+# N-grams whose index rows a task of the index gets at most, on average.
+TASK_GRAMS = 2_500_000
 
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
@@ -78,6 +82,30 @@ def classes(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return mixed(mixed(_sums(mixed(hashes ^ _SALT), bounds) + sizes) + sizes).view(np.int64)
 
 
+def _slack(needed: int, size: int, deleted: int) -> int:
+    """Segments beyond the needed ones, as many as are void in sets of that size but for rare ones.
+
+    More segments hold less, so that more of them are void. Where no number of them is enough, as
+    for sets of a few n-grams, sets with more void segments are not rare.
+    """
+
+    def enough(spare: int) -> bool:
+        m = needed + spare
+        empty = m * (1 - 1 / m) ** size
+        single = size * (1 - 1 / m) ** (size - 1) if deleted else 0.0
+        both = m * (m - 1) * (1 - 2 / m) ** size if m > 1 else 0.0
+        spread = max(0.0, empty + both - empty * empty) ** 0.5 + single**0.5
+        return empty + single + 2.5 * spread <= spare
+
+    low, high = 0, 2 * needed + 8
+    if enough(low) or not enough(high):
+        return low if enough(low) else needed
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if enough(middle) else (middle + 1, high)
+    return low
+
+
 @dataclass
 class Bands:
     """Size bands, and for each the segments, the slack and the neighbourhoods that it uses.
@@ -92,15 +120,15 @@ class Bands:
     deletions: np.ndarray
 
     @classmethod
-    def of(cls, largest: int, percent: int, deletions: dict[int, int] | None = None) -> Bands:
-        """Bands up to sets of ``largest``; a set's partners lie in its own band or the next ones.
+    def of(cls, percent: int, deletions: dict[int, int] | None = None) -> Bands:
+        """A band has the smaller sets of pairs; the larger ones take part in it as well.
 
         A void segment (empty, or with deletions of at most one n-gram) tells nothing, so there are
         ``slack`` segments more than the pigeonhole needs: as many as a set is likely to have void.
         """
         first = [1]
-        while first[-1] <= largest:
-            first.append(max(first[-1] + 1, -(-first[-1] * 100 // percent)))
+        while first[-1] <= LARGEST:
+            first.append(max(first[-1] + 1, -(-first[-1] * 100 // BAND_PERCENT)))
         segments, slack = [], []
         deletions_of = [(deletions or {}).get(b, 0) for b in range(len(first) - 1)]
         for b, deleted in enumerate(deletions_of):
@@ -108,20 +136,18 @@ class Bands:
             larger = smaller * 100 // percent
             differ = (100 - percent) * (smaller + larger) // (100 + percent)
             needed = differ // (deleted + 1) + 1
-            spare = 0
-            for _ in range(20):  # more segments hold less, so more of them are void
-                m = needed + spare
-                empty = (1 - 1 / m) ** first[b]
-                one = first[b] / m * (1 - 1 / m) ** (first[b] - 1) if deleted else 0.0
-                void = m * min(1.0, empty + one)
-                spare = int(void + 3 * void**0.5) if m > 1 else 0
+            spare = _slack(needed, first[b], deleted)
             segments.append(needed + spare)
             slack.append(spare)
         numbers = (np.array(a, np.int64) for a in (first, segments, slack, deletions_of))
         return cls(percent, *numbers)
 
+    def trial(self) -> np.ndarray:
+        """How many segments of each band are tried to tell what the band will cost."""
+        return np.minimum(self.segments, np.maximum(4, self.segments // 24))
+
     def of_sizes(self, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First and last band of sets of these sizes: as the larger set of a pair, and as the smaller."""
+        """First and last band that sets of these sizes take part in: with a smaller set, and as one."""
         least = -(-sizes * self.percent // 100)
         low = np.searchsorted(self.first, least, "right") - 1
         return low, np.searchsorted(self.first, sizes, "right") - 1
@@ -133,9 +159,12 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def index_rows(
-    hashes: np.ndarray, bounds: np.ndarray, bands: Bands, only_segment: int | None = None
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Index entries of sets: the entry, the set's place, the band, and how many a partner shares at least.
+    hashes: np.ndarray, bounds: np.ndarray, bands: Bands, trial: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
+    """Index entries of sets, and the set's place of each.
+
+    An entry has 48 bits of hash, 6 of the band, and 10 that say how many entries of the band the
+    set shares with each partner at least.
 
     A pair within the threshold shares slack + 1 segments that differ by no more than the allowed
     deletions. Those that are void in one set are so in the other, for what they differ by. So a
@@ -154,8 +183,8 @@ def index_rows(
     offset = np.cumsum(m) - m
     dealt = mixed(hashes[token] + mixed((band + 1).astype(np.uint64) * _SALT)[pair]) >> np.uint64(32)
     segment = ((dealt * m[pair].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
-    if only_segment is not None:
-        chosen = segment == only_segment
+    if trial:
+        chosen = segment < bands.trial()[band][pair]
         token, pair, segment = token[chosen], pair[chosen], segment[chosen]
     place = offset[pair] + segment
     value = mixed(hashes[token] ^ _SALT)
@@ -169,41 +198,73 @@ def index_rows(
     void = count <= bands.deletions[band][of_segment]
     voids = np.bincount(of_segment[void], minlength=len(of))
     need = np.maximum(0, bands.slack[band] + 1 - voids)
-    seen = np.ones(total, bool) if only_segment is None else number == only_segment
-    whole = np.flatnonzero((count > 0) & seen)
+    whole = np.flatnonzero(count > 0)
     entries, owners = [mixed(subset[whole] + salt[whole])], [of_segment[whole]]
     if bands.deletions.any():
         without = np.flatnonzero((bands.deletions[band][pair] > 0) & (count[place] > 1))
         entries.append(mixed(subset[place[without]] - value[without] + salt[place[without]]))
         owners.append(pair[without])
-    if only_segment is None:
+    if not trial:
         empty = np.flatnonzero(void & (need == 0)[of_segment])
         entries.append(mixed(salt[empty]))
         owners.append(of_segment[empty])
     entry, owner = np.concatenate(entries), np.concatenate(owners)
     # Six bytes tell entries apart well enough to find candidates, and move in less space.
-    return (entry >> np.uint64(16)).astype(np.int64), of[owner], band[owner], need[owner]
+    low = band[owner] << 10 | np.minimum(need[owner], 1023)
+    return (entry & ~np.uint64(0xFFFF) | low.astype(np.uint64)).view(np.int64), of[owner]
+
 
+def _classified(documents: DataFrame, text: str, key: str, ways: list[Bands]) -> DataFrame:
+    """``key``, ``row``, number of n-grams ``n`` and class ``c`` of every document. Kept.
 
-def _classified(documents: DataFrame, text: str, key: str) -> DataFrame:
-    """``key``, ``row``, number of n-grams ``n`` and class ``c`` of every document. Kept."""
+    With them, for each way of ``ways``, the entries of a few segments of every band (``trial0`` on).
+    """
     rows = documents.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("row"), text)
+    names = [f"trial{way}" for way in range(len(ways))]
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
                 hashes, bounds = shingle_sets(part.column(text))
+                trials = []
+                for own in ways:
+                    entry, of = index_rows(hashes, bounds, own, trial=True)
+                    order = np.argsort(of, kind="stable")
+                    ends = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=part.num_rows))))
+                    trials.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(entry[order])))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(np.diff(bounds)), pa.array(classes(hashes, bounds))],
-                    names=["key", "row", "n", "c"],
+                    [part.column(0), part.column(1), pa.array(np.diff(bounds)), pa.array(classes(hashes, bounds)), *trials],
+                    names=["key", "row", "n", "c", *names],
                 )
 
     kind = documents.schema[key].dataType.simpleString()
-    return kept(rows.mapInArrow(classify, f"key {kind}, row bigint, n bigint, c bigint"))
+    lists = "".join(f", {name} array<bigint>" for name in names)
+    return kept(rows.mapInArrow(classify, f"key {kind}, row bigint, n bigint, c bigint{lists}"))
+
 
+def _choose_bands(rows: DataFrame, percent: int) -> Bands:
+    """Bands with deletions where these cost less: index rows, and rows that others have as well.
 
-def _entries(documents: DataFrame, text: str, bands: list[Bands], only_segment: int | None = None) -> DataFrame:
-    """Index entries of every class that a task meets, once a task; for each way of choosing ``bands``."""
+    Both ways have been tried on a few segments of every band, over all documents; this is scaled up.
+    """
+    cost: dict[int, list[float]] = {}
+    for way in (0, 1):
+        bands = Bands.of(percent, dict.fromkeys(range(64), way))
+        scale = bands.segments / bands.trial()
+        trial = rows.select("c", F.explode(f"trial{way}").alias("entry"))
+        band = F.shiftright("entry", 10).bitwiseAND(63)
+        groups = trial.groupBy(F.shiftright("entry", 10).alias("entry")).agg(
+            F.count(F.lit(1)).alias("g"), (F.min("c") != F.max("c")).cast("int").alias("shared"),
+            F.first(band).alias("band"),
+        )
+        # A row for each band.
+        for r in groups.groupBy("band").agg(F.sum(F.col("g") * (1 + SHARED_COST * F.col("shared"))).alias("rows")).collect():
+            cost.setdefault(r.band, [0.0, np.inf])[way] = scale[r.band] * r.rows
+    return Bands.of(percent, {b: int(c[1] < c[0]) for b, c in cost.items()})
+
+
+def _entries(documents: DataFrame, text: str, bands: Bands) -> DataFrame:
+    """Index entries of every class that a task meets, once a task."""
     shared = documents.sparkSession.sparkContext.broadcast(bands)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,77 +281,44 @@ def _entries(documents: DataFrame, text: str, bands: list[Bands], only_segment:
                 sizes = np.where(new, np.diff(bounds), 0)
                 hashes = hashes[np.repeat(new, np.diff(bounds))]
                 bounds = np.concatenate(([0], np.cumsum(sizes)))
-                for way, own in enumerate(shared.value):
-                    entry, of, band, need = index_rows(hashes, bounds, own, only_segment)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(entry),
-                            pa.array(numbers[of]),
-                            pa.array((band << 24 | np.minimum(need, (1 << 24) - 1)).astype(np.int64)),
-                            pa.array(np.full(len(entry), way, np.int32)),
-                        ],
-                        names=["entry", "c", "need", "way"],
-                    )
+                entry, of = index_rows(hashes, bounds, shared.value)
+                yield pa.RecordBatch.from_arrays([pa.array(entry), pa.array(numbers[of])], names=["entry", "c"])
 
-    return documents.select(text).mapInArrow(index, "entry bigint, c bigint, need bigint, way int")
+    return documents.select(text).mapInArrow(index, "entry bigint, c bigint")
 
 
-def choose_bands(documents: DataFrame, text: str, largest: int, percent: int) -> Bands:
-    """Bands with deletions where these cost less: index rows, and pairs that share an entry by chance.
+def _shared(entries: DataFrame, tasks: int) -> DataFrame:
+    """Rows of entries that several classes have, each class once: ``entry`` and band, ``need``, ``c``.
 
-    Both ways are tried on one segment of every band, over all documents, and scaled up.
+    A task gets whole entries, as many as its part of the index, and sorts them once.
     """
-    ways = [Bands.of(largest, percent, {b: d for b in range(200)}) for d in (0, 1)]
-    trial = _entries(documents, text, ways, only_segment=0).select(
-        "way", F.shiftright("need", 24).alias("band"), "entry", "c"
-    )
-    groups = trial.groupBy("way", "band", "entry").agg(F.count(F.lit(1)).alias("g"))
-    pairs = F.sum(F.col("g") * F.least(F.col("g") - 1, F.lit(PAIRED)) / 2)
-    # A row for each band and way.
-    found = groups.groupBy("way", "band").agg(F.sum("g").alias("rows"), pairs.alias("pairs")).collect()
-    cost: dict[int, list[float]] = {}
-    for r in found:
-        scale = float(ways[r.way].segments[r.band])
-        cost.setdefault(r.band, [0.0, 0.0])[r.way] = scale * (r.rows + PAIR_COST * float(r.pairs))
-    return Bands.of(largest, percent, {b: int(1 < len(c) and c[1] < c[0]) for b, c in cost.items()})
-
-
-def _shared(entries: DataFrame) -> DataFrame:
-    """Rows of entries that several classes have, each class once. Streams over sorted rows."""
 
     def share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last entry's first class, while it is its only one
-        last_entry, last_c = None, None
-        for batch in batches:
-            entry, c, need = (batch.column(i).to_numpy() for i in range(3))
-            if not len(entry):
-                continue
-            new = np.ones(len(entry), bool)
-            new[1:] = (entry[1:] != entry[:-1]) | (c[1:] != c[:-1])
-            if last_entry is not None and entry[0] == last_entry and c[0] == last_c:
-                new[0] = False
-            entry, c, need = entry[new], c[new], need[new]
-            if not len(entry):
-                continue
-            if held is not None:
-                entry, c, need = (np.concatenate(([h], a)) for h, a in zip(held, (entry, c, need)))
-            same_before = np.zeros(len(entry), bool)
-            same_before[1:] = entry[1:] == entry[:-1]
-            if held is None and last_entry is not None:
-                same_before[0] = entry[0] == last_entry
-            same_after = np.zeros(len(entry), bool)
-            same_after[:-1] = same_before[1:]
-            out = same_before | same_after
-            alone = not out[-1]
-            held = (entry[-1], c[-1], need[-1]) if alone else None
-            last_entry, last_c = int(entry[-1]), int(c[-1])
+        parts = [(b.column(0).to_numpy().copy(), b.column(1).to_numpy().copy()) for b in batches if b.num_rows]
+        if not parts:
+            return
+        packed, c = (np.concatenate(a) for a in zip(*parts))
+        parts.clear()
+        order = np.argsort(packed)  # rows of an entry differ in their last 10 bits at most
+        packed, c = packed[order], c[order]
+        entry = packed >> 10
+        heads = np.flatnonzero(np.concatenate(([True], entry[1:] != entry[:-1])))
+        several = np.minimum.reduceat(c, heads) != np.maximum.reduceat(c, heads)
+        rows = np.repeat(several, np.diff(np.concatenate((heads, [len(entry)]))))
+        packed, c, entry = packed[rows], c[rows], entry[rows]
+        order = np.lexsort((c, entry))
+        packed, c, entry = packed[order], c[order], entry[order]
+        new = np.ones(len(entry), bool)
+        new[1:] = (entry[1:] != entry[:-1]) | (c[1:] != c[:-1])
+        packed, c, entry = packed[new], c[new], entry[new]
+        for at in range(0, len(entry), 1 << 16):
+            part = slice(at, at + (1 << 16))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(a[out]) for a in (entry, c, need)], names=["entry", "c", "need"]
+                [pa.array(entry[part]), pa.array(packed[part] & 0xFFFF), pa.array(c[part])], names=["entry", "need", "c"]
             )
 
-    count = partitions(entries.sparkSession)
-    dealt = entries.select("entry", "c", "need").repartition(count, "entry")
-    return dealt.sortWithinPartitions("entry", "c").mapInArrow(share, "entry bigint, c bigint, need bigint")
+    dealt = entries.repartition(tasks, F.shiftright("entry", 10))
+    return dealt.mapInArrow(share, "entry bigint, need bigint, c bigint")
 
 
 def _sets(documents: DataFrame, text: str, chosen: DataFrame) -> DataFrame:
@@ -344,13 +372,17 @@ def _rarest(sets: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
     return (
         ranked.withColumn("place", F.row_number().over(by_rarity))
         .where((F.col("place") <= first) & (F.col("often") > 1))
-        .select("entry", "c")
+        .select("entry", "c", "place")
     )
 
 
 def _compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of an entry in different components whose sketches allow them to be similar.
 
+    The entries are n-grams at some ``place`` in the members' order by rarity. For a pair that is
+    similar its first common n-gram leaves enough n-grams after it in both; other pairs are passed
+    over there, and pairs with an earlier common one have been looked at with that.
+
     An entry's members are dealt into blocks of about ``BLOCK``; any two blocks of an entry meet in
     one task, so a task holds two blocks however many members there are.
     """
@@ -367,17 +399,21 @@ def _compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "block",
         "c",
         "component",
+        "place",
     )
     rows = rows.join(sets.select("c", "n", "sketch"), "c").select(
-        "entry", "i", "j", "block", "c", "component", "n", "sketch"
+        "entry", "i", "j", "block", "c", "component", "n", F.col("place").cast("long"), "sketch"
     )
 
-    def compare_run(i, j, block, c, component, n, sketch):
+    def compare_run(i, j, block, c, component, n, place, sketch):
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         near = component[left][:, None] != component[right][None, :]
         small = np.minimum(n[left][:, None], n[right][None, :])
         large = np.maximum(n[left][:, None], n[right][None, :])
         near &= 100 * small >= percent * large
+        needed = -(-percent * (small + large) // (100 + percent))
+        rest = n - place + 1
+        near &= np.minimum(rest[left][:, None], rest[right][None, :]) >= needed
         if i == j:
             near &= c[left][:, None] < c[right][None, :]
         x, y = np.nonzero(near)
@@ -394,8 +430,8 @@ def _compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         held: list[pa.RecordBatch] = []
 
         def done(table: pa.Table) -> pa.RecordBatch:
-            entry, i, j, block, c, component, n = (table.column(k).to_numpy() for k in range(7))
-            sketch = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint8).reshape(-1, SKETCH)
+            entry, i, j, block, c, component, n, place = (table.column(k).to_numpy() for k in range(8))
+            sketch = np.frombuffer(b"".join(table.column(8).to_pylist()), np.uint8).reshape(-1, SKETCH)
             head = np.ones(len(entry), bool)
             head[1:] = (entry[1:] != entry[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
             starts = np.flatnonzero(head).tolist()
@@ -403,7 +439,7 @@ def _compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             for b, e in zip(starts, [*starts[1:], len(entry)]):
                 if e - b > 1:
                     s = slice(b, e)
-                    found += compare_run(i[b], j[b], block[s], c[s], component[s], n[s], sketch[s])
+                    found += compare_run(i[b], j[b], block[s], c[s], component[s], n[s], place[s], sketch[s])
             a = np.concatenate([np.minimum(p, q) for p, q in found] or [np.zeros(0, np.int64)])
             z = np.concatenate([np.maximum(p, q) for p, q in found] or [np.zeros(0, np.int64)])
             both = np.unique(np.stack((a, z), axis=1), axis=0)
@@ -445,13 +481,15 @@ def similar(documents: DataFrame, text: str, key: str, percent: int = PERCENT) -
 
     The documents have to be a table that reads the same every time: files or a kept table.
     """
-    rows = _classified(documents, text, key)
-    largest = rows.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-    bands = choose_bands(documents, text, largest, percent)
-    shared = kept(_shared(_entries(documents, text, [bands])))
-    # Entries that a class shares with any other, by band, against what a partner would share.
+    ways = [Bands.of(percent, dict.fromkeys(range(64), way)) for way in (0, 1)]
+    rows = _classified(documents, text, key, ways)
+    bands = _choose_bands(rows, percent)
+    grams = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    tasks = max(partitions(documents.sparkSession), -(-grams // TASK_GRAMS))
+    shared = kept(_shared(_entries(documents, text, bands), tasks))
+    # Entries of a band that a class shares with any other, against what it would share with a partner.
     enough = shared.groupBy("c", "need").agg(F.count(F.lit(1)).alias("shares"))
-    enough = enough.where(F.col("shares") >= F.col("need").bitwiseAND((1 << 24) - 1)).select("c", "need")
+    enough = enough.where(F.col("shares") >= F.col("need").bitwiseAND(1023)).select("c", "need")
     members = shared.join(enough, ["c", "need"]).select("entry", "c")
     pivots = members.groupBy("entry").agg(F.min("c").alias("a"), F.max("c").alias("z")).where("a < z")
     members = kept(members.join(pivots.select("entry", "a"), "entry"))
@@ -465,7 +503,7 @@ def similar(documents: DataFrame, text: str, key: str, percent: int = PERCENT) -
     open_entries = placed.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     chosen = placed.join(open_entries.where("x < y").select("entry"), "entry").select("c").distinct()
     rare = _rarest(sets, chosen, percent).join(found, F.col("c") == F.col("node"), "left")
-    rare = kept(rare.select("entry", "c", F.coalesce("component", "c").alias("component")))
+    rare = kept(rare.select("entry", "c", "place", F.coalesce("component", "c").alias("component")))
     more = _links(_compared(rare, sets, percent), sets, percent)
     joined = links.unionByName(more)
     found = components(joined)
