@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dormouse.functions.time import instant, months_before
+from dormouse.operators.activity import last_assignment
 from dormouse.session import apply_settings
 from dormouse.sources.schemas import SOURCE_NAMES, TRACKER, WIKI
 from dormouse.sources.tables import Split, Tables, conform, from_catalog, from_jdbc, from_parquet
@@ -80,6 +81,25 @@ def test_catalog_tables(spark):
     assert from_catalog(spark, "tracker_db", TRACKER)["audit"].count() == 1500
 
 
+def test_changes_bucketed_by_their_group_are_joined_without_a_shuffle(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucket_db")
+    sample = Sample(spark, SMALL)
+    for name, key in (("changegroup", "id"), ("changeitem", "groupid")):
+        rows = DERIVATIONS[name](sample)
+        rows.write.mode("overwrite").bucketBy(4, key).sortBy(key).saveAsTable(f"bucket_db.{SOURCE_NAMES[name]}")
+    tables = from_catalog(spark, "bucket_db", TRACKER)
+    found = last_assignment(tables["changegroup"], tables["changeitem"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joined = plan[plan.index("SortMergeJoin") :]
+    assert "Exchange" not in joined
+    plain = Sample(spark, SMALL)
+    wanted = last_assignment(*(
+        conform(name, DERIVATIONS[name](plain), TRACKER[name]) for name in ("changegroup", "changeitem")
+    ))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+
+
 def test_jdbc_options():
     given = {}
 
