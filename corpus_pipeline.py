@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dormouse.llm import bytebpe, decontamination, jaccard, linededup, queries, toxicity
-from dormouse.llm.spread import free_name, kept
+from dormouse.llm.spread import all_columns, free_name, kept
 
 
 def _measured(docs: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     model = queries.toxicity_model(docs, labels)
     found = free_name(docs, "_found")
     rows = toxicity.scored(docs, "text", model, found)
-    return rows.where(F.col(f"{found}.score") < toxicity.THRESHOLD).select(*docs.columns)
+    return rows.where(F.col(f"{found}.score") < toxicity.THRESHOLD).select(*all_columns(docs))
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     runs = free_name(docs, "_runs")
     rows = linededup.deduplicated(docs, "text", "doc_id", runs)
     emptied = (F.size(runs) > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return _measured(rows.where(~F.coalesce(emptied, F.lit(False))).select(*docs.columns))
+    return _measured(rows.where(~F.coalesce(emptied, F.lit(False))).select(*all_columns(docs)))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

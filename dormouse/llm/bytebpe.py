@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from dormouse.llm.bytetext import Texts, slices
-from dormouse.llm.spread import named, quoted
+from dormouse.llm.spread import named, quoted, undotted
 
 # Symbols of a code point.
 LETTER, NUMBER, OTHER, JOINING_BLANK, LAST_BLANK, BLANK, QUOTE_1, QUOTE_2, END = range(9)
@@ -364,7 +364,8 @@ def encoded(documents: DataFrame, text: str, ranks: str, ids: str = "ids", start
 
     A null or empty text has no ids. Columns named like the new ones are replaced.
     """
-    rows = documents.drop(*(c for c in (ids, starts) if c != text))
+    rows, plain = undotted(documents.drop(*(c for c in (ids, starts) if c != text)))
+    text = plain[text]
     file = documents.sparkSession.sparkContext.broadcast(rank_file(ranks))
     int_lists = pa.list_(pa.int32())
 
@@ -383,7 +384,8 @@ def encoded(documents: DataFrame, text: str, ranks: str, ids: str = "ids", start
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns, *lists], names=[*part.schema.names, ids, starts])
 
-    return rows.mapInArrow(encode, f"{named(rows)}, {quoted(ids)} array<int>, {quoted(starts)} array<int>")
+    done = rows.mapInArrow(encode, f"{named(rows)}, {quoted(ids)} array<int>, {quoted(starts)} array<int>")
+    return done.toDF(*plain, ids, starts)
 
 
 def decoded(rows: DataFrame, ids: str, ranks: str, text: str = "text") -> DataFrame:
@@ -391,7 +393,8 @@ def decoded(rows: DataFrame, ids: str, ranks: str, text: str = "text") -> DataFr
 
     Ids that end within a character give the replacement character there.
     """
-    rest = rows.drop(*([text] if text != ids else []))
+    rest, plain = undotted(rows.drop(*([text] if text != ids else [])))
+    ids = plain[ids]
     file = rows.sparkSession.sparkContext.broadcast(rank_file(ranks))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -406,7 +409,7 @@ def decoded(rows: DataFrame, ids: str, ranks: str, text: str = "text") -> DataFr
                 [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text]
             )
 
-    return rest.mapInArrow(decode, f"{named(rest)}, {quoted(text)} string")
+    return rest.mapInArrow(decode, f"{named(rest)}, {quoted(text)} string").toDF(*plain, text)
 
 
 def digests(documents: DataFrame, key: str, text: str, ranks: str) -> DataFrame:

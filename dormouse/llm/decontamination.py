@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dormouse.llm.bytetext import LETTERS, Texts, slices
-from dormouse.llm.spread import free_name, named, quoted
+from dormouse.llm.spread import all_columns, free_name, named, quoted, undotted
 
 WINDOW_WORDS = 10
 SAMPLED_SUFFIXES = 16
@@ -273,6 +273,7 @@ def marked(
     items = items.where(F.col("id").isNotNull() & F.col("text").isNotNull()).distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(total) // block_bytes))
+    rows, names = undotted(rows)
     schema = f"{named(rows)}, {quoted(result)} {_RESULT}"
     marked_rows = rows
     for block in range(blocks):
@@ -280,8 +281,8 @@ def marked(
         phrases = documents.sparkSession.sparkContext.broadcast(
             Phrases.of([r.id for r in own], [r.text for r in own], size)
         )
-        marked_rows = marked_rows.mapInArrow(_search(text, result, phrases), schema)
-    return marked_rows
+        marked_rows = marked_rows.mapInArrow(_search(names[text], result, phrases), schema)
+    return marked_rows.toDF(*names, result)
 
 
 def _search(text: str, result: str, phrases):
@@ -332,4 +333,4 @@ def decontaminated(
     result = free_name(documents, "_found")
     rows = marked(documents, text, benchmark, item, item_text, result)
     spans = F.col(f"{result}.spans")
-    return rows.withColumn(text, without_spans(F.col(text), spans)).select(*documents.columns)
+    return rows.withColumn(text, without_spans(F.col(text), spans)).select(*all_columns(documents))

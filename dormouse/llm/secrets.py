@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from dormouse.llm.bytetext import Texts, byte_set, slices
-from dormouse.llm.spread import named, quoted
+from dormouse.llm.spread import named, quoted, undotted
 
 KINDS = ["assign", "access", "hex", "guess"]
 MIN_ASSIGNED, MIN_ACCESS, MIN_HEX = 6, 20, 24
@@ -184,7 +184,8 @@ def scanned(documents: DataFrame, text: str, result: str) -> DataFrame:
     or empty text has none; every row is scanned by itself, so repeated rows get equal spans. A
     column named like ``result`` is replaced.
     """
-    rows = documents.drop(result)
+    rows, plain = undotted(documents.drop(result))
+    text = plain[text]
     kind = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,6 +204,5 @@ def scanned(documents: DataFrame, text: str, result: str) -> DataFrame:
                     [*part.columns, pa.array(spans, kind)], names=[*part.schema.names, result]
                 )
 
-    return rows.mapInArrow(
-        scan, f"{named(rows)}, {quoted(result)} array<struct<kind:string,begin:int,end:int>>"
-    )
+    schema = f"{named(rows)}, {quoted(result)} array<struct<kind:string,begin:int,end:int>>"
+    return rows.mapInArrow(scan, schema).toDF(*plain, result)

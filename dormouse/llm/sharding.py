@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dormouse.llm.spread import prefix_sums
+from dormouse.llm.spread import all_columns, prefix_sums, quoted
 
 # Bytes that a document takes in a shard besides its text.
 OVERHEAD_BYTES = 16
@@ -23,25 +23,32 @@ def balanced_shards(rows: DataFrame, size: str, order: list[str], shards: int) -
     more than half a row at either end. ``slot`` counts the rows of a shard from 0 without gaps.
     A size below 0 or null counts as 0. Rows that tie in ``order`` are told apart by where they
     were read; rows that are equal throughout are interchangeable. An empty table gives an empty
-    result. With fewer rows than shards some shards stay empty.
+    result. With fewer rows than shards some shards stay empty. Columns named ``shard`` or ``slot``
+    are replaced.
     """
-    weight = F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0))
-    numbered = rows.withColumn("_read", F.monotonically_increasing_id())
+    rows = rows.drop("shard", "slot")
+    weight = F.greatest(F.coalesce(F.col(quoted(size)).cast("long"), F.lit(0)), F.lit(0))
+    keys = [f"key{i}" for i in range(len(order))]
+    # The rows' own columns travel as one, so that none clashes with those made here.
+    packed = rows.select(
+        F.struct(*all_columns(rows)).alias("own"),
+        weight.alias("weight"),
+        *(F.col(quoted(name)).alias(key) for name, key in zip(order, keys)),
+        F.monotonically_increasing_id().alias("read"),
+    )
     placed = prefix_sums(
-        numbered, [*order, "_read"], {"_before": weight, "_rank": F.lit(1).cast("long")}
+        packed, [*keys, "read"], {"before": F.col("weight"), "place": F.lit(1).cast("long")}
     )
-    total = placed.agg(F.max(F.col("_before") + weight)).scalar()
+    total = placed.agg(F.max(F.col("before") + F.col("weight"))).scalar()
     # Twice the bytes before the middle of the row, against twice the total; whole up to 10^17 bytes.
-    middle = 2 * F.col("_before") + weight
-    cut = placed.withColumn("_middle", middle * shards).withColumn("_twice", 2 * total)
-    share = F.expr("_middle div _twice").cast("int")
-    cut = cut.withColumn(
-        "shard", F.when(F.col("_twice") > 0, F.least(share, F.lit(shards - 1))).otherwise(0)
-    )
+    middle = (2 * F.col("before") + F.col("weight")) * shards
+    cut = placed.withColumn("middle", middle).withColumn("twice", 2 * total)
+    share = F.least(F.expr("middle div twice").cast("int"), F.lit(shards - 1))
+    cut = cut.withColumn("shard", F.when(F.col("twice") > 0, share).otherwise(0))
     # At most one row for each shard.
-    first = cut.groupBy("shard").agg(F.min("_rank").alias("_first"))
+    first = cut.groupBy("shard").agg(F.min("place").alias("first"))
     return cut.join(F.broadcast(first), "shard").select(
-        *rows.columns, "shard", (F.col("_rank") - F.col("_first")).alias("slot")
+        "own.*", "shard", (F.col("place") - F.col("first")).alias("slot")
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -34,6 +35,25 @@ def named(df: DataFrame) -> str:
     return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema)
 
 
+def all_columns(df: DataFrame) -> list[str]:
+    """The columns for a select, also those with a dot in their name."""
+    return [quoted(name) for name in df.columns]
+
+
+def undotted(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table under names that Spark can pass to Python, and the new name of each column.
+
+    Names with dots or backticks are the ones that change.
+    """
+    names: dict[str, str] = {}
+    for name in df.columns:
+        new = re.sub("[.`]", "_", name)
+        while new != name and (new in df.columns or new in names.values()):
+            new += "_"
+        names[name] = new
+    return df.toDF(*names.values()), names
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """The name, or the name with as many underscores as make it new to the table."""
     taken = {c.lower() for c in df.columns}
@@ -73,7 +93,7 @@ def prefix_sums(df: DataFrame, order: list[str], sums: dict[str, Column]) -> Dat
     # One row for each range, and as many ranges as shuffle partitions: its size is set by a setting.
     placed = rows.join(F.broadcast(starts), "_part")
     return placed.select(
-        *df.columns,
+        *all_columns(df),
         *(
             (F.col(f"_at_{n}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(n)
             for n, c in sums.items()

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dormouse.llm.bytetext import LETTERS, Texts, byte_set, slices
-from dormouse.llm.spread import named, quoted
+from dormouse.llm.spread import named, quoted, undotted
 
 SENTENCE = ~byte_set((0x0A, 0x0A), (0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
 # A word counts as itself and by its first bytes, if it has more.
@@ -213,7 +213,8 @@ def scored(documents: DataFrame, text: str, model: Model, result: str, threshold
     A span has its ``begin`` and ``end`` in code points and its ``probability``; its sentence alone
     reaches the threshold. A null or empty text scores 0. A column named like ``result`` is replaced.
     """
-    rows = documents.drop(result)
+    rows, plain = undotted(documents.drop(result))
+    text = plain[text]
     shared = documents.sparkSession.sparkContext.broadcast(model)
     span = pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())])
     kind = pa.struct([("score", pa.float64()), ("spans", pa.list_(span))])
@@ -238,4 +239,5 @@ def scored(documents: DataFrame, text: str, model: Model, result: str, threshold
                 )
 
     spans = "array<struct<begin:int,end:int,probability:double>>"
-    return rows.mapInArrow(judge, f"{named(rows)}, {quoted(result)} struct<score:double,spans:{spans}>")
+    schema = f"{named(rows)}, {quoted(result)} struct<score:double,spans:{spans}>"
+    return rows.mapInArrow(judge, schema).toDF(*plain, result)

@@ -41,7 +41,7 @@ def table(spark, path, rows, columns="doc_id long, text string", files=1, extra=
         for i, c in enumerate(columns.split(","))
     }
     if extra:
-        for name in ("row", "n", "_row", "_found", "words", "entry"):
+        for name in ("row", "n", "_row", "_found", "words", "entry", "_part", "own", "place", "key0", "a.b"):
             data[name] = pa.array([f"{name}{i}" for i in range(len(rows))], pa.string())
     whole = pa.table(data)
     size = -(-max(1, len(rows)) // files)

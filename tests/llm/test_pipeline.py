@@ -92,7 +92,7 @@ def test_odd_documents_do_not_stop_a_stage(spark, tmp_path):
     rows = [(1, None, None, None, None, 7), (1, None, "en", "s", 3, 7), (None, "", "", "", 0, None), (3, " ", "x", None, 1, 0),
             (4, "one two three four five six", "en", "s", 27, 1), (4, "one two three four five six", "en", "s", 27, 1)]
     spark.createDataFrame(
-        rows, "doc_id long, text string, lang string, source string, n_chars long, row int"
+        rows, "doc_id long, text string, lang string, source string, n_chars long, `_row.a` int"
     ).coalesce(1).write.parquet(f"{tmp_path}/docs")
     docs = spark.read.parquet(f"{tmp_path}/docs")
     for name, stage in corpus_pipeline.STAGES:
