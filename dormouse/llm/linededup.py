@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dormouse.llm.spread import free_name, kept, prefix_sums
+from dormouse.llm.spread import all_columns, free_name, kept, prefix_sums
 
 # A repeated run is deleted from this size on. Sizes of lines are in steps of 8 bytes, so these are
 # some 30 words.
@@ -135,7 +135,9 @@ def _later_copies(runs: DataFrame, ranks: DataFrame) -> DataFrame:
     # An interval of the suffix array: equal size, equal ranks at its beginning and before its end.
     interval = ["size", "head", "tail"]
     first = named.groupBy(*interval).agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("copies"))
-    later = named.join(first.where("copies > 1"), interval).where(F.col("pos") > F.col("first"))
+    # Kept, so that the join reads two plain shuffles, of which a hot interval's can be split.
+    first = kept(first.where("copies > 1").drop("copies"))
+    later = named.join(first, interval).where(F.col("pos") > F.col("first"))
     return later.select("row", "line", "size")
 
 
@@ -197,5 +199,5 @@ def deduplicated(
     cut = cut.withColumn(text, F.when(F.col(runs).isNotNull(), left).otherwise(F.col(text)))
     none = F.array().cast("array<struct<begin:bigint,end:bigint>>")
     return cut.withColumn(runs, F.coalesce(F.col(runs).cast("array<struct<begin:bigint,end:bigint>>"), none)).select(
-        *rows.columns, runs
+        *all_columns(rows), runs
     )
