@@ -55,9 +55,9 @@ def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as ids, with the text that the ids decode to."""
     queries.ship(spark)
     ranks = public_tokenizers.path(queries.RANK_FILE)
-    rows = bytebpe.encoded(docs, "text", ranks, "ids", "id_bytes").drop("id_bytes", "text")
-    rows = bytebpe.decoded(rows, "ids", ranks, "text")
-    return rows.withColumn("n_tokens", F.size("ids").cast("long"))
+    back = free_name(docs, "_back")
+    rows = bytebpe.encoded(docs, "text", ranks, "ids", "id_bytes", back).drop("id_bytes", "text")
+    return rows.withColumnRenamed(back, "text").withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from dormouse.llm.bytetext import Texts, slices
-from dormouse.llm.spread import named, quoted, undotted
+from dormouse.llm.spread import in_tasks, named, quoted, undotted
 
 # Symbols of a code point.
 LETTER, NUMBER, OTHER, JOINING_BLANK, LAST_BLANK, BLANK, QUOTE_1, QUOTE_2, END = range(9)
@@ -331,6 +331,13 @@ class Encoder:
         data = self.ranks.bytes[spread(self.ranks.starts[ids], lengths)]
         return data, ends[np.concatenate(([0], np.cumsum(counts)))]
 
+    def texts(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """The decoded texts; what is not UTF-8 becomes the replacement character."""
+        data, bounds = self.decode(ids, counts)
+        flat = data.tobytes()
+        found = [flat[b:e].decode("utf-8", "replace") for b, e in zip(bounds[:-1], bounds[1:])]
+        return pa.array(found, pa.string())
+
     def decimals(self, ids: np.ndarray, counts: np.ndarray) -> Iterator[bytes]:
         """The ids of each text in decimal, joined by commas."""
         lengths = self.ranks.decimal_lengths[ids]
@@ -359,12 +366,21 @@ def rank_file(path: str) -> bytes:
         return file.read()
 
 
-def encoded(documents: DataFrame, text: str, ranks: str, ids: str = "ids", starts: str = "id_bytes") -> DataFrame:
+def encoded(
+    documents: DataFrame,
+    text: str,
+    ranks: str,
+    ids: str = "ids",
+    starts: str = "id_bytes",
+    back: str | None = None,
+) -> DataFrame:
     """The documents with their ids, and the byte of the text at which each id's bytes begin.
 
-    A null or empty text has no ids. Columns named like the new ones are replaced.
+    With ``back``, a column of that name has the text that the ids decode to, by the same task. A
+    null or empty text has no ids. Columns named like the new ones are replaced.
     """
-    rows, plain = undotted(documents.drop(*(c for c in (ids, starts) if c != text)))
+    made = [ids, starts] + [back] * bool(back)
+    rows, plain = undotted(documents.drop(*(c for c in made if c != text)))
     text = plain[text]
     file = documents.sparkSession.sparkContext.broadcast(rank_file(ranks))
     int_lists = pa.list_(pa.int32())
@@ -382,10 +398,13 @@ def encoded(documents: DataFrame, text: str, ranks: str, ids: str = "ids", start
                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(v, pa.int32())).cast(int_lists)
                     for v in (found, at)
                 ]
-                yield pa.RecordBatch.from_arrays([*part.columns, *lists], names=[*part.schema.names, ids, starts])
+                if back:
+                    lists.append(own.texts(found, counts))
+                yield pa.RecordBatch.from_arrays([*part.columns, *lists], names=[*part.schema.names, *made])
 
-    done = rows.mapInArrow(encode, f"{named(rows)}, {quoted(ids)} array<int>, {quoted(starts)} array<int>")
-    return done.toDF(*plain, ids, starts)
+    schema = f"{named(rows)}, {quoted(ids)} array<int>, {quoted(starts)} array<int>"
+    schema += f", {quoted(back)} string" if back else ""
+    return in_tasks(rows, encode, schema).toDF(*plain, *made)
 
 
 def decoded(rows: DataFrame, ids: str, ranks: str, text: str = "text") -> DataFrame:
@@ -402,14 +421,10 @@ def decoded(rows: DataFrame, ids: str, ranks: str, text: str = "text") -> DataFr
         for batch in batches:
             lists = batch.column(ids)
             counts = np.nan_to_num(np.array(lists.value_lengths().fill_null(0)), nan=0).astype(np.int64)
-            data, bounds = own.decode(np.array(lists.flatten(), np.int64), counts)
-            flat = data.tobytes()
-            texts = [flat[b:e].decode("utf-8", "replace") for b, e in zip(bounds[:-1], bounds[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text]
-            )
+            texts = own.texts(np.array(lists.flatten(), np.int64), counts)
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, text])
 
-    return rest.mapInArrow(decode, f"{named(rest)}, {quoted(text)} string").toDF(*plain, text)
+    return in_tasks(rest, decode, f"{named(rest)}, {quoted(text)} string").toDF(*plain, text)
 
 
 def digests(documents: DataFrame, key: str, text: str, ranks: str) -> DataFrame:
@@ -435,4 +450,4 @@ def digests(documents: DataFrame, key: str, text: str, ranks: str) -> DataFrame:
                 )
 
     schema = f"{named(rows.select(key))}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return rows.mapInArrow(digest, schema)
+    return in_tasks(rows, digest, schema)

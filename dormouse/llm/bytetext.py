@@ -57,7 +57,7 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: np.uint64, count: int) -> np.ndarray:
-    """base^0 up to base^(count - 1) modulo 2^64, kept for the next call."""
+    """base^0 up to base^(count - 1) modulo 2^64, kept for the next call until ``forget``."""
     known = _powers.get(int(base))
     if known is None or len(known) < count:
         size = 1 << max(16, int(count - 1).bit_length())
@@ -69,6 +69,11 @@ def powers(base: np.uint64, count: int) -> np.ndarray:
     return known[:count]
 
 
+def forget() -> None:
+    """Drops what is kept between calls."""
+    _powers.clear()
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with about ``limit`` bytes of text, or one row if that has more."""
     if batch.num_rows == 0:

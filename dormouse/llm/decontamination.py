@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dormouse.llm.bytetext import LETTERS, Texts, slices
-from dormouse.llm.spread import all_columns, free_name, named, quoted, undotted
+from dormouse.llm.spread import all_columns, free_name, in_tasks, named, quoted, undotted
 
 WINDOW_WORDS = 10
 SAMPLED_SUFFIXES = 16
@@ -281,7 +281,7 @@ def marked(
         phrases = documents.sparkSession.sparkContext.broadcast(
             Phrases.of([r.id for r in own], [r.text for r in own], size)
         )
-        marked_rows = marked_rows.mapInArrow(_search(names[text], result, phrases), schema)
+        marked_rows = in_tasks(marked_rows, _search(names[text], result, phrases), schema)
     return marked_rows.toDF(*names, result)
 
 

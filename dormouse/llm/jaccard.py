@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from dormouse.llm.bytetext import NOT_BLANK, Texts, mixed, slices, windows
 from dormouse.llm.components import components
-from dormouse.llm.spread import free_name, kept, partitions
+from dormouse.llm.spread import all_columns, free_name, in_tasks, kept, partitions
 
 SHINGLE_WORDS = 5
 PERCENT = 75
@@ -239,7 +239,7 @@ def _classified(documents: DataFrame, text: str, key: str, ways: list[Bands]) ->
 
     kind = documents.schema[key].dataType.simpleString()
     lists = "".join(f", {name} array<bigint>" for name in names)
-    return kept(rows.mapInArrow(classify, f"key {kind}, row bigint, n bigint, c bigint{lists}"))
+    return kept(in_tasks(rows, classify, f"key {kind}, row bigint, n bigint, c bigint{lists}"))
 
 
 def _choose_bands(rows: DataFrame, percent: int) -> Bands:
@@ -284,7 +284,7 @@ def _entries(documents: DataFrame, text: str, bands: Bands) -> DataFrame:
                 entry, of = index_rows(hashes, bounds, shared.value)
                 yield pa.RecordBatch.from_arrays([pa.array(entry), pa.array(numbers[of])], names=["entry", "c"])
 
-    return documents.select(text).mapInArrow(index, "entry bigint, c bigint")
+    return in_tasks(documents.select(text), index, "entry bigint, c bigint")
 
 
 def _shared(entries: DataFrame, tasks: int) -> DataFrame:
@@ -318,7 +318,7 @@ def _shared(entries: DataFrame, tasks: int) -> DataFrame:
             )
 
     dealt = entries.repartition(tasks, F.shiftright("entry", 10))
-    return dealt.mapInArrow(share, "entry bigint, need bigint, c bigint")
+    return in_tasks(dealt, share, "entry bigint, need bigint, c bigint")
 
 
 def _sets(documents: DataFrame, text: str, chosen: DataFrame) -> DataFrame:
@@ -343,7 +343,7 @@ def _sets(documents: DataFrame, text: str, chosen: DataFrame) -> DataFrame:
                     names=["c", "n", "grams", "sketch"],
                 )
 
-    return kept(rows.select("row", text).mapInArrow(build, "c bigint, n bigint, grams array<bigint>, sketch binary"))
+    return kept(in_tasks(rows.select("row", text), build, "c bigint, n bigint, grams array<bigint>, sketch binary"))
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -467,7 +467,7 @@ def _compared(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     count = partitions(members.sparkSession)
     dealt = rows.repartition(count, "entry", "i", "j").sortWithinPartitions("entry", "i", "j")
-    return dealt.mapInArrow(compare, "a bigint, b bigint").distinct()
+    return in_tasks(dealt, compare, "a bigint, b bigint").distinct()
 
 
 def similar(documents: DataFrame, text: str, key: str, percent: int = PERCENT) -> DataFrame:
@@ -509,7 +509,8 @@ def similar(documents: DataFrame, text: str, key: str, percent: int = PERCENT) -
     found = components(joined)
     grouped = rows.join(found, F.col("c") == F.col("node"), "left")
     grouped = grouped.select("key", "row", "n", "c", F.coalesce("component", "c").alias("group"))
-    least = grouped.where("n > 0").groupBy("group").agg(F.min("key").alias("least"))
+    # Kept, so that the join reads two plain shuffles, of which a large group's can be split.
+    least = kept(grouped.where("n > 0").groupBy("group").agg(F.min("key").alias("least")))
     return grouped.join(least, "group", "left").select(
         "key",
         "row",
@@ -532,4 +533,4 @@ def one_of_each(documents: DataFrame, text: str, key: str, percent: int = PERCEN
     stay = first.unionByName(found.where("n = 0").select("row"))
     row = free_name(documents, "_row")
     numbered = documents.withColumn(row, F.monotonically_increasing_id())
-    return numbered.join(stay.withColumnRenamed("row", row), row, "left_semi").select(*documents.columns)
+    return numbered.join(stay.withColumnRenamed("row", row), row, "left_semi").select(*all_columns(documents))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from dormouse.llm.bytetext import LETTERS, Texts, slices, windows
-from dormouse.llm.spread import named, quoted, undotted
+from dormouse.llm.spread import in_tasks, named, quoted, undotted
 
 # A fingerprint is a hash of so many words; of so many neighbours the least is kept. Any stretch of
 # GRAM + NEIGHBOURS - 1 words that a document shares with a template then shares a fingerprint.
@@ -244,4 +244,4 @@ def scanned(
                 yield pa.RecordBatch.from_arrays([*part.columns, spans], names=[*part.schema.names, result])
 
     fields = ",".join(f"{name}:{sql}" for name, _, sql in _SPAN)
-    return rows.mapInArrow(scan, f"{named(rows)}, {quoted(result)} array<struct<{fields}>>").toDF(*plain, result)
+    return in_tasks(rows, scan, f"{named(rows)}, {quoted(result)} array<struct<{fields}>>").toDF(*plain, result)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dormouse.llm.bytetext import NOT_BLANK, Texts, slices
-from dormouse.llm.spread import kept
+from dormouse.llm.spread import in_tasks, kept
 
 # Words that are predicted one by one, words in a class of them, and classes of all other words.
 WORDS, CLASS_WORDS, BEGINNINGS = 2048, 64, 64
@@ -102,7 +102,7 @@ def word_counts(documents: DataFrame, text: str) -> DataFrame:
         if words:
             yield batch_of(*summed())
 
-    rows = documents.select(text).mapInArrow(count, "word bigint, shape int, count bigint")
+    rows = in_tasks(documents.select(text), count, "word bigint, shape int, count bigint")
     return kept(rows.groupBy("word").agg(F.min("shape").alias("shape"), F.sum("count").alias("count")))
 
 
@@ -368,7 +368,7 @@ def fit(documents: DataFrame, text: str, key: str, vocabulary: Vocabulary, round
                 )
 
         apart = dealt.repartition(trainers, "trainer").sortWithinPartitions(F.xxhash64(text), text)
-        steps = apart.mapInArrow(train, "place int, value double, weight double")
+        steps = in_tasks(apart, train, "place int, value double, weight double")
         # As many rows as the model has parameters.
         mean = steps.groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("value"))
         rows = mean.toArrow()
@@ -474,7 +474,8 @@ def scored(
 
     kind = documents.schema[key].dataType.simpleString()
     partly = kept(
-        rows.mapInArrow(
+        in_tasks(
+            rows,
             score,
             f"key {kind}, row bigint, n_tokens bigint, n_known bigint, base_score double, score double, rare array<bigint>",
         )

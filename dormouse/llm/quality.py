@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dormouse.llm.bytetext import NOT_BLANK, Texts, byte_set, mixed, per_text, replaced, slices, windows
-from dormouse.llm.spread import kept
+from dormouse.llm.spread import in_tasks, kept
 
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 LINE = ~byte_set((0x0A, 0x0A))
@@ -86,7 +86,7 @@ def document_measures(documents: DataFrame, text: str, keys: list[str]) -> DataF
                 arrays = [rows.column(i) for i in range(len(keys))] + [found[m] for m in MEASURES]
                 yield replaced(rows, [*keys, *MEASURES], arrays)
 
-    return chosen.mapInArrow(measure, schema)
+    return in_tasks(chosen, measure, schema)
 
 
 def base_failed():

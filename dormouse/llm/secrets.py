@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from dormouse.llm.bytetext import Texts, byte_set, slices
-from dormouse.llm.spread import named, quoted, undotted
+from dormouse.llm.spread import in_tasks, named, quoted, undotted
 
 KINDS = ["assign", "access", "hex", "guess"]
 MIN_ASSIGNED, MIN_ACCESS, MIN_HEX = 6, 20, 24
@@ -205,4 +205,4 @@ def scanned(documents: DataFrame, text: str, result: str) -> DataFrame:
                 )
 
     schema = f"{named(rows)}, {quoted(result)} array<struct<kind:string,begin:int,end:int>>"
-    return rows.mapInArrow(scan, schema).toDF(*plain, result)
+    return in_tasks(rows, scan, schema).toDF(*plain, result)

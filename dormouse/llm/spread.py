@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from dormouse.llm.bytetext import forget
+
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 
 def kept(df: DataFrame) -> DataFrame:
     """The same rows, computed once and written as Parquet below the cluster's shared folder.
@@ -35,6 +42,25 @@ def named(df: DataFrame) -> str:
     return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema)
 
 
+def in_tasks(df: DataFrame, work: Work, schema: str) -> DataFrame:
+    """``mapInArrow``, after which a task's Python process gives back the memory it has freed.
+
+    Python processes outlive their tasks, and would hold it while other stages run in the executor.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            forget()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+            if trim:
+                trim(0)
+
+    return df.mapInArrow(run, schema)
+
+
 def all_columns(df: DataFrame) -> list[str]:
     """The columns for a select, also those with a dot in their name."""
     return [quoted(name) for name in df.columns]

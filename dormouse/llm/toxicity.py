@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dormouse.llm.bytetext import LETTERS, Texts, byte_set, slices
-from dormouse.llm.spread import named, quoted, undotted
+from dormouse.llm.spread import in_tasks, named, quoted, undotted
 
 SENTENCE = ~byte_set((0x0A, 0x0A), (0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
 # A word counts as itself and by its first bytes, if it has more.
@@ -201,7 +201,7 @@ def train(
 
     ordered = sample.repartition(1).sortWithinPartitions("k").select("y", "t")
     # The features of a bounded sample that have a weight, and the bias.
-    rows = ordered.mapInArrow(learn, "feature bigint, weight double, bias boolean").collect()
+    rows = in_tasks(ordered, learn, "feature bigint, weight double, bias boolean").collect()
     features = np.array([r.feature for r in rows if not r.bias], np.int64).view(np.uint64)
     bias = next((r.weight for r in rows if r.bias), FIRST_BIAS)
     return Model(features, np.array([r.weight for r in rows if not r.bias]), bias)
@@ -240,4 +240,4 @@ def scored(documents: DataFrame, text: str, model: Model, result: str, threshold
 
     spans = "array<struct<begin:int,end:int,probability:double>>"
     schema = f"{named(rows)}, {quoted(result)} struct<score:double,spans:{spans}>"
-    return rows.mapInArrow(judge, schema).toDF(*plain, result)
+    return in_tasks(rows, judge, schema).toDF(*plain, result)

@@ -65,6 +65,8 @@ def test_encoded_and_decoded_tables(spark, tmp_path, library):
     docs = table(spark, tmp_path, odd_rows(), files=3, extra=True)
     rows = bytebpe.encoded(docs, "text", PATH)
     assert rows.columns == [*docs.columns, "ids", "id_bytes"]
+    both = bytebpe.encoded(docs, "text", PATH, back="same")
+    assert both.where("same <> coalesce(text, '')").count() == 0 and both.count() == rows.count()
     back = bytebpe.decoded(rows.withColumnRenamed("text", "before"), "ids", PATH)
     found = back.collect()
     assert len(found) == len(odd_rows())
