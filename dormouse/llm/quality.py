@@ -137,9 +137,11 @@ def host_verdicts(
     """Rows with their host's figures and ``host_rejected``: even its low estimate is over the rate.
 
     A host is judged by its documents alone, so a clean document of a rejected host goes too; the
-    two deviations keep small hosts, of which little is known. A hot host's rows meet its verdict
-    in a join that splits it, or that broadcasts the verdicts where they are few.
+    two deviations keep small hosts, of which little is known. The rows are kept, as they are read
+    twice. A hot host's rows meet its verdict in a join that splits it, or that broadcasts the
+    verdicts where they are few.
     """
+    rows = kept(rows)
     rates = host_rates(rows, host, failed).select(
         F.col(host).alias("_host"), "host_documents", "host_failed", "rate", "rate_low"
     )
