@@ -1,34 +1,55 @@
-"""Repeated runs of lines across documents: found in a suffix array over line numbers, later copies go.
-
-A corpus is one long sequence of lines. Only lines that occur twice or more can be part of a
-repeated run, so the suffix array covers stretches of those. It is built by prefix doubling: rank k
-orders suffixes by their first 2^k lines, and rank k + 1 is the order of pairs of ranks 2^k lines
-apart. A run of m lines then is an interval of suffixes whose longest common prefix is m lines or
-more; two ranks that together span its m lines name it. Runs are of interest from a size
-on, which bounds m, and with it the number of doublings, whatever the size of the corpus.
+"""Repeated runs of lines across documents: runs of lines are named by hashes, later copies go.
+
+A corpus is one long sequence of lines. Runs are of interest from a number of words on, and a line
+counts one at least: so a shortest run that begins or ends at a line, and has enough words, has no
+more lines than that. Any longer run that repeats is a union of shortest runs that repeat with it.
+These are the beginnings of suffixes by which a suffix array would order them; as only equal ones
+matter, and their length is bounded, they are named by hashes of their lines' hashes, and met by
+name in one shuffle in place of one for every doubling of their length.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dormouse.llm.spread import all_columns, free_name, kept, prefix_sums
 
-# A repeated run is deleted from this size on. Sizes of lines are in steps of 8 bytes, so these are
-# some 30 words.
-STEP_BYTES, MIN_SIZE = 8, 24
-# A line ends at a line feed, or at the blank after a sentence that has at least 40 characters since
-# the last sentence's end. Both stay with the line. (The first condition spares most of the second.)
-LINE_END = r"(?<=\n)|(?<=[.!?] )(?<=[^.!?\n]{40}[.!?] )"
+# A repeated run is deleted from so many words on.
+MIN_WORDS = 30
+STEP_BYTES = 8
+FEW_LINES = 6
+
+
+@dataclass(frozen=True)
+class Units:
+    """Where lines end; the size of ``x``, one of the ``lines``, or ``bare`` of white space at the end; a run's."""
+
+    line_end: str
+    of: str
+    size: str
+    least: int
+
 
+# A line ends at a line feed, or at the blank after any sentence's end; both stay with the line. It
+# counts its blanks and one as words, so an empty one counts one.
+SENTENCES = Units(r"(?<=\n)|(?<=[.!?] )", "bare", "1 + octet_length(x) - octet_length(replace(x, ' ', ''))", MIN_WORDS)
 
-def lines(text: Column) -> Column:
+
+def _long_sentences(min_size: int) -> Units:
+    """Coarser: sentences of 40 characters or more end lines, whose sizes are steps of 8 bytes, 1 at least."""
+    end = r"(?<=\n)|(?<=[.!?] )(?<=[^.!?\n]{40}[.!?] )"
+    return Units(end, "lines", f"greatest(1, octet_length(x) div {STEP_BYTES})", min_size)
+
+
+def lines(text: Column, line_end: str = SENTENCES.line_end) -> Column:
     """The text in lines with their ends; joined, they are the text. A null is an empty line."""
-    return F.split(F.coalesce(text, F.lit("")), LINE_END, -1)
+    return F.split(F.coalesce(text, F.lit("")), line_end, -1)
 
 
-def _numbered(documents: DataFrame, text: str, order: str) -> DataFrame:
+def _numbered(documents: DataFrame, text: str, order: str, units: Units) -> DataFrame:
     """Every document's lines as hashes and sizes, and ``at``, where it begins in the corpus. Kept.
 
     Documents stand in the order of ``order``, then of where they were read. A place is left for
@@ -39,109 +60,71 @@ def _numbered(documents: DataFrame, text: str, order: str) -> DataFrame:
         F.col(order).alias("key"),
         F.monotonically_increasing_id().alias("row"),
         (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("bytes"),
-        lines(F.col(text)).alias("lines"),
+        lines(F.col(text), units.line_end).alias("lines"),
     )
+    bare = split.withColumn("bare", F.expr("transform(lines, x -> rtrim(' \n\r\t', x))"))
     rows = kept(
-        split.select(
+        bare.select(
             "key",
             "row",
             "bytes",
-            F.expr("transform(lines, x -> xxhash64(rtrim(' \n\r\t', x)))").alias("hashes"),
-            F.expr(f"transform(lines, x -> greatest(1, octet_length(x) div {STEP_BYTES}))").alias("sizes"),
+            F.expr("transform(bare, y -> xxhash64(y))").alias("hashes"),
+            # more than a run's size is as good as that
+            F.expr(f"transform({units.of}, x -> cast(least({units.least}, {units.size}) as int))").alias("sizes"),
         )
     )
     begins = prefix_sums(rows.select("key", "row", "bytes"), ["key", "row"], {"at": F.col("bytes")})
     return kept(rows.select("row", "hashes", "sizes").join(begins.select("row", "at"), "row"))
 
 
-def _stretches(numbered: DataFrame, min_size: int) -> DataFrame:
-    """Stretches of neighbouring lines that all occur elsewhere too, long enough for a run.
-
-    ``rank`` is the first place of an equal line: lines are ordered by when they come up first.
-    ``forward`` is how many lines from this one on have ``min_size``, ``backward`` how many up to
-    this one; null where the stretch has less.
-    """
-    every = numbered.select("row", "at", F.posexplode(F.arrays_zip("hashes", "sizes")).alias("line", "of"))
-    every = every.select(
-        "row",
-        "line",
-        (F.col("at") + F.col("line")).alias("pos"),
-        F.col("of.hashes").alias("hash"),
-        F.col("of.sizes").cast("long").alias("own"),
-    )
-    again = every.groupBy("hash").agg(F.count(F.lit(1)).alias("copies"), F.min("pos").alias("rank"))
-    shared = every.join(again.where("copies > 1").select("hash", "rank"), "hash")
-    shared = _in_stretches(shared.withColumn("cover", F.col("own")), min_size)
-    stretch = Window.partitionBy("row", "stretch")
-    before = stretch.orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    shared = shared.withColumn("start", F.coalesce(F.sum("own").over(before), F.lit(0)))
-    shared = shared.withColumn("stop", F.col("start") + F.col("own"))
-    # Sizes are at least 1, so start and stop rise, and tell lines apart.
-    ahead = stretch.orderBy("start").rangeBetween(0, min_size - 1)
-    behind = stretch.orderBy("stop").rangeBetween(-(min_size - 1), 0)
-    count = F.count(F.lit(1))
-    return shared.select(
-        "row",
-        "pos",
-        "line",
-        "rank",
-        "own",
-        "cover",
-        F.when(F.col("total") - F.col("start") >= min_size, count.over(ahead)).alias("forward"),
-        F.when(F.col("stop") >= min_size, count.over(behind)).alias("backward"),
-    )
+def _shortest(sizes: str, least: int) -> str:
+    """How many of the first sizes make up the least size; null if all do not. One number holds count and sum."""
+    unit = 2 * least
+    step = f"if(a % {unit} >= {least}, a, a + {unit} + y)"
+    return f"aggregate({sizes}, 0L, (a, y) -> {step}, a -> if(a % {unit} >= {least}, int(a div {unit}), null))"
 
 
-def _in_stretches(suffixes: DataFrame, min_size: int) -> DataFrame:
-    """Numbers runs of neighbouring suffixes, and leaves out those whose lines have too small a size.
+def _runs(numbered: DataFrame, least: int) -> DataFrame:
+    """The shortest runs of enough size that begin or end at each line, with their names.
 
-    ``cover`` is the size of all lines that a suffix's rank is about, ``own`` that of its first.
+    ``pos`` is where a run begins in the corpus, ``line`` in its document, ``size`` how many lines it has.
     """
-    in_document = Window.partitionBy("row").orderBy("pos")
-    stretch = Window.partitionBy("row", "stretch")
-    numbered = suffixes.withColumn("stretch", F.col("pos") - F.row_number().over(in_document))
-    beyond = F.col("cover") - F.col("own")
-    last = F.max(F.struct("pos", beyond.alias("beyond"))).over(stretch)["beyond"]
-    total = F.sum("own").over(stretch) + last
-    return numbered.withColumn("total", total).where(F.col("total") >= min_size)
-
-
-def _doubled(ranked: DataFrame, step: int, min_size: int) -> DataFrame:
-    """Of suffixes ranked by ``step`` lines, those that share twice as many with another; their ranks."""
-    ahead = Window.partitionBy("row", "stretch").orderBy("pos")
-    pairs = (
-        _in_stretches(ranked, min_size)
-        .withColumn("next", F.lead("rank", step).over(ahead))
-        .withColumn("cover", F.col("cover") + F.lead("cover", step).over(ahead))
-        .where(F.col("next").isNotNull())
-    )
-    again = pairs.groupBy("rank", "next").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    order = ["rank", "next"]
-    ordered = prefix_sums(again.select(*order), order, {"doubled": F.lit(1).cast("long")})
-    found = pairs.join(ordered, order)
-    return found.select("row", "pos", F.col("doubled").alias("rank"), "own", "cover")
-
 
-def _later_copies(runs: DataFrame, ranks: DataFrame) -> DataFrame:
-    """Of runs of lines, those that an earlier equal run exists of.
-
-    ``ranks`` has the ranks by ``step`` lines of suffixes at ``pos``. A run's step is the largest
-    power of 2 within its size.
-    """
-    head = runs.join(ranks.withColumnRenamed("rank", "head"), ["step", "pos"])
-    tails = ranks.select("step", F.col("pos").alias("end"), F.col("rank").alias("tail"))
-    named = head.withColumn("end", F.col("pos") + F.col("size") - F.col("step")).join(tails, ["step", "end"])
-    named = kept(named.select("row", "line", "pos", "size", "head", "tail"))
-    # An interval of the suffix array: equal size, equal ranks at its beginning and before its end.
-    interval = ["size", "head", "tail"]
-    first = named.groupBy(*interval).agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("copies"))
-    # Kept, so that the join reads two plain shuffles, of which a hot interval's can be split.
+    def shortest(part: str) -> str:
+        # Most runs have few lines: all that a run can have are looked at where these do not do.
+        few, most = (_shortest(part.format(most=n), least) for n in (min(FEW_LINES, least), least))
+        return f"transform(sizes, (x, i) -> coalesce({few}, {most}, 0))"
+
+    ahead = "slice(sizes, i + 1, {most})"
+    behind = "reverse(slice(sizes, greatest(1, i + 2 - {most}), least({most}, i + 1)))"
+    counted = numbered.select(
+        "at",
+        "hashes",
+        F.expr(shortest(ahead)).alias("forward"),
+        F.expr(shortest(behind)).alias("backward"),
+    )
+    # A run that is shortest from both its ends is taken once.
+    begin = "named_struct('line', i, 'size', m)"
+    end = "named_struct('line', i - m + 1, 'size', if(m > 0 and forward[i - m + 1] = m, 0, m))"
+    both = f"concat(transform(forward, (m, i) -> {begin}), transform(backward, (m, i) -> if(m > 0, {end}, {begin})))"
+    spans = counted.select("at", "hashes", F.expr(f"filter({both}, r -> r.size > 0)").alias("spans"))
+    own = "slice(hashes, r.line + 1, r.size)"
+    named = f"named_struct('line', r.line, 'size', r.size, 'name', xxhash64({own}), 'more', hash({own}))"
+    runs = spans.select("at", F.explode(F.expr(f"transform(spans, r -> {named})")).alias("run"))
+    return runs.select((F.col("at") + F.col("run.line")).alias("pos"), "run.*")
+
+
+def _later_copies(runs: DataFrame) -> DataFrame:
+    """Of runs of lines, those that an earlier equal run exists of; ``at`` is where the document begins."""
+    name = ["name", "more"]
+    first = runs.groupBy(*name).agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("copies"))
+    # Kept, so that the join reads two plain shuffles, of which a hot run's can be split.
     first = kept(first.where("copies > 1").drop("copies"))
-    later = named.join(first, interval).where(F.col("pos") > F.col("first"))
-    return later.select("row", "line", "size")
+    later = runs.join(first, name).where(F.col("pos") > F.col("first"))
+    return later.select((F.col("pos") - F.col("line")).alias("at"), "line", "size")
 
 
-def repeated_runs(documents: DataFrame, text: str, order: str, min_size: int = MIN_SIZE) -> DataFrame:
+def repeated_runs(documents: DataFrame, text: str, order: str, units: Units = SENTENCES) -> DataFrame:
     """``row`` and ``runs`` of each document with later copies: maximal spans of line numbers.
 
     ``row`` is what ``monotonically_increasing_id`` gives the document's row, so the documents have
@@ -150,33 +133,20 @@ def repeated_runs(documents: DataFrame, text: str, order: str, min_size: int = M
     A line is in a later copy if it is in one of the shortest runs of enough size that begin or
     end at some line, and an equal run stands earlier. Unions of these are the maximal runs.
     """
-    ranked = kept(_stretches(_numbered(documents, text, order), min_size))
-    forward = ranked.select("row", "pos", "line", F.col("forward").alias("size"))
-    back = F.col("backward") - 1
-    backward = ranked.select(
-        "row", (F.col("pos") - back).alias("pos"), (F.col("line") - back).alias("line"), F.col("backward").alias("size")
-    )
-    runs = forward.unionByName(backward).where(F.col("size").isNotNull()).distinct()
-    step = F.element_at(F.array(*(F.lit(1 << k) for k in range(min_size.bit_length()))), F.length(F.bin("size")))
-    runs = runs.withColumn("step", step)
-    lines_each, ranks = 1, ranked.select(F.lit(1).alias("step"), "pos", "rank")
-    while 2 * lines_each <= min_size:
-        ranked = kept(_doubled(ranked, lines_each, min_size))
-        lines_each *= 2
-        ranks = ranks.unionByName(ranked.select(F.lit(lines_each).alias("step"), "pos", "rank"))
-    later = _later_copies(runs, ranks)
-    in_document = Window.partitionBy("row").orderBy("line", "size")
+    numbered = _numbered(documents, text, order, units)
+    later = _later_copies(_runs(numbered, units.least))
+    in_document = Window.partitionBy("at").orderBy("line", "size")
     end = F.col("line") + F.col("size")
     before = F.max(end).over(in_document.rowsBetween(Window.unboundedPreceding, -1))
     opened = later.withColumn("new", F.coalesce((F.col("line") > before).cast("int"), F.lit(1)))
-    numbered = opened.withColumn("run", F.sum("new").over(in_document))
-    merged = numbered.groupBy("row", "run").agg(F.min("line").alias("begin"), F.max(end).alias("end"))
-    spans = merged.groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
-    return spans.select("row", F.array_sort("runs").alias("runs"))
+    spans = opened.withColumn("run", F.sum("new").over(in_document))
+    merged = spans.groupBy("at", "run").agg(F.min("line").alias("begin"), F.max(end).alias("end"))
+    found = merged.groupBy("at").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
+    return numbered.select("row", "at").join(found, "at").select("row", F.array_sort("runs").alias("runs"))
 
 
 def deduplicated(
-    documents: DataFrame, text: str, order: str, runs: str, min_size: int = MIN_SIZE
+    documents: DataFrame, text: str, order: str, runs: str, min_size: int | None = None
 ) -> DataFrame:
     """The documents without later copies of repeated runs of lines in their text.
 
@@ -185,16 +155,18 @@ def deduplicated(
     nulls of ``order`` come first. Runs that overlap a copy of their own beginning lose all but that.
     A null text stays null, an empty one empty, and a document that is a copy throughout ends up
     empty. Of repeated rows all but the first are copies. A column named like ``runs`` is replaced.
+    Runs count from ``MIN_WORDS`` words on; only callers that give a ``min_size`` get coarser units.
     """
+    units = SENTENCES if min_size is None else _long_sentences(min_size)
     rows = documents.drop(runs)
     row = free_name(rows, "_row")
-    found = repeated_runs(documents, text, order, min_size).select(
+    found = repeated_runs(documents, text, order, units).select(
         F.col("row").alias(row), F.col("runs").alias(runs)
     )
     own = rows.withColumn(row, F.monotonically_increasing_id()).join(found, row, "left")
     inside = f"exists(`{runs}`, s -> i >= s.begin and i < s.end)"
     split = free_name(own, "_lines")
-    cut = own.withColumn(split, F.when(F.col(runs).isNotNull(), lines(F.col(text))))
+    cut = own.withColumn(split, F.when(F.col(runs).isNotNull(), lines(F.col(text), units.line_end)))
     left = F.array_join(F.expr(f"filter(`{split}`, (x, i) -> not {inside})"), "")
     cut = cut.withColumn(text, F.when(F.col(runs).isNotNull(), left).otherwise(F.col(text)))
     none = F.array().cast("array<struct<begin:bigint,end:bigint>>")

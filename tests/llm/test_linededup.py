@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 
@@ -67,3 +68,47 @@ def test_plan_is_free_of_python(spark, tmp_path):
 
 def test_free_name(spark):
     assert free_name(spark.range(1).selectExpr("id", "1 AS _Row"), "_row") == "_row_"
+
+
+ANY_LINE_END = re.compile(r"(?<=\n)|(?<=[.!?] )")
+
+
+def without_runs_of_30_words(texts):
+    """Like the plain version, with every sentence a line and runs of 30 words or more."""
+    left, before = [], set()
+    for text in texts:
+        own = ANY_LINE_END.split(text or "")
+        keys = [line.rstrip(" \n\r\t") for line in own]
+        gone = set()
+        for start in range(len(keys)):
+            words = 0
+            for end in range(start, len(keys)):
+                words += 1 + keys[end].count(" ")
+                if words >= 30:
+                    run = tuple(keys[start : end + 1])
+                    if run in before:
+                        gone |= set(range(start, end + 1))
+                    before.add(run)
+        left.append("".join(line for i, line in enumerate(own) if i not in gone))
+    return left
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_every_sentence_is_a_line_and_30_words_are_a_run(spark, tmp_path, seed):
+    rows = made_rows(seed) + odd_rows()
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, i))
+    wanted = without_runs_of_30_words([rows[i][1] for i in order])
+    found = linededup.deduplicated(table(spark, tmp_path, rows), "text", "doc_id", "runs").collect()
+    got = [(r.doc_id, r.text if r.text is not None else "") for r in found]
+    assert sorted(got, key=repr) == sorted(((rows[i][0], t) for i, t in zip(order, wanted)), key=repr)
+
+
+def test_passages_beside_short_sentences_and_in_short_lines_go(spark, tmp_path):
+    long = "This passage has more than fifty words, all of which stand in sentences that are not short at all. " * 2 + (
+        "It stands between two short sentences, which are not the same in any two of the documents that hold it. "
+    )
+    short = "".join(f"a{i} b{i} c{i}\n" for i in range(23))
+    rows = [(i, f"No {i}. {long}Yes {i}. So own {i}.\n{short}Own {i} end.\n") for i in range(6)]
+    found = {r.doc_id: r.text for r in linededup.deduplicated(table(spark, tmp_path, rows), "text", "doc_id", "runs").collect()}
+    assert found[0] == rows[0][1]
+    assert all(found[i] == f"No {i}. Yes {i}. So own {i}.\nOwn {i} end.\n" for i in range(1, 6))
