@@ -31,13 +31,11 @@ _CONTEXT_WORDS = [*_ASSIGN_WORDS, b"passphrase", b"passcode", b"pwd", b"credenti
 _CONTEXT = re.compile(
     rb"(?i:password|passwd|passphrase|passcode|pwd|secret|token|api[_-]?key|access[_-]?key"
     rb"|private[_-]?key|credentials?)"
-    rb"""["']?\x20{0,8}(?:=>|[:=])\x20{0,8}["'`]?([^\x00-\x20\x7f"'`<>,;()\[\]{}]+)"""
+    rb"""["']?\x20*(?:=>|[:=])\x20*["'`]?([^\x00-\x20\x7f"'`<>,;()\[\]{}]+)"""
 )
 
-# A value is a secret from so many guesses on, in decimal digits, and only up to so many characters:
-# longer runs are data, not something that somebody would have to guess.
+# A value is a secret from so many guesses on, in decimal digits.
 MIN_GUESS_DIGITS = 8.0
-MAX_VALUE = 256
 
 # Frequent parts of passwords, the likeliest first.
 PASSWORD_WORDS = """
@@ -80,11 +78,12 @@ def _adjacent(a: str, b: str) -> bool:
     return bool(p and q) and p != q and abs(p[0] - q[0]) <= 1 and abs(p[1] - q[1]) <= 1
 
 
-def guess_digits(value: str) -> tuple[float, list[tuple[str, int, int]]]:
+def guess_digits(value: str, enough: float = math.inf) -> tuple[float, list[tuple[str, int, int]]]:
     """Decimal digits of the guesses that the cheapest segmentation needs, and its parts.
 
     Brute-force parts have no bound in length; the others reach over at most a few dozen characters
-    at a time, so the work is in proportion to the length.
+    at a time, so the work is in proportion to the length. It ends where all ways on need ``enough``
+    digits already; then these are returned, without parts.
     """
     count = len(value)
     low = value.lower()
@@ -107,7 +106,13 @@ def guess_digits(value: str) -> tuple[float, list[tuple[str, int, int]]]:
     for at in range(count - 2, -1, -1):
         same_end[at] = same_end[at + 1] if low[at] == low[at + 1] else at + 1
         walk_end[at] = walk_end[at + 1] if _adjacent(low[at], low[at + 1]) else at + 1
+    check = 32
     for at in range(count):
+        if at == check:
+            check *= 2
+            # No part costs less than nothing, and every way leads over a place from here on.
+            if (least := min(cost[at:])) >= enough:
+                return least, []
         joined = 0.0 if in_brute[at] else _CHOICE
         if cost[at] + joined + _brute(value[at]) < cost[at + 1] - 1e-12:
             start = back[at][1] if in_brute[at] else at
@@ -171,7 +176,7 @@ def find(texts: Texts) -> dict[int, list[tuple[int, int, int]]]:
     for i in _with_any(low, texts, _CONTEXT_WORDS).tolist():
         for match in _CONTEXT.finditer(data[bounds[i] : bounds[i + 1]]):
             value = match[1].rstrip(b".:!?").decode("utf-8", "replace")
-            if MIN_ASSIGNED <= len(value) <= MAX_VALUE and guess_digits(value)[0] >= MIN_GUESS_DIGITS:
+            if MIN_ASSIGNED <= len(value) and guess_digits(value, MIN_GUESS_DIGITS)[0] >= MIN_GUESS_DIGITS:
                 end = match.start(1) + len(match[1].rstrip(b".:!?"))
                 found.setdefault(i, []).append((match.start(1), 3, end))
     return found

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import pyarrow as pa
@@ -65,3 +66,20 @@ def test_parts_cover_the_value_and_cost_no_more_than_brute_force():
 def test_known_parts_make_a_value_cheaper():
     weak, strong = secrets.guess_digits("dragon2020")[0], secrets.guess_digits("xk9vq7wzjp")[0]
     assert weak < secrets.MIN_GUESS_DIGITS < strong
+
+
+@pytest.mark.parametrize("length", [256, 257, 300, 3000])
+def test_values_of_every_length_after_any_number_of_blanks(length):
+    value = ("xK9#vQ2!zW7%" * length)[: length - 1] + "k"
+    for text in (f"pwd: {value}", f"private_key{' ' * 30}={' ' * 500}{value}"):
+        assert secrets.find(Texts.of(pa.array([text]))) == {0: [(len(text) - length, 3, len(text))]}
+    for weak in ("z" * length, "password" + "z" * length):
+        assert secrets.find(Texts.of(pa.array([f"pwd: {weak}"]))) == {}
+
+
+def test_stopping_early_does_not_change_the_verdict():
+    choose = random.Random(3)
+    for _ in range(300):
+        value = "".join(choose.choices(["password", "aaaa" * 20, "2020", "x", "#", "qwertyuiop", "é", "7"], k=choose.randint(1, 12)))
+        limit = choose.uniform(1, 40)
+        assert (secrets.guess_digits(value, limit)[0] >= limit) == (secrets.guess_digits(value)[0] >= limit)
