@@ -130,11 +130,11 @@ def align(template: np.ndarray, words: np.ndarray, shift: int, band: int = BAND)
     """Most template words matched in order within the band, and the words' first and last match.
 
     Word j of the document is held against word i of the template only if j - i is within ``band``
-    of ``shift``. Of alignments with as many matches the one with the shortest span counts.
+    of ``shift``. Of alignments with as many matches the one with the shortest span counts, then the first.
     """
     width = 2 * band + 1
-    # best[d]: (matches, -first matched word, last matched word) with j - i = shift - band + d
-    none = (0, 0, -1)
+    # best[d]: (matches, first matched word, -last matched word) with j - i = shift - band + d
+    none = (0, 0, 1)
     best = [none] * (width + 1)
     for i, word in enumerate(template.tolist()):
         now = [none] * (width + 1)
@@ -144,13 +144,12 @@ def align(template: np.ndarray, words: np.ndarray, shift: int, band: int = BAND)
             choice = max(now[d - 1] if d else none, best[d + 1] if d + 1 <= width else none)
             if 0 <= j < len(words) and int(words[j]) == word:
                 count, first, _ = best[d]
-                match = (count + 1, first if count else -j, j)
-                choice = max(choice, match, key=lambda m: (m[0], m[1], -m[2]))
+                choice = max(choice, (count + 1, first if count else j, -j))
             now[d] = choice
         now[width] = none
         best = now
-    count, first, last = max(best, key=lambda m: (m[0], m[1], -m[2]))
-    return count, -first, last + 1
+    count, first, last = max(best, key=lambda m: (m[0], m[1] + m[2], -m[1]))
+    return count, first, 1 - last
 
 
 def find(texts: Texts, index: Index, min_coverage: float = MIN_COVERAGE) -> dict[int, list[dict]]:
@@ -171,18 +170,17 @@ def find(texts: Texts, index: Index, min_coverage: float = MIN_COVERAGE) -> dict
         own = words[bounds[text] : bounds[text + 1]]
         body = index.words[template]
         spans: dict[tuple[int, int], int] = {}
-        last, done = None, 0
+        done = 0
         for shift in sorted(shifts):
-            if last is not None and shift - last <= BAND and shift < done:
-                continue  # part of the alignment before
-            last = shift
-            low_at = max(0, done, shift - BAND)
-            part = own[low_at : shift + len(body) + BAND]
-            matched, first, end = align(body, part, shift - low_at)
-            done = max(done, low_at + end)
-            if matched >= min_coverage * len(body):
-                key = (low_at + first, low_at + end)
-                spans[key] = max(spans.get(key, 0), matched)
+            # With all words, and without those of matches before: of spans that overlap, one is chosen
+            # later. Words of an alignment that is no match stay free.
+            for low_at in sorted({max(0, shift - BAND), max(0, done, shift - BAND)}):
+                part = own[low_at : max(low_at, shift + len(body) + BAND)]
+                matched, first, end = align(body, part, shift - low_at)
+                if matched >= min_coverage * len(body):
+                    key = (low_at + first, low_at + end)
+                    spans[key] = max(spans.get(key, 0), matched)
+                    done = max(done, low_at + end)
         base, begin = int(bounds[text]), int(texts.offsets[text])
         for (first, end), matched in spans.items():
             lead = (texts.data[begin : ends[base + end - 1]] & 0xC0) != 0x80

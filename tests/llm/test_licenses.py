@@ -66,3 +66,11 @@ def test_a_run_shares_a_fingerprint():
         text = Texts.of(pa.array([" ".join(map(str, words[start : start + 40])), " ".join(map(str, [999, 998, *words[start + 7 : start + 11], 997]))]))
         *_, owner, prints, at = licenses._grams(text)
         assert set(prints[owner[at] == 0]) & set(prints[owner[at] == 1])
+
+
+def test_a_quotation_of_its_beginning_does_not_hide_the_whole_text():
+    header = licenses.TEMPLATES["Apache-2.0-header"]
+    for between in range(14, 41):
+        text = " ".join([licenses.TEMPLATES["Apache-2.0"], *(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(between)), header])
+        spans = [(s["license"], s["matched"]) for s in found([text])[0]]
+        assert spans == [("Apache-2.0", 8), ("Apache-2.0-header", 86)], between
