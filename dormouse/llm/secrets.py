@@ -1,7 +1,8 @@
 """Secrets in text: known forms, and values in credential contexts that would take long to guess.
 
 How long follows from the cheapest way to put a value together: a dynamic program over its
-characters chooses between dictionary words, dates, repeats, keyboard walks and brute force.
+characters chooses between dictionary words, dates, repeats, keyboard walks and brute force. The
+dictionary has passwords' words, and the words that are frequent in the corpus itself.
 """
 
 from __future__ import annotations
@@ -13,9 +14,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from dormouse.llm.bytetext import Texts, byte_set, slices
-from dormouse.llm.spread import in_tasks, named, quoted, undotted
+from dormouse.llm.spread import in_tasks, kept, named, quoted, undotted
 
 KINDS = ["assign", "access", "hex", "guess"]
 MIN_ASSIGNED, MIN_ACCESS, MIN_HEX = 6, 20, 24
@@ -37,6 +39,11 @@ _CONTEXT = re.compile(
 # A value is a secret from so many guesses on, in decimal digits.
 MIN_GUESS_DIGITS = 8.0
 
+# Words of the corpus with at least this share of all its documents' words, each counted once a
+# document, and in so many documents, are in the dictionary: so at most as many words.
+FREQUENT_SHARE, LEAST_DOCUMENTS = 1 / (1 << 17), 3
+MIN_LETTERS, MAX_LETTERS = 3, 24
+
 # Frequent parts of passwords, the likeliest first.
 PASSWORD_WORDS = """
 password qwerty admin welcome login letmein dragon monkey master hello secret test user root guest
@@ -78,13 +85,34 @@ def _adjacent(a: str, b: str) -> bool:
     return bool(p and q) and p != q and abs(p[0] - q[0]) <= 1 and abs(p[1] - q[1]) <= 1
 
 
-def guess_digits(value: str, enough: float = math.inf) -> tuple[float, list[tuple[str, int, int]]]:
+def corpus_words(documents: DataFrame, text: str) -> dict[str, int]:
+    """Ranks of the corpus' frequent words in lower case, the most frequent first."""
+    words = documents.select(F.explode(F.array_distinct(F.split(F.lower(F.col(quoted(text))), r"\P{L}+"))).alias("word"))
+    words = words.where(F.length("word").between(MIN_LETTERS, MAX_LETTERS))
+    counts = kept(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    least = max(LEAST_DOCUMENTS, total * FREQUENT_SHARE)
+    # At most 1 / FREQUENT_SHARE words can have that share.
+    rows = counts.where(F.col("n") >= least).toArrow()
+    ordered = sorted(zip(rows["n"].to_pylist(), rows["word"].to_pylist()), key=lambda r: (-r[0], r[1]))
+    return {word: rank for rank, (_, word) in enumerate(ordered, 1)}
+
+
+def guess_digits(
+    value: str, enough: float = math.inf, ranks: dict[str, int] | None = None
+) -> tuple[float, list[tuple[str, int, int]]]:
     """Decimal digits of the guesses that the cheapest segmentation needs, and its parts.
 
     Brute-force parts have no bound in length; the others reach over at most a few dozen characters
     at a time, so the work is in proportion to the length. It ends where all ways on need ``enough``
-    digits already; then these are returned, without parts.
+    digits already; then these are returned, without parts. ``ranks`` adds words to the dictionary.
     """
+    known = ranks or {}
+    longest = max(_LONGEST_WORD, MAX_LETTERS) if known else _LONGEST_WORD
+
+    def rank_of(word: str) -> int | None:
+        return min(filter(None, (_WORD_RANK.get(word), known.get(word))), default=None)
+
     count = len(value)
     low = value.lower()
     plain = low.translate(_LEET)
@@ -121,13 +149,14 @@ def guess_digits(value: str, enough: float = math.inf) -> tuple[float, list[tupl
                 ("brute", start),
                 True,
             )
-        for end in range(at + 3, min(count, at + _LONGEST_WORD) + 1):
-            rank = _WORD_RANK.get(low[at:end]) or _WORD_RANK.get(plain[at:end])
+        for end in range(at + 3, min(count, at + longest) + 1):
+            own = rank_of(low[at:end])
+            rank = own or rank_of(plain[at:end])
             if rank:
                 word = value[at:end]
                 # lower case, first capital, all capitals or mixed; and letters put as digits
                 spelt = 1 + (word != low[at:end]) * (2 if word.istitle() or word.isupper() else len(word))
-                spelt *= 2 if low[at:end] not in _WORD_RANK else 1
+                spelt *= 1 if own else 2
                 offer("word", at, end, _CHOICE + math.log10(rank * spelt))
         for end, digits in dates.get(at, ()):
             offer("date", at, end, _CHOICE + digits)
@@ -154,7 +183,7 @@ def _with_any(data: bytes, texts: Texts, words: list[bytes]) -> np.ndarray:
     return np.unique(texts.of_positions(np.array(sorted(found), np.int64)))
 
 
-def find(texts: Texts) -> dict[int, list[tuple[int, int, int]]]:
+def find(texts: Texts, ranks: dict[str, int] | None = None) -> dict[int, list[tuple[int, int, int]]]:
     """(start, kind number, end) in bytes of each text's spans; a base match stays whatever else is found."""
     data = texts.data.tobytes()
     low = data.lower()
@@ -176,7 +205,7 @@ def find(texts: Texts) -> dict[int, list[tuple[int, int, int]]]:
     for i in _with_any(low, texts, _CONTEXT_WORDS).tolist():
         for match in _CONTEXT.finditer(data[bounds[i] : bounds[i + 1]]):
             value = match[1].rstrip(b".:!?").decode("utf-8", "replace")
-            if MIN_ASSIGNED <= len(value) and guess_digits(value, MIN_GUESS_DIGITS)[0] >= MIN_GUESS_DIGITS:
+            if MIN_ASSIGNED <= len(value) and guess_digits(value, MIN_GUESS_DIGITS, ranks)[0] >= MIN_GUESS_DIGITS:
                 end = match.start(1) + len(match[1].rstrip(b".:!?"))
                 found.setdefault(i, []).append((match.start(1), 3, end))
     return found
@@ -187,10 +216,12 @@ def scanned(documents: DataFrame, text: str, result: str) -> DataFrame:
 
     Spans are in code points, end exclusive, in order of their begin and then of their kind. A null
     or empty text has none; every row is scanned by itself, so repeated rows get equal spans. A
-    column named like ``result`` is replaced.
+    column named like ``result`` is replaced. Words that are frequent in the documents are counted
+    first and broadcast.
     """
     rows, plain = undotted(documents.drop(result))
     text = plain[text]
+    ranks = documents.sparkSession.sparkContext.broadcast(corpus_words(rows, text))
     kind = pa.list_(pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +229,7 @@ def scanned(documents: DataFrame, text: str, result: str) -> DataFrame:
             for part in slices(batch, text):
                 texts = Texts.of(part.column(text))
                 spans: list[list[dict]] = [[] for _ in range(len(texts))]
-                for i, own in find(texts).items():
+                for i, own in find(texts, ranks.value).items():
                     data = texts.data[texts.offsets[i] : texts.offsets[i + 1]]
                     points = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))
                     spans[i] = [

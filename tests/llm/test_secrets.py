@@ -83,3 +83,13 @@ def test_stopping_early_does_not_change_the_verdict():
         value = "".join(choose.choices(["password", "aaaa" * 20, "2020", "x", "#", "qwertyuiop", "é", "7"], k=choose.randint(1, 12)))
         limit = choose.uniform(1, 40)
         assert (secrets.guess_digits(value, limit)[0] >= limit) == (secrets.guess_digits(value)[0] >= limit)
+
+
+def test_ordinary_words_of_the_corpus_are_not_flagged_in_context(spark, tmp_path):
+    prose = "A garden is required here. Its lease has expired, Übungen follow."
+    rows = [(i, f"{prose} Number {i}.") for i in range(5)] + [
+        (10, "pwd: required"), (11, "passphrase: garden"), (12, "credential: expired"), (13, "pwd: Übungen"),
+        (14, "pwd: xkqvzjwpty"), (15, "pwd: x7#Kq!29vLpZ"), (16, "passphrase: Garden2020"),
+    ]
+    found = secrets.scanned(table(spark, tmp_path, rows, extra=True), "text", "found").collect()
+    assert {r.doc_id for r in found if r.found} == {14, 15}
