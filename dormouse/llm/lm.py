@@ -7,8 +7,8 @@ with one count more for each and one for all unknown words. So the model is a di
 words, whatever the corpus' size.
 
 Training starts from the counts (the state says nothing) and goes in rounds: every trainer makes
-steps of truncated backpropagation on its own part of a sample, a share of the corpus, and the
-trainers' parameters are averaged. In scoring, documents of a task advance side by side, window by
+steps of truncated backpropagation on its own part of the round's documents, and the trainers'
+parameters are averaged. Rounds share out all documents, so that each is learnt from once. In scoring, documents of a task advance side by side, window by
 window, and their states are carried from window to window to the end of the longest.
 """
 
@@ -30,8 +30,8 @@ WORDS, CLASS_WORDS, BEGINNINGS = 2048, 64, 64
 STATE = 16
 # Counts of words with at least this share of all tokens go to every task: so at most as many words.
 FREQUENT_SHARE = 1 / (1 << 21)
-# In each round a 32nd of the learnt documents, or enough for so many tokens, and tokens of a trainer.
-SAMPLE_SHARE, SAMPLE_TOKENS, TRAINER_TOKENS = 32, 1_500_000, 750_000
+# Tokens of a trainer.
+TRAINER_TOKENS = 750_000
 ROUNDS, LANES, WINDOW, RATE = 3, 48, 20, 0.08
 # Text of documents that advance side by side, and steps between two carryings of their states.
 SCORED_BYTES, SCORED_WINDOW = 6 << 20, 32
@@ -328,22 +328,22 @@ def _unflat(values: np.ndarray) -> Parameters:
 
 
 def fit(documents: DataFrame, text: str, key: str, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Parameters:
-    """Parameters after rounds of parallel training on samples of whole documents.
+    """Parameters after rounds of parallel training on whole documents.
 
-    A round takes the documents whose key hashes into its share. The share does not shrink with the
-    corpus, so that training grows with it; trainers get near equal parts, and the average of their
-    parameters, weighted by tokens, is made by a shuffle before it reaches the driver.
+    A round takes the documents whose key and text hash into its share: at every size one part of as
+    many as there are rounds, so that all documents are learnt from, each in one round. The trainers
+    grow in number with the corpus and get near equal parts, and the average of their parameters,
+    weighted by tokens, is made by a shuffle before it reaches the driver.
     """
     spark = documents.sparkSession
     model = initial(vocabulary)
     if not vocabulary.tokens:
         return model
-    shares = max(1, min(SAMPLE_SHARE, vocabulary.tokens // SAMPLE_TOKENS))
-    trainers = max(1, round(vocabulary.tokens / shares / TRAINER_TOKENS))
+    trainers = max(1, round(vocabulary.tokens / rounds / TRAINER_TOKENS))
     shared = spark.sparkContext.broadcast(vocabulary)
     hashed = F.xxhash64(F.col(key).cast("string"), F.col(text))
     for number in range(rounds):
-        sample = documents.where(F.pmod(hashed, F.lit(shares)) == number % shares)
+        sample = documents.where(F.pmod(hashed, F.lit(rounds)) == number)
         dealt = sample.select(text, F.pmod(F.xxhash64(hashed, F.lit(number)), F.lit(trainers)).alias("trainer"))
         now = spark.sparkContext.broadcast(model)
 

@@ -117,3 +117,39 @@ def test_odd_rows_and_empty_table(spark, tmp_path):
     assert lm.scored(none, "text", "doc_id", counts, vocabulary, model).count() == 0
     unseen = lm.scored(docs, "text", "doc_id", counts, vocabulary, model).collect()
     assert len(unseen) == len(odd_rows()) and all(r.n_known == 0 for r in unseen)
+
+
+@pytest.mark.parametrize("tokens", [1000, 200_000_000])
+def test_every_document_is_learnt_from_in_one_round_at_every_size(spark, tmp_path, monkeypatch, tokens):
+    # Each text is one word, so that a trainer that takes part is told by the words it was given.
+    rows = [(i, f"w{i}") for i in range(40)]
+    docs = table(spark, tmp_path, rows)
+    vocabulary = lm.Vocabulary.of(lm.word_counts(docs, "text"))
+    vocabulary.tokens = tokens
+    seen = str(tmp_path / "seen")
+
+    def noted(model, numbers, rate=0.0):
+        with open(seen, "a") as file:
+            file.write("".join(f"{int(n[0])}\n" for n in numbers))
+        return model
+
+    monkeypatch.setattr(lm, "TRAINER_TOKENS", 20_000_000)
+    monkeypatch.setattr(lm, "trained", noted)
+    source = lm.in_tasks
+    monkeypatch.setattr(lm, "in_tasks", lambda df, work, schema: source(df, _with(work, noted), schema))
+    lm.fit(docs, "text", "doc_id", vocabulary)
+    with open(seen) as file:
+        assert sorted(map(int, file)) == sorted(vocabulary.number[vocabulary.number >= 0].tolist())[1:]
+
+
+def _with(work, noted):
+    def run(batches):
+        from dormouse.llm import lm as own
+
+        before, own.trained = own.trained, noted  # tasks run in processes of their own, which go on
+        try:
+            yield from work(batches)
+        finally:
+            own.trained = before
+
+    return run
