@@ -150,9 +150,118 @@ SELECT doc_id, ifnull(n, 0) AS n_shingles, component_id
 FROM doc LEFT JOIN size USING (r) JOIN least_key USING (r)
 """
 
+# Block and shard sizes, rounds and seed are those of mixing.py.
+MIXING = f"""
+WITH doc AS (
+    SELECT row_number() OVER () AS r, doc_id, source IS NULL AS last, ifnull(source, '') AS name,
+           len(regexp_extract_all(ifnull(text, ''), {_BLANK_WORD})) AS size
+    FROM documents
+),
+sized AS (
+    SELECT last, name, CAST(sum(size) AS BIGINT) AS source_size,
+           row_number() OVER (ORDER BY last, name) - 1 AS source_no
+    FROM doc GROUP BY last, name
+),
+weighed AS (SELECT *, [5, 2, 1][source_no % 3 + 1] AS weight, 2 * source_size AS most FROM sized),
+poured AS (
+    SELECT *, sum(source_size) OVER () AS words, sum(weight) OVER () AS weight_sum,
+           sum(most) OVER w - most AS most_before, sum(weight) OVER w - weight AS weight_before
+    FROM weighed WINDOW w AS (ORDER BY CAST(most AS DOUBLE) / weight, source_no ROWS UNBOUNDED PRECEDING)
+),
+cut AS (
+    SELECT *, (words * 150 - most_before * 100) * weight >= most * 100 * (weight_sum - weight_before) AS cut_off
+    FROM poured
+),
+rest_of AS (
+    SELECT CAST(any_value(words) * 150 AS DOUBLE) / 100 - ifnull(sum(most) FILTER (cut_off), 0) AS left_over,
+           CAST(sum(weight) FILTER (NOT cut_off) AS DOUBLE) AS free_weight
+    FROM cut
+),
+aimed AS (
+    SELECT last, name, source_no, source_size,
+           CASE WHEN cut_off THEN CAST(most AS DOUBLE) ELSE weight * left_over / free_weight END AS target
+    FROM cut, rest_of
+),
+quota AS (
+    SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS goal,
+           CASE WHEN source_size > 0 THEN goal % source_size ELSE 0 END AS rest,
+           (source_size + 511) // 512 AS in_pass,
+           CASE WHEN source_size > 0 THEN goal // source_size * in_pass + (rest + 511) // 512 ELSE 0 END AS quota
+    FROM aimed
+),
+ranged AS (
+    SELECT *, CAST(sum(quota) OVER (ORDER BY source_no) - quota AS BIGINT) AS start, sum(quota) OVER () AS slots
+    FROM quota
+),
+drawn AS (
+    SELECT slot, CAST('0x' || substr(md5('11:' || slot), 1, 15) AS BIGINT) % slots AS drawn
+    FROM (SELECT any_value(CAST(slots AS BIGINT)) AS slots, unnest(range(any_value(CAST(slots AS BIGINT)))) AS slot FROM ranged)
+),
+numbered AS (
+    SELECT slot, source_no, quota, row_number() OVER (PARTITION BY source_no ORDER BY slot) - 1 AS k
+    FROM drawn JOIN ranged ON drawn >= start AND drawn < start + quota
+),
+each AS (
+    SELECT source_no, quota, ifnull(draws, 0) AS draws, greatest(ifnull(draws, 0) - quota, 0) AS over,
+           greatest(quota - ifnull(draws, 0), 0) AS short
+    FROM ranged LEFT JOIN (SELECT source_no, count(*) AS draws FROM numbered GROUP BY ALL) USING (source_no)
+),
+summed AS (
+    SELECT *, sum(over) OVER w - over AS over_start, sum(short) OVER w - short AS short_start
+    FROM each WINDOW w AS (ORDER BY source_no)
+),
+given AS (
+    SELECT source_no, k FROM numbered WHERE k < quota
+    UNION ALL
+    SELECT t.source_no, t.draws + s.over_start + n.k - n.quota - t.short_start
+    FROM numbered n JOIN summed s USING (source_no)
+    JOIN summed t ON s.over_start + n.k - n.quota >= t.short_start
+                 AND s.over_start + n.k - n.quota < t.short_start + t.short
+    WHERE n.k >= n.quota
+),
+indexed AS (
+    SELECT source_no, source_size, quota, rest, CAST(k AS BIGINT) AS k, CAST(k // in_pass AS BIGINT) AS pass,
+           CAST(k % in_pass AS BIGINT) AS i, source_size // 512 AS whole
+    FROM given JOIN ranged USING (source_no)
+),
+keyed AS (
+    SELECT source_no, pass,
+           list_transform(range(24), lambda r: CAST('0x' || substr(md5(
+               '11:key:' || source_no || ':' || pass || ':' || r), 1, 15) AS BIGINT) % greatest(whole, 1)) AS keys
+    FROM (SELECT DISTINCT source_no, pass, whole FROM indexed)
+),
+taken AS (
+    SELECT source_no, source_size, quota, rest, k, CASE WHEN i < whole THEN list_reduce(list_concat([i], range(24)),
+        lambda x, r: CASE WHEN substr(md5('11:' || source_no || ':' || pass || ':' || r || ':' ||
+                greatest(x, (keys[r + 1] - x + whole) % whole)), 1, 1) >= '8'
+            THEN (keys[r + 1] - x + whole) % whole ELSE x END) ELSE i END AS block
+    FROM indexed JOIN keyed USING (source_no, pass)
+),
+piece AS (
+    SELECT source_no, block * 512 AS begin, block * 512 + CASE WHEN k = quota - 1 AND rest > 0
+               THEN (rest - 1) % 512 + 1 ELSE least(512, source_size - block * 512) END AS stop
+    FROM taken
+),
+placed AS (
+    SELECT r, doc_id, size, source_no, source_size, target,
+           CAST(sum(size) OVER (PARTITION BY source_no ORDER BY doc_id NULLS FIRST, size, r ROWS UNBOUNDED PRECEDING)
+                - size AS BIGINT) AS pos
+    FROM doc JOIN aimed USING (last, name)
+),
+reached AS (
+    SELECT *, unnest(CASE WHEN size > 0 THEN range(pos // 512, (pos + size - 1) // 512 + 1) ELSE [-1] END) AS block
+    FROM placed
+)
+SELECT doc_id, size, source_size, target,
+       CAST(sum(CASE WHEN stop IS NULL THEN 0 ELSE greatest(least(pos + size, stop) - greatest(pos, begin), 0) END) AS BIGINT) AS taken
+FROM reached LEFT JOIN piece ON piece.source_no = reached.source_no AND begin = block * 512
+GROUP BY r, doc_id, size, source_size, target
+"""
+
 ORACLE_SQL = {
     "op2_quality_rules": QUALITY_RULES,
     "op5_sharding": SHARDING,
     "op8_decontamination": DECONTAMINATION,
     "op10_jaccard_join": JACCARD_JOIN,
+    "op11_mixing": MIXING,
 }

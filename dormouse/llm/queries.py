@@ -9,7 +9,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dormouse.llm import bytebpe, decontamination, jaccard, licenses, linededup, lm, quality, secrets, sharding, toxicity
+from dormouse.llm import (
+    bytebpe,
+    decontamination,
+    jaccard,
+    licenses,
+    linededup,
+    lm,
+    mixing,
+    quality,
+    secrets,
+    sharding,
+    toxicity,
+)
 from dormouse.llm.oracle import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -191,6 +203,13 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mixed(_table(spark, sf_dir, "documents"), "text", "doc_id", "source")
+    sources = mix.sources.select("source_no", "source_size", "target")
+    rows = mixing.words_taken(mix).join(sources, "source_no")
+    return rows.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_quality_rules": op2_quality_rules,
@@ -202,4 +221,5 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_mixing": op11_mixing,
 }

@@ -1,0 +1,131 @@
+from __future__ import annotations
+
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from dormouse.llm import mixing
+from tests.llm.plain import blank_words, odd_rows, table
+
+COLUMNS = "doc_id long, text string, source string"
+
+
+def poured(sizes, weights=(5, 2, 1), percent=150, most=2):
+    """Targets by sharing out the excess again and again."""
+    names = sorted(sizes, key=lambda n: (n is None, (n or "").encode()))
+    weight = {n: weights[i % len(weights)] for i, n in enumerate(names)}
+    left, got, free = Fraction(percent * sum(sizes.values()), 100), {}, set(names)
+    while free:
+        share = {n: left * weight[n] / sum(weight[m] for m in free) for n in free}
+        above = {n for n in free if share[n] >= most * sizes[n]}
+        if not above:
+            return {**got, **share}
+        for n in above:
+            got[n] = Fraction(most * sizes[n])
+            left -= got[n]
+        free -= above
+    return got
+
+
+def made_rows(count=400):
+    rows = [(i, " ".join(f"d{i}w{j}" for j in range((i * 37) % 90)), None if i % 11 == 0 else f"s{(i * i) % 7}") for i in range(count)]
+    # One source holds a third of all rows, and one text is very long.
+    rows += [(count + i, f"hot {i} " * 10, "hot") for i in range(count // 2)]
+    return rows + [(9000, "long " * 4000, "s1"), (9001, "", "empty"), (9002, None, "empty")]
+
+
+def planned(spark, tmp_path, rows, **more):
+    docs = table(spark, tmp_path, rows, COLUMNS, files=3)
+    return docs, mixing.mixed(docs, "text", "doc_id", "source", **more)
+
+
+@pytest.mark.parametrize(("block", "shard"), [(16, 8), (512, 1024), (1, 64)])
+def test_each_source_takes_its_target_and_no_document_more_than_twice(spark, tmp_path, block, shard):
+    rows = made_rows()
+    docs, mix = planned(spark, tmp_path, rows, block_words=block, shard_slots=shard)
+    sizes = Counter()
+    for _, text, source in rows:
+        sizes[source] += len(blank_words(text))
+    wanted = poured(sizes)
+    names = {r.source_no: None if r.last else r.name for r in mix.sources.collect()}
+    assert {names[r.source_no]: pytest.approx(r.target, rel=1e-12) for r in mix.sources.collect()} == wanted
+    taken, per_source = mixing.words_taken(mix).collect(), Counter()
+    assert len(taken) == len(rows)
+    for r in taken:
+        assert 0 <= r.taken <= 2 * r.size
+        per_source[names[r.source_no]] += r.taken
+    assert all(abs(per_source[n] - wanted[n]) <= 0.5 for n in sizes)
+    # Every slot is there once, no block comes twice in a pass, and full passes take every block.
+    slots = mix.slots.collect()
+    assert sorted(r.slot for r in slots) == list(range(len(slots)))
+    assert all(r.shard == r.slot // shard for r in slots)
+    assert max(Counter((r.source_no, r["pass"], r.block) for r in slots).values()) == 1
+
+
+def test_the_words_of_the_mix_are_those_of_the_documents(spark, tmp_path):
+    rows = made_rows(120)
+    docs, mix = planned(spark, tmp_path, rows, block_words=16, shard_slots=16)
+    streams = defaultdict(list)
+    for key, text, source in sorted(rows, key=lambda r: (r[0], len(blank_words(r[1])))):
+        streams[source] += blank_words(text)
+    names = {r.source_no: None if r.last else r.name for r in mix.sources.collect()}
+    blocks = {r.slot: (names[r.source_no], r.block, r.words) for r in mix.slots.collect()}
+    found = mixing.mixed_texts(mix, docs, "text").collect()
+    assert len(found) == len(blocks)
+    counts = Counter()
+    for r in found:
+        source, block, words = blocks[r.slot]
+        assert r.words == streams[source][block * 16 : block * 16 + words]
+        counts.update(r.words)
+    taken = {r.key: r.taken for r in mixing.words_taken(mix).collect() if r.key < 120}
+    own = Counter()
+    for word, n in counts.items():
+        if word.startswith("d") and "w" in word:
+            own[int(word[1:].split("w")[0])] += n
+    assert all(own[key] == n for key, n in taken.items())
+
+
+def test_counts_of_shards_scatter_about_the_shares(spark, tmp_path):
+    rows = [(i, "w " * 200, f"s{i % 3}") for i in range(300)]
+    _, mix = planned(spark, tmp_path, rows, block_words=10, shard_slots=100)
+    slots = mix.slots.collect()
+    shares, total = Counter(r.source_no for r in slots), len(slots)
+    by_shard = Counter((r.shard, r.source_no) for r in slots)
+    full = total // 100
+    spread = [(by_shard[s, n] - 100 * shares[n] / total) ** 2 / (100 * shares[n] / total) for s in range(full) for n in shares]
+    assert 0.5 < sum(spread) / (full * (len(shares) - 1)) < 1.6
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 7, 64, 1001])
+def test_permutation(spark, count):
+    keys = F.transform(F.sequence(F.lit(0), F.lit(mixing.ROUNDS - 1)), lambda r: mixing._number(r.cast("string")) % count)
+    rows = spark.range(count).withColumn("keys", keys).withColumn("n", F.lit(count)).withColumn("salt", F.lit(1))
+    moved = [r.p for r in rows.selectExpr("id", mixing.permuted("id", "n", "keys", "salt") + " AS p").orderBy("id").collect()]
+    assert sorted(moved) == list(range(count))
+    if count > 60:
+        assert sum(i == p for i, p in enumerate(moved)) < 10
+        assert sum(abs(a - b) == 1 for a, b in zip(moved, moved[1:])) < 0.1 * count
+
+
+def test_reruns_agree_and_odd_rows(spark, tmp_path):
+    rows = [(k, t, [None, "", "s", "é"][i % 4]) for i, (k, t) in enumerate(odd_rows() * 2)]
+    docs = table(spark, tmp_path, rows, COLUMNS, extra=True)
+    runs = [
+        sorted(map(repr, mixing.words_taken(mixing.mixed(docs, "text", "doc_id", "source")).collect())) for _ in range(2)
+    ]
+    assert runs[0] == runs[1] and len(runs[0]) == len(rows)
+
+
+def test_empty_tables_and_tables_without_words(spark, tmp_path):
+    for name, rows in (("a", []), ("b", [(1, None, "x"), (2, " ", None), (2, " ", None)])):
+        docs, mix = planned(spark, tmp_path / name, rows)
+        assert [r.taken for r in mixing.words_taken(mix).collect()] == [0] * len(rows)
+        assert mix.slots.count() == 0 and mixing.mixed_texts(mix, docs, "text").count() == 0
+
+
+def test_plan_is_free_of_python(spark, tmp_path):
+    _, mix = planned(spark, tmp_path, made_rows(30))
+    plan = mixing.words_taken(mix)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Arrow", "CartesianProduct", "NestedLoop"))

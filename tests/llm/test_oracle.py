@@ -25,4 +25,4 @@ def test_query_equals_sql(spark, name):
 def test_all_operators_are_registered():
     names = set(entry.queries())
     assert set(QUERIES) <= names and "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
