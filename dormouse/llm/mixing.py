@@ -165,8 +165,10 @@ def _blocks(numbered: DataFrame, sources: DataFrame, block_words: int) -> DataFr
         lambda r: _number(F.lit("key"), "source_no", "pass", r.cast("string")) % F.greatest("whole", F.lit(1)),
     )
     # A source and pass have the same keys in all their slots, so they are made once for each.
-    passes = rows.select("source_no", "pass", "whole").distinct().withColumn("keys", keys).drop("whole")
-    rows = rows.join(passes, ["source_no", "pass"])
+    whole = F.expr(f"source_size div {block_words}").alias("whole")
+    last_pass = F.greatest(F.expr(f"(quota - 1) div ({in_pass})"), F.lit(0))
+    passes = sources.where("quota > 0").select("source_no", whole, F.explode(F.sequence(F.lit(0), last_pass)).alias("pass"))
+    rows = rows.join(kept(passes.select("source_no", "pass", keys.alias("keys"))), ["source_no", "pass"])
     moved = permuted("i", "whole", "keys", "source_no, pass")
     rows = rows.withColumn("block", F.expr(f"if(i < whole, {moved}, i)"))
     length = F.least(F.lit(block_words).cast("long"), F.col("source_size") - F.col("block") * block_words)
@@ -217,7 +219,8 @@ def mixed(
     taken = kept(_blocks(_numbered(*_drawn(sources, slots, shard_slots)), sources, block_words))
     placed = kept(prefix_sums(rows, ["last", "name", "key", "size", "row"], {"before": F.col("size")}))
     begin = placed.groupBy("last", "name").agg(F.min("before").alias("begin"))
-    begin = begin.join(sources.select("last", "name", "source_no"), ["last", "name"])
+    # Kept, so that its size is known before the documents are dealt out by source.
+    begin = kept(begin.join(sources.select("last", "name", "source_no"), ["last", "name"]))
     at = (F.col("before") - F.col("begin")).alias("at")
     found = placed.join(begin, ["last", "name"]).select("row", "key", "size", "source_no", at)
     return Mix(found, sources, taken, block_words)
