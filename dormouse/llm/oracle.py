@@ -258,10 +258,51 @@ FROM reached LEFT JOIN piece ON piece.source_no = reached.source_no AND begin =
 GROUP BY r, doc_id, size, source_size, target
 """
 
+COLLOCATIONS = rf"""
+WITH piece AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+    FROM (SELECT ifnull(lang, 'und') AS lang,
+                 unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+),
+gram AS (
+    SELECT lang, words[i:i + size - 1] AS gram, count(*) AS f
+    FROM (SELECT lang, words, size, unnest(range(1, len(words) - size + 2)) AS i
+          FROM piece, (SELECT unnest(range(1, 5)) AS size) WHERE len(words) >= size)
+    GROUP BY ALL
+),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM gram WHERE len(gram) = 1 GROUP BY lang),
+often AS (SELECT * FROM gram WHERE f >= 30),
+longer AS (
+    SELECT lang, gram[i:i + size - 1] AS gram, max(f) AS most
+    FROM (SELECT lang, gram, f, size, unnest(range(1, len(gram) - size + 2)) AS i
+          FROM often, (SELECT unnest(range(2, 4)) AS size) WHERE len(gram) > size)
+    GROUP BY ALL
+),
+phrase AS (
+    SELECT often.* FROM often LEFT JOIN longer USING (lang, gram)
+    WHERE len(gram) > 1 AND (most IS NULL OR 100 * most < 80 * f)
+),
+cut AS (
+    SELECT p.lang, p.gram, p.f AS a, k, l.f AS l, r.f AS r, CAST(2000000 * p.f AS HUGEINT) // (l.f + r.f) AS score
+    FROM (SELECT *, unnest(range(1, len(gram))) AS k FROM phrase) p
+    JOIN gram l ON l.lang = p.lang AND l.gram = p.gram[1:k]
+    JOIN gram r ON r.lang = p.lang AND r.gram = p.gram[k + 1:]
+),
+least AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, gram ORDER BY score, k) = 1),
+ranked AS (
+    SELECT *, array_to_string(gram, ' ') AS phrase,
+           row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(gram, ' ')) AS rank
+    FROM least
+)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE_SQL = {
     "op2_quality_rules": QUALITY_RULES,
     "op5_sharding": SHARDING,
     "op8_decontamination": DECONTAMINATION,
     "op10_jaccard_join": JACCARD_JOIN,
     "op11_mixing": MIXING,
+    "op12_collocations": COLLOCATIONS,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from dormouse.llm import (
     bytebpe,
+    collocations,
     decontamination,
     jaccard,
     licenses,
@@ -21,6 +22,7 @@ from dormouse.llm import (
     secrets,
     sharding,
     toxicity,
+    whitening,
 )
 from dormouse.llm.oracle import ORACLE_SQL
 
@@ -210,6 +212,29 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words, phrases, totals = collocations.phrase_counts(_table(spark, sf_dir, "documents"), "text", "lang")
+    rows = collocations.leading(collocations.collocations(words, phrases), totals)
+    return rows.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors, "embedding")
+    rows = whitening.whitened(vectors, "embedding", model, "found")
+    each = rows.select("vec_id", "found.deviation", F.posexplode("found.whitened").alias("i", "whitened"))
+    shares = F.array(*map(F.lit, model.explained)) if model.explained else F.array().cast("array<double>")
+    return each.select(
+        "vec_id",
+        (F.col("i") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(shares, F.col("i")).alias("explained"),
+        F.lit(whitening.identity_error(vectors, "embedding", model)).alias("identity_error"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_quality_rules": op2_quality_rules,
@@ -222,4 +247,6 @@ QUERIES: dict[str, Query] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_mixing": op11_mixing,
+    "op12_collocations": op12_collocations,
+    "op13_whitening": op13_whitening,
 }

@@ -1,0 +1,140 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+from dormouse.llm import queries, whitening
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def plain(vectors):
+    """n, deviations, eigenvalues and eigenvectors by whole-number arithmetic and the library's solver."""
+    x = [[math.floor(64 * float(c)) + 1000000 for c in v] for v in vectors]
+    n = len(x)
+    sums = [sum(column) for column in zip(*x)]
+    y = [[n * a - s for a, s in zip(row, sums)] for row in x]
+    centred = np.array([[float(v) / n for v in row] for row in y])
+    values, found = np.linalg.eigh(centred.T @ centred / n)
+    return n, [sum(v * v for v in row) for row in y], centred, values[::-1], found.T[::-1]
+
+
+def stored(spark, path, vectors, files=1, **more):
+    path.mkdir(parents=True)
+    kind = pa.list_(pa.float32())
+    size = -(-max(1, len(vectors)) // files)
+    for i in range(files):
+        part = vectors[i * size : (i + 1) * size]
+        data = {"vec_id": pa.array(range(i * size, i * size + len(part)), pa.int64()), "v": pa.array(part, kind)}
+        data |= {name: pa.array([name] * len(part)) for name in more.get("extra", ())}
+        pq.write_table(pa.table(data), path / f"part-{i}.parquet")
+    return spark.read.parquet(str(path))
+
+
+def test_query_equals_the_plain_version(spark):
+    table = pq.read_table(f"{SF_DIR}/embeddings.parquet").to_pydict()
+    n, deviations, centred, values, vectors = plain(table["embedding"])
+    rows = queries.QUERIES["op13_whitening"](spark, SF_DIR).collect()
+    assert len(rows) == 32 * n and {r.n for r in rows} == {n}
+    assert len({r.identity_error for r in rows}) == 1 and rows[0].identity_error < 1e-9
+    at = {key: i for i, key in enumerate(table["vec_id"])}
+    found = np.zeros((n, 32))
+    for r in rows:
+        assert r.deviation == deviations[at[r.vec_id]]
+        assert r.explained == pytest.approx(values[r.component - 1] / values.sum(), rel=1e-10)
+        found[at[r.vec_id], r.component - 1] = r.whitened
+    wanted = centred @ vectors[:32].T / np.sqrt(values[:32])
+    signs = np.sign((found * wanted).sum(axis=0))
+    gaps = np.abs(np.diff(values[:33])) / values[0]
+    alone = np.minimum(gaps, np.concatenate(([1], gaps[:-1]))) > 1e-4
+    assert alone.sum() > 20
+    assert np.abs(found * signs - wanted)[:, alone].max() < 1e-7
+
+
+@pytest.mark.parametrize("kind", ["random", "low rank", "equal", "repeated", "blocks", "diagonal", "one", "scaled"])
+def test_leading_components(kind):
+    choose = np.random.default_rng(3)
+    size = 1 if kind == "one" else 40
+    rows = choose.standard_normal((200, size))
+    matrix = rows.T @ rows / 200
+    if kind == "low rank":
+        matrix = rows[:5].T @ rows[:5]
+    elif kind == "equal":
+        matrix = np.eye(size) * 3.0
+    elif kind == "repeated":
+        q, _ = np.linalg.qr(choose.standard_normal((size, size)))
+        matrix = q @ np.diag([9.0] * 4 + [5.0] * 10 + [5.0 + 1e-13] * 3 + [1.0] * (size - 17)) @ q.T
+    elif kind == "blocks":
+        matrix[: size // 2, size // 2 :] = matrix[size // 2 :, : size // 2] = 0
+    elif kind == "diagonal":
+        matrix = np.diag(np.arange(1.0, size + 1))
+    elif kind == "scaled":
+        matrix *= 1e200
+    matrix = (matrix + matrix.T) / 2
+    values, vectors = whitening.leading_components(matrix, 32)
+    wanted = np.linalg.eigvalsh(matrix)[::-1][:32]
+    wanted = wanted[wanted > 1e-12 * wanted[0]]
+    assert len(values) == len(wanted) and np.allclose(values, wanted, rtol=1e-10)
+    assert np.abs(vectors @ vectors.T - np.eye(len(values))).max() < 1e-10
+    assert np.abs(vectors @ matrix - values[:, None] * vectors).max() < 1e-11 * np.abs(matrix).max() * size
+
+
+def test_sturm_counts():
+    choose = np.random.default_rng(5)
+    diagonal, off = choose.standard_normal(30), choose.standard_normal(29)
+    off[7] = 0
+    values = np.linalg.eigvalsh(np.diag(diagonal) + np.diag(off, 1) + np.diag(off, -1))
+    bounds = np.linspace(-5, 5, 101)
+    assert whitening.below(diagonal, off, bounds).tolist() == [int((values < b).sum()) for b in bounds]
+
+
+def test_matrices_of_many_tasks_are_added_in_rounds(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(whitening, "FAN", 3)
+    choose = np.random.default_rng(8)
+    vectors = [row.tolist() for row in choose.standard_normal((210, 5)).astype(np.float32)]
+    # A third of all rows is one vector.
+    vectors += [vectors[0]] * 100
+    docs = stored(spark, tmp_path / "v", vectors, files=11).repartition(23)
+    model = whitening.fit(docs, "v")
+    n, deviations, _, values, _ = plain(vectors)
+    assert model.n == n and np.allclose(model.values, values, rtol=1e-10)
+    assert whitening.identity_error(docs, "v", model) < 1e-9
+    found = whitening.whitened(docs, "v", model, "f").collect()
+    assert sorted(r.f.deviation for r in found) == sorted(deviations)
+
+
+def test_odd_vectors_are_left_out(spark, tmp_path):
+    fine = [[0.5, 1.0, -2.0], [0.25, 3.0, 1.0], [0.25, 3.0, 1.0], [9.0, -1.0, 0.0]]
+    odd = [None, [], [1.0, None, 2.0], [float("nan"), 1.0, 1.0], [float("inf"), 0.0, 0.0], [1e30, 0.0, 0.0], [1.0, 2.0]]
+    table = stored(spark, tmp_path / "v", fine + odd, extra=["found", "n", "a.b", "sum"])
+    model = whitening.fit(table, "v")
+    out = whitening.whitened(table, "v", model, "found")
+    assert out.columns == ["vec_id", "v", "n", "a.b", "sum", "found"]
+    n, deviations, _, values, _ = plain(fine)
+    rows = {r.vec_id: r.found for r in out.collect()}
+    assert sorted(rows) == [0, 1, 2, 3] and [rows[i].deviation for i in range(4)] == deviations
+    assert rows[1] == rows[2] and np.allclose(model.values, values[: len(model.values)], rtol=1e-9)
+
+
+def test_exact_beyond_64_bits(spark, tmp_path):
+    vectors = [[1e10, -3.0], [-1e15, 5.0], [2e16, 0.5]]
+    table = stored(spark, tmp_path / "v", vectors)
+    model = whitening.fit(table, "v")
+    got = {r.vec_id: r.f.deviation for r in whitening.whitened(table, "v", model, "f").collect()}
+    exact = plain([[float(np.float32(c)) for c in v] for v in vectors])[1]
+    assert [got[i] for i in range(3)] == [d if d < 1 << 63 else None for d in exact]
+
+
+def test_no_variance_and_no_rows(spark, tmp_path):
+    same = stored(spark, tmp_path / "a", [[1.0, 2.0]] * 5)
+    model = whitening.fit(same, "v")
+    assert len(model.values) == 0 and whitening.identity_error(same, "v", model) == 0
+    assert [r.f.whitened for r in whitening.whitened(same, "v", model, "f").collect()] == [[]] * 5
+    for name, rows in (("b", []), ("c", [None, [float("nan")]])):
+        table = stored(spark, tmp_path / name, rows)
+        model = whitening.fit(table, "v")
+        assert model.n == 0 and whitening.whitened(table, "v", model, "f").count() == 0
