@@ -1,152 +1,224 @@
-"""Repeated runs of lines across documents: runs of lines are named by hashes, later copies go.
-
-A corpus is one long sequence of lines. Runs are of interest from a number of words on, and a line
-counts one at least: so a shortest run that begins or ends at a line, and has enough words, has no
-more lines than that. Any longer run that repeats is a union of shortest runs that repeat with it.
-These are the beginnings of suffixes by which a suffix array would order them; as only equal ones
-matter, and their length is bounded, they are named by hashes of their lines' hashes, and met by
-name in one shuffle in place of one for every doubling of their length.
+"""Repeated runs of lines across documents: found in a suffix array over line numbers, later copies go.
+
+A corpus is one long sequence of lines. Only lines that occur twice or more can be part of a
+repeated run, so the suffix array covers stretches of those. It is built by prefix doubling: ranks
+order suffixes by their first lines, at first by one, and the order of pairs of ranks ``n`` lines
+apart is that by 2 * n lines. Suffixes that share those lines with no other are dropped each time. A run
+of lines is an interval of suffixes whose longest common prefix is at least that long; the ranks of
+its first and of its last lines, as many as the largest power of two in it, name the interval. Runs
+are of interest from a number of words on, and a line counts one at least: this bounds the lines of
+a shortest run, and so the number of doublings, whatever the size of the corpus. Longer repeated
+runs are unions of shortest ones.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dormouse.llm.spread import all_columns, free_name, kept, prefix_sums
+from dormouse.llm.spread import all_columns, free_name, kept, prefix_sums, quoted
 
-# A repeated run is deleted from so many words on.
+# A repeated run is deleted from so many words on. A line counts its blanks and one.
 MIN_WORDS = 30
-STEP_BYTES = 8
-FEW_LINES = 6
+# A line ends at a line feed, or at the blank after any sentence's end; both stay with the line.
+LINE_END = r"(?<=\n)|(?<=[.!?] )"
+_ENDS = ("\n", ". ", "! ", "? ")
+_MARK = "\x01"
+# Places of lines: the number of the document, then that of the line in so many bits.
+LINE_BITS = 28
 
 
-@dataclass(frozen=True)
-class Units:
-    """Where lines end; the size of ``x``, one of the ``lines``, or ``bare`` of white space at the end; a run's."""
+def lines(text: Column) -> Column:
+    """The text in lines with their ends; joined, they are the text. A null is an empty line."""
+    whole = F.coalesce(text, F.lit(""))
+    marked = whole
+    for end in _ENDS:
+        marked = F.replace(marked, F.lit(end), F.lit(end + _MARK))
+    # Texts that hold the mark are split by the slower expression.
+    return F.when(F.contains(whole, F.lit(_MARK)), F.split(whole, LINE_END, -1)).otherwise(F.split(marked, _MARK, -1))
 
-    line_end: str
-    of: str
-    size: str
-    least: int
 
+def _every_line(documents: DataFrame, text: str, min_words: int) -> DataFrame:
+    """Each line's hash and words (``min_words`` at most), with its document's ``row``. Kept.
 
-# A line ends at a line feed, or at the blank after any sentence's end; both stay with the line. It
-# counts its blanks and one as words, so an empty one counts one.
-SENTENCES = Units(r"(?<=\n)|(?<=[.!?] )", "bare", "1 + octet_length(x) - octet_length(replace(x, ' ', ''))", MIN_WORDS)
+    Lines are compared without the white space at their ends.
+    """
+    # In a select of its own, as the numbers would else be those of lines.
+    rows = documents.select(F.monotonically_increasing_id().alias("row"), lines(F.col(quoted(text))).alias("lines"))
+    split = rows.select("row", F.posexplode("lines").alias("line", "own"))
+    bare = split.select("row", "line", F.rtrim("own", F.lit(" \n\r\t")).alias("bare"))
+    words = "cast(least({}, 1 + octet_length(bare) - octet_length(replace(bare, ' ', ''))) as int)"
+    return kept(
+        bare.select(
+            "row",
+            F.col("line").cast("long").alias("line"),
+            F.xxhash64("bare").alias("hash"),
+            F.expr(words.format(min_words)).alias("own"),
+        )
+    )
 
 
-def _long_sentences(min_size: int) -> Units:
-    """Coarser: sentences of 40 characters or more end lines, whose sizes are steps of 8 bytes, 1 at least."""
-    end = r"(?<=\n)|(?<=[.!?] )(?<=[^.!?\n]{40}[.!?] )"
-    return Units(end, "lines", f"greatest(1, octet_length(x) div {STEP_BYTES})", min_size)
+def _stretches(documents: DataFrame, text: str, order: str, min_words: int) -> DataFrame:
+    """Stretches of neighbouring lines that all occur elsewhere too, with enough words for a run. Kept.
 
+    ``rank`` orders the lines, by their hashes. ``pos`` is the line's place in the corpus, whose
+    documents stand in the order of ``order``, then of where they were read. ``forward`` is how many
+    lines from this one on have ``min_words``, ``backward`` how many up to this one; null where the
+    stretch has less.
+    """
+    every = _every_line(documents, text, min_words)
+    again = every.groupBy("hash").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("hash")
+    numbers = documents.select(F.col(quoted(order)).alias("key"), F.monotonically_increasing_id().alias("row"))
+    numbers = prefix_sums(numbers, ["key", "row"], {"number": F.lit(1).cast("long")}).select("row", "number")
+    shared = every.join(again, "hash", "left_semi").join(numbers, "row")
+    in_document = Window.partitionBy("row").orderBy("line")
+    shared = shared.withColumn("stretch", F.col("line") - F.row_number().over(in_document))
+    stretch = Window.partitionBy("row", "stretch")
+    before = stretch.orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    shared = shared.select(
+        "*", F.sum("own").over(stretch).alias("total"), F.coalesce(F.sum("own").over(before), F.lit(0)).alias("start")
+    ).where(F.col("total") >= min_words)
+    shared = shared.withColumn("stop", F.col("start") + F.col("own"))
+    # A line has a word at least, so start and stop rise, and tell lines apart.
+    ahead = stretch.orderBy("start").rangeBetween(0, min_words - 1)
+    behind = stretch.orderBy("stop").rangeBetween(-(min_words - 1), 0)
+    count = F.count(F.lit(1))
+    return kept(
+        shared.select(
+            "row",
+            "line",
+            (F.shiftleft("number", LINE_BITS) + F.col("line")).alias("pos"),
+            F.col("hash").alias("rank"),
+            "own",
+            F.when(F.col("total") - F.col("start") >= min_words, count.over(ahead)).alias("forward"),
+            F.when(F.col("stop") >= min_words, count.over(behind)).alias("backward"),
+        )
+    )
 
-def lines(text: Column, line_end: str = SENTENCES.line_end) -> Column:
-    """The text in lines with their ends; joined, they are the text. A null is an empty line."""
-    return F.split(F.coalesce(text, F.lit("")), line_end, -1)
+
+def _beside(column: str, distance: int) -> Column:
+    """The column's value ``distance`` lines on in the document; null if that line is not there."""
+    if not distance:
+        return F.col(column)
+    there = Window.partitionBy("row").orderBy("line").rangeBetween(distance, distance)
+    return F.first(column).over(there)
 
 
-def _numbered(documents: DataFrame, text: str, order: str, units: Units) -> DataFrame:
-    """Every document's lines as hashes and sizes, and ``at``, where it begins in the corpus. Kept.
+def _looked_up(ranked: DataFrame, step: int) -> DataFrame:
+    """Suffixes ranked by ``step`` lines, with what lies beside them. Kept.
 
-    Documents stand in the order of ``order``, then of where they were read. A place is left for
-    each byte, more than there can be lines. Lines are compared without the white space at their
-    ends. The smallest size is 1, that of an empty line too.
+    Runs of ``step`` to 2 * ``step`` - 1 lines have two ranks, of their first and of their last
+    ``step`` lines: ``tail`` is the other one of the run that begins here, ``head`` that of the run
+    that ends with these lines. ``next`` is the rank ``step`` lines on. Runs of more lines, and those
+    with a rank that no other suffix has, have none.
     """
-    split = documents.select(
-        F.col(order).alias("key"),
-        F.monotonically_increasing_id().alias("row"),
-        (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("bytes"),
-        lines(F.col(text), units.line_end).alias("lines"),
-    )
-    bare = split.withColumn("bare", F.expr("transform(lines, x -> rtrim(' \n\r\t', x))"))
-    rows = kept(
-        bare.select(
-            "key",
-            "row",
-            "bytes",
-            F.expr("transform(bare, y -> xxhash64(y))").alias("hashes"),
-            # more than a run's size is as good as that
-            F.expr(f"transform({units.of}, x -> cast(least({units.least}, {units.size}) as int))").alias("sizes"),
+
+    def rank_of(size: Column, towards: int) -> Column:
+        found = F.lit(None).cast("long")
+        for more in reversed(range(step)):
+            found = F.when(size == step + more, _beside("rank", towards * more)).otherwise(found)
+        return found
+
+    return kept(
+        ranked.select(
+            "*",
+            rank_of(F.col("forward"), 1).alias("tail"),
+            rank_of(F.col("backward"), -1).alias("head"),
+            *(_beside(c, step).alias(f"{c}_next") for c in ("rank", "words", "last", "backward")),
         )
     )
-    begins = prefix_sums(rows.select("key", "row", "bytes"), ["key", "row"], {"at": F.col("bytes")})
-    return kept(rows.select("row", "hashes", "sizes").join(begins.select("row", "at"), "row"))
 
 
-def _shortest(sizes: str, least: int) -> str:
-    """How many of the first sizes make up the least size; null if all do not. One number holds count and sum."""
-    unit = 2 * least
-    step = f"if(a % {unit} >= {least}, a, a + {unit} + y)"
-    return f"aggregate({sizes}, 0L, (a, y) -> {step}, a -> if(a % {unit} >= {least}, int(a div {unit}), null))"
+def _runs(looked_up: DataFrame, step: int) -> DataFrame:
+    """The shortest runs of ``step`` to 2 * ``step`` - 1 lines by the names of their intervals."""
+    shift = F.col("backward") - step
+    begin = F.struct(F.lit(0).cast("long").alias("back"), F.col("forward").alias("size"), F.col("rank").alias("head"), "tail")
+    end = F.struct(shift.alias("back"), F.col("backward").alias("size"), "head", F.col("rank").alias("tail"))
+    # One that begins and ends with the same lines is taken once.
+    end = F.when(F.col("head").isNotNull() & ~((shift == 0) & F.col("tail").isNotNull() & (F.col("forward") == step)), end)
+    both = F.array_compact(F.array(F.when(F.col("tail").isNotNull(), begin), end))
+    runs = looked_up.select("row", "line", "pos", F.explode(both).alias("run"))
+    return runs.select(
+        "row",
+        (F.col("line") - F.col("run.back")).alias("line"),
+        (F.col("pos") - F.col("run.back")).alias("pos"),
+        "run.size",
+        "run.head",
+        "run.tail",
+    )
 
 
-def _runs(numbered: DataFrame, least: int) -> DataFrame:
-    """The shortest runs of enough size that begin or end at each line, with their names.
+def _doubled(looked_up: DataFrame, min_words: int) -> DataFrame:
+    """Of suffixes with two ranks, those that share the lines of both with another; ranked by these.
 
-    ``pos`` is where a run begins in the corpus, ``line`` in its document, ``size`` how many lines it has.
+    A run's first or last lines are less than ``min_words`` words without the last or first of them.
+    Suffixes whose lines are more than that either way name no run.
     """
-
-    def shortest(part: str) -> str:
-        # Most runs have few lines: all that a run can have are looked at where these do not do.
-        few, most = (_shortest(part.format(most=n), least) for n in (min(FEW_LINES, least), least))
-        return f"transform(sizes, (x, i) -> coalesce({few}, {most}, 0))"
-
-    ahead = "slice(sizes, i + 1, {most})"
-    behind = "reverse(slice(sizes, greatest(1, i + 2 - {most}), least({most}, i + 1)))"
-    counted = numbered.select(
-        "at",
-        "hashes",
-        F.expr(shortest(ahead)).alias("forward"),
-        F.expr(shortest(behind)).alias("backward"),
+    words = F.col("words") + F.col("words_next")
+    pairs = looked_up.where(F.col("rank_next").isNotNull()).select(
+        "row",
+        "line",
+        "pos",
+        "rank",
+        "rank_next",
+        "own",
+        F.col("last_next").alias("last"),
+        words.alias("words"),
+        "forward",
+        F.col("backward_next").alias("backward"),
     )
-    # A run that is shortest from both its ends is taken once.
-    begin = "named_struct('line', i, 'size', m)"
-    end = "named_struct('line', i - m + 1, 'size', if(m > 0 and forward[i - m + 1] = m, 0, m))"
-    both = f"concat(transform(forward, (m, i) -> {begin}), transform(backward, (m, i) -> if(m > 0, {end}, {begin})))"
-    spans = counted.select("at", "hashes", F.expr(f"filter({both}, r -> r.size > 0)").alias("spans"))
-    own = "slice(hashes, r.line + 1, r.size)"
-    named = f"named_struct('line', r.line, 'size', r.size, 'name', xxhash64({own}), 'more', hash({own}))"
-    runs = spans.select("at", F.explode(F.expr(f"transform(spans, r -> {named})")).alias("run"))
-    return runs.select((F.col("at") + F.col("run.line")).alias("pos"), "run.*")
+    pairs = pairs.where(F.col("words") - F.greatest("own", "last") < min_words)
+    order = ["rank", "rank_next"]
+    again = pairs.groupBy(*order).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    ordered = prefix_sums(again.select(*order), order, {"doubled": F.lit(1).cast("long")})
+    found = pairs.join(kept(ordered), order)
+    return found.select("row", "line", "pos", F.col("doubled").alias("rank"), "own", "last", "words", "forward", "backward")
 
 
 def _later_copies(runs: DataFrame) -> DataFrame:
-    """Of runs of lines, those that an earlier equal run exists of; ``at`` is where the document begins."""
-    name = ["name", "more"]
-    first = runs.groupBy(*name).agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("copies"))
-    # Kept, so that the join reads two plain shuffles, of which a hot run's can be split.
-    first = kept(first.where("copies > 1").drop("copies"))
-    later = runs.join(first, name).where(F.col("pos") > F.col("first"))
-    return later.select((F.col("pos") - F.col("line")).alias("at"), "line", "size")
+    """Of runs of lines, those that an earlier equal run exists of."""
+    interval = ["size", "head", "tail"]
+    first = runs.groupBy(*interval).agg(F.min("pos").alias("first"), F.max("pos").alias("final"))
+    # Kept, so that the join reads two plain shuffles, of which a hot interval's can be split.
+    first = kept(first.where("first < final").drop("final"))
+    later = runs.join(first, interval).where(F.col("pos") > F.col("first"))
+    return later.select("row", "line", "size")
 
 
-def repeated_runs(documents: DataFrame, text: str, order: str, units: Units = SENTENCES) -> DataFrame:
+def repeated_runs(documents: DataFrame, text: str, order: str, min_words: int = MIN_WORDS) -> DataFrame:
     """``row`` and ``runs`` of each document with later copies: maximal spans of line numbers.
 
     ``row`` is what ``monotonically_increasing_id`` gives the document's row, so the documents have
     to be a table that reads the same every time: files or a kept table.
 
-    A line is in a later copy if it is in one of the shortest runs of enough size that begin or
+    A line is in a later copy if it is in one of the shortest runs of enough words that begin or
     end at some line, and an equal run stands earlier. Unions of these are the maximal runs.
     """
-    numbered = _numbered(documents, text, order, units)
-    later = _later_copies(_runs(numbered, units.least))
-    in_document = Window.partitionBy("at").orderBy("line", "size")
+    step, runs = 1, None
+    # By one line: the words of a suffix's lines, and those and the runs of the last of them.
+    ranked = _stretches(documents, text, order, min_words)
+    ranked = ranked.select("*", F.col("own").alias("words"), F.col("own").alias("last"))
+    while True:
+        looked_up = _looked_up(ranked, step)
+        own = _runs(looked_up, step)
+        runs = own if runs is None else runs.unionByName(own)
+        step *= 2
+        if step > min_words:
+            break
+        ranked = _doubled(looked_up, min_words)
+    later = _later_copies(runs)
+    in_document = Window.partitionBy("row").orderBy("line", "size")
     end = F.col("line") + F.col("size")
     before = F.max(end).over(in_document.rowsBetween(Window.unboundedPreceding, -1))
     opened = later.withColumn("new", F.coalesce((F.col("line") > before).cast("int"), F.lit(1)))
     spans = opened.withColumn("run", F.sum("new").over(in_document))
-    merged = spans.groupBy("at", "run").agg(F.min("line").alias("begin"), F.max(end).alias("end"))
-    found = merged.groupBy("at").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
-    return numbered.select("row", "at").join(found, "at").select("row", F.array_sort("runs").alias("runs"))
+    merged = spans.groupBy("row", "run").agg(F.min("line").alias("begin"), F.max(end).alias("end"))
+    found = merged.groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
+    return found.select("row", F.array_sort("runs").alias("runs"))
 
 
 def deduplicated(
-    documents: DataFrame, text: str, order: str, runs: str, min_size: int | None = None
+    documents: DataFrame, text: str, order: str, runs: str, min_words: int = MIN_WORDS
 ) -> DataFrame:
     """The documents without later copies of repeated runs of lines in their text.
 
@@ -155,20 +227,19 @@ def deduplicated(
     nulls of ``order`` come first. Runs that overlap a copy of their own beginning lose all but that.
     A null text stays null, an empty one empty, and a document that is a copy throughout ends up
     empty. Of repeated rows all but the first are copies. A column named like ``runs`` is replaced.
-    Runs count from ``MIN_WORDS`` words on; only callers that give a ``min_size`` get coarser units.
+    Runs count from ``min_words`` words on. An empty table gives an empty one.
     """
-    units = SENTENCES if min_size is None else _long_sentences(min_size)
     rows = documents.drop(runs)
     row = free_name(rows, "_row")
-    found = repeated_runs(documents, text, order, units).select(
+    found = repeated_runs(documents, text, order, min_words).select(
         F.col("row").alias(row), F.col("runs").alias(runs)
     )
     own = rows.withColumn(row, F.monotonically_increasing_id()).join(found, row, "left")
     inside = f"exists(`{runs}`, s -> i >= s.begin and i < s.end)"
     split = free_name(own, "_lines")
-    cut = own.withColumn(split, F.when(F.col(runs).isNotNull(), lines(F.col(text), units.line_end)))
+    cut = own.withColumn(split, F.when(F.col(runs).isNotNull(), lines(F.col(text))))
     left = F.array_join(F.expr(f"filter(`{split}`, (x, i) -> not {inside})"), "")
-    cut = cut.withColumn(text, F.when(F.col(runs).isNotNull(), left).otherwise(F.col(text)))
+    cut = cut.withColumn(text, F.when(F.col(runs).isNotNull() & F.col(text).isNotNull(), left).otherwise(F.col(text)))
     none = F.array().cast("array<struct<begin:bigint,end:bigint>>")
     return cut.withColumn(runs, F.coalesce(F.col(runs).cast("array<struct<begin:bigint,end:bigint>>"), none)).select(
         *all_columns(rows), runs

@@ -91,25 +91,24 @@ def near_copies(rows, percent=75):
     ]
 
 
-LINE_END = re.compile(r"(?<=\n)|(?<=[.!?] )(?<=[^.!?\n]{40}[.!?] )")
+LINE_END = re.compile(r"(?<=\n)|(?<=[.!?] )")
 
 
-def without_later_copies(texts, min_size):
-    """Texts in order, without lines that are in a run of enough size that an equal run stands before."""
-    kept, before = [], set()
-    split = [LINE_END.split(text or "") for text in texts]
-    for lines in split:
-        keys = [line.rstrip(" \n\r\t") for line in lines]
-        sizes = [max(1, len(line.encode()) // 8) for line in lines]
+def without_later_copies(texts, min_words=30):
+    """Texts in order, without lines that are in a run of enough words that an equal run stands before."""
+    left, before = [], set()
+    for text in texts:
+        own = LINE_END.split(text or "")
+        keys = [line.rstrip(" \n\r\t") for line in own]
         gone = set()
         for start in range(len(keys)):
-            size = 0
+            words = 0
             for end in range(start, len(keys)):
-                size += sizes[end]
-                if size >= min_size:
+                words += 1 + keys[end].count(" ")
+                if words >= min_words:
                     run = tuple(keys[start : end + 1])
                     if run in before:
                         gone |= set(range(start, end + 1))
                     before.add(run)
-        kept.append("".join(line for i, line in enumerate(lines) if i not in gone))
-    return kept
+        left.append("".join(line for i, line in enumerate(own) if i not in gone))
+    return left

@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import random
-import re
 
 import pytest
 
@@ -20,14 +19,14 @@ def made_rows(seed):
     return rows + [(5, rows[5][1]), (None, rows[3][1]), (200, "\n" * 40), (201, "\n" * 40), (202, parts[0] * 30)]
 
 
-@pytest.mark.parametrize(("seed", "min_size"), [(3, 20), (4, 9)])
-def test_equals_the_plain_version(spark, tmp_path, seed, min_size):
+@pytest.mark.parametrize(("seed", "min_words"), [(3, 20), (4, 9), (7, 30), (8, 1)])
+def test_equals_the_plain_version(spark, tmp_path, seed, min_words):
     rows = made_rows(seed) + odd_rows()
     docs = table(spark, tmp_path, rows, extra=True)
-    out = linededup.deduplicated(docs, "text", "doc_id", "runs", min_size)
+    out = linededup.deduplicated(docs, "text", "doc_id", "runs", min_words)
     assert out.columns == [*docs.columns, "runs"]
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, i))
-    wanted = without_later_copies([rows[i][1] for i in order], min_size)
+    wanted = without_later_copies([rows[i][1] for i in order], min_words)
     got = [(r.doc_id, r.text if r.text is not None else "") for r in out.collect()]
     assert sorted(got, key=repr) == sorted(((rows[i][0], t) for i, t in zip(order, wanted)), key=repr)
     assert out.where("text is null").count() == sum(t is None for _, t in rows)
@@ -70,39 +69,6 @@ def test_free_name(spark):
     assert free_name(spark.range(1).selectExpr("id", "1 AS _Row"), "_row") == "_row_"
 
 
-ANY_LINE_END = re.compile(r"(?<=\n)|(?<=[.!?] )")
-
-
-def without_runs_of_30_words(texts):
-    """Like the plain version, with every sentence a line and runs of 30 words or more."""
-    left, before = [], set()
-    for text in texts:
-        own = ANY_LINE_END.split(text or "")
-        keys = [line.rstrip(" \n\r\t") for line in own]
-        gone = set()
-        for start in range(len(keys)):
-            words = 0
-            for end in range(start, len(keys)):
-                words += 1 + keys[end].count(" ")
-                if words >= 30:
-                    run = tuple(keys[start : end + 1])
-                    if run in before:
-                        gone |= set(range(start, end + 1))
-                    before.add(run)
-        left.append("".join(line for i, line in enumerate(own) if i not in gone))
-    return left
-
-
-@pytest.mark.parametrize("seed", [7, 8])
-def test_every_sentence_is_a_line_and_30_words_are_a_run(spark, tmp_path, seed):
-    rows = made_rows(seed) + odd_rows()
-    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0, i))
-    wanted = without_runs_of_30_words([rows[i][1] for i in order])
-    found = linededup.deduplicated(table(spark, tmp_path, rows), "text", "doc_id", "runs").collect()
-    got = [(r.doc_id, r.text if r.text is not None else "") for r in found]
-    assert sorted(got, key=repr) == sorted(((rows[i][0], t) for i, t in zip(order, wanted)), key=repr)
-
-
 def test_passages_beside_short_sentences_and_in_short_lines_go(spark, tmp_path):
     long = "This passage has more than fifty words, all of which stand in sentences that are not short at all. " * 2 + (
         "It stands between two short sentences, which are not the same in any two of the documents that hold it. "
@@ -112,3 +78,19 @@ def test_passages_beside_short_sentences_and_in_short_lines_go(spark, tmp_path):
     found = {r.doc_id: r.text for r in linededup.deduplicated(table(spark, tmp_path, rows), "text", "doc_id", "runs").collect()}
     assert found[0] == rows[0][1]
     assert all(found[i] == f"No {i}. Yes {i}. So own {i}.\nOwn {i} end.\n" for i in range(1, 6))
+
+
+def test_lines_are_split_alike_with_and_without_the_mark(spark):
+    texts = ["", "a", "a. b", "a.  b! \nc\n\n", ". . ", "x\x01y. z\n", "\x01", "é? ü.\n", "\n"]
+    rows = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    found = {r.t: r.own for r in rows.select("t", linededup.lines(rows.t).alias("own")).collect()}
+    assert found.pop(None) == [""]
+    assert found == {t: LINE_END.split(t) for t in texts}
+
+
+def test_a_line_that_a_third_of_all_rows_share(spark, tmp_path):
+    hot = "The same line of many words stands in a third of all documents, " * 4 + "and ends here.\n"
+    rows = [(i, (hot if i % 3 == 0 else "") + f"Own line {i}.\n" + "go. " * (i % 50)) for i in range(300)]
+    found = linededup.deduplicated(table(spark, tmp_path, rows, files=5), "text", "doc_id", "runs").collect()
+    wanted = without_later_copies([t for _, t in rows])
+    assert {r.doc_id: r.text for r in found} == dict(enumerate(wanted))

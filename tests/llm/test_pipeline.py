@@ -40,7 +40,7 @@ def test_toxic_documents_go_and_others_stay(spark, steps):
 
 def test_line_dedup_equals_the_plain_version(steps):
     before = sorted(texts(steps[1]).items())
-    wanted = without_later_copies([t for _, t in before], 24)
+    wanted = without_later_copies([t for _, t in before])
     assert texts(steps[2]) == {k: w for (k, t), w in zip(before, wanted) if w.split() or w == t}
     assert LINE_END.split("a\nb") == ["a\n", "b"]
 
