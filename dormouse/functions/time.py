@@ -36,6 +36,28 @@ def months_before(as_of: datetime | str | Column | None, months: int) -> Column:
     return instant(as_of) - F.make_ym_interval(F.lit(0), F.lit(months))
 
 
+_DAY_MICROS = 24 * 60 * 60 * 1_000_000
+
+
+def first_after_months(moment: Column, months: int) -> Column:
+    """The first instant whose ``months_before`` lies after ``moment``: the inverse of the clamped cut.
+
+    That is a microsecond past the same day and time ``months`` later, if there is such a day and the
+    next instant is still on it. Else it is the next midnight whose cut is a later day: the next day,
+    or the next month where the days left in the month are all cut to the end of the earlier one.
+    """
+    day, month = moment.cast("date"), F.trunc(moment, "month")
+    later = F.add_months(month, F.lit(months))
+    number, days = F.dayofmonth(day), F.dayofmonth(F.last_day(later))
+    of_day = F.unix_micros(moment) - F.unix_micros(day.cast("timestamp"))
+    same = F.timestamp_micros(
+        F.unix_micros(later.cast("timestamp")) + (number - 1).cast("bigint") * _DAY_MICROS + of_day + 1
+    )
+    month_end = (number == F.dayofmonth(F.last_day(day))) | (number >= days)
+    next_day = F.when(month_end, F.add_months(month, F.lit(months + 1))).otherwise(F.date_add(later, number))
+    return F.when((number <= days) & (of_day < _DAY_MICROS - 1), same).otherwise(next_day.cast("timestamp"))
+
+
 def years_after(moment: Column, years: int) -> Column:
     """``moment`` plus calendar years; 29 February becomes 28 February."""
     return moment + F.make_ym_interval(F.lit(years), F.lit(0))

@@ -8,7 +8,7 @@ is an event only together with its change group, so those two are joined first.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -88,8 +88,8 @@ def assignments(change_groups: DataFrame, change_items: DataFrame) -> DataFrame:
 def watches(associations: DataFrame, key_map: DataFrame, accounts: DataFrame) -> DataFrame:
     """Last time an issue was put on a watch list, by whomever, per account of its owner."""
     watched = associations.filter(F.col("association_type") == WATCH_ASSOCIATION)
-    latest = _latest_by_key(watched, "source_name", F.max("created"), key_map)
-    return _of_accounts(latest, accounts).withColumnRenamed("latest", "lastwatch")
+    latest = latest_by_key(watched, "source_name", F.max("created"), key_map)
+    return latest_of_accounts(latest, accounts).withColumnRenamed("latest", "lastwatch")
 
 
 def reactivations(audit: DataFrame, key_map: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def reactivations(audit: DataFrame, key_map: DataFrame) -> DataFrame:
         (F.col("primary_resource_type") == AUDIT_ACCOUNT_TYPE)
         & F.col("change_values").endswith(REACTIVATION_SUFFIX)
     )
-    latest = _latest_by_key(
+    latest = latest_by_key(
         switched_on, "primary_resource_id", F.max("entity_timestamp"), key_map
     )
     return latest.select(
@@ -128,8 +128,8 @@ def last_reactivation(audit: DataFrame, key_map: DataFrame) -> DataFrame:
 def wiki_last_edit(content: DataFrame, key_map: DataFrame, accounts: DataFrame) -> DataFrame:
     """Last page edit of each user among the given accounts."""
     names = key_map.withColumnRenamed("lower_username", "lower_user_name")
-    latest = _latest_by_key(content, "lastmodifier", F.max("lastmoddate"), names)
-    edits = _of_accounts(latest, accounts).withColumnRenamed("latest", "lastpagemoddate")
+    latest = latest_by_key(content, "lastmodifier", F.max("lastmoddate"), names)
+    edits = latest_of_accounts(latest, accounts).withColumnRenamed("latest", "lastpagemoddate")
     return _latest_by_name(edits, "lastpagemoddate")
 
 
@@ -148,15 +148,21 @@ def activity_by_name(tables: Mapping[str, DataFrame]) -> DataFrame:
     The four kinds are put under each other and reduced together, so that they
     share one shuffle by name and are joined to the people as one table.
     """
-    issues = tables["issue"].select(
-        F.col("assignee").alias("user_name"), F.lit(1).cast("bigint").alias("assigneecount")
-    )
-    kinds = [
+    return together_by_name([
         assignments(tables["changegroup"], tables["changeitem"]),
         reactivations(tables["audit"], tables["app_user"]),
         watches(tables["userassociation"], tables["app_user"], tables["account"]),
-        issues,
-    ]
+        issue_rows(tables["issue"]),
+    ])
+
+
+def issue_rows(issues: DataFrame) -> DataFrame:
+    """A one for every issue of an assignee, to be summed up by name."""
+    return issues.select(F.col("assignee").alias("user_name"), F.lit(1).cast("bigint").alias("assigneecount"))
+
+
+def together_by_name(kinds: Sequence[DataFrame]) -> DataFrame:
+    """Rows of the four kinds, each with its own column, reduced to one row per name."""
     together = reduce(lambda one, two: one.unionByName(two, allowMissingColumns=True), kinds)
     return together.groupBy("user_name").agg(
         F.max("lastassign").alias("lastassign"),
@@ -166,13 +172,13 @@ def activity_by_name(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def _latest_by_key(events: DataFrame, key: str, latest: Column, key_map: DataFrame) -> DataFrame:
+def latest_by_key(events: DataFrame, key: str, latest: Column, key_map: DataFrame) -> DataFrame:
     """Latest event and lower-case name per user key; the map is joined per key, not per event."""
     per_key = events.groupBy(F.col(key).alias("user_key")).agg(latest.alias("latest"))
     return per_key.join(key_map, "user_key").select("lower_user_name", "latest")
 
 
-def _of_accounts(latest: DataFrame, accounts: DataFrame) -> DataFrame:
+def latest_of_accounts(latest: DataFrame, accounts: DataFrame) -> DataFrame:
     """The latest event of a lower-case name, for each account that has the name."""
     per_name = latest.groupBy("lower_user_name").agg(F.max("latest").alias("latest"))
     return (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,14 +81,32 @@ def _detail() -> Column:
 
 def deactivation_summary(plan: DataFrame) -> DataFrame:
     """Number of names per status, with the closing line for the deactivated ones."""
-    line = F.format_string("%d inactive users automatically deactivated.", F.col("users"))
     return (
         plan.groupBy("status")
         .agg(F.count("*").alias("users"))
-        .withColumn("message", F.when(F.col("status") == DEACTIVATED, line))
+        .withColumn("message", F.when(F.col("status") == DEACTIVATED, _closing_line()))
     )
 
 
+def _closing_line() -> Column:
+    return F.format_string("%d inactive users automatically deactivated.", F.col("users"))
+
+
+def observed(plan: DataFrame) -> tuple[DataFrame, Observation]:
+    """The plan, and an observation that has counted its statuses once the plan was written."""
+    statuses = (NOT_FOUND, ALREADY_INACTIVE, VALIDATION_FAILED, DEACTIVATED)
+    observation = Observation("statuses")
+    counts = [F.count_if(F.col("status") == status).alias(status) for status in statuses]
+    return plan.observe(observation, *counts), observation
+
+
+def observed_summary(spark: SparkSession, observation: Observation) -> DataFrame:
+    """Equal to ``deactivation_summary`` of the observed plan, without another pass over it."""
+    counts = [(status, users) for status, users in observation.get.items() if users]
+    rows = spark.createDataFrame(counts, "status string, users long")
+    return rows.withColumn("message", F.when(F.col("status") == DEACTIVATED, _closing_line()))
+
+
 def accounts_after(accounts: DataFrame, plan: DataFrame) -> DataFrame:
     """The account table with the deactivated accounts switched off, all else unchanged.
 

@@ -31,6 +31,7 @@ def dormant_accounts(
     exempt_group: str = EXEMPT_GROUP,
     lenient: bool = False,
     ordered: bool = True,
+    recent: DataFrame | None = None,
 ) -> DataFrame:
     """People with access, an account older than ``months`` and no activity since.
 
@@ -41,16 +42,19 @@ def dormant_accounts(
 
     Each side has one row per name, so the rows are distinct as they stand.
     ``ordered=False`` leaves out the global sort, for callers that go on.
+    ``recent`` is the activity by name where that is at hand, as from a stored
+    state; it is reduced from the event tables otherwise.
     """
     require_utc(tables["account"])
     cut = months_before(as_of, months)
+    recent = activity.activity_by_name(tables) if recent is None else recent
     exempt = identity.exempt_accounts(
         tables["account"], tables["membership"], tables["grp"], exempt_group
     )
     people = canonical_eligible(tables).filter(F.col("created_date") < cut)
     people = (
         identity.not_exempt(people, exempt)
-        .join(activity.activity_by_name(tables), "user_name", "left")
+        .join(recent, "user_name", "left")
         .filter(
             stale_or_never(F.col("lastassign"), cut) & stale_or_never(F.col("lastreactivate"), cut)
         )
@@ -58,15 +62,20 @@ def dormant_accounts(
     dormant = activity.account_activity(people, tables["attrs"], lenient).filter(
         stale_or_never(F.col("lastlogin"), cut) & stale_or_never(F.col("lastauth"), cut)
     )
-    result = dormant.select(
+    result = dormant.select(*listed_columns())
+    return _by_last_login(result, "user_name") if ordered else result
+
+
+def listed_columns() -> list[str | Column]:
+    """What a list of dormant accounts shows of a person with all activity."""
+    return [
         "user_name",
         "directory_id",
         "email_address",
         day_text(F.col("created_date")).alias("created"),
         *[day_text(F.col(name)).alias(name) for name in _DAYS],
         F.coalesce("assigneecount", F.lit(0)).alias("assigneecount"),
-    )
-    return _by_last_login(result, "user_name") if ordered else result
+    ]
 
 
 def dormant_external(

@@ -41,8 +41,6 @@ def login_rule_verdicts(
     ).select(
         "lower_user_name", F.col("id").alias("user_id"), F.col("directory_id").alias("home_id")
     )
-    numbers, texts = _login_values(tables["attrs"])
-
     reason = (
         F.when(F.col("user_id").isNull(), F.lit(UNRESOLVED))
         .when(F.col("last_login_number").isNotNull(), F.lit(LOGIN))
@@ -56,8 +54,7 @@ def login_rule_verdicts(
     return (
         checked.select("user_name", "lower_user_name", "created_date")
         .join(resolved, "lower_user_name", "left")
-        .join(numbers, ["user_id", "home_id"], "left")
-        .join(texts, ["user_id", "home_id"], "left")
+        .join(_login_values(tables["attrs"]), ["user_id", "home_id"], "left")
         .withColumn("last_login_millis", shown)
         .withColumn("reason", reason)
         .withColumn("last_used", last_used)
@@ -86,27 +83,21 @@ def login_rule_counts(verdicts: DataFrame) -> DataFrame:
     )
 
 
-def _login_values(attributes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per account the largest login that is a time, and the last text, by order, that is none.
+def _login_values(attributes: DataFrame) -> DataFrame:
+    """Per account the largest login that is a time and, where there is none, the last text by order.
 
-    Times are kept as numbers, so that they are reduced by hash. Texts are few;
-    each task keeps the last of an account before the shuffle.
+    Both come from one choice of a row per account, so the attributes are read and shuffled once;
+    each task keeps only its best row of an account before the shuffle.
     """
     value = F.col("attribute_value")
     number = value.try_cast("bigint")
     rows = attributes.filter(F.col("attribute_name") == LAST_LOGIN_ATTRIBUTE).select(
         "user_id",
         F.col("directory_id").alias("home_id"),
-        F.when(millis_to_timestamp(number).isNotNull(), number).alias("number"),
+        F.when(millis_to_timestamp(number).isNotNull(), number).alias("last_login_number"),
         value.alias("last_login_text"),
     )
-    account = ["user_id", "home_id"]
-    numbers = rows.groupBy(*account).agg(F.max("number").alias("last_login_number"))
-    last = Window.partitionBy(*account).orderBy(F.desc("last_login_text"))
-    texts = (
-        rows.filter(F.col("number").isNull() & F.col("last_login_text").isNotNull())
-        .withColumn("place", F.row_number().over(last))
-        .filter(F.col("place") == 1)
-        .select(*account, "last_login_text")
+    best = Window.partitionBy("user_id", "home_id").orderBy(
+        F.desc_nulls_last("last_login_number"), F.desc_nulls_last("last_login_text")
     )
-    return numbers.filter(F.col("last_login_number").isNotNull()), texts
+    return rows.withColumn("place", F.row_number().over(best)).filter("place = 1").drop("place")

@@ -92,8 +92,9 @@ _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
                    WHEN 'F' THEN CASE WHEN k % 5 <> 0 OR (k % 15 = 0 AND d <> 1)
                                       THEN 'login.lastLoginMillis'
                                       ELSE 'passwordLastChanged' END
-                   ELSE CASE WHEN k % 5 <> 1 THEN 'lastAuthenticated'
-                             ELSE 'passwordLastChanged' END END AS attribute_name,
+                   WHEN 'P' THEN CASE WHEN k % 5 <> 1 THEN 'lastAuthenticated'
+                                      ELSE 'passwordLastChanged' END
+                   ELSE 'passwordLastChanged' END AS attribute_name,
                CASE WHEN o_orderstatus = 'P' THEN CAST(epoch_ms(o_orderdate) AS VARCHAR)
                     WHEN k % 15 = 0 AND d <> 1 THEN
                         CASE k % 60 WHEN 0 THEN 'unknown' WHEN 15 THEN ''
@@ -102,7 +103,6 @@ _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
                     WHEN k % 37 <> 0 THEN CAST(epoch_ms(o_orderdate) + 123 AS VARCHAR)
                END AS attribute_value
         FROM placed JOIN orders ON o_custkey = k
-        WHERE o_orderstatus IN ('F', 'P')
         """,
     ),
     "number": (
@@ -165,8 +165,9 @@ _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
     "logininfo": (
         ("people",),
         """
-        SELECT ukey AS username, CASE WHEN k % 9 <> 0 THEN o_orderdate END AS successdate
-        FROM people JOIN orders ON o_custkey = k WHERE o_orderstatus = 'F'
+        SELECT CASE WHEN o_orderstatus <> 'F' THEN 'gone-' ELSE '' END || ukey AS username,
+               CASE WHEN k % 9 <> 0 THEN o_orderdate END AS successdate
+        FROM people JOIN orders ON o_custkey = k
         """,
     ),
     "content": (
@@ -279,7 +280,7 @@ _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
         FROM issue WHERE assignee IS NOT NULL GROUP BY ALL
         """,
     ),
-    "dormant": (
+    "judged": (
         ("canonical", "activity", "assignment", "watch", "reactivation", "assigned", "exempt"),
         """
         SELECT c.user_name, c.directory_id, email_address,
@@ -289,18 +290,41 @@ _DERIVED: dict[str, tuple[tuple[str, ...], str]] = {
                strftime(lastassign, '%Y-%m-%d') AS lastassign,
                strftime(lastwatch, '%Y-%m-%d') AS lastwatch,
                strftime(lastreactivate, '%Y-%m-%d') AS lastreactivate,
-               ifnull(assigneecount, 0) AS assigneecount
+               ifnull(assigneecount, 0) AS assigneecount,
+               greatest(created_date, lastlogin, lastauth, lastassign,
+                        CAST(lastreactivate AS TIMESTAMP)) AS last_active
         FROM canonical c
         LEFT JOIN activity a ON a.user_id = c.id AND a.directory_id = c.directory_id
         LEFT JOIN assignment s ON s.user_name = c.user_name
         LEFT JOIN reactivation r ON r.user_name = c.user_name
         LEFT JOIN watch w ON w.user_name = c.user_name
         LEFT JOIN assigned n ON n.user_name = c.user_name
-        WHERE greatest(created_date, lastlogin, lastauth, lastassign,
-                       CAST(lastreactivate AS TIMESTAMP))
-              < TIMESTAMP '2001-08-02 00:00:00' - INTERVAL 3 MONTH
-          AND created_date IS NOT NULL
-          AND c.user_name NOT IN (SELECT user_name FROM exempt)
+        WHERE created_date IS NOT NULL AND c.user_name NOT IN (SELECT user_name FROM exempt)
+        """,
+    ),
+    "dormant": (
+        ("judged",),
+        """
+        SELECT * EXCLUDE (last_active) FROM judged
+        WHERE last_active < TIMESTAMP '2001-08-02 00:00:00' - INTERVAL 3 MONTH
+        """,
+    ),
+    "dormant_before": (
+        ("judged",),
+        """
+        SELECT * EXCLUDE (last_active) FROM judged
+        WHERE last_active < TIMESTAMP '2001-05-31 06:00:00' - INTERVAL 3 MONTH
+        """,
+    ),
+    # The days on which the cut gets past the last activity; the first of them is that of the expiry.
+    "past": (
+        ("judged",),
+        """
+        SELECT user_name, last_active, day
+        FROM (SELECT user_name, last_active, CAST(unnest(generate_series(
+                         date_trunc('day', last_active), last_active + INTERVAL 5 MONTH, INTERVAL 1 DAY)) AS TIMESTAMP) AS day
+              FROM judged)
+        WHERE day + INTERVAL 1 DAY - INTERVAL 1 MICROSECOND - INTERVAL 3 MONTH > last_active
         """,
     ),
     "external": (
@@ -524,6 +548,47 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT user_name, strftime(lastreactivate, '%Y-%m-%d') AS lastreactivate FROM reactivation",
     ),
     "assignee_count": _sql(("assigned",), "SELECT * FROM assigned"),
+    "account_expiry": _sql(
+        ("past",),
+        f"""
+        SELECT user_name, {_texts("last_active", "expires_at")},
+               strftime(expires_at, '%Y-%m-%d') AS expires_on
+        FROM (SELECT user_name, last_active,
+                     CASE WHEN min(day) - INTERVAL 3 MONTH > last_active THEN min(day)
+                          ELSE min(day) + (last_active - date_trunc('day', last_active)) + INTERVAL 1 MICROSECOND
+                     END AS expires_at
+              FROM past GROUP BY user_name, last_active)
+        """,
+    ),
+    "newly_dormant": _sql(
+        ("dormant", "dormant_before"), "SELECT * FROM dormant EXCEPT SELECT * FROM dormant_before"
+    ),
+    "activity_from_state": _sql(
+        ("assignment", "reactivation", "watch", "issue"),
+        f"""
+        SELECT user_name, {_texts("lastassign", "lastwatch")},
+               strftime(lastreactivate, '%Y-%m-%d') AS lastreactivate, assigneecount
+        FROM (SELECT user_name, max(lastassign) AS lastassign, max(lastreactivate) AS lastreactivate,
+                     max(lastwatch) AS lastwatch, CAST(sum(n) AS BIGINT) AS assigneecount
+              FROM (SELECT user_name, lastassign, NULL AS lastreactivate, NULL AS lastwatch, NULL AS n
+                    FROM assignment
+                    UNION ALL SELECT user_name, NULL, lastreactivate, NULL, NULL FROM reactivation
+                    UNION ALL SELECT user_name, NULL, NULL, lastwatch, NULL FROM watch
+                    UNION ALL SELECT assignee, NULL, NULL, NULL, 1 FROM issue)
+              GROUP BY user_name)
+        """,
+    ),
+    "rejected_logins": _sql(
+        ("attrs",),
+        """
+        SELECT *, CASE WHEN trim(attribute_value) = '' THEN 'empty'
+                       WHEN TRY_CAST(attribute_value AS DOUBLE) IS NULL THEN 'not_a_number'
+                       ELSE 'out_of_range' END AS reason
+        FROM attrs
+        WHERE attribute_name IN ('login.lastLoginMillis', 'lastAuthenticated') AND attribute_value IS NOT NULL
+          AND ifnull(TRY_CAST(attribute_value AS DOUBLE) NOT BETWEEN -62135596800000 AND 253402300799999, true)
+        """,
+    ),
     "wiki_dormant": _sql(
         ("wiki_quiet",),
         _WIKI_ROWS.format(

@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dormouse.operators import activity, identity
-from dormouse.plans import deactivation, dormancy, login_rule, wiki
+from dormouse.operators import activity, activity_state, identity, quarantine
+from dormouse.plans import deactivation, dormancy, expiry, login_rule, wiki
 from dormouse.session import apply_settings
 from dormouse.sources.schemas import TRACKER, WIKI
 from dormouse.sources.tables import Tables
-from sample.tables import AS_OF, INTERNAL_SUFFIX, sample_tables
+from sample.tables import AS_OF, FIRST_AUDIT, FIRST_WATCH, INTERNAL_SUFFIX, SINCE, sample_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 TableQuery = Callable[[Tables], DataFrame]
@@ -75,6 +75,30 @@ def _login_rule_plan(t: Mapping[str, DataFrame]) -> DataFrame:
     return deactivation.deactivation_plan(names, t["account"], t["directory"])
 
 
+def _activity_from_state(t: Mapping[str, DataFrame]) -> DataFrame:
+    """All activity by name from a state of the first events and two additions that overlap."""
+    ends = activity_state.marks_of(t)
+    cuts = [
+        activity_state.Marks(
+            ends.changegroup * part // 10,
+            _between(FIRST_WATCH, ends.watch, part),
+            _between(FIRST_AUDIT, ends.audit, part),
+        )
+        for part in (4, 6, 8)
+    ]
+    stretches = [(activity_state.Marks(), cuts[1]), (cuts[0], cuts[2]), (cuts[2], activity_state.Marks())]
+    states = [activity_state.latest_between(t, since, until) for since, until in stretches]
+    return activity_state.activity_by_name(activity_state.merged(*states), t)
+
+
+def _between(first: int, last: int, tenths: int) -> int:
+    return first + (last - first) * tenths // 10
+
+
+def _newly_dormant(t: Mapping[str, DataFrame]) -> DataFrame:
+    return expiry.newly_dormant(expiry.account_expiries(t), SINCE, AS_OF)
+
+
 TRACKER_QUERIES: dict[str, TableQuery] = {
     "dormant_accounts": lambda t: dormancy.dormant_accounts(t, AS_OF),
     "dormant_external": _external,
@@ -100,6 +124,12 @@ TRACKER_QUERIES: dict[str, TableQuery] = {
     "last_watch": lambda t: activity.last_watch(t["userassociation"], t["app_user"], t["account"]),
     "last_reactivation": lambda t: activity.last_reactivation(t["audit"], t["app_user"]),
     "assignee_count": lambda t: activity.assignee_count(t["issue"]),
+    "account_expiry": lambda t: expiry.account_expiries(t).select(
+        "user_name", "last_active", "expires_at", "expires_on"
+    ),
+    "newly_dormant": _newly_dormant,
+    "activity_from_state": _activity_from_state,
+    "rejected_logins": lambda t: quarantine.rejected_values(t["attrs"]),
 }
 
 WIKI_QUERIES: dict[str, TableQuery] = {

@@ -13,6 +13,9 @@ from dormouse.sources.tables import Tables
 
 # Fixed values of the sample.
 AS_OF = "2001-08-02 00:00:00"
+SINCE = "2001-05-31 06:00:00"
+# Where watches, in microseconds, and audit rows, in milliseconds, begin.
+FIRST_WATCH, FIRST_AUDIT = 1_704_067_200_000_000, 788_918_400_000
 INTERNAL_SUFFIX = "@mycompany.example"
 EXTERNAL_SUFFIX = "@customer.example"
 GROUPS = [
@@ -168,10 +171,9 @@ def _license(sample: Sample) -> DataFrame:
 
 
 def _attrs(sample: Sample) -> DataFrame:
-    """A row per order and account. Inactive accounts outside the first directory have odd logins."""
-    orders = sample.read("orders").filter("o_orderstatus IN ('F', 'P')")
+    """A row per order and account; open orders are other attributes. Inactive accounts outside the first directory have odd logins."""
     millis = F.expr("unix_millis(CAST(o_orderdate AS TIMESTAMP))").alias("millis")
-    orders = orders.select("o_custkey", "o_orderstatus", millis)
+    orders = sample.read("orders").select("o_custkey", "o_orderstatus", millis)
     return sample.placed().join(orders, F.expr("o_custkey = k")).selectExpr(
         "id AS user_id",
         "d AS directory_id",
@@ -251,11 +253,14 @@ def _issue(sample: Sample) -> DataFrame:
 
 
 def _logininfo(sample: Sample) -> DataFrame:
+    """A row per order; those of orders that are not finished are of users the key map no longer has."""
     return (
         sample.read("orders")
-        .filter("o_orderstatus = 'F'")
         .join(sample.people(), F.expr("o_custkey = k"))
-        .selectExpr("ukey AS username", "if(k % 9 = 0, NULL, o_orderdate) AS successdate")
+        .selectExpr(
+            "if(o_orderstatus = 'F', ukey, concat('gone-', ukey)) AS username",
+            "if(k % 9 = 0, NULL, o_orderdate) AS successdate",
+        )
     )
 
 

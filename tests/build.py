@@ -6,6 +6,7 @@ from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dormouse.sources.schemas import TRACKER, WIKI
@@ -110,3 +111,8 @@ def last_login(account_row, value):
 
 def names(frame) -> list:
     return sorted(row["user_name"] for row in frame.collect())
+
+
+def files_read(frame) -> set[str]:
+    """The files that rows of the result come from."""
+    return {row.f for row in frame.select(F.input_file_name().alias("f")).distinct().collect()}

@@ -1,0 +1,115 @@
+"""The account table in parts, of which a deactivation replaces only those that it changes."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+
+from dormouse.plans import account_store
+from dormouse.plans.account_store import store_accounts, stored_accounts, switch_off
+from dormouse.plans.deactivation import accounts_after
+from dormouse.sources.generations import Manifest, publish, published
+from tests.build import files_read
+
+
+@pytest.fixture
+def accounts(spark):
+    return spark.range(1, 400).selectExpr(
+        "id", "concat('u', id) AS user_name", "cast(id % 7 <> 0 as int) AS active", "if(id % 5 = 0, NULL, id) AS `a.b`",
+        "named_struct('x', id) AS more",
+    )
+
+
+def plan(spark, *ids, status="deactivated"):
+    return spark.createDataFrame([(i, status) for i in ids], "account_id long, status string")
+
+
+def rows(frame):
+    return sorted(map(repr, frame.collect()))
+
+
+def files(root):
+    return {str(f.relative_to(root)) for f in Path(root, "data").rglob("*.parquet")}
+
+
+def test_only_parts_with_a_deactivated_account_are_replaced(spark, tmp_path, accounts):
+    root = str(tmp_path / "store")
+    store_accounts(accounts, root, parts=16)
+    kinds = [(f.name, f.dataType.simpleString()) for f in accounts.schema]
+    assert rows(stored_accounts(spark, root)) == rows(accounts)
+    assert [(f.name, f.dataType.simpleString()) for f in stored_accounts(spark, root).schema] == kinds
+    before = files(root)
+    off = plan(spark, 3, 4).union(plan(spark, 9, status="not_found"))
+    touched = switch_off(spark, root, off)
+    assert 1 <= len(touched) <= 2
+    assert rows(stored_accounts(spark, root)) == rows(accounts_after(accounts, off))
+    new = files(root) - before
+    assert before <= files(root) and {f.split("/")[2] for f in new} == {f"store_part={p}" for p in touched}
+    read = {f.split("/data/")[1] for f in files_read(stored_accounts(spark, root))}
+    untouched = {f for f in before if f.split("/")[2] not in {f"store_part={p}" for p in touched}}
+    assert read == {f.split("data/")[1] for f in untouched | new}
+
+
+def test_runs_follow_each_other_and_may_be_repeated(spark, tmp_path, accounts):
+    root = str(tmp_path / "store")
+    store_accounts(accounts, root, parts=8)
+    wanted = accounts
+    for ids in ((3, 4), (3, 4), (10, 11, 12, 200), (399,)):
+        switch_off(spark, root, plan(spark, *ids))
+        wanted = accounts_after(wanted, plan(spark, *ids))
+        assert rows(stored_accounts(spark, root)) == rows(wanted)
+    assert published(spark, root).generation == 5
+    assert switch_off(spark, root, plan(spark, 7, status="already_inactive")) == []
+    assert published(spark, root).generation == 5
+
+
+def test_a_run_that_ends_half_way_leaves_the_old_table(spark, tmp_path, accounts, monkeypatch):
+    root = str(tmp_path / "store")
+    store_accounts(accounts, root, parts=4)
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(account_store, "publish", fail)
+        with pytest.raises(RuntimeError):
+            switch_off(spark, root, plan(spark, *range(1, 100)))
+    assert rows(stored_accounts(spark, root)) == rows(accounts)
+    switch_off(spark, root, plan(spark, 5))
+    assert rows(stored_accounts(spark, root)) == rows(accounts_after(accounts, plan(spark, 5)))
+
+
+def test_a_run_beside_another_is_refused(spark, tmp_path, accounts):
+    root = str(tmp_path / "store")
+    first = store_accounts(accounts, root, parts=4)
+    switch_off(spark, root, plan(spark, 5))
+    with pytest.raises(RuntimeError, match="does not follow"):
+        publish(spark, root, Manifest(2, first.places, first.schema))
+    with pytest.raises(ValueError, match="holds a store"):
+        store_accounts(accounts, root)
+
+
+def test_parts_are_pruned_before_files_are_read(spark, tmp_path, accounts):
+    root = str(tmp_path / "store")
+    manifest = store_accounts(accounts, root, parts=8)
+    one = account_store._read(spark, root, manifest, {"3": 1})
+    assert {f.split("store_part=")[1][0] for f in files_read(one)} == {"3"}
+    assert "PartitionFilters: [" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_odd_tables(spark, tmp_path, accounts):
+    empty = str(tmp_path / "empty")
+    store_accounts(accounts.filter("false"), empty, parts=4)
+    assert stored_accounts(spark, empty).count() == 0
+    assert switch_off(spark, empty, plan(spark, 1)) and stored_accounts(spark, empty).count() == 0
+    with pytest.raises(ValueError, match="store_part"):
+        store_accounts(accounts.withColumnRenamed("user_name", "store_part"), str(tmp_path / "x"))
+    with pytest.raises(ValueError, match="has an id"):
+        store_accounts(accounts.drop("id"), str(tmp_path / "x"))
+    with pytest.raises(ValueError, match="no account store"):
+        stored_accounts(spark, str(tmp_path / "none"))
+    nulls = accounts.selectExpr("if(id < 9, NULL, id) AS ID", "active")
+    store_accounts(nulls, str(tmp_path / "nulls"), parts=4)
+    switch_off(spark, str(tmp_path / "nulls"), plan(spark, 50, None))
+    assert rows(stored_accounts(spark, str(tmp_path / "nulls"))) == rows(accounts_after(nulls, plan(spark, 50)))

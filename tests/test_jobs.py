@@ -3,6 +3,9 @@ from __future__ import annotations
 import pytest
 
 from dormouse.jobs import main, parser
+from dormouse.operators import quarantine
+from dormouse.plans.account_store import stored_accounts
+from dormouse.plans.deactivation import deactivation_summary, observed, observed_summary
 from dormouse.plans.dormancy import dormant_accounts, dormant_external, licensed_accounts
 from dormouse.plans.views import publish_views
 from dormouse.session import apply_settings, planned_bytes
@@ -147,3 +150,45 @@ def test_views_without_an_instant_look_at_the_clock_of_each_read(spark):
     publish_views(tables, "@mycompany.example")
     plan = spark.table("inactive_users_all")._jdf.queryExecution().analyzed().toString()
     assert "current_timestamp()" in plan
+
+
+def test_daily_runs_from_what_earlier_ones_kept(spark, database, tmp_path, capsys):
+    common = ["--parquet", database, "--email-suffix", "@mycompany.example"]
+    index, state, store = (str(tmp_path / name) for name in ("index", "state", "store"))
+    main([*common, "--out", f"{tmp_path}/one", "--as-of", "2001-08-02", "--apply", "--quarantine",
+          "--expiry-index", index, "--activity-state", state, "--account-store", store])
+    assert status_counts(spark, f"{tmp_path}/one/plan") == {"deactivated": 36, "already_inactive": 1}
+    assert "36 inactive users automatically deactivated." in capsys.readouterr().out
+    assert not (tmp_path / "one" / "cwd_user").exists()
+    before = spark.read.parquet(f"{database}/cwd_user")
+    after = stored_accounts(spark, store)
+    assert after.columns == before.columns
+    assert after.filter("active = 1").count() == before.filter("active = 1").count() - 36
+    assert quarantine.rejected_rows(spark, f"{tmp_path}/one/cwd_user_attributes").count() > 0
+    main([*common, "--out", f"{tmp_path}/two", "--as-of", "2001-08-02", "--since", "2001-05-31 06:00:00",
+          "--expiry-index", index])
+    new = {r.user_name for r in spark.read.parquet(f"{tmp_path}/two/names").collect()}
+    old = from_parquet(spark, database, TRACKER)
+    listed = [
+        {r.user_name for r in dormant_external(dormant_accounts(old, moment), "@mycompany.example").collect()}
+        for moment in ("2001-05-31 06:00:00", "2001-08-02")
+    ]
+    assert new == listed[1] - listed[0] and new
+
+
+def test_summary_is_counted_while_the_plan_is_written(spark, tmp_path):
+    rows = [("a", "deactivated"), ("b", "deactivated"), ("c", "not_found")]
+    plan = spark.createDataFrame(rows, "user_name string, status string")
+    watched, counts = observed(plan)
+    watched.write.parquet(f"{tmp_path}/plan")
+    found, wanted = observed_summary(spark, counts), deactivation_summary(plan)
+    assert found.columns == wanted.columns and sorted(found.collect()) == sorted(wanted.collect())
+    watched, counts = observed(plan.filter("false"))
+    watched.write.parquet(f"{tmp_path}/none")
+    assert observed_summary(spark, counts).count() == 0
+
+
+def test_since_needs_an_index(database, tmp_path, capsys):
+    with pytest.raises(SystemExit):
+        main(["--parquet", database, "--out", str(tmp_path / "run"), "--email-suffix", "@x", "--since", "2001-01-01"])
+    assert "--expiry-index" in capsys.readouterr().err

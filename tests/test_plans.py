@@ -127,7 +127,8 @@ def test_wiki_users_are_cut_down_before_they_meet_their_login_days(wiki_files):
 
 def test_login_rule_has_no_product_or_python(tracker_files):
     plan = plan_of(login_rule.dormant_by_login_rule(tracker_files, AS_OF))
-    assert plan.count("WindowGroupLimit") == 4  # accounts by name, texts by account
+    assert plan.count("WindowGroupLimit") == 4  # accounts by name, login values by account
+    assert scans(plan, "attribute_value") == 1 and plan.count("LeftOuter") == 2
     for unwanted in ("CartesianProduct", "NestedLoop", "Python", "SortAggregate"):
         assert unwanted not in plan
 
