@@ -97,55 +97,62 @@ def _stretches(documents: DataFrame, text: str, order: str, min_words: int) -> D
 
 
 def _beside(column: str, distance: int) -> Column:
-    """The column's value ``distance`` lines on in the document; null if that line is not there."""
+    """The column's value ``distance`` lines on in the document; null if that line is not the row so far on.
+
+    Within lines that are all shared with others no row is missing, so a run that is repeated finds its own.
+    """
     if not distance:
         return F.col(column)
-    there = Window.partitionBy("row").orderBy("line").rangeBetween(distance, distance)
-    return F.first(column).over(there)
+    in_document = Window.partitionBy("row").orderBy("line")
+    there = F.lead("line", distance) if distance > 0 else F.lag("line", -distance)
+    value = F.lead(column, distance) if distance > 0 else F.lag(column, -distance)
+    return F.when(there.over(in_document) == F.col("line") + distance, value.over(in_document))
 
 
-def _looked_up(ranked: DataFrame, step: int) -> DataFrame:
+def _looked_up(ranked: DataFrame, step: int, most: int) -> DataFrame:
     """Suffixes ranked by ``step`` lines, with what lies beside them. Kept.
 
-    Runs of ``step`` to 2 * ``step`` - 1 lines have two ranks, of their first and of their last
-    ``step`` lines: ``tail`` is the other one of the run that begins here, ``head`` that of the run
-    that ends with these lines. ``next`` is the rank ``step`` lines on. Runs of more lines, and those
-    with a rank that no other suffix has, have none.
+    Runs of ``step`` to 2 * ``step`` - 1 lines, ``most`` at most, have two ranks, of their first and of
+    their last ``step`` lines: ``tail`` is the other one of the run that begins here, ``head`` that of
+    the run that ends with these lines. ``next`` is the rank ``step`` lines on. Runs of more lines, and
+    those with a rank that no other suffix has, have none.
     """
 
-    def rank_of(size: Column, towards: int) -> Column:
+    def rank_of(size: str, towards: int) -> Column:
         found = F.lit(None).cast("long")
-        for more in reversed(range(step)):
-            found = F.when(size == step + more, _beside("rank", towards * more)).otherwise(found)
+        for more in reversed(range(min(step, most - step + 1))):
+            found = F.when(F.col(size) == step + more, _beside("rank", towards * more)).otherwise(found)
         return found
 
     return kept(
         ranked.select(
             "*",
-            rank_of(F.col("forward"), 1).alias("tail"),
-            rank_of(F.col("backward"), -1).alias("head"),
+            rank_of("forward", 1).alias("tail"),
+            rank_of("backward", -1).alias("head"),
             *(_beside(c, step).alias(f"{c}_next") for c in ("rank", "words", "last", "backward")),
         )
     )
 
 
 def _runs(looked_up: DataFrame, step: int) -> DataFrame:
-    """The shortest runs of ``step`` to 2 * ``step`` - 1 lines by the names of their intervals."""
-    shift = F.col("backward") - step
-    begin = F.struct(F.lit(0).cast("long").alias("back"), F.col("forward").alias("size"), F.col("rank").alias("head"), "tail")
-    end = F.struct(shift.alias("back"), F.col("backward").alias("size"), "head", F.col("rank").alias("tail"))
-    # One that begins and ends with the same lines is taken once.
-    end = F.when(F.col("head").isNotNull() & ~((shift == 0) & F.col("tail").isNotNull() & (F.col("forward") == step)), end)
-    both = F.array_compact(F.array(F.when(F.col("tail").isNotNull(), begin), end))
-    runs = looked_up.select("row", "line", "pos", F.explode(both).alias("run"))
-    return runs.select(
+    """The shortest runs of ``step`` to 2 * ``step`` - 1 lines by the names of their intervals.
+
+    One that begins and ends with the same lines is taken once.
+    """
+    begin = looked_up.where("tail IS NOT NULL").select(
+        "row", "line", "pos", F.col("forward").alias("size"), F.col("rank").alias("head"), "tail"
+    )
+    taken = (F.col("backward") == step) & (F.col("forward") == step)
+    back = F.col("backward") - step
+    end = looked_up.where(F.col("head").isNotNull() & ~F.coalesce(taken, F.lit(False))).select(
         "row",
-        (F.col("line") - F.col("run.back")).alias("line"),
-        (F.col("pos") - F.col("run.back")).alias("pos"),
-        "run.size",
-        "run.head",
-        "run.tail",
+        (F.col("line") - back).alias("line"),
+        (F.col("pos") - back).alias("pos"),
+        F.col("backward").alias("size"),
+        "head",
+        F.col("rank").alias("tail"),
     )
+    return begin.unionByName(end)
 
 
 def _doubled(looked_up: DataFrame, min_words: int) -> DataFrame:
@@ -199,14 +206,14 @@ def repeated_runs(documents: DataFrame, text: str, order: str, min_words: int =
     ranked = _stretches(documents, text, order, min_words)
     ranked = ranked.select("*", F.col("own").alias("words"), F.col("own").alias("last"))
     while True:
-        looked_up = _looked_up(ranked, step)
+        looked_up = _looked_up(ranked, step, min_words)
         own = _runs(looked_up, step)
         runs = own if runs is None else runs.unionByName(own)
         step *= 2
         if step > min_words:
             break
         ranked = _doubled(looked_up, min_words)
-    later = _later_copies(runs)
+    later = _later_copies(kept(runs))
     in_document = Window.partitionBy("row").orderBy("line", "size")
     end = F.col("line") + F.col("size")
     before = F.max(end).over(in_document.rowsBetween(Window.unboundedPreceding, -1))
