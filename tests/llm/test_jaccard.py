@@ -107,3 +107,25 @@ def test_components(spark):
     assert found == {n: wanted[n] for n in found}
     assert set(found) == {n for n in wanted if sum(1 for m in wanted if wanted[m] == wanted[n]) > 1}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_group_of_any_size_is_joined_by_a_pair_for_each_member_and_round(spark, tmp_path, monkeypatch):
+    choose, sizes = random.Random(12), []
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for at in choose.sample(range(120), 2):
+            words[at] = f"x{choose.randint(0, 5)}"
+        rows.append((i, " ".join(words)))
+    links = jaccard._links
+
+    def counted(pairs, sets, percent):
+        pairs = jaccard.kept(pairs)
+        sizes.append(pairs.count())
+        return links(pairs, sets, percent)
+
+    monkeypatch.setattr(jaccard, "_links", counted)
+    found = jaccard.similar(table(spark, tmp_path, rows, files=3), "text", "doc_id").collect()
+    assert sorted((r.key, r.n, r.component) for r in found) == sorted(near_copies(rows))
+    assert len(sizes) >= 2 and all(n <= len(rows) for n in sizes[:-1])
