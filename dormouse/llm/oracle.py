@@ -38,30 +38,39 @@ measured AS (
 judged AS (
     SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured
 ),
+broken AS (
+    SELECT source, unnest([1, 2, 3, 4]) AS rule,
+           unnest([base_failed, 100 * n_symbols > 10 * n_words, 100 * n_dup_lines > 5 * n_words,
+                   word_chars < 3 * n_words OR word_chars > 10 * n_words]) AS failed
+    FROM judged
+),
 host AS (
-    SELECT source, count(*) AS n, CAST(count(*) FILTER (base_failed) AS DOUBLE) AS k FROM judged GROUP BY source
+    SELECT source, rule, count(*) AS n, CAST(count(*) FILTER (failed) AS DOUBLE) AS k
+    FROM broken GROUP BY source, rule
 ),
 moments AS (
-    SELECT sum(n) AS n, sum(k) / sum(n) AS mean, count(*) AS hosts,
+    SELECT rule, sum(n) AS n, sum(k) / sum(n) AS mean, count(*) AS hosts,
            sum(k * k / n) - sum(k) * sum(k) / sum(n)
                - (count(*) - 1) * (sum(k) / sum(n)) * (1 - sum(k) / sum(n)) AS spread,
            sum(n) - sum(n * n) / sum(n) - (count(*) - 1) AS scale
-    FROM host
+    FROM host GROUP BY rule
 ),
 prior AS (
-    SELECT mean, CASE WHEN hosts > 1 AND scale > 0 AND spread > 0
-                      THEN greatest(mean * (1 - mean) / (spread / scale) - 1, 4.0)
-                      ELSE CAST(n AS DOUBLE) END AS strength
+    SELECT rule, mean, CASE WHEN hosts > 1 AND scale > 0 AND spread > 0
+                            THEN greatest(mean * (1 - mean) / (spread / scale) - 1, 4.0)
+                            ELSE CAST(n AS DOUBLE) END AS strength
     FROM moments
 ),
 verdict AS (
-    SELECT source, n, k, (k + mean * strength) / (n + strength) AS rate,
-           rate - 2 * sqrt(rate * (1 - rate) / (n + strength + 1)) > 0.5 AS rejected
-    FROM host, prior
+    SELECT source, any_value(n) AS n, string_agg(CAST(k AS BIGINT), ',' ORDER BY rule) AS failed,
+           bool_or(rate - 2 * sqrt(rate * (1 - rate) / (n + strength + 1)) > 0.5) AS rejected
+    FROM (SELECT source, rule, n, k, strength, (k + mean * strength) / (n + strength) AS rate
+          FROM host JOIN prior USING (rule))
+    GROUP BY source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT rejected AS kept, v.n AS host_documents,
-       CAST(v.k AS BIGINT) AS host_failed, rejected AS host_rejected
+       v.failed AS host_failed, rejected AS host_rejected
 FROM judged j JOIN verdict v ON j.source IS NOT DISTINCT FROM v.source
 """
 

@@ -78,16 +78,17 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     rows = quality.document_measures(documents, "text", ["doc_id", "source"])
-    rows = rows.withColumn("base_failed", quality.base_failed())
-    judged = quality.host_verdicts(rows, "source", "base_failed")
+    rules = quality.rules()
+    rows = rows.select("*", *(broken.alias(f"{name}_failed") for name, broken in rules.items()))
+    judged = quality.host_verdicts(rows, "source", [f"{name}_failed" for name in rules])
     return judged.select(
         "doc_id",
         *quality.MEASURES,
         "base_failed",
-        (~F.col("base_failed") & ~F.col("host_rejected")).alias("kept"),
-        "host_documents",
-        "host_failed",
-        "host_rejected",
+        (~F.col("base_failed") & ~F.col("verdict.rejected")).alias("kept"),
+        F.col("verdict.documents").alias("host_documents"),
+        F.array_join("verdict.failed", ",").alias("host_failed"),
+        F.col("verdict.rejected").alias("host_rejected"),
     )
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -35,23 +37,59 @@ def test_measures_equal_the_plain_version():
         assert got[:4] == wanted[:4] and wanted[4] in (None, got[4]), repr(text[:60] if text else text)
 
 
-def test_hosts_are_judged_by_shrunk_rates(spark):
-    rows = [("good", False)] * 400 + [("good", True)] * 8 + [("bad", True)] * 300 + [("bad", False)] * 20
-    rows += [("new", True)] * 2 + [(None, True)] * 50 + [(f"h{i}", i % 20 == 0) for i in range(200)]
-    frame = spark.createDataFrame(rows, "host string, failed boolean")
-    rates = {r.host: r for r in quality.host_rates(frame, "host", "failed").collect()}
-    assert rates["good"].rate < 0.05 < 0.8 < rates["bad"].rate
-    assert 0.1 < rates["new"].rate < 1.0 and rates["new"].rate_low < 0.5  # two failures tell little
-    found = quality.host_verdicts(frame, "host", "failed")
+def plain_rates(rows, rule):
+    """Shrunk rates and their low estimates, by the moments of all hosts."""
+    n, k = Counter(r[0] for r in rows), Counter(r[0] for r in rows if r[1 + rule])
+    total = sum(n.values())
+    mean = sum(k.values()) / total
+    spread = sum(k[h] ** 2 / n[h] for h in n) - sum(k.values()) * mean - (len(n) - 1) * mean * (1 - mean)
+    scale = total - sum(v * v for v in n.values()) / total - (len(n) - 1)
+    strength = total
+    if len(n) > 1 and scale > 0 and spread > 0:
+        strength = max(mean * (1 - mean) / (spread / scale) - 1, quality.LEAST_STRENGTH)
+    found = {}
+    for h in n:
+        rate = (k[h] + mean * strength) / (n[h] + strength)
+        found[h] = rate, rate - 2 * (rate * (1 - rate) / (n[h] + strength + 1)) ** 0.5
+    return found
+
+
+def made_hosts():
+    rows = [("good", False, False)] * 400 + [("good", True, False)] * 8 + [("bad", True, False)] * 300 + [("bad", False, False)] * 20
+    rows += [("junk", False, True)] * 90 + [("new", True, True)] * 2 + [(None, True, False)] * 50
+    return rows + [(f"h{i}", i % 20 == 0, i % 9 == 0) for i in range(200)]
+
+
+def test_hosts_are_judged_by_shrunk_rates_of_every_rule(spark):
+    rows = made_hosts()
+    frame = spark.createDataFrame(rows, "host string, a boolean, b boolean")
+    rates = {(r.host, r.rule): r for r in quality.host_rates(frame, "host", ["a", "b"]).collect()}
+    for i, rule in enumerate("ab"):
+        for host, (rate, low) in plain_rates(rows, i).items():
+            assert rates[host, rule].rate == pytest.approx(rate) and rates[host, rule].rate_low == pytest.approx(low)
+    assert rates["new", "a"].rate_low < 0.5  # two failures tell little
+    found = quality.host_verdicts(frame, "host", ["a", "b"])
     assert found.count() == len(rows)
-    rejected = {r.host for r in found.where("host_rejected").select("host").distinct().collect()}
-    assert "bad" in rejected and "good" not in rejected and "new" not in rejected
+    rejected = {r.host for r in found.where("verdict.rejected").select("host").distinct().collect()}
+    assert {"bad", "junk"} <= rejected and not rejected & {"good", "new"}
+    one = quality.host_verdicts(frame, "host", ["a"])
+    assert "junk" not in {r.host for r in one.where("verdict.rejected").collect()}
+    failed = {r.host: (r.verdict.documents, r.verdict.failed) for r in found.collect()}
+    assert failed["bad"] == (320, [300, 0]) and failed["junk"] == (90, [0, 90]) and failed[None] == (50, [50, 0])
+
+
+def test_columns_of_any_name(spark):
+    names = ["host", "_host", "host_documents", "rate", "rate_low", "own", "judged", "a.b", "verdict"]
+    frame = spark.createDataFrame([tuple(f"{n}{i % 2}" for n in names) + (i % 3 == 0,) for i in range(30)], [*names, "f`x"])
+    found = quality.host_verdicts(frame, "a.b", ["f`x"])
+    assert found.columns == [*(n for n in names if n != "verdict"), "f`x", "verdict"] and found.count() == 30
+    assert {(r["host"], r["a.b"], r["verdict"].documents) for r in found.collect()} == {("host0", "a.b0", 15), ("host1", "a.b1", 15)}
 
 
 @pytest.mark.parametrize("hosts", [0, 1])
 def test_few_hosts(spark, hosts):
     frame = spark.createDataFrame([("a", True)] * 3 * hosts, "host string, failed boolean")
-    assert quality.host_verdicts(frame, "host", "failed").count() == 3 * hosts
+    assert quality.host_verdicts(frame, "host", ["failed"]).count() == 3 * hosts
 
 
 def test_table_with_odd_rows(spark, tmp_path):
