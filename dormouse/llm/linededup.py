@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dormouse.llm.spread import all_columns, free_name, kept, prefix_sums, quoted
+from dormouse.llm.spread import all_columns, free_name, kept, partitions, prefix_sums, quoted
 
 # A repeated run is deleted from so many words on. A line counts its blanks and one.
 MIN_WORDS = 30
@@ -58,22 +58,33 @@ def _every_line(documents: DataFrame, text: str, min_words: int) -> DataFrame:
     )
 
 
-def _stretches(documents: DataFrame, text: str, order: str, min_words: int) -> DataFrame:
-    """Stretches of neighbouring lines that all occur elsewhere too, with enough words for a run. Kept.
+def _info(own: Column, last: Column, words: Column, forward: Column, backward: Column) -> Column:
+    """A suffix's small numbers in one: words of its first, its last and all its lines, and lines of runs.
 
-    ``rank`` orders the lines, by their hashes. ``pos`` is the line's place in the corpus, whose
-    documents stand in the order of ``order``, then of where they were read. ``forward`` is how many
-    lines from this one on have ``min_words``, ``backward`` how many up to this one; null where the
-    stretch has less.
+    ``forward`` is how many lines make the shortest run from its first line on, ``backward`` those of
+    the one up to its last line; 0 if there is none.
+    """
+    return own + 64 * last + 4096 * F.least(words, F.lit(4095)) + (1 << 24) * (forward + 64 * backward)
+
+
+def _of_info(info: str) -> dict[str, Column]:
+    """Its numbers again."""
+    places = {"own": (0, 63), "last": (6, 63), "words": (12, 4095), "forward": (24, 63), "backward": (30, 63)}
+    return {name: F.shiftright(info, place).bitwiseAND(F.lit(mask).cast("long")) for name, (place, mask) in places.items()}
+
+
+def _stretches(documents: DataFrame, text: str, numbers: DataFrame, min_words: int) -> DataFrame:
+    """Stretches of neighbouring lines that all occur elsewhere too, with enough words for a run.
+
+    ``rank`` orders the lines, by their hashes. ``pos`` is the line's place in the corpus, ``info`` as
+    above. All rows are about lines, so they are kept narrow.
     """
     every = _every_line(documents, text, min_words)
     again = every.groupBy("hash").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select("hash")
-    numbers = documents.select(F.col(quoted(order)).alias("key"), F.monotonically_increasing_id().alias("row"))
-    numbers = prefix_sums(numbers, ["key", "row"], {"number": F.lit(1).cast("long")}).select("row", "number")
     shared = every.join(again, "hash", "left_semi").join(numbers, "row")
-    in_document = Window.partitionBy("row").orderBy("line")
-    shared = shared.withColumn("stretch", F.col("line") - F.row_number().over(in_document))
-    stretch = Window.partitionBy("row", "stretch")
+    in_document = Window.partitionBy("number").orderBy("line")
+    shared = shared.select("number", "line", "hash", "own", (F.col("line") - F.row_number().over(in_document)).alias("stretch"))
+    stretch = Window.partitionBy("number", "stretch")
     before = stretch.orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
     shared = shared.select(
         "*", F.sum("own").over(stretch).alias("total"), F.coalesce(F.sum("own").over(before), F.lit(0)).alias("start")
@@ -82,18 +93,11 @@ def _stretches(documents: DataFrame, text: str, order: str, min_words: int) -> D
     # A line has a word at least, so start and stop rise, and tell lines apart.
     ahead = stretch.orderBy("start").rangeBetween(0, min_words - 1)
     behind = stretch.orderBy("stop").rangeBetween(-(min_words - 1), 0)
-    count = F.count(F.lit(1))
-    return kept(
-        shared.select(
-            "row",
-            "line",
-            (F.shiftleft("number", LINE_BITS) + F.col("line")).alias("pos"),
-            F.col("hash").alias("rank"),
-            "own",
-            F.when(F.col("total") - F.col("start") >= min_words, count.over(ahead)).alias("forward"),
-            F.when(F.col("stop") >= min_words, count.over(behind)).alias("backward"),
-        )
-    )
+    count, own, none = F.count(F.lit(1)), F.col("own").cast("long"), F.lit(0).cast("long")
+    forward = F.when(F.col("total") - F.col("start") >= min_words, count.over(ahead)).otherwise(none)
+    backward = F.when(F.col("stop") >= min_words, count.over(behind)).otherwise(none)
+    pos = F.shiftleft("number", LINE_BITS) + F.col("line")
+    return shared.select(pos.alias("pos"), F.col("hash").alias("rank"), _info(own, own, own, forward, backward).alias("info"))
 
 
 def _beside(column: str, distance: int) -> Column:
@@ -103,10 +107,10 @@ def _beside(column: str, distance: int) -> Column:
     """
     if not distance:
         return F.col(column)
-    in_document = Window.partitionBy("row").orderBy("line")
-    there = F.lead("line", distance) if distance > 0 else F.lag("line", -distance)
+    in_document = Window.partitionBy("number").orderBy("pos")
+    there = F.lead("pos", distance) if distance > 0 else F.lag("pos", -distance)
     value = F.lead(column, distance) if distance > 0 else F.lag(column, -distance)
-    return F.when(there.over(in_document) == F.col("line") + distance, value.over(in_document))
+    return F.when(there.over(in_document) == F.col("pos") + distance, value.over(in_document))
 
 
 def _looked_up(ranked: DataFrame, step: int, most: int) -> DataFrame:
@@ -114,9 +118,13 @@ def _looked_up(ranked: DataFrame, step: int, most: int) -> DataFrame:
 
     Runs of ``step`` to 2 * ``step`` - 1 lines, ``most`` at most, have two ranks, of their first and of
     their last ``step`` lines: ``tail`` is the other one of the run that begins here, ``head`` that of
-    the run that ends with these lines. ``next`` is the rank ``step`` lines on. Runs of more lines, and
-    those with a rank that no other suffix has, have none.
+    the run that ends with these lines. ``rank_next`` and ``info_next`` are those ``step`` lines on.
+    Runs of more lines, and those with a rank that no other suffix has, have none.
     """
+    small = _of_info("info")
+    rows = ranked.select(
+        "pos", "rank", "info", F.shiftright("pos", LINE_BITS).alias("number"), small["forward"].alias("forward"), small["backward"].alias("backward")
+    )
 
     def rank_of(size: str, towards: int) -> Column:
         found = F.lit(None).cast("long")
@@ -125,11 +133,14 @@ def _looked_up(ranked: DataFrame, step: int, most: int) -> DataFrame:
         return found
 
     return kept(
-        ranked.select(
-            "*",
+        rows.select(
+            "pos",
+            "rank",
+            "info",
             rank_of("forward", 1).alias("tail"),
             rank_of("backward", -1).alias("head"),
-            *(_beside(c, step).alias(f"{c}_next") for c in ("rank", "words", "last", "backward")),
+            _beside("rank", step).alias("rank_next"),
+            _beside("info", step).alias("info_next"),
         )
     )
 
@@ -139,16 +150,14 @@ def _runs(looked_up: DataFrame, step: int) -> DataFrame:
 
     One that begins and ends with the same lines is taken once.
     """
+    small = _of_info("info")
     begin = looked_up.where("tail IS NOT NULL").select(
-        "row", "line", "pos", F.col("forward").alias("size"), F.col("rank").alias("head"), "tail"
+        "pos", small["forward"].alias("size"), F.col("rank").alias("head"), "tail"
     )
-    taken = (F.col("backward") == step) & (F.col("forward") == step)
-    back = F.col("backward") - step
-    end = looked_up.where(F.col("head").isNotNull() & ~F.coalesce(taken, F.lit(False))).select(
-        "row",
-        (F.col("line") - back).alias("line"),
-        (F.col("pos") - back).alias("pos"),
-        F.col("backward").alias("size"),
+    taken = (small["backward"] == step) & (small["forward"] == step)
+    end = looked_up.where(F.col("head").isNotNull() & ~taken).select(
+        (F.col("pos") - (small["backward"] - step)).alias("pos"),
+        small["backward"].alias("size"),
         "head",
         F.col("rank").alias("tail"),
     )
@@ -159,27 +168,20 @@ def _doubled(looked_up: DataFrame, min_words: int) -> DataFrame:
     """Of suffixes with two ranks, those that share the lines of both with another; ranked by these.
 
     A run's first or last lines are less than ``min_words`` words without the last or first of them.
-    Suffixes whose lines are more than that either way name no run.
+    Suffixes whose lines are more than that either way name no run. The new ranks are the order of the
+    pairs of ranks: numbers of rows dealt out and sorted by them, which rise from part to part.
     """
-    words = F.col("words") + F.col("words_next")
-    pairs = looked_up.where(F.col("rank_next").isNotNull()).select(
-        "row",
-        "line",
-        "pos",
-        "rank",
-        "rank_next",
-        "own",
-        F.col("last_next").alias("last"),
-        words.alias("words"),
-        "forward",
-        F.col("backward_next").alias("backward"),
-    )
-    pairs = pairs.where(F.col("words") - F.greatest("own", "last") < min_words)
+    small, after = _of_info("info"), _of_info("info_next")
+    words = small["words"] + after["words"]
+    info = _info(small["own"], after["last"], words, small["forward"], after["backward"])
+    pairs = looked_up.where(
+        F.col("rank_next").isNotNull() & (words - F.greatest(small["own"], after["last"]) < min_words)
+    ).select("pos", "rank", "rank_next", info.alias("info"))
     order = ["rank", "rank_next"]
-    again = pairs.groupBy(*order).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    ordered = prefix_sums(again.select(*order), order, {"doubled": F.lit(1).cast("long")})
-    found = pairs.join(kept(ordered), order)
-    return found.select("row", "line", "pos", F.col("doubled").alias("rank"), "own", "last", "words", "forward", "backward")
+    again = pairs.groupBy(*order).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select(*order)
+    dealt = again.repartitionByRange(partitions(again.sparkSession), *order).sortWithinPartitions(*order)
+    ordered = kept(dealt.select(*order, F.monotonically_increasing_id().alias("doubled")))
+    return pairs.join(ordered, order).select("pos", F.col("doubled").alias("rank"), "info")
 
 
 def _later_copies(runs: DataFrame) -> DataFrame:
@@ -189,22 +191,25 @@ def _later_copies(runs: DataFrame) -> DataFrame:
     # Kept, so that the join reads two plain shuffles, of which a hot interval's can be split.
     first = kept(first.where("first < final").drop("final"))
     later = runs.join(first, interval).where(F.col("pos") > F.col("first"))
-    return later.select("row", "line", "size")
+    line = F.col("pos").bitwiseAND(F.lit((1 << LINE_BITS) - 1))
+    return later.select(F.shiftright("pos", LINE_BITS).alias("number"), line.alias("line"), "size")
 
 
 def repeated_runs(documents: DataFrame, text: str, order: str, min_words: int = MIN_WORDS) -> DataFrame:
     """``row`` and ``runs`` of each document with later copies: maximal spans of line numbers.
 
     ``row`` is what ``monotonically_increasing_id`` gives the document's row, so the documents have
-    to be a table that reads the same every time: files or a kept table.
+    to be a table that reads the same every time: files or a kept table. They stand in the order of
+    ``order``, then of where they were read. Places have room for 2^``LINE_BITS`` lines a text and
+    2^35 texts. ``min_words`` is at most 60.
 
     A line is in a later copy if it is in one of the shortest runs of enough words that begin or
     end at some line, and an equal run stands earlier. Unions of these are the maximal runs.
     """
+    numbers = documents.select(F.col(quoted(order)).alias("key"), F.monotonically_increasing_id().alias("row"))
+    numbers = prefix_sums(numbers, ["key", "row"], {"number": F.lit(1).cast("long")}).select("row", "number")
     step, runs = 1, None
-    # By one line: the words of a suffix's lines, and those and the runs of the last of them.
-    ranked = _stretches(documents, text, order, min_words)
-    ranked = ranked.select("*", F.col("own").alias("words"), F.col("own").alias("last"))
+    ranked = _stretches(documents, text, numbers, min_words)
     while True:
         looked_up = _looked_up(ranked, step, min_words)
         own = _runs(looked_up, step)
@@ -214,14 +219,14 @@ def repeated_runs(documents: DataFrame, text: str, order: str, min_words: int =
             break
         ranked = _doubled(looked_up, min_words)
     later = _later_copies(kept(runs))
-    in_document = Window.partitionBy("row").orderBy("line", "size")
+    in_document = Window.partitionBy("number").orderBy("line", "size")
     end = F.col("line") + F.col("size")
     before = F.max(end).over(in_document.rowsBetween(Window.unboundedPreceding, -1))
     opened = later.withColumn("new", F.coalesce((F.col("line") > before).cast("int"), F.lit(1)))
     spans = opened.withColumn("run", F.sum("new").over(in_document))
-    merged = spans.groupBy("row", "run").agg(F.min("line").alias("begin"), F.max(end).alias("end"))
-    found = merged.groupBy("row").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
-    return found.select("row", F.array_sort("runs").alias("runs"))
+    merged = spans.groupBy("number", "run").agg(F.min("line").alias("begin"), F.max(end).alias("end"))
+    found = merged.groupBy("number").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
+    return found.join(numbers, "number").select("row", F.array_sort("runs").alias("runs"))
 
 
 def deduplicated(
