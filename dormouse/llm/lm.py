@@ -32,7 +32,7 @@ STATE = 16
 FREQUENT_SHARE = 1 / (1 << 21)
 # Tokens of a trainer.
 TRAINER_TOKENS = 750_000
-ROUNDS, LANES, WINDOW, RATE = 3, 48, 20, 0.08
+ROUNDS, LANES, WINDOW, RATE = 3, 160, 20, 0.16
 # Text of documents that advance side by side, and steps between two carryings of their states.
 SCORED_BYTES, SCORED_WINDOW = 6 << 20, 32
 
@@ -262,8 +262,9 @@ def window_slopes(
         states[t] = state
         tape.append((before, *rest))
     slopes = {name: np.zeros(shape, np.float32) for name, shape in SHAPES.items()}
-    found, down = output(model, states.reshape(-1, STATE), wanted.ravel(), slopes)
-    down = down.reshape(steps, lanes, STATE)
+    inside = wanted >= 0  # the last lane may end before the others
+    down = np.zeros((steps, lanes, STATE), np.float32)
+    found, down[inside] = output(model, states[inside], wanted[inside], slopes)
     later = np.zeros((lanes, STATE), np.float32)
     recurrent = model["recurrent"]
     to_inputs = np.zeros((steps, lanes, 3 * STATE), np.float32)
@@ -277,13 +278,19 @@ def window_slopes(
         to_inputs[t] = np.concatenate((to_z, to_r, to_new), axis=1)
         slopes["recurrent"] += before.T @ to_u
         later = np.where(fresh[t][:, None], np.float32(0), slope * z + to_u @ recurrent.T)
-    np.add.at(slopes["inputs"], given.ravel(), to_inputs.reshape(-1, 3 * STATE))
+    order = np.argsort(given, axis=None, kind="stable")
+    words = given.ravel()[order]
+    first = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
+    slopes["inputs"][words[first]] = np.add.reduceat(to_inputs.reshape(-1, 3 * STATE)[order], first)
     return -float(found.sum()), slopes, state
 
 
 def lanes_of(numbers: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Texts dealt into lanes, text after text: tokens given, tokens wanted, and where texts begin."""
-    wanted = np.concatenate(numbers)
+    """Texts dealt into lanes, text after text: tokens given, tokens wanted, and where texts begin.
+
+    All lanes have equally many steps; what is left of the last one wants -1, and teaches nothing.
+    """
+    wanted = np.concatenate(numbers).astype(np.int64)
     lengths = np.array([len(n) for n in numbers])
     first = np.cumsum(lengths) - lengths
     given = np.empty(len(wanted), np.int64)
@@ -291,9 +298,14 @@ def lanes_of(numbers: list[np.ndarray], lanes: int) -> tuple[np.ndarray, np.ndar
     given[first] = START
     fresh = np.zeros(len(wanted), bool)
     fresh[first] = True
-    steps = max(1, len(wanted) // lanes)
     lanes = min(lanes, len(wanted))
-    return tuple(np.ascontiguousarray(a[: steps * lanes].reshape(lanes, steps).T) for a in (given, wanted, fresh))
+    steps = -(-len(wanted) // lanes)
+    rest = steps * lanes - len(wanted)
+    padded = ((given, START), (wanted, -1), (fresh, True))
+    return tuple(
+        np.ascontiguousarray(np.concatenate((a, np.full(rest, fill, a.dtype))).reshape(lanes, steps).T)
+        for a, fill in padded
+    )
 
 
 def trained(model: Parameters, numbers: list[np.ndarray], rate: float = RATE) -> Parameters:
@@ -307,8 +319,9 @@ def trained(model: Parameters, numbers: list[np.ndarray], rate: float = RATE) ->
     for at in range(0, len(given), WINDOW):
         part = slice(at, at + WINDOW)
         _, slopes, state = window_slopes(model, given[part], wanted[part], fresh[part], state)
+        learnt = int((wanted[part] >= 0).sum())
         for name, slope in slopes.items():
-            slope /= given[part].size
+            slope /= learnt
             seen[name] += slope * slope
             model[name] -= rate * slope / np.sqrt(seen[name])
     return model
@@ -367,7 +380,8 @@ def fit(documents: DataFrame, text: str, key: str, vocabulary: Vocabulary, round
                     names=["place", "value", "weight"],
                 )
 
-        apart = dealt.repartition(trainers, "trainer").sortWithinPartitions(F.xxhash64(text), text)
+        # Ranges of the trainers' numbers, as hashes of them would give some tasks several and some none.
+        apart = dealt.repartitionByRange(trainers, "trainer").sortWithinPartitions(F.xxhash64(text), text)
         steps = in_tasks(apart, train, "place int, value double, weight double")
         # As many rows as the model has parameters.
         mean = steps.groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("value"))

@@ -33,9 +33,10 @@ def test_gradients_equal_differences():
     given, wanted = rng.integers(0, lm.START + 1, (6, 3)), rng.integers(0, lm.START, (6, 3))
     fresh = np.zeros((6, 3), bool)
     fresh[0, 0] = fresh[3, 1] = True
+    given[4:, 2], wanted[4:, 2], fresh[4:, 2] = lm.START, -1, True  # the last lane ends before the others
     state = rng.standard_normal((3, lm.STATE))
     _, slopes, _ = lm.window_slopes(model, given, wanted, fresh, state)
-    head = int(wanted[wanted < lm.WORDS][0]) // lm.CLASS_WORDS
+    head = int(wanted[(wanted >= 0) & (wanted < lm.WORDS)][0]) // lm.CLASS_WORDS
     for name in lm.SHAPES:
         for _ in range(4):
             place = tuple(int(rng.integers(0, n)) for n in model[name].shape)
@@ -73,6 +74,18 @@ def test_states_are_carried_to_the_end_of_every_text():
         assert value == pytest.approx(total, rel=1e-4)
 
 
+@pytest.mark.parametrize("lanes", [1, 3, 7, 1000])
+def test_lanes_hold_every_token_once(lanes):
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, lm.START, n) for n in (5, 1, 17, 2, 30)]
+    given, wanted, fresh = lm.lanes_of(texts, lanes)
+    flat = wanted.T.ravel()
+    assert (flat[flat >= 0] == np.concatenate(texts)).all() and (flat[: (flat >= 0).sum()] >= 0).all()
+    before = np.concatenate([[lm.START, *t[:-1]] for t in texts])
+    assert (given.T.ravel()[flat >= 0] == before).all()
+    assert fresh.T.ravel()[flat >= 0].sum() == len(texts)
+
+
 def test_training_learns_a_pattern():
     model = lm.initial(vocabulary_of())
     texts = [np.tile([3, 200, 1500], 40) for _ in range(60)]
