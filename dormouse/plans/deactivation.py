@@ -35,7 +35,10 @@ def deactivation_plan(
     account are listed.
     """
     looked_up = F.lower("user_name").alias("lower_user_name")
-    asked = accounts.join(names.select(looked_up).distinct(), "lower_user_name", "left_semi")
+    # A comparison that every name passes: for a side with one, Spark tests large tables against a Bloom
+    # filter of its keys while it scans them, so that only accounts asked for are shuffled.
+    asked_names = names.filter(F.col("user_name") >= "").select(looked_up)
+    asked = accounts.join(asked_names, "lower_user_name", "left_semi")
     resolved = identity.canonical_account(
         identity.in_active_directory(asked, directories), "lower_user_name"
     )

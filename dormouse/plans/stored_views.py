@@ -1,4 +1,4 @@
-"""The three tracker views as stored views of a catalog database, for programs that read them by SQL."""
+"""The tracker's views in a catalog database, for programs that read them by SQL: three for now, and two with parameters."""
 
 from __future__ import annotations
 
@@ -25,7 +25,7 @@ GROUP BY user_name, email_address, display_name
 """
 
 _DORMANT = """
-WITH since AS (SELECT current_timestamp() - make_ym_interval(0, {months}) AS cut),
+WITH since AS (SELECT {as_of} - make_ym_interval(0, {months}) AS cut),
 member AS (
     SELECT DISTINCT lower_child_name, directory_id FROM {membership}
     WHERE lower_parent_name IN (SELECT group_id FROM {globalperm} WHERE permission IN ({granting}))
@@ -43,10 +43,9 @@ person AS (
 ),
 exempt AS (
     SELECT DISTINCT a.user_name FROM {account} a
-    LEFT SEMI JOIN (
-        SELECT child_id FROM {membership}
-        WHERE parent_id IN (SELECT id FROM {grp} WHERE group_name = {exempt})
-    ) m ON m.child_id = a.id
+    JOIN {membership} m ON m.child_id = a.id
+    JOIN {grp} g ON g.id = m.parent_id
+    WHERE g.group_name = {exempt}
 ),
 value AS (
     SELECT user_id, directory_id, attribute_name, attribute_value,
@@ -126,6 +125,38 @@ WHERE directory_id = {writable} AND NOT endswith(email_address, {suffix})
 """
 
 
+# Lists at any instant, for any period and exempt group; parameters are not named like any column.
+DORMANT_FUNCTION, EXTERNAL_FUNCTION = f"{DORMANT_VIEW}_at", f"{EXTERNAL_VIEW}_at"
+_DAYS = "created STRING, lastlogin STRING, lastauth STRING, lastassign STRING, lastwatch STRING, lastreactivate STRING"
+
+_DORMANT_AT = (
+    """
+CREATE OR REPLACE FUNCTION {database}.{function}(
+    as_of TIMESTAMP DEFAULT current_timestamp(), months INT DEFAULT {default_months},
+    exempt_group STRING DEFAULT {default_exempt})
+RETURNS TABLE (user_name STRING, directory_id BIGINT, email_address STRING, """
+    + _DAYS
+    + """, assigneecount BIGINT)
+RETURN """
+    + _DORMANT
+)
+
+_EXTERNAL_AT = (
+    """
+CREATE OR REPLACE FUNCTION {database}.{function}(
+    outside_of STRING DEFAULT {suffix}, as_of TIMESTAMP DEFAULT current_timestamp(),
+    months INT DEFAULT {default_months}, exempt_group STRING DEFAULT {default_exempt},
+    writable_directory BIGINT DEFAULT {writable})
+RETURNS TABLE (user_name STRING, email_address STRING, """
+    + _DAYS
+    + """)
+RETURN SELECT * EXCEPT (directory_id, assigneecount) FROM ("""
+    + _DORMANT
+    + """) WHERE directory_id = writable_directory AND NOT endswith(email_address, outside_of)
+"""
+)
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -136,10 +167,15 @@ def store_views(
     email_suffix: str,
     names: Mapping[str, str] = SOURCE_NAMES,
 ) -> None:
-    """Create or replace the three views in the database that holds the source tables.
+    """Create or replace the views and functions in the database that holds the source tables.
 
-    They outlast the session, and are evaluated at the time of each read. Days are
-    those of the reading session's zone, which should be UTC.
+    They outlast the session. The three views are evaluated at the time of each read. The table
+    functions ``inactive_users_all_at(as_of, months, exempt_group)`` and
+    ``inactive_users_at(outside_of, as_of, months, exempt_group, writable_directory)`` list the same
+    for any instant and rule; arguments left out have the views' values. They are called by their
+    bare names, with the database as the current one. Constant arguments become constants of the
+    plan, so they are pushed down as those of the views are. Days are those of the reading
+    session's zone, which should be UTC.
     """
     tables = {name: f"{database}.`{table}`" for name, table in names.items()}
 
@@ -156,9 +192,10 @@ def store_views(
         "directory_open": is_on("directory"),
         "directory_open_d": is_on("directory", "d."),
         "role": _text(defaults.LICENCE_ROLE),
-        "months": defaults.TRACKER_MONTHS,
+        "database": database,
+        "default_months": defaults.TRACKER_MONTHS,
+        "default_exempt": _text(defaults.EXEMPT_GROUP),
         "granting": ", ".join(map(_text, defaults.ACCESS_PERMISSIONS)),
-        "exempt": _text(defaults.EXEMPT_GROUP),
         "login": _text(defaults.LAST_LOGIN_ATTRIBUTE),
         "auth": _text(defaults.LAST_AUTH_ATTRIBUTE),
         "first": FIRST_MILLIS,
@@ -171,5 +208,9 @@ def store_views(
         "suffix": _text(email_suffix),
         "dormant": f"{database}.{DORMANT_VIEW}",
     }
+    now = {"as_of": "current_timestamp()", "months": defaults.TRACKER_MONTHS, "exempt": _text(defaults.EXEMPT_GROUP)}
     for view, sql in ((ACTIVE_VIEW, _ACTIVE), (DORMANT_VIEW, _DORMANT), (EXTERNAL_VIEW, _EXTERNAL)):
-        spark.sql(f"CREATE OR REPLACE VIEW {database}.{view} AS {sql.format(**tables, **values)}")
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{view} AS {sql.format(**tables, **values, **now)}")
+    given = {"as_of": "as_of", "months": "months", "exempt": "exempt_group"}
+    for function, sql in ((DORMANT_FUNCTION, _DORMANT_AT), (EXTERNAL_FUNCTION, _EXTERNAL_AT)):
+        spark.sql(sql.format(**tables, **values, **given, function=function))

@@ -96,6 +96,30 @@ def test_stored_views_equal_the_plans(spark):
         assert found.count() > 0
 
 
+@pytest.mark.parametrize(("as_of", "months", "group"), [
+    ("2001-08-02 00:00:00", 3, "never-deactivate"), ("2001-05-31 06:00:00", 3, "all-staff"), ("2000-02-29 12:00:00", 12, "no such group"),
+])
+def test_table_functions_equal_the_plans(spark, as_of, months, group):
+    tables = from_catalog(spark, "stored_db", TRACKER)
+    dormant = dormant_accounts(tables, as_of, months, group, ordered=False)
+    before = spark.catalog.currentDatabase()
+    spark.catalog.setCurrentDatabase("stored_db")
+    try:
+        all_at = spark.sql(f"SELECT * FROM inactive_users_all_at(TIMESTAMP'{as_of}', {months}, '{group}')")
+        some_at = spark.sql(
+            f"SELECT * FROM inactive_users_at('@mycompany.example', TIMESTAMP'{as_of}', months => {months}, exempt_group => '{group}')"
+        )
+        now = spark.sql("SELECT * FROM inactive_users_at()")
+        for found, wanted in ((all_at, dormant), (some_at, dormant_external(dormant, "@mycompany.example")),
+                              (now, spark.table("inactive_users"))):
+            assert found.columns == wanted.columns and wanted.count() > 0
+            assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect()))
+        plan = all_at._jdf.queryExecution().optimizedPlan().toString()
+        assert f"= {group})" in plan and "outer(" not in plan
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
 def test_shuffle_partitions_follow_planned_sizes(spark, database, settings):
     settings(spark__sql__shuffle__partitions="8")
     size = planned_bytes(from_parquet(spark, database, TRACKER)[name] for name in ("audit", "issue"))

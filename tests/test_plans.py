@@ -153,3 +153,41 @@ def test_small_sides_are_broadcast_by_their_size_alone(settings, tracker_files):
     for file in library.rglob("*.py"):
         if "llm" not in file.relative_to(library).parts:
             assert "broadcast(" not in file.read_text(), file
+
+
+def shuffled_rows(frame) -> list[int]:
+    """How many rows each shuffle of a query that has run has written."""
+    found = []
+
+    def visit(node):
+        metrics = node.metrics()
+        if metrics.contains("shuffleRecordsWritten"):
+            found.append(metrics.get("shuffleRecordsWritten").get().value())
+        kind = node.getClass().getSimpleName()
+        inner = [node.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [node.plan()] if kind.endswith("QueryStageExec") else []
+        children = node.children()
+        for child in [*inner, *(children.apply(i) for i in range(children.size()))]:
+            visit(child)
+
+    visit(frame._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_accounts_not_asked_for_are_not_shuffled(spark, settings, tmp_path):
+    threshold = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    settings(**{threshold.replace(".", "__"): "0"})
+    spark.range(100_000).selectExpr(
+        "id", "1L AS directory_id", "concat('User', id) AS user_name", "lower(concat('User', id)) AS lower_user_name",
+        "id % 5 <> 0 AS is_active",
+    ).write.parquet(f"{tmp_path}/accounts")
+    spark.range(300).selectExpr("if(id % 3 = 0, concat('gone', id), concat('USER', id * 331)) AS user_name").write.parquet(f"{tmp_path}/names")
+    accounts, names = spark.read.parquet(f"{tmp_path}/accounts"), spark.read.parquet(f"{tmp_path}/names")
+    directories = spark.createDataFrame([(1, True, 0)], "id long, is_active boolean, directory_position int")
+    plan = deactivation.deactivation_plan(names, accounts, directories)
+    assert "might_contain" in plan_of(plan)
+    found = {row.user_name: row.status for row in plan.collect()}
+    assert max(shuffled_rows(plan)) < 2_000
+    for n in range(300):
+        key = f"gone{n}" if n % 3 == 0 else f"USER{n * 331}"
+        known = n % 3 != 0 and n * 331 < 100_000
+        assert found[key] == ("not_found" if not known else "deactivated" if n * 331 % 5 else "already_inactive"), key
