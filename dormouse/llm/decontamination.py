@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dormouse.llm.bytetext import LETTERS, Texts, slices
-from dormouse.llm.spread import all_columns, free_name, in_tasks, named, quoted, undotted
+from dormouse.llm.spread import all_columns, free_name, in_tasks, kept, named, quoted, undotted
 
 WINDOW_WORDS = 10
 SAMPLED_SUFFIXES = 16
@@ -267,6 +267,9 @@ def marked(
     A window of an item is ``size`` words in a row, or all of an item that has fewer. An item
     without id or text, or without words, has no windows. A null or empty document has no words.
     Repeated rows get the same result each; a column named like ``result`` is replaced.
+
+    The benchmark is taken in blocks of about ``block_bytes`` of text. However many there are, tasks and
+    driver hold one at a time; between two blocks the rows are kept.
     """
     rows = documents.drop(result)
     items = benchmark.select(F.col(item).cast("string").alias("id"), F.col(item_text).alias("text"))
@@ -282,6 +285,10 @@ def marked(
             Phrases.of([r.id for r in own], [r.text for r in own], size)
         )
         marked_rows = in_tasks(marked_rows, _search(names[text], result, phrases), schema)
+        if block + 1 < blocks:
+            # Each block is a job of its own, after which tasks hold no phrases of it any more.
+            marked_rows = kept(marked_rows)
+            phrases.destroy()
     return marked_rows.toDF(*names, result)
 
 

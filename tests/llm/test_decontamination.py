@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import numpy as np
 
+from pyspark import SparkContext
+from pyspark.core.broadcast import Broadcast
+
 from dormouse.llm import decontamination as d
 from tests.llm.plain import letter_words, odd_rows, table
 
@@ -84,3 +87,26 @@ def test_wavelet_ranks():
         wanted = np.concatenate(([0], np.cumsum(sequence == symbol)))
         assert (tree.rank(np.full(301, symbol), at) == wanted).all()
     assert (tree.symbol(np.arange(300)) == sequence).all()
+
+
+def test_blocks_are_held_one_at_a_time(spark, tmp_path, monkeypatch):
+    live, most = set(), []
+    send, destroy = SparkContext.broadcast, Broadcast.destroy
+
+    def sent(self, value):
+        made = send(self, value)
+        live.add(id(made))
+        most.append(len(live))
+        return made
+
+    def destroyed(self, blocking=False):
+        live.discard(id(self))
+        destroy(self, blocking)
+
+    monkeypatch.setattr(SparkContext, "broadcast", sent)
+    monkeypatch.setattr(Broadcast, "destroy", destroyed)
+    items = spark.createDataFrame([(i, f"a{i} b{i} c{i}") for i in range(20)], "item_id long, text string")
+    rows = [(i, f"x a{i} b{i} c{i} y") for i in range(30)]
+    found = d.marked(table(spark, tmp_path, rows), "text", items, "item_id", "text", "found", block_bytes=9)
+    assert len(most) >= 15 and max(most) == 1
+    assert {r.doc_id: r.found["items"] for r in found.collect()} == {i: [str(i)] if i < 20 else [] for i in range(30)}
