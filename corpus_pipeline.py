@@ -2,6 +2,9 @@
 
 Each stage takes the documents that the one before kept, as a stored table, and returns them with
 the same columns; the last one returns them encoded.
+
+All stages take null and empty texts, texts of any length, nulls in any column, repeated rows, and
+columns beside those of documents, whatever their names; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -20,7 +23,11 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below the threshold."""
+    """Documents whose toxicity score is below the threshold.
+
+    Rows are scored by themselves, so repeated ones stay or go together; a null or empty text has the
+    score of a text without sentences, and stays. Labels are looked up by doc_id; a null matches none.
+    """
     queries.ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = queries.toxicity_model(docs, labels)
@@ -30,7 +37,12 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of repeated runs of lines; those with no word left go."""
+    """Documents without later copies of repeated runs of lines; those with no word left go.
+
+    The first copy by doc_id stays, of equal ids the one read first; a null id comes before all. Documents
+    that nothing is taken out of stay as they are, null and empty ones too. Of repeated rows with enough
+    words all but the first go.
+    """
     queries.ship(spark)
     runs = free_name(docs, "_runs")
     rows = linededup.deduplicated(docs, "text", "doc_id", runs)
@@ -39,20 +51,31 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies.
+
+    That with the smallest doc_id stays, of equal ids the one read first; a null id only where all
+    are null. Documents without words, null texts too, are in no group and all stay.
+    """
     queries.ship(spark)
     return jaccard.one_of_each(docs, "text", "doc_id")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of the benchmark."""
+    """Documents without passages of the benchmark.
+
+    Every document stays, a null text as a null; one that was all passage has an empty text or blanks.
+    Repeated rows lose the same passages. Items without id or text have none.
+    """
     queries.ship(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _measured(decontamination.decontaminated(docs, "text", benchmark, "item_id", "text"))
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as ids, with the text that the ids decode to."""
+    """Documents as ids, with the text that the ids decode to.
+
+    A null or empty text has no ids and decodes to an empty one. Repeated rows are encoded alike.
+    """
     queries.ship(spark)
     ranks = public_tokenizers.path(queries.RANK_FILE)
     back = free_name(docs, "_back")
