@@ -6,7 +6,7 @@ m - H of their segment subsets are equal (and with one-deletion neighbourhoods,
 segments do). Subsets are indexed by hash; sets that meet often enough are verified exactly.
 
 Equal sets are one class and take part once. Of an index entry with many sets, only pairs with its
-first set are verified at first, one for each set and round, which joins true copies in linear time. What that leaves in
+first set are verified at first, a bounded number for each set, which joins true copies in linear time. What that leaves in
 different components is gone through once more by their rarest n-grams, compared in blocks of
 bounded size by counts that bound the difference, and verified. So no entry is cut off, and none is
 expanded into all its pairs.
@@ -30,8 +30,8 @@ SHINGLE_WORDS = 5
 PERCENT = 75
 # Counts of n-grams by hash that bound the symmetric difference of two sets from below.
 SKETCH = 128
-# Rounds in which each member of an index entry is verified with one class.
-ROUNDS = 3
+# First classes of entries that a class is verified with before components are looked at.
+FIRSTS = 16
 # Members of an index entry that are compared with each other in one go.
 BLOCK = 512
 # Widths of size bands, in percent of the next band; the largest set that there is a band for.
@@ -360,41 +360,17 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * union).select("a", "b")
 
 
-def _open(placed: DataFrame) -> DataFrame:
-    """Entries whose members are in several components; ``first`` is a member of the least of them."""
-    ends = placed.groupBy("entry").agg(
-        F.min(F.struct("component", "c")).alias("least"), F.max("component").alias("greatest")
-    )
-    return ends.where("least.component < greatest").select(
-        "entry", F.col("least.component").alias("least"), F.col("least.c").alias("first")
-    )
-
-
-def _contracted(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Links found by rounds of one pair for each member, and the members with their components. Kept.
+def _with_firsts(members: DataFrame) -> DataFrame:
+    """Pairs of each class with first classes ``a`` of its entries: with up to ``FIRSTS``, those it meets most often.
 
-    In a round each member is verified with one class only: of those that stand first in the least
-    component of an entry it is in, the one it meets in most entries. What is linked then is one
-    component, and the next round goes on with entries that still hold several. So a group of copies
-    of any size costs a pair for each member and round. What rounds leave open is not lost: it is gone
-    through by its rarest n-grams.
+    In a large group of near copies a class meets very many firsts, nearly all of which are like those it
+    meets most. What it has in common with others is not lost: entries that then still hold several
+    components are gone through by their rarest n-grams, whatever pairs were left out here.
     """
-    links = None
-    placed = members.withColumn("component", F.col("c"))
-    for _ in range(ROUNDS):
-        met = placed.join(_open(placed), "entry").where(F.col("component") != F.col("least"))
-        shares = met.groupBy("c", "first").agg(F.count(F.lit(1)).alias("shares"))
-        # The most shares; of equal ones the least class.
-        best = shares.groupBy("c").agg(F.min(F.struct(-F.col("shares"), "first")).alias("best"))
-        pairs = best.select(F.least("c", "best.first").alias("a"), F.greatest("c", "best.first").alias("b")).distinct()
-        new = kept(_links(pairs, sets, percent))
-        if links is not None and new.isEmpty():
-            break
-        links = new if links is None else kept(links.unionByName(new))
-        found = components(links)
-        placed = members.join(found, F.col("c") == F.col("node"), "left")
-        placed = kept(placed.select("entry", "c", F.coalesce("component", "c").alias("component")))
-    return links, placed
+    met = members.where("a < c").groupBy("c", "a").agg(F.count(F.lit(1)).alias("entries"))
+    most = Window.partitionBy("c").orderBy(F.desc("entries"), "a")
+    chosen = met.withColumn("place", F.row_number().over(most)).where(F.col("place") <= FIRSTS)
+    return chosen.select("a", F.col("c").alias("b"))
 
 
 def _rarest(sets: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
@@ -530,14 +506,17 @@ def similar(documents: DataFrame, text: str, key: str, percent: int = PERCENT) -
     enough = shared.groupBy("c", "need").agg(F.count(F.lit(1)).alias("shares"))
     enough = enough.where(F.col("shares") >= F.col("need").bitwiseAND(1023)).select("c", "need")
     members = shared.join(enough, ["c", "need"]).select("entry", "c")
-    several = members.groupBy("entry").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y")
-    members = kept(members.join(several.select("entry"), "entry", "left_semi"))
+    pivots = members.groupBy("entry").agg(F.min("c").alias("a"), F.max("c").alias("z")).where("a < z")
+    members = kept(members.join(pivots.select("entry", "a"), "entry"))
+    pairs = _with_firsts(members)
     firsts = rows.groupBy("c").agg(F.min("row").alias("row"))
     sets = _sets(documents, text, firsts.join(members.select("c").distinct(), "c"))
-    links, placed = _contracted(members, sets, percent)
-    found = kept(placed.select(F.col("c").alias("node"), "component").distinct())
-    open_entries = _open(placed)
-    chosen = placed.join(open_entries, "entry").select("c").distinct()
+    links = kept(_links(pairs, sets, percent))
+    found = components(links)
+    placed = members.join(found, F.col("c") == F.col("node"), "left")
+    placed = placed.select("entry", "c", F.coalesce("component", "c").alias("component"))
+    open_entries = placed.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    chosen = placed.join(open_entries.where("x < y").select("entry"), "entry").select("c").distinct()
     rare = _rarest(sets, chosen, percent).join(found, F.col("c") == F.col("node"), "left")
     rare = kept(rare.select("entry", "c", "place", F.coalesce("component", "c").alias("component")))
     more = _links(_compared(rare, sets, percent), sets, percent)
