@@ -27,6 +27,10 @@ EXPECTED_ROWS = {
     "wiki_dormant_strict": 1090,
     "licensed_accounts": 819,
     "dormant_by_login_rule": 860,
+    "account_expiry": 914,
+    "newly_dormant": 86,
+    "activity_from_state": 1782,
+    "rejected_logins": 268,
 }
 
 
