@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +33,13 @@ STATE = 16
 FREQUENT_SHARE = 1 / (1 << 21)
 # Tokens of a trainer.
 TRAINER_TOKENS = 750_000
+# Parameters of a trainer that are handed on in one row.
+BLOCK = 1 << 12
 ROUNDS, LANES, WINDOW, RATE = 3, 160, 20, 0.16
 # Text of documents that advance side by side, and steps between two carryings of their states.
 SCORED_BYTES, SCORED_WINDOW = 6 << 20, 32
+# Rows of the output layer that are worked on at a time, so that their logits stay in the cache.
+OUTPUT_ROWS = 2048
 
 _LOWERED = np.arange(256, dtype=np.uint32)
 _LOWERED[0x41:0x5B] += 0x20
@@ -118,6 +123,7 @@ class Vocabulary:
     class_tokens: np.ndarray  # of the words that are not predicted by themselves, by beginning
     class_distinct: np.ndarray
     predicted_counts: np.ndarray
+    starts: np.ndarray | None = None  # where words of the same first bits begin, once asked for
 
     @classmethod
     def of(cls, counts: DataFrame) -> Vocabulary:
@@ -140,6 +146,26 @@ class Vocabulary:
         class_distinct -= np.bincount(shapes[top], minlength=BEGINNINGS)
         return cls(words, times, number, int(total.n), int(total.v), class_tokens, class_distinct, times[top])
 
+    def _place(self, hashes: np.ndarray) -> np.ndarray:
+        """Where each hash is among the words, or else some place.
+
+        Words of the same first bits lie together, a few at most, as hashes are spread evenly.
+        """
+        bits = max(1, len(self.words).bit_length())
+        shift = np.uint64(64 - bits)
+        if self.starts is None:
+            self.starts = np.searchsorted(self.words >> shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+        first = (hashes >> shift).astype(np.int64)
+        at = self.starts[first]
+        more = np.flatnonzero(self.words[np.minimum(at, len(self.words) - 1)] < hashes)
+        ends = self.starts[first[more] + 1] - 1
+        while len(more):
+            more, ends = (a[at[more] < ends] for a in (more, ends))
+            at[more] += 1
+            later = self.words[at[more]] < hashes[more]
+            more, ends = more[later], ends[later]
+        return np.minimum(at, len(self.words) - 1)
+
     def find(self, hashes: np.ndarray, shapes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of each token its number, and its count; -1 where the count is not among the frequent.
 
@@ -147,7 +173,7 @@ class Vocabulary:
         """
         if not len(self.words):
             return WORDS + shapes.astype(np.int64), np.full(len(hashes), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        at = self._place(hashes)
         known = self.words[at] == hashes
         number = np.where(known, self.number[at], -1)
         return np.where(number >= 0, number, WORDS + shapes), np.where(known, self.counts[at], -1)
@@ -188,62 +214,106 @@ def initial(vocabulary: Vocabulary) -> Parameters:
     return model
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+def _advanced(x: np.ndarray, recurrent: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The state after tokens with inputs ``x``, and what backpropagation needs."""
+    u = state @ recurrent
+    gates = x[:, : 2 * STATE] + u[:, : 2 * STATE]
+    np.negative(gates, out=gates)
+    np.exp(gates, out=gates)
+    gates += 1
+    np.reciprocal(gates, out=gates)
+    z, r = gates[:, :STATE], gates[:, STATE:]
+    q = u[:, 2 * STATE :]
+    new = r * q
+    new += x[:, 2 * STATE :]
+    np.tanh(new, out=new)
+    after = state - new
+    after *= z
+    after += new
+    return after, z, r, q, new
 
 
 def step(model: Parameters, given: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
     """The state after one token, and what backpropagation needs."""
-    x = model["inputs"][given]
-    u = state @ model["recurrent"]
-    gates = _sigmoid(x[:, : 2 * STATE] + u[:, : 2 * STATE])
-    z, r = gates[:, :STATE], gates[:, STATE:]
-    q = u[:, 2 * STATE :]
-    new = np.tanh(x[:, 2 * STATE :] + r * q)
-    return new + z * (state - new), z, r, q, new
+    return _advanced(model["inputs"][given], model["recurrent"], state)
 
 
-def _softmax(logits: np.ndarray, wanted: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray | None]:
-    """Log probability of each row's wanted column, and if asked all probabilities, in place of the logits."""
+def _exps(inputs: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+    """exp of the logits of each row, or of these less the row's largest, which is then also returned."""
+    logits = inputs @ weights
+    top = None
     if logits.size and logits.max() > 60:  # exp of these would be out of range
-        logits -= logits.max(axis=1, keepdims=True)
-    found = logits[np.arange(len(wanted)), wanted]
-    np.exp(logits, out=logits)
-    total = logits @ np.ones(logits.shape[1], logits.dtype)
-    if whole:
-        logits /= total[:, None]
-    return found - np.log(total), logits if whole else None
+        top = logits.max(axis=1)
+        logits -= top[:, None]
+    return np.exp(logits, out=logits), top
 
 
 def output(model: Parameters, states: np.ndarray, wanted: np.ndarray, slopes: Parameters | None = None):
     """Log probability of each wanted number after its state; with ``slopes``, also d(-log p)/d state.
 
-    Parameters' gradients are added to ``slopes``.
+    Parameters' gradients are added to ``slopes``. Rows are put in the order of the wanted numbers, so
+    that a class' rows and a number's lie together; weights have their biases as a last row, and states a 1.
     """
-    kind = class_of(wanted)
-    found, down = np.zeros(len(wanted)), None
-    found[:], spread = _softmax(states @ model["class_weights"] + model["class_bias"], kind, slopes is not None)
-    if slopes is not None:
-        spread[np.arange(len(wanted)), kind] -= 1
-        slopes["class_weights"] += states.T @ spread
-        slopes["class_bias"] += spread.sum(axis=0)
-        down = spread @ model["class_weights"].T
-    order = np.argsort(kind, kind="stable")
-    bounds = np.searchsorted(kind[order], np.arange(HEAD_CLASSES + 1))
+    order = np.argsort(wanted.astype(np.uint16), kind="stable")
+    wanted = wanted[order]
+    inputs = np.empty((len(wanted), STATE + 1), np.result_type(states, model["class_weights"]))
+    inputs[:, :STATE] = states.take(order, axis=0)
+    inputs[:, STATE] = 1
+    class_weights = np.concatenate((model["class_weights"], model["class_bias"][None]))
+    word_weights = np.concatenate((model["word_weights"], model["word_bias"][:, None]), axis=1)
+    # The weights of each number's logits, of its class and if it is a word its own, added up.
+    of_number = np.repeat(class_weights.T, np.where(np.arange(CLASSES) < HEAD_CLASSES, CLASS_WORDS, 1), axis=0)
+    of_number[:WORDS] += word_weights.transpose(0, 2, 1).reshape(WORDS, STATE + 1)
+    own = of_number.take(wanted, axis=0)
+    found = np.einsum("ij,ij->i", inputs, own).astype(float)
+    down = np.empty((len(wanted), STATE), inputs.dtype) if slopes is not None else None
+    bounds = np.searchsorted(wanted, np.arange(0, WORDS + 1, CLASS_WORDS)).tolist()
+    parts = [(class_weights, at, min(at + OUTPUT_ROWS, len(wanted)), None) for at in range(0, len(wanted), OUTPUT_ROWS)]
     for c in range(HEAD_CLASSES):
-        own = order[bounds[c] : bounds[c + 1]]
-        if not len(own):
+        for at in range(bounds[c], bounds[c + 1], OUTPUT_ROWS):
+            parts.append((word_weights[c], at, min(at + OUTPUT_ROWS, bounds[c + 1]), c))
+    for weights, begin, end, c in parts:
+        rows = inputs[begin:end]
+        spread, top = _exps(rows, weights)
+        if top is not None:
+            found[begin:end] -= top
+        if slopes is None:
+            found[begin:end] -= np.log(spread @ np.ones(spread.shape[1], spread.dtype))
             continue
-        place = wanted[own] % CLASS_WORDS
-        logits = states[own] @ model["word_weights"][c] + model["word_bias"][c]
-        more, spread = _softmax(logits, place, slopes is not None)
-        found[own] += more
-        if slopes is not None:
-            spread[np.arange(len(own)), place] -= 1
-            slopes["word_weights"][c] += states[own].T @ spread
-            slopes["word_bias"][c] += spread.sum(axis=0)
-            down[own] += spread @ model["word_weights"][c].T
-    return found, down
+        # One product gives the sum of the exps and what flows back; the sum divides what is small.
+        back = weights.T.copy()
+        back[:, STATE] = 1
+        back = spread @ back
+        total = back[:, STATE:]
+        found[begin:end] -= np.log(total[:, 0])
+        slope = (rows / total).T @ spread
+        back = back[:, :STATE] / total
+        if c is None:
+            slopes["class_weights"] += slope[:STATE]
+            slopes["class_bias"] += slope[STATE]
+            down[begin:end] = back
+        else:
+            slopes["word_weights"][c] += slope[:STATE]
+            slopes["word_bias"][c] += slope[STATE]
+            down[begin:end] += back
+    out = np.empty(len(wanted))
+    out[order] = found
+    if slopes is None:
+        return out, None
+    if len(wanted):
+        first = np.flatnonzero(np.concatenate(([True], wanted[1:] != wanted[:-1])))
+        sums = np.zeros((START, STATE + 1), inputs.dtype)
+        sums[wanted[first]] = np.add.reduceat(inputs, first)
+        words = sums[:WORDS].reshape(HEAD_CLASSES, CLASS_WORDS, STATE + 1)
+        slopes["word_weights"] -= words[:, :, :STATE].transpose(0, 2, 1)
+        slopes["word_bias"] -= words[:, :, STATE]
+        kinds = np.concatenate((words.sum(axis=1), sums[WORDS:]))
+        slopes["class_weights"] -= kinds[:, :STATE].T
+        slopes["class_bias"] -= kinds[:, STATE]
+    down -= own[:, :STATE]
+    back = np.empty_like(down)
+    back[order] = down
+    return out, back
 
 
 def window_slopes(
@@ -254,34 +324,48 @@ def window_slopes(
     Where ``fresh``, a text begins and the state is empty. Nothing flows back before the window.
     """
     steps, lanes = given.shape
-    states = np.zeros((steps, lanes, STATE), np.float32)
-    tape = []
+    kind = np.result_type(model["inputs"], state)
+    recurrent = model["recurrent"]
+    x = model["inputs"].take(given, axis=0)
+    some = fresh.any(axis=1).tolist()
+    states, before, z, r, q, new = (np.empty((steps, lanes, STATE), kind) for _ in range(6))
     for t in range(steps):
-        before = np.where(fresh[t][:, None], np.float32(0), state)
-        state, *rest = step(model, given[t], before)
+        before[t] = state
+        if some[t]:
+            before[t][fresh[t]] = 0
+        state, z[t], r[t], q[t], new[t] = _advanced(x[t], recurrent, before[t])
         states[t] = state
-        tape.append((before, *rest))
     slopes = {name: np.zeros(shape, np.float32) for name, shape in SHAPES.items()}
     inside = wanted >= 0  # the last lane may end before the others
-    down = np.zeros((steps, lanes, STATE), np.float32)
+    down = np.zeros((steps, lanes, STATE), kind)
     found, down[inside] = output(model, states[inside], wanted[inside], slopes)
-    later = np.zeros((lanes, STATE), np.float32)
-    recurrent = model["recurrent"]
-    to_inputs = np.zeros((steps, lanes, 3 * STATE), np.float32)
+    # What a slope of the state becomes at the inputs of each gate, but for the products along the way.
+    by_new = (1 - z) * (1 - new * new)
+    by_z = (before - new) * z * (1 - z)
+    by_r = q * r * (1 - r)
+    to_new = np.empty((steps, lanes, STATE), kind)
+    to_gates = np.empty((steps, lanes, 3 * STATE), kind)
+    later = np.zeros((lanes, STATE), kind)
+    back = np.ascontiguousarray(recurrent.T)
     for t in reversed(range(steps)):
-        before, z, r, q, new = tape[t]
-        slope = down[t] + later
-        to_new = slope * (1 - z) * (1 - new * new)
-        to_z = slope * (before - new) * z * (1 - z)
-        to_r = to_new * q * r * (1 - r)
-        to_u = np.concatenate((to_z, to_r, to_new * r), axis=1)
-        to_inputs[t] = np.concatenate((to_z, to_r, to_new), axis=1)
-        slopes["recurrent"] += before.T @ to_u
-        later = np.where(fresh[t][:, None], np.float32(0), slope * z + to_u @ recurrent.T)
-    order = np.argsort(given, axis=None, kind="stable")
+        slope = down[t]
+        slope += later
+        own, to_u = to_new[t], to_gates[t]
+        np.multiply(slope, by_new[t], out=own)
+        np.multiply(slope, by_z[t], out=to_u[:, :STATE])
+        np.multiply(own, by_r[t], out=to_u[:, STATE : 2 * STATE])
+        np.multiply(own, r[t], out=to_u[:, 2 * STATE :])
+        later = to_u @ back
+        slope *= z[t]
+        later += slope
+        if some[t]:
+            later[fresh[t]] = 0
+    slopes["recurrent"] += before.reshape(-1, STATE).T @ to_gates.reshape(-1, 3 * STATE)
+    to_gates[:, :, 2 * STATE :] = to_new
+    order = np.argsort(given.astype(np.uint16), axis=None, kind="stable")
     words = given.ravel()[order]
     first = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
-    slopes["inputs"][words[first]] = np.add.reduceat(to_inputs.reshape(-1, 3 * STATE)[order], first)
+    slopes["inputs"][words[first]] = np.add.reduceat(to_gates.reshape(-1, 3 * STATE).take(order, axis=0), first)
     return -float(found.sum()), slopes, state
 
 
@@ -323,7 +407,9 @@ def trained(model: Parameters, numbers: list[np.ndarray], rate: float = RATE) ->
         for name, slope in slopes.items():
             slope /= learnt
             seen[name] += slope * slope
-            model[name] -= rate * slope / np.sqrt(seen[name])
+            slope *= rate
+            slope /= np.sqrt(seen[name])
+            model[name] -= slope
     return model
 
 
@@ -340,6 +426,32 @@ def _unflat(values: np.ndarray) -> Parameters:
     return model
 
 
+_BLOCKS = "block int, values array<double>, weight double"
+
+
+def _blocks(values: dict[int, np.ndarray], weight: float | list[float]) -> pa.RecordBatch:
+    """Rows of parameters in blocks, and their weights."""
+    bounds = np.concatenate(([0], np.cumsum([len(v) for v in values.values()])))
+    lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(list(values.values()))))
+    weights = np.broadcast_to(np.asarray(weight, float), len(values))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(values), pa.int32()), lists, pa.array(weights)], names=["block", "values", "weight"]
+    )
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of the same number added up, and their weights; a task holds one of each of its numbers."""
+    sums: dict[int, np.ndarray] = {}
+    weights: dict[int, float] = {}
+    for batch in batches:
+        for block, values, weight in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            own = values.values.to_numpy()
+            sums[block] = sums[block] + own if block in sums else own.copy()
+            weights[block] = weights.get(block, 0.0) + weight
+    if sums:
+        yield _blocks(sums, list(weights.values()))
+
+
 def fit(documents: DataFrame, text: str, key: str, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Parameters:
     """Parameters after rounds of parallel training on whole documents.
 
@@ -357,7 +469,7 @@ def fit(documents: DataFrame, text: str, key: str, vocabulary: Vocabulary, round
     hashed = F.xxhash64(F.col(key).cast("string"), F.col(text))
     for number in range(rounds):
         sample = documents.where(F.pmod(hashed, F.lit(rounds)) == number)
-        dealt = sample.select(text, F.pmod(F.xxhash64(hashed, F.lit(number)), F.lit(trainers)).alias("trainer"))
+        dealt = sample.select(text, F.pmod(F.xxhash64(hashed, F.lit(number)), F.lit(trainers)).cast("int").alias("trainer"))
         now = spark.sparkContext.broadcast(model)
 
         def train(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
@@ -370,26 +482,17 @@ def fit(documents: DataFrame, text: str, key: str, vocabulary: Vocabulary, round
                         texts.setdefault(trainer, []).append(found[bounds[i] : bounds[i + 1]])
             for own in texts.values():
                 weight = float(sum(map(len, own)))
-                values = _flat(trained(now.value, own))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.arange(len(values), dtype=np.int32)),
-                        pa.array(values.astype(np.float64) * weight),
-                        pa.array(np.full(len(values), weight)),
-                    ],
-                    names=["place", "value", "weight"],
-                )
-
-        # Ranges of the trainers' numbers, as hashes of them would give some tasks several and some none.
-        apart = dealt.repartitionByRange(trainers, "trainer").sortWithinPartitions(F.xxhash64(text), text)
-        steps = in_tasks(apart, train, "place int, value double, weight double")
-        # As many rows as the model has parameters.
-        mean = steps.groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("value"))
-        rows = mean.toArrow()
-        if rows.num_rows:
-            values = np.zeros(len(_flat(model)), np.float32)
-            values[rows["place"].to_numpy()] = rows["value"].to_numpy()
-            model = _unflat(values)
+                values = _flat(trained(now.value, own)).astype(np.float64) * weight
+                yield _blocks(dict(enumerate(np.split(values, range(BLOCK, len(values), BLOCK)))), weight)
+
+        # A trainer's number is that of its task, as hashes of them would give some tasks several and some none.
+        apart = dealt.repartitionById(trainers, F.col("trainer")).sortWithinPartitions(F.xxhash64(text), text)
+        steps = in_tasks(apart, train, _BLOCKS)
+        # As many blocks as the model has.
+        sums = in_tasks(steps.repartition("block"), _added, _BLOCKS).toArrow().sort_by("block")
+        if sums.num_rows:
+            weights = np.repeat(sums["weight"].to_numpy(), pc.list_value_length(sums["values"]).to_numpy())
+            model = _unflat(pc.list_flatten(sums["values"]).to_numpy() / weights)
     return model
 
 
@@ -400,6 +503,7 @@ def log_probabilities(model: Parameters, numbers: np.ndarray, bounds: np.ndarray
     sorted_lengths, first = lengths[order], bounds[:-1][order]
     total = np.zeros(len(order))
     state = np.zeros((len(order), STATE), np.float32)
+    table, recurrent = model["inputs"], model["recurrent"]
     for at in range(0, int(lengths.max(initial=0)), SCORED_WINDOW):
         live = int(np.searchsorted(-sorted_lengths, -at))  # texts longer than ``at``
         state = state[:live]
@@ -413,7 +517,7 @@ def log_probabilities(model: Parameters, numbers: np.ndarray, bounds: np.ndarray
             given[0] = START
         states = np.empty((steps, live, STATE), np.float32)
         for t in range(steps):
-            state = step(model, given[t], state)[0]
+            state = _advanced(table.take(given[t], axis=0), recurrent, state)[0]
             states[t] = state
         found, _ = output(model, states[inside], wanted[inside])
         total[:live] += np.bincount(np.nonzero(inside)[1], found, live)

@@ -52,6 +52,38 @@ def test_gradients_equal_differences():
             assert (losses[0] - losses[1]) / 2e-3 == pytest.approx(float(slopes[name][place]), abs=2e-3)
 
 
+def test_output_in_parts_equals_the_whole_and_survives_large_logits(monkeypatch):
+    model = lm.initial(vocabulary_of())
+    rng = np.random.default_rng(4)
+    states, wanted = rng.standard_normal((500, lm.STATE)), rng.integers(0, lm.START, 500)
+    whole = lm.output(model, states, wanted)[0]
+    monkeypatch.setattr(lm, "OUTPUT_ROWS", 7)
+    assert np.allclose(lm.output(model, states, wanted)[0], whole)
+    slopes = {name: np.zeros(shape) for name, shape in lm.SHAPES.items()}
+    assert np.allclose(lm.output(model, states, wanted, slopes)[0], whole)
+    large = {**model, "class_bias": model["class_bias"] + np.float32(2000)}
+    assert np.allclose(lm.output(large, states, wanted)[0], whole, atol=0.01)
+
+
+def test_words_are_found_by_their_first_bits():
+    rng = np.random.default_rng(5)
+    crowded = np.arange(50, dtype=np.uint64)  # all of the same first bits
+    spread = rng.integers(1 << 40, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2)
+    for words in (np.unique(np.concatenate((crowded, spread, [np.uint64(2**64 - 1)]))), spread[:1], spread[:0]):
+        counts = np.arange(len(words)) + 1
+        vocabulary = lm.Vocabulary(words, counts, np.arange(len(words)), 1, 1, *[np.zeros(1)] * 3)
+        asked = np.concatenate((words, spread[:9] + np.uint64(1), np.array([51, 2**64 - 2], np.uint64)))
+        number, times = vocabulary.find(asked, np.zeros(len(asked), np.int32))
+        assert times.tolist() == [*counts, *[-1] * 11]
+        assert number.tolist() == [*range(len(words)), *[lm.WORDS] * 11]
+
+
+def test_blocks_of_parameters_are_added_up():
+    parts = [lm._blocks({0: np.full(3, i, float), 1: np.full(2, 10.0 * i)}, i) for i in (1, 2, 4)]
+    found = {r["block"]: r for b in lm._added(iter(parts)) for r in b.to_pylist()}
+    assert found == {0: {"block": 0, "values": [7.0] * 3, "weight": 7.0}, 1: {"block": 1, "values": [70.0] * 2, "weight": 7.0}}
+
+
 def test_probabilities_of_all_numbers_sum_to_one():
     model = wide_model()
     state = np.random.default_rng(1).standard_normal((1, lm.STATE))
