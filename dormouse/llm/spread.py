@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from dormouse.llm.bytetext import forget
 
+# Whether a query's shuffle files go when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
@@ -29,7 +32,14 @@ def kept(df: DataFrame) -> DataFrame:
         shared = tempfile.mkdtemp(prefix="checkpoints-")
         spark.conf.set("spark.checkpoint.dir", shared)
     path = f"{shared.rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # Nothing reads the write's shuffles once it has ended, so they need not wait for the driver's garbage
+    # collection. A table that is read again is read from its files.
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before) if before is not None else spark.conf.unset(SHUFFLE_CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 
