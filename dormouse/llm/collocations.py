@@ -35,6 +35,8 @@ SHARD_BYTES = 8 << 20
 FILTER_KEYS = 1 << 19
 # A filter is cut into so many at a time, by this many bits of its keys.
 CUT_BITS = 10
+# Words of a shard whose phrases are packed at a time, and keys that are sorted at a time, on average.
+PACKED_WORDS, SORTED_KEYS = 1 << 17, 1 << 18
 # Two numbers of words have to fit a lane.
 _MAX_ID_BITS = 31
 
@@ -80,7 +82,7 @@ def _planes(numbers: np.ndarray) -> bytes:
 
 def _from_planes(data: pa.Buffer) -> np.ndarray:
     planes = np.frombuffer(data, np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64) + _NONE
+    return np.ascontiguousarray(planes.T).view("<i4").ravel() + np.int32(_NONE)
 
 
 class _Shard:
@@ -135,17 +137,41 @@ def _shards(rows: DataFrame, shard_bytes: int) -> DataFrame:
     return kept(in_tasks(rows, work, "shard long, lang string, words array<string>, counts array<long>, tokens binary"))
 
 
-def _packed_phrases(ids: np.ndarray, id_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two lanes for each phrase of 2 to ``MAX_WORDS`` neighbours that all have a number; 0 is none."""
-    bits, ids = np.uint64(id_bits), ids.astype(np.uint64)
-    highs, lows = [], []
-    for size in range(2, MAX_WORDS + 1):
-        count = max(0, len(ids) - size + 1)
-        at = np.flatnonzero(np.logical_and.reduce([ids[i : i + count] > 0 for i in range(size)]))
-        lanes = [np.zeros(len(at), np.uint64)] * (MAX_WORDS - size) + [ids[at + i] for i in range(size)]
-        highs.append((lanes[0] << bits) | lanes[1])
-        lows.append((lanes[2] << bits) | lanes[3])
-    return np.concatenate(highs), np.concatenate(lows)
+def _packed_phrases(ids: np.ndarray, id_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Two lanes for each phrase of 2 to ``MAX_WORDS`` neighbours that all have a number, some at a time; 0 is none."""
+    bits = np.uint64(id_bits)
+    for start in range(0, len(ids), PACKED_WORDS):
+        # Phrases that begin here, and the words after these that they reach.
+        own = ids[start : start + PACKED_WORDS + MAX_WORDS - 1].astype(np.uint64)
+        for size in range(2, MAX_WORDS + 1):
+            count = max(0, min(PACKED_WORDS, len(own) - size + 1))
+            at = np.flatnonzero(np.logical_and.reduce([own[i : i + count] > 0 for i in range(size)]))
+            lanes = [np.zeros(len(at), np.uint64)] * (MAX_WORDS - size) + [own[at + i] for i in range(size)]
+            yield (lanes[0] << bits) | lanes[1], (lanes[2] << bits) | lanes[3]
+
+
+def _counts_in_ranges(ids: np.ndarray, id_bits: int, prefix_bits: int) -> Iterator[countingfilter.Counts]:
+    """All phrases' permuted keys counted, in ranges of their first bits, ``prefix_bits`` at most.
+
+    Before they are counted only the keys are held, and what it takes to sort them for one range.
+    """
+    phrases = (MAX_WORDS - 1) * len(ids)
+    bits = min(prefix_bits, (phrases // SORTED_KEYS).bit_length())
+    ranges: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(1 << bits)]
+    for high, low in _packed_phrases(ids, id_bits):
+        high, low = countingfilter.permuted(high, low, 2 * id_bits)
+        first = (high >> np.uint64(2 * id_bits - bits)).astype(np.uint16)
+        order = np.argsort(first, kind="stable")
+        ends = np.cumsum(np.bincount(first, minlength=len(ranges)))[:-1]
+        for own, *keys in zip(ranges, np.split(high[order], ends), np.split(low[order], ends)):
+            # Copies, as a part would hold the whole.
+            own.append(tuple(k.copy() for k in keys))
+    for i, own in enumerate(ranges):
+        ranges[i] = []
+        high, low = (np.concatenate(k) for k in zip(*own)) if own else (np.zeros(0, np.uint64),) * 2
+        del own
+        if len(high):
+            yield countingfilter.counted(high, low, None, 2 * id_bits)
 
 
 def _filter_rows(shard: int, counts: countingfilter.Counts, prefix_bits: int) -> pa.RecordBatch:
@@ -172,12 +198,9 @@ def _counted(numbered: DataFrame, id_bits: int, prefix_bits: int) -> DataFrame:
                 tokens = _from_planes(batch.column("tokens")[i].as_buffer())
                 known = batch.column("known")[i].values
                 size = int(tokens.max(initial=-1)) + 2
-                ids = np.zeros(size, np.int64)  # a break looks up the last, which stays 0
+                ids = np.zeros(size, np.int32)  # a break looks up the last, which stays 0
                 ids[known.field("place").to_numpy()] = known.field("id").to_numpy()
-                high, low = _packed_phrases(ids[tokens], id_bits)
-                if len(high):
-                    high, low = countingfilter.permuted(high, low, 2 * id_bits)
-                    counts = countingfilter.counted(high, low, None, 2 * id_bits)
+                for counts in _counts_in_ranges(ids[tokens], id_bits, prefix_bits):
                     yield _filter_rows(batch.column("shard")[i].as_py(), counts, prefix_bits)
 
     return in_tasks(numbered, work, _FILTERS)

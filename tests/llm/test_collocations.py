@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -76,6 +77,45 @@ def test_rounds_of_merging(spark, tmp_path, monkeypatch):
     assert sorted((r.lang, r.phrase, r.a, r.l, r.r, r.score) for r in got.collect()) == plain(rows)[0]
 
 
+def test_a_shard_is_counted_in_ranges_of_keys():
+    choose = np.random.default_rng(6)
+    ids = np.minimum(choose.zipf(1.2, 400_000), 30_000).astype(np.int32)
+    ids[choose.random(len(ids)) < 0.1] = 0
+    wanted, peaks = [], []
+    for in_ranges in (False, True):
+        tracemalloc.start()
+        if in_ranges:
+            got = [f for own in collocations._counts_in_ranges(ids, 15, 10) for f in countingfilter.by_prefix(own, 10)]
+        else:
+            high, low = (np.concatenate(k) for k in zip(*collocations._packed_phrases(ids, 15)))
+            high, low = countingfilter.permuted(high, low, 30)
+            wanted = countingfilter.by_prefix(countingfilter.counted(high, low, None, 30), 10)
+            del high, low
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert len(wanted) == 1024
+    packed = [[(prefix, countingfilter.packed(own, prefix, 10)) for prefix, own in parts] for parts in (wanted, got)]
+    assert packed[0] == packed[1]
+    # All ranges' counts are held here; a task hands each on before the next.
+    assert peaks[1] < 0.7 * peaks[0]
+
+
+@pytest.mark.parametrize(("words", "keys"), [(1, 1), (5, 40), (7, 1 << 18)])
+def test_phrases_across_parts_of_a_shard(monkeypatch, words, keys):
+    monkeypatch.setattr(collocations, "PACKED_WORDS", words)
+    monkeypatch.setattr(collocations, "SORTED_KEYS", keys)
+    ids = np.random.default_rng(7).integers(0, 4, 300).astype(np.int32)
+    wanted = Counter(
+        tuple(ids[i : i + n].tolist()) for n in (2, 3, 4) for i in range(len(ids) - n + 1) if ids[i : i + n].all()
+    )
+    found = Counter()
+    for counts in collocations._counts_in_ranges(ids, 2, 3):
+        high, low = countingfilter.restored(counts.high, counts.low, counts.bits)
+        for h, l, n in zip(high.tolist(), low.tolist(), counts.counts.tolist()):
+            found[tuple(x for x in (h >> 2, h & 3, l >> 2, l & 3) if x)] += n
+    assert found == wanted
+
+
 def test_leading(spark, tmp_path):
     rows = made_rows(5)
     got, totals = found(spark, tmp_path, rows, min_count=3)
