@@ -1,10 +1,10 @@
 """A gated recurrent language model: numpy inside tasks, trained in parallel, scoring whole documents.
 
 Words of the whole corpus are counted. The most frequent are predicted one by one: first a class of
-64 words of like frequency, then the word among these, both from the state. All other words belong
-to classes by how they begin, and within such a class a word has its share of the corpus' counts,
-with one count more for each and one for all unknown words. So the model is a distribution over all
-words, whatever the corpus' size.
+64 words of like frequency, then the word among these, both from the state. All other words are told
+by how they begin: their class has 64 beginnings, and within one a word has its share of the corpus'
+counts, with one count more for each and one for all unknown words. So the model is a distribution
+over all words, whatever the corpus' size.
 
 Training starts from the counts (the state says nothing) and goes in rounds: every trainer makes
 steps of truncated backpropagation on its own part of the round's documents, and the trainers'
@@ -14,6 +14,7 @@ window, and their states are carried from window to window to the end of the lon
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from dormouse.llm.bytetext import NOT_BLANK, Texts, slices
 from dormouse.llm.spread import in_tasks, kept
 
-# Words that are predicted one by one, words in a class of them, and classes of all other words.
+# Words that are predicted one by one, numbers in a class, and beginnings of all other words.
 WORDS, CLASS_WORDS, BEGINNINGS = 2048, 64, 64
 STATE = 16
 # Counts of words with at least this share of all tokens go to every task: so at most as many words.
@@ -36,10 +37,10 @@ TRAINER_TOKENS = 750_000
 # Parameters of a trainer that are handed on in one row.
 BLOCK = 1 << 12
 ROUNDS, LANES, WINDOW, RATE = 3, 160, 20, 0.16
-# Text of documents that advance side by side, and steps between two carryings of their states.
-SCORED_BYTES, SCORED_WINDOW = 6 << 20, 32
+# Text of documents that advance side by side, about so many of them at most, and steps between two carryings of their states.
+SCORED_BYTES, SCORED_TEXTS, SCORED_WINDOW = 32 << 20, 8192, 32
 # Rows of the output layer that are worked on at a time, so that their logits stay in the cache.
-OUTPUT_ROWS = 2048
+OUTPUT_ROWS = 1024
 
 _LOWERED = np.arange(256, dtype=np.uint32)
 _LOWERED[0x41:0x5B] += 0x20
@@ -49,16 +50,20 @@ END = np.uint64(0)  # the hash that stands for the end of a text
 def tokens(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all texts' tokens, each text's words and then its end; where texts begin; beginnings.
 
-    A word's beginning is a number below ``BEGINNINGS`` that its first three bytes decide.
+    A word's beginning is a number below ``BEGINNINGS`` that its first three bytes decide; the last
+    bits of its hash are that number.
     """
     starts, ends = texts.runs(NOT_BLANK)
     words = texts.hashes(starts, ends, lower=True)
-    words[words == END] = np.uint64(1)
-    begin = np.zeros(len(words), np.uint32)
-    for place in range(3):
-        there = np.flatnonzero(starts + place < ends)
-        begin[there] = begin[there] * np.uint32(31) + _LOWERED[texts.data[starts[there] + place]]
+    begin = _LOWERED.take(texts.data.take(starts))
+    for place in (1, 2):
+        next_byte = _LOWERED.take(texts.data.take(starts + place, mode="clip"))
+        next_byte += begin * np.uint32(31)
+        np.copyto(begin, next_byte, where=starts + place < ends)
     begin = (begin * np.uint32(0x9E3779B1)) >> np.uint32(32 - BEGINNINGS.bit_length() + 1)
+    words &= ~np.uint64(BEGINNINGS - 1)
+    words |= begin
+    words[words == END] = np.uint64(BEGINNINGS)
     owner = texts.of_positions(starts)
     at = np.arange(len(words)) + owner
     size = len(words) + len(texts)
@@ -75,34 +80,32 @@ def word_counts(documents: DataFrame, text: str) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, shapes, counts = [], [], []
+        words, counts = [], []
         pending = 0
 
-        def summed() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            found, first, number = np.unique(np.concatenate(words), return_index=True, return_inverse=True)
-            total = np.bincount(number, np.concatenate(counts)).astype(np.int64)
-            return found, np.concatenate(shapes)[first], total
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            found, number = np.unique(np.concatenate(words), return_inverse=True)
+            return found, np.bincount(number, np.concatenate(counts)).astype(np.int64)
 
-        def batch_of(found, shape, total) -> pa.RecordBatch:
+        def batch_of(found, total) -> pa.RecordBatch:
+            shape = (found & np.uint64(BEGINNINGS - 1)).astype(np.int32)
             return pa.RecordBatch.from_arrays(
                 [pa.array(found.view(np.int64)), pa.array(shape), pa.array(total)], names=["word", "shape", "count"]
             )
 
         for batch in batches:
             for part in slices(batch, text):
-                hashes, _, shape = tokens(Texts.of(part.column(0)))
-                found, first, times = np.unique(hashes, return_index=True, return_counts=True)
+                found, times = np.unique(tokens(Texts.of(part.column(0)))[0], return_counts=True)
                 words.append(found)
-                shapes.append(shape[first])
                 counts.append(times)
                 pending += len(found)
                 if pending > 1 << 20:
                     merged = summed()
                     if len(merged[0]) > 1 << 19:
                         yield batch_of(*merged)
-                        words, shapes, counts, pending = [], [], [], 0
+                        words, counts, pending = [], [], 0
                     else:
-                        words, shapes, counts = ([a] for a in merged)
+                        words, counts = ([a] for a in merged)
                         pending = len(merged[0])
         if words:
             yield batch_of(*summed())
@@ -146,8 +149,8 @@ class Vocabulary:
         class_distinct -= np.bincount(shapes[top], minlength=BEGINNINGS)
         return cls(words, times, number, int(total.n), int(total.v), class_tokens, class_distinct, times[top])
 
-    def _place(self, hashes: np.ndarray) -> np.ndarray:
-        """Where each hash is among the words, or else some place.
+    def _place(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash is among the words, or else some place; and whether it is one of them.
 
         Words of the same first bits lie together, a few at most, as hashes are spread evenly.
         """
@@ -155,16 +158,19 @@ class Vocabulary:
         shift = np.uint64(64 - bits)
         if self.starts is None:
             self.starts = np.searchsorted(self.words >> shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
-        first = (hashes >> shift).astype(np.int64)
-        at = self.starts[first]
-        more = np.flatnonzero(self.words[np.minimum(at, len(self.words) - 1)] < hashes)
+        first = (hashes >> shift).view(np.int64)
+        at = self.starts.take(first)
+        last = len(self.words) - 1
+        found = self.words.take(at, mode="clip")
+        more = np.flatnonzero(found < hashes)
         ends = self.starts[first[more] + 1] - 1
         while len(more):
             more, ends = (a[at[more] < ends] for a in (more, ends))
             at[more] += 1
-            later = self.words[at[more]] < hashes[more]
+            found[more] = self.words[at[more]]
+            later = found[more] < hashes[more]
             more, ends = more[later], ends[later]
-        return np.minimum(at, len(self.words) - 1)
+        return np.minimum(at, last, out=at), found == hashes
 
     def find(self, hashes: np.ndarray, shapes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of each token its number, and its count; -1 where the count is not among the frequent.
@@ -173,28 +179,22 @@ class Vocabulary:
         """
         if not len(self.words):
             return WORDS + shapes.astype(np.int64), np.full(len(hashes), -1, np.int64)
-        at = self._place(hashes)
-        known = self.words[at] == hashes
-        number = np.where(known, self.number[at], -1)
-        return np.where(number >= 0, number, WORDS + shapes), np.where(known, self.counts[at], -1)
+        at, known = self._place(hashes)
+        number = np.where(known, self.number.take(at), -1)
+        return np.where(number >= 0, number, WORDS + shapes), np.where(known, self.counts.take(at), -1)
 
 
-HEAD_CLASSES = WORDS // CLASS_WORDS
-CLASSES = HEAD_CLASSES + BEGINNINGS
+# What is predicted has a number: words, then beginnings. So many numbers in turn are a class.
 START = WORDS + BEGINNINGS
-
-
-def class_of(numbers: np.ndarray) -> np.ndarray:
-    return np.where(numbers < WORDS, numbers // CLASS_WORDS, HEAD_CLASSES + numbers - WORDS)
-
+CLASSES = START // CLASS_WORDS
 
 SHAPES = {
     "inputs": (START + 1, 3 * STATE),
     "recurrent": (STATE, 3 * STATE),
     "class_weights": (STATE, CLASSES),
     "class_bias": (CLASSES,),
-    "word_weights": (HEAD_CLASSES, STATE, CLASS_WORDS),
-    "word_bias": (HEAD_CLASSES, CLASS_WORDS),
+    "word_weights": (CLASSES, STATE, CLASS_WORDS),
+    "word_bias": (CLASSES, CLASS_WORDS),
 }
 Parameters = dict[str, np.ndarray]
 
@@ -202,115 +202,183 @@ Parameters = dict[str, np.ndarray]
 def initial(vocabulary: Vocabulary) -> Parameters:
     """Small random weights, and biases that make the model predict by the counts."""
     random = np.random.default_rng(1)
-    model = {name: (random.standard_normal(shape) * 0.15).astype(np.float32) for name, shape in SHAPES.items()}
-    model["class_weights"] *= 0.1
-    model["word_weights"] *= 0.1
-    counts = np.full(WORDS, 1e-9)
+
+    def drawn(*shape: int) -> np.ndarray:
+        return (random.standard_normal(shape) * 0.15).astype(np.float32)
+
+    heads, others = WORDS // CLASS_WORDS, BEGINNINGS // CLASS_WORDS
+    model = {"inputs": drawn(*SHAPES["inputs"]), "recurrent": drawn(*SHAPES["recurrent"])}
+    classes, _, words = drawn(STATE, heads + BEGINNINGS), drawn(heads + BEGINNINGS), drawn(heads, STATE, CLASS_WORDS)
+    beginnings = classes[:, heads:].reshape(STATE, others, CLASS_WORDS).transpose(1, 0, 2)
+    none = np.zeros((STATE, others), np.float32)
+    model["class_weights"] = np.concatenate((classes[:, :heads], none), axis=1) * np.float32(0.1)
+    model["word_weights"] = np.concatenate((words, beginnings)) * np.float32(0.1)
+    counts = np.full(START, 1e-9)
     counts[: len(vocabulary.predicted_counts)] = vocabulary.predicted_counts
-    by_class = counts.reshape(HEAD_CLASSES, CLASS_WORDS)
-    rest = vocabulary.class_tokens + vocabulary.class_distinct + 1.0
-    model["class_bias"] = np.log(np.concatenate((by_class.sum(axis=1), rest)) / (counts.sum() + rest.sum())).astype(np.float32)
+    counts[WORDS:] = vocabulary.class_tokens + vocabulary.class_distinct + 1.0
+    by_class = counts.reshape(CLASSES, CLASS_WORDS)
+    model["class_bias"] = np.log(by_class.sum(axis=1) / counts.sum()).astype(np.float32)
     model["word_bias"] = np.log(by_class / by_class.sum(axis=1, keepdims=True)).astype(np.float32)
     return model
 
 
-def _advanced(x: np.ndarray, recurrent: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The state after tokens with inputs ``x``, and what backpropagation needs."""
-    u = state @ recurrent
-    gates = x[:, : 2 * STATE] + u[:, : 2 * STATE]
+def _gates(model: Parameters) -> tuple[np.ndarray, np.ndarray]:
+    """The inputs and the recurrent weights of each gate, one after the other."""
+    inputs, recurrent = (model[name].reshape(-1, 3, STATE).transpose(1, 0, 2) for name in ("inputs", "recurrent"))
+    return np.ascontiguousarray(inputs), np.ascontiguousarray(recurrent)
+
+
+def _room(rows: tuple[int, ...], lanes: int, kind: np.dtype) -> tuple[np.ndarray, ...]:
+    """What ``_advanced`` fills in."""
+    return tuple(np.empty((*rows, *gates, lanes, STATE), kind) for gates in ((3,), (2,), (), ()))
+
+
+def _advanced(
+    weights: tuple[np.ndarray, np.ndarray], given: np.ndarray, state: np.ndarray,
+    x: np.ndarray, u: np.ndarray, gates: np.ndarray, new: np.ndarray, after: np.ndarray,
+) -> None:
+    """Fills in the state after the tokens, and what backpropagation needs; ``x`` is what they are to the gates."""
+    inputs, recurrent = weights
+    for own, filled in zip(inputs, x):
+        own.take(given, axis=0, out=filled, mode="clip")
+    np.matmul(state, recurrent, out=u)
+    np.add(x[:2], u[:2], out=gates)
     np.negative(gates, out=gates)
     np.exp(gates, out=gates)
     gates += 1
     np.reciprocal(gates, out=gates)
-    z, r = gates[:, :STATE], gates[:, STATE:]
-    q = u[:, 2 * STATE :]
-    new = r * q
-    new += x[:, 2 * STATE :]
+    np.multiply(gates[1], u[2], out=new)
+    new += x[2]
     np.tanh(new, out=new)
-    after = state - new
-    after *= z
+    np.subtract(state, new, out=after)
+    after *= gates[0]
     after += new
-    return after, z, r, q, new
 
 
 def step(model: Parameters, given: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
     """The state after one token, and what backpropagation needs."""
-    return _advanced(model["inputs"][given], model["recurrent"], state)
+    kind = np.result_type(model["inputs"], state)
+    x = np.empty((3, len(given), STATE), kind)
+    u, gates, new, after = _room((), len(given), kind)
+    _advanced(_gates(model), given, state, x, u, gates, new, after)
+    return after, gates, u[2], new
+
+
+# 2^y = _SCALE * ((w + _B) * (w + y + _C) + _D) with w = y * (y + _A), to 3e-6 of itself where y is between -1/2 and 1/2.
+_SCALE = 0.009570099964462186
+_A, _B, _C, _D = (np.float32(x) for x in (2.421487778307111, 31.699068627974903, -14.880195072302335, 576.1803640778185))
+# A number that is added to this is rounded to a whole one, which is then in the last bits of the sum.
+_ROUNDING = np.float32(3 << 22)
+# Powers of two up to here, and sums of them, are far within the range of 32 bits.
+_FAR = 100
+
 
+def _powers_of_two(y: np.ndarray, spare: np.ndarray) -> None:
+    """In place, 2^y / ``_SCALE`` of 32-bit numbers within ``_FAR``, in few passes that numpy does several numbers at a time in.
 
-def _exps(inputs: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
-    """exp of the logits of each row, or of these less the row's largest, which is then also returned."""
-    logits = inputs @ weights
-    top = None
-    if logits.size and logits.max() > 60:  # exp of these would be out of range
-        top = logits.max(axis=1)
-        logits -= top[:, None]
-    return np.exp(logits, out=logits), top
+    Its own exponential takes one number at a time on some machines. ``spare`` is room for as many numbers, twice.
+    """
+    whole, w = spare[0][: len(y)], spare[1][: len(y)]
+    np.add(y, _ROUNDING, out=whole)
+    np.subtract(whole, _ROUNDING, out=w)
+    y -= w
+    np.add(y, _A, out=w)
+    w *= y
+    w += _B
+    y += w
+    y += _C - _B
+    y *= w
+    y += _D
+    exponents = whole.view(np.int32)
+    np.left_shift(exponents, 23, out=exponents)
+    bits = y.view(np.int32)
+    bits += exponents
 
 
 def output(model: Parameters, states: np.ndarray, wanted: np.ndarray, slopes: Parameters | None = None):
     """Log probability of each wanted number after its state; with ``slopes``, also d(-log p)/d state.
 
     Parameters' gradients are added to ``slopes``. Rows are put in the order of the wanted numbers, so
-    that a class' rows and a number's lie together; weights have their biases as a last row, and states a 1.
+    that a class' rows lie together; weights have their biases as a last row, and states a 1.
     """
     order = np.argsort(wanted.astype(np.uint16), kind="stable")
     wanted = wanted[order]
     inputs = np.empty((len(wanted), STATE + 1), np.result_type(states, model["class_weights"]))
     inputs[:, :STATE] = states.take(order, axis=0)
     inputs[:, STATE] = 1
-    class_weights = np.concatenate((model["class_weights"], model["class_bias"][None]))
-    word_weights = np.concatenate((model["word_weights"], model["word_bias"][:, None]), axis=1)
-    # The weights of each number's logits, of its class and if it is a word its own, added up.
-    of_number = np.repeat(class_weights.T, np.where(np.arange(CLASSES) < HEAD_CLASSES, CLASS_WORDS, 1), axis=0)
-    of_number[:WORDS] += word_weights.transpose(0, 2, 1).reshape(WORDS, STATE + 1)
-    own = of_number.take(wanted, axis=0)
-    found = np.einsum("ij,ij->i", inputs, own).astype(float)
-    down = np.empty((len(wanted), STATE), inputs.dtype) if slopes is not None else None
-    bounds = np.searchsorted(wanted, np.arange(0, WORDS + 1, CLASS_WORDS)).tolist()
-    parts = [(class_weights, at, min(at + OUTPUT_ROWS, len(wanted)), None) for at in range(0, len(wanted), OUTPUT_ROWS)]
-    for c in range(HEAD_CLASSES):
-        for at in range(bounds[c], bounds[c + 1], OUTPUT_ROWS):
-            parts.append((word_weights[c], at, min(at + OUTPUT_ROWS, bounds[c + 1]), c))
-    for weights, begin, end, c in parts:
-        rows = inputs[begin:end]
-        spread, top = _exps(rows, weights)
-        if top is not None:
-            found[begin:end] -= top
-        if slopes is None:
-            found[begin:end] -= np.log(spread @ np.ones(spread.shape[1], spread.dtype))
-            continue
-        # One product gives the sum of the exps and what flows back; the sum divides what is small.
-        back = weights.T.copy()
-        back[:, STATE] = 1
-        back = spread @ back
-        total = back[:, STATE:]
-        found[begin:end] -= np.log(total[:, 0])
-        slope = (rows / total).T @ spread
-        back = back[:, :STATE] / total
-        if c is None:
-            slopes["class_weights"] += slope[:STATE]
-            slopes["class_bias"] += slope[STATE]
-            down[begin:end] = back
-        else:
-            slopes["word_weights"][c] += slope[:STATE]
-            slopes["word_bias"][c] += slope[STATE]
-            down[begin:end] += back
-    out = np.empty(len(wanted))
-    out[order] = found
+    weights = [
+        np.concatenate((model["class_weights"], model["class_bias"][None]))[None],
+        np.concatenate((model["word_weights"], model["word_bias"][:, None]), axis=1),
+    ]
+    farthest = max(np.abs(w).sum(axis=1).max() for w in weights) * max(inputs.max(initial=0), -inputs.min(initial=0))
+    quick = inputs.dtype == np.float32 and farthest < _FAR * np.log(2)
+    scaled = [w / np.float32(np.log(2)) if quick else w for w in weights]
+    if quick:
+        for w in scaled:
+            w[:, STATE] += np.float32(np.log2(_SCALE))
+    classes = wanted // CLASS_WORDS
+    within = wanted - classes * CLASS_WORDS
+    bounds = np.searchsorted(wanted, np.arange(CLASS_WORDS, START + 1, CLASS_WORDS)).tolist()
+    out, found = np.empty(len(wanted)), np.zeros(len(wanted))
+    if slopes is None:
+        of_number = weights[0].transpose(2, 0, 1) + weights[1].transpose(0, 2, 1)
+        found += np.einsum("ij,ij->i", inputs, of_number.reshape(START, STATE + 1).take(wanted, axis=0))
+    else:
+        gradients = [np.zeros(w.shape, inputs.dtype) for w in weights]
+        down = np.empty((len(wanted), STATE), inputs.dtype)
+        shares = np.ones(len(wanted), inputs.dtype)
+    room = np.empty((3, OUTPUT_ROWS * max(CLASSES, CLASS_WORDS)), inputs.dtype)
+    # Rows for their classes, then for the numbers of their class, some rows at a time.
+    for level, ends in enumerate(([len(wanted)], bounds)):
+        size = scaled[level].shape[2]
+        of_level = np.ones(size, inputs.dtype)
+        for begin in range(0, ends[-1], OUTPUT_ROWS):
+            end = min(begin + OUTPUT_ROWS, ends[-1])
+            flat = room[0, : (end - begin) * size]
+            spread = flat.reshape(-1, size)
+            parts, at = [], begin
+            for c in range(bisect.bisect_right(ends, begin), len(ends)):
+                if at == end:
+                    break
+                if ends[c] > at:
+                    parts.append((c, slice(at, min(ends[c], end)), slice(at - begin, min(ends[c], end) - begin)))
+                    at = parts[-1][1].stop
+            for c, rows, own in parts:
+                np.dot(inputs[rows], scaled[level][c], out=spread[own])
+            if quick:
+                _powers_of_two(flat, room[1:])
+            else:  # less the largest, as exp of others might be out of range
+                top = spread.max(axis=1)
+                spread -= top[:, None]
+                np.exp(flat, out=flat)
+            total = spread @ of_level
+            if slopes is None:
+                found[begin:end] -= np.log(total)
+                if not quick:
+                    found[begin:end] -= top
+                continue
+            np.reciprocal(total, out=total)
+            spread *= total[:, None]
+            places = np.arange(0, len(flat), size)
+            places += within[begin:end] if level else classes[begin:end]
+            share = flat.take(places)
+            flat[places] = share - 1
+            shares[begin:end] *= share
+            for c, rows, own in parts:
+                gradients[level][c] += np.dot(inputs[rows].T, spread[own])
+                back = np.dot(spread[own], weights[level][c, :STATE].T)
+                if level:
+                    down[rows] += back
+                else:
+                    down[rows] = back
     if slopes is None:
+        out[order] = found
         return out, None
-    if len(wanted):
-        first = np.flatnonzero(np.concatenate(([True], wanted[1:] != wanted[:-1])))
-        sums = np.zeros((START, STATE + 1), inputs.dtype)
-        sums[wanted[first]] = np.add.reduceat(inputs, first)
-        words = sums[:WORDS].reshape(HEAD_CLASSES, CLASS_WORDS, STATE + 1)
-        slopes["word_weights"] -= words[:, :, :STATE].transpose(0, 2, 1)
-        slopes["word_bias"] -= words[:, :, STATE]
-        kinds = np.concatenate((words.sum(axis=1), sums[WORDS:]))
-        slopes["class_weights"] -= kinds[:, :STATE].T
-        slopes["class_bias"] -= kinds[:, STATE]
-    down -= own[:, :STATE]
+    out[order] = np.log(shares)
+    slopes["class_weights"] += gradients[0][0, :STATE]
+    slopes["class_bias"] += gradients[0][0, STATE]
+    slopes["word_weights"] += gradients[1][:, :STATE]
+    slopes["word_bias"] += gradients[1][:, STATE]
     back = np.empty_like(down)
     back[order] = down
     return out, back
@@ -325,47 +393,62 @@ def window_slopes(
     """
     steps, lanes = given.shape
     kind = np.result_type(model["inputs"], state)
-    recurrent = model["recurrent"]
-    x = model["inputs"].take(given, axis=0)
+    weights = _gates(model)
     some = fresh.any(axis=1).tolist()
-    states, before, z, r, q, new = (np.empty((steps, lanes, STATE), kind) for _ in range(6))
+    before, x = np.empty((steps, lanes, STATE), kind), np.empty((3, lanes, STATE), kind)
+    u, gates, new, states = _room((steps,), lanes, kind)
     for t in range(steps):
         before[t] = state
         if some[t]:
             before[t][fresh[t]] = 0
-        state, z[t], r[t], q[t], new[t] = _advanced(x[t], recurrent, before[t])
-        states[t] = state
+        state = states[t]
+        _advanced(weights, given[t], before[t], x, u[t], gates[t], new[t], state)
+    z, r, q = gates[:, 0], gates[:, 1], u[:, 2]
     slopes = {name: np.zeros(shape, np.float32) for name, shape in SHAPES.items()}
     inside = wanted >= 0  # the last lane may end before the others
-    down = np.zeros((steps, lanes, STATE), kind)
-    found, down[inside] = output(model, states[inside], wanted[inside], slopes)
+    if inside.all():
+        found, down = output(model, states.reshape(-1, STATE), wanted.ravel(), slopes)
+        down = down.reshape(states.shape)
+    else:
+        down = np.zeros((steps, lanes, STATE), kind)
+        found, down[inside] = output(model, states[inside], wanted[inside], slopes)
     # What a slope of the state becomes at the inputs of each gate, but for the products along the way.
-    by_new = (1 - z) * (1 - new * new)
-    by_z = (before - new) * z * (1 - z)
+    rest = 1 - z
+    by_new = rest * (1 - new * new)
+    by_z = rest
+    by_z *= z
+    by_z *= before - new
     by_r = q * r * (1 - r)
     to_new = np.empty((steps, lanes, STATE), kind)
-    to_gates = np.empty((steps, lanes, 3 * STATE), kind)
+    to_gates = np.empty((3, steps, lanes, STATE), kind)
     later = np.zeros((lanes, STATE), kind)
-    back = np.ascontiguousarray(recurrent.T)
+    back = np.ascontiguousarray(weights[1].transpose(0, 2, 1))
+    by_gate = np.empty((3, lanes, STATE), kind)
     for t in reversed(range(steps)):
         slope = down[t]
         slope += later
-        own, to_u = to_new[t], to_gates[t]
+        own, to_u = to_new[t], to_gates[:, t]
         np.multiply(slope, by_new[t], out=own)
-        np.multiply(slope, by_z[t], out=to_u[:, :STATE])
-        np.multiply(own, by_r[t], out=to_u[:, STATE : 2 * STATE])
-        np.multiply(own, r[t], out=to_u[:, 2 * STATE :])
-        later = to_u @ back
-        slope *= z[t]
-        later += slope
+        np.multiply(slope, by_z[t], out=to_u[0])
+        np.multiply(own, by_r[t], out=to_u[1])
+        np.multiply(own, r[t], out=to_u[2])
+        np.matmul(to_u, back, out=by_gate)
+        np.multiply(slope, z[t], out=later)
+        for own in by_gate:
+            later += own
         if some[t]:
             later[fresh[t]] = 0
-    slopes["recurrent"] += before.reshape(-1, STATE).T @ to_gates.reshape(-1, 3 * STATE)
-    to_gates[:, :, 2 * STATE :] = to_new
     order = np.argsort(given.astype(np.uint16), axis=None, kind="stable")
     words = given.ravel()[order]
     first = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
-    slopes["inputs"][words[first]] = np.add.reduceat(to_gates.reshape(-1, 3 * STATE).take(order, axis=0), first)
+    rows = np.empty((len(words), 3 * STATE), kind)
+    for gate, (to_u, to_x) in enumerate(zip(to_gates, (to_gates[0], to_gates[1], to_new))):
+        columns = slice(gate * STATE, (gate + 1) * STATE)
+        slopes["recurrent"][:, columns] += before.reshape(-1, STATE).T @ to_u.reshape(-1, STATE)
+        rows[:, columns] = to_x.reshape(-1, STATE).take(order, axis=0)
+    # Two numbers are added up as a complex one, in half as many additions.
+    pairs = np.add.reduceat(rows.view(np.result_type(kind, np.complex64)), first)
+    slopes["inputs"][words[first]] = pairs.view(kind)
     return -float(found.sum()), slopes, state
 
 
@@ -404,12 +487,19 @@ def trained(model: Parameters, numbers: list[np.ndarray], rate: float = RATE) ->
         part = slice(at, at + WINDOW)
         _, slopes, state = window_slopes(model, given[part], wanted[part], fresh[part], state)
         learnt = int((wanted[part] >= 0).sum())
+        met = np.zeros(len(model["inputs"]), bool)
+        met[given[part]] = True
+        met = np.flatnonzero(met)  # the only ones whose inputs have slopes
         for name, slope in slopes.items():
+            rows = met if name == "inputs" else slice(None)
+            slope = slope[rows]
             slope /= learnt
-            seen[name] += slope * slope
+            past = seen[name][rows]
+            past += slope * slope
+            seen[name][rows] = past
             slope *= rate
-            slope /= np.sqrt(seen[name])
-            model[name] -= slope
+            slope /= np.sqrt(past)
+            model[name][rows] -= slope
     return model
 
 
@@ -503,7 +593,7 @@ def log_probabilities(model: Parameters, numbers: np.ndarray, bounds: np.ndarray
     sorted_lengths, first = lengths[order], bounds[:-1][order]
     total = np.zeros(len(order))
     state = np.zeros((len(order), STATE), np.float32)
-    table, recurrent = model["inputs"], model["recurrent"]
+    weights = _gates(model)
     for at in range(0, int(lengths.max(initial=0)), SCORED_WINDOW):
         live = int(np.searchsorted(-sorted_lengths, -at))  # texts longer than ``at``
         state = state[:live]
@@ -511,14 +601,16 @@ def log_probabilities(model: Parameters, numbers: np.ndarray, bounds: np.ndarray
         places = first[:live] + at + np.arange(steps)[:, None]
         inside = at + np.arange(steps)[:, None] < sorted_lengths[:live]
         places = np.where(inside, places, 0)
-        wanted = numbers[places]
-        given = np.where(inside, numbers[np.maximum(places - 1, 0)], START)
+        wanted = numbers[places].astype(np.intp)
+        given = np.where(inside, numbers[np.maximum(places - 1, 0)], START).astype(np.intp)
         if at == 0:
             given[0] = START
         states = np.empty((steps, live, STATE), np.float32)
+        x = np.empty((3, live, STATE), np.float32)
+        u, gates, new, _ = _room((), live, np.dtype(np.float32))
         for t in range(steps):
-            state = _advanced(table.take(given[t], axis=0), recurrent, state)[0]
-            states[t] = state
+            _advanced(weights, given[t], state, x, u, gates, new, states[t])
+            state = states[t]
         found, _ = output(model, states[inside], wanted[inside])
         total[:live] += np.bincount(np.nonzero(inside)[1], found, live)
     out = np.zeros(len(order))
@@ -527,27 +619,44 @@ def log_probabilities(model: Parameters, numbers: np.ndarray, bounds: np.ndarray
 
 
 def _tokenised(
-    batches: Iterator[pa.RecordBatch], text: str, vocabulary: Vocabulary, limit: int
+    batches: Iterator[pa.RecordBatch], text: str, vocabulary: Vocabulary, limit: int, most: int
 ) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows of about so many bytes of text, with their tokens' hashes, numbers and counts, and bounds."""
+    """Rows of about so many bytes of text or so many texts, their tokens' numbers and bounds, what the counts give, and rare words.
+
+    The counts give for each row the sum of log10(count + 1) over its tokens, that of the shares of words
+    in their beginnings, how many words are known, and how many are rare: not among the frequent ones.
+    Only numbers and rare words are held for tokens.
+    """
+    class_total = np.log10(vocabulary.class_tokens + vocabulary.class_distinct + 1)
     held: list[tuple] = []
-    size = 0
+    size = texts_held = 0
 
     def together() -> tuple:
-        rows, hashes, numbers, counts, lengths = zip(*held)
+        rows, numbers, lengths, sums, rare = zip(*held)
         bounds = np.concatenate(([0], np.cumsum(np.concatenate(lengths))))
-        return pa.Table.from_batches(rows), *(np.concatenate(a) for a in (hashes, numbers, counts)), bounds
+        return pa.Table.from_batches(rows), np.concatenate(numbers), bounds, np.concatenate(sums, axis=1), np.concatenate(rare)
 
     for batch in batches:
         for part in slices(batch, text):
             texts = Texts.of(part.column(text))
             hashes, bounds, shapes = tokens(texts)
-            held.append((part.drop_columns([text]), hashes, *vocabulary.find(hashes, shapes), np.diff(bounds)))
+            numbers, times = vocabulary.find(hashes, shapes)
+            lengths = np.diff(bounds)
+            of = np.repeat(np.arange(len(lengths)), lengths)
+            known = np.log10(np.maximum(times, 0) + 1.0)
+            rest = numbers >= WORDS
+            within = known[rest] - class_total[numbers[rest] - WORDS]
+            sums = [
+                np.bincount(of[rows], values, len(lengths))
+                for rows, values in ((slice(None), known), (rest, within), (times > 0, None), (times < 0, None))
+            ]
+            held.append((part.drop_columns([text]), numbers.astype(np.int32), lengths, np.stack(sums), hashes[times < 0]))
             size += len(texts.data)
-            if size >= limit:
+            texts_held += len(texts)
+            if size >= limit or texts_held >= most:
                 yield together()
                 held.clear()
-                size = 0
+                size = texts_held = 0
     if held:
         yield together()
 
@@ -563,29 +672,22 @@ def scored(
     shared = documents.sparkSession.sparkContext.broadcast((vocabulary, model))
     rows = documents.select(F.col(key).alias("key"), F.monotonically_increasing_id().alias("row"), text)
     base_total = np.log10(vocabulary.tokens + vocabulary.distinct + 1)
-    class_total = np.log10(vocabulary.class_tokens + vocabulary.class_distinct + 1)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, parameters = shared.value
-        for table, hashes, numbers, times, bounds in _tokenised(batches, text, own, SCORED_BYTES):
-            of = np.repeat(np.arange(table.num_rows), np.diff(bounds))
-            known = np.log10(np.maximum(times, 0) + 1.0)
-            base = np.bincount(of, known, table.num_rows) - np.diff(bounds) * base_total
-            value = log_probabilities(parameters, numbers, bounds) / np.log(10)
-            rest = numbers >= WORDS
-            within = known[rest] - class_total[numbers[rest] - WORDS]
-            value += np.bincount(of[rest], within, table.num_rows)
-            missing = times < 0
-            lists = np.concatenate(([0], np.cumsum(np.bincount(of[missing], minlength=table.num_rows))))
+        for table, numbers, bounds, (base, within, seen, rare), words in _tokenised(batches, text, own, SCORED_BYTES, SCORED_TEXTS):
+            lengths = np.diff(bounds)
+            value = log_probabilities(parameters, numbers, bounds) / np.log(10) + within
+            lists = np.concatenate(([0], np.cumsum(rare)))
             yield pa.RecordBatch.from_arrays(
                 [
                     table.column(0).combine_chunks(),
                     table.column(1).combine_chunks(),
-                    pa.array(np.diff(bounds)),
-                    pa.array(np.bincount(of[times > 0], minlength=table.num_rows).astype(np.int64)),
-                    pa.array(base),
+                    pa.array(lengths),
+                    pa.array(seen.astype(np.int64)),
+                    pa.array(base - lengths * base_total),
                     pa.array(value),
-                    pa.ListArray.from_arrays(pa.array(lists, pa.int32()), pa.array(hashes[missing].view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(lists.astype(np.int32)), pa.array(words.view(np.int64))),
                 ],
                 names=["key", "row", "n_tokens", "n_known", "base_score", "score", "rare"],
             )

@@ -4,10 +4,12 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from dormouse.llm import lm, queries
+from dormouse.llm.bytetext import Texts
 from tests.llm.plain import blank_words, lower, odd_rows, table
 
 SMALL = "/root/testdata/sf0.001"
@@ -198,3 +200,58 @@ def _with(work, noted):
             own.trained = before
 
     return run
+
+
+def test_powers_of_two_are_near_exact_over_their_range():
+    y = np.concatenate((np.linspace(-99, 99, 100_001), np.arange(-99, 100) / 2)).astype(np.float32)
+    found = y + np.float32(np.log2(lm._SCALE))
+    lm._powers_of_two(found, np.empty((2, len(y)), np.float32))
+    assert np.abs(found / 2.0 ** y.astype(float) - 1).max() < 2e-5  # 32 bits hold a number near 100 to 4e-6
+    near = np.abs(y) < 8
+    assert np.abs(found[near] / 2.0 ** y[near].astype(float) - 1).max() < 5e-6
+
+
+@pytest.mark.parametrize("bias", [0, 2000])
+def test_quick_output_equals_that_in_64_bits(bias):
+    rng = np.random.default_rng(6)
+    model = {name: a.astype(np.float32) for name, a in wide_model().items()}
+    model["class_bias"] = model["class_bias"] + np.float32(bias)  # out of the quick powers' range
+    exact = {name: a.astype(float) for name, a in model.items()}
+    given, wanted = rng.integers(0, lm.START + 1, (20, 90)), rng.integers(0, lm.START, (20, 90))
+    state = (rng.standard_normal((90, lm.STATE)) * 0.3).astype(np.float32)
+    for fresh in (np.zeros((20, 90), bool), rng.random((20, 90)) < 0.1):
+        loss, slopes, after = lm.window_slopes(model, given, wanted, fresh, state)
+        loss64, slopes64, after64 = lm.window_slopes(exact, given, wanted, fresh, state.astype(float))
+        assert loss == pytest.approx(loss64, rel=1e-4) and np.allclose(after, after64, atol=1e-5)
+        for name, slope in slopes64.items():
+            assert np.allclose(slopes[name], slope, atol=2e-3 * np.abs(slope).max())
+
+
+def test_a_token_asks_for_a_class_and_a_number_in_it_only():
+    # Beginnings are a class like those of words, so that no token needs a logit for each of them beside all classes.
+    assert lm.SHAPES["class_bias"] == (lm.CLASSES,) and lm.SHAPES["word_bias"] == (lm.CLASSES, lm.CLASS_WORDS)
+    assert lm.CLASSES + lm.CLASS_WORDS < 100 and lm.CLASSES * lm.CLASS_WORDS == lm.START
+
+
+def test_hashes_end_in_the_beginning_of_the_word():
+    hashes, bounds, shapes = lm.tokens(Texts.of(pa.array(["A b abc abcd é ABx", "", None, "abd abc"])))
+    words = hashes != lm.END
+    assert ((hashes & np.uint64(lm.BEGINNINGS - 1)) == shapes).all() and bounds.tolist() == [0, 7, 8, 9, 12]
+    assert (~words).sum() == 4 and hashes[2] == hashes[10] and shapes[2] == shapes[3] and len(set(hashes[words])) == 7
+    for text, shape in zip("A b abc abcd é ABx".split(), shapes):
+        own = 0
+        for byte in lower(text).encode()[:3]:
+            own = own * 31 + byte
+        assert shape == (own * 0x9E3779B1) % (1 << 32) >> 26
+
+
+def test_texts_are_taken_together_by_size_and_by_number():
+    words = [f"w{i} w{i + 1} z" for i in range(50)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, i + 10)), pa.array(words[i : i + 10])], names=["key", "text"]) for i in range(0, 50, 10)]
+    vocabulary = vocabulary_of(0)
+    for limit, most, sizes in ((1 << 20, 100, [50]), (1 << 20, 20, [20, 20, 10]), (150, 100, [20, 20, 10])):
+        found = list(lm._tokenised(iter(batches), "text", vocabulary, limit, most))
+        assert [rows.num_rows for rows, *_ in found] == sizes
+        for rows, numbers, bounds, (known, within, seen, rare), hashes in found:
+            assert rows.column_names == ["key"] and bounds[-1] == len(numbers) == len(hashes) == 4 * rows.num_rows
+            assert (rare == 4).all() and not seen.any() and not known.any() and (within < 0).all()
