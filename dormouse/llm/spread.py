@@ -6,7 +6,7 @@ import ctypes
 import re
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,10 +20,11 @@ SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def kept(df: DataFrame) -> DataFrame:
+def kept(df: DataFrame, varied: Sequence[str] = ()) -> DataFrame:
     """The same rows, computed once and written as Parquet below the cluster's shared folder.
 
-    The folder is ``spark.checkpoint.dir``, whose owner clears it as for checkpoints. Only a session
+    Columns of ``varied`` hold hardly a value twice and are written as they are, as no dictionary of theirs
+    would be kept. The folder is ``spark.checkpoint.dir``, whose owner clears it as for checkpoints. Only a session
     that names none, as in tests on one machine, gets one of its own.
     """
     spark = df.sparkSession
@@ -37,7 +38,8 @@ def kept(df: DataFrame) -> DataFrame:
     before = spark.conf.get(SHUFFLE_CLEANUP, None)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        plain = {f"parquet.enable.dictionary#{name}": "false" for name in varied}
+        df.write.options(**plain).parquet(path)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before) if before is not None else spark.conf.unset(SHUFFLE_CLEANUP)
     return spark.read.schema(df.schema).parquet(path)

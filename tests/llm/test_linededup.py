@@ -94,3 +94,27 @@ def test_a_line_that_a_third_of_all_rows_share(spark, tmp_path):
     found = linededup.deduplicated(table(spark, tmp_path, rows, files=5), "text", "doc_id", "runs").collect()
     wanted = without_later_copies([t for _, t in rows])
     assert {r.doc_id: r.text for r in found} == dict(enumerate(wanted))
+
+
+@pytest.mark.parametrize("min_words", [3, 4, 5, 13])
+def test_runs_of_few_lines_and_of_many_equal_the_plain_version(spark, tmp_path, min_words):
+    choose = random.Random(min_words)
+    parts = ["go. ", "on! ", "a b. ", "a b c d\n", "one two three four five six seven. ", "x y z u v w. \t\r\n", "go. \n"]
+    rows = [(i, "".join(choose.choices(parts, k=choose.randint(0, 12)))) for i in range(60)]
+    rows += [(60 + i, "go. " * (14 + i) + f"own{i}. " + "on! a b. " * i) for i in range(8)]
+    found = linededup.deduplicated(table(spark, tmp_path, rows, files=3), "text", "doc_id", "runs", min_words).collect()
+    assert {r.doc_id: r.text for r in found} == dict(enumerate(without_later_copies([t for _, t in rows], min_words)))
+
+
+def test_a_run_is_named_once(spark, tmp_path, monkeypatch):
+    tables, keep = [], linededup.kept
+
+    def recorded(df, *args, **kwargs):
+        tables.append(keep(df, *args, **kwargs))
+        return tables[-1]
+
+    monkeypatch.setattr(linededup, "kept", recorded)
+    rows = [(i, f"Own words {i}.\n" + "go. on! " * 30 + "Some more words. And these at the end of it.\n" * 9) for i in range(4)]
+    assert linededup.deduplicated(table(spark, tmp_path, rows), "text", "doc_id", "runs").count() == 4
+    (runs,) = (t for t in tables if t.columns == ["pos", "size", "head", "tail"])
+    assert runs.count() == runs.select("pos", "size").distinct().count() > 0
